@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, packing, secrets, simhash
+from . import bpe, exact_dedup, language, packing, secrets, simhash
 
 QUERIES = {
     "op1_packing": packing.op1,
     "op2_secrets": secrets.op2,
+    "op3_bpe": bpe.op3,
     "op4_language": language.op4,
     "op6_simhash": simhash.op6,
     "op10_exact_dedup": exact_dedup.op10,
