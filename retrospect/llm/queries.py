@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language, packing, secrets, simhash
+from . import bpe, exact_dedup, imatch, language, packing, secrets, simhash
 
 QUERIES = {
     "op1_packing": packing.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe": bpe.op3,
     "op4_language": language.op4,
     "op6_simhash": simhash.op6,
+    "op8_imatch": imatch.op8,
     "op10_exact_dedup": exact_dedup.op10,
 }
 SQL = {"op10_exact_dedup": exact_dedup.SQL}
