@@ -14,8 +14,8 @@ from .common import documents, text_or_empty
 #: average, at most d x e^UPPER terms are in the lexicon, however many documents there are.
 LOWER, UPPER = 3.0, 7.0
 #: One in so many terms of the band is in each random lexicon (powers of two). Small lexicons outlast large edits; the
-#: last has all terms, as the method has it without random lexicons.
-SHARES = (16, 16, 16, 16, 32, 32, 32, 32, 32, 32, 64, 64, 64, 64, 64, 64, 64, 64, 128, 128, 128, 128, 128, 128, 256, 256, 256, 1)
+#: first has all terms, as the method has it without random lexicons.
+SHARES = (1, *[32] * 3, *[64] * 6, *[128] * 8, *[256] * 9, *[512] * 5)
 #: Neighbours by doc_id lie in ranges of about so many rows, and there are so many ranges at most.
 RANGE, RANGES = 1000, 4096
 WORD = r"[^\s\p{P}\p{S}]+"

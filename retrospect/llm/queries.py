@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, imatch, language, packing, secrets, simhash
+from . import bpe, exact_dedup, imatch, language, licences, packing, quality, secrets, sharding, simhash
 
 QUERIES = {
     "op1_packing": packing.op1,
     "op2_secrets": secrets.op2,
     "op3_bpe": bpe.op3,
     "op4_language": language.op4,
+    "op5_quality": quality.op5,
     "op6_simhash": simhash.op6,
+    "op7_sharding": sharding.op7,
     "op8_imatch": imatch.op8,
+    "op9_licences": licences.op9,
     "op10_exact_dedup": exact_dedup.op10,
 }
 SQL = {"op10_exact_dedup": exact_dedup.SQL}
