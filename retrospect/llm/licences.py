@@ -50,7 +50,11 @@ TEMPLATES = {
     "cc-by-nc": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."],
     "cc0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Released under CC0 1.0 Universal public domain dedication."],
     "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Licensed under the ISC License."],
-    "proprietary": ["All rights reserved. No part of this work may be reproduced without prior written permission.", "This software is proprietary and confidential; unauthorized copying is strictly prohibited."],
+    "proprietary": [
+        "All rights reserved.",
+        "All rights reserved. No part of this work may be reproduced without prior written permission.",
+        "This software is proprietary and confidential; unauthorized copying is strictly prohibited.",
+    ],
 }
 NONE, UNKNOWN = "none", "unknown"
 #: Paragraphs of the corpus that stand for the class `none`, at most; the rows they come from are those of least hash.
@@ -73,8 +77,13 @@ def ngrams(found: list[str]) -> set:
     return {*found, *zip(found, found[1:]), *zip(found, found[1:], found[2:])}
 
 
-def shingles(found: list[str]) -> set:
-    return {tuple(found[i : i + SHINGLE]) for i in range(max(1, len(found) - SHINGLE + 1))} if found else set()
+def shingles(found: list[str], size: int = SHINGLE) -> set:
+    return {tuple(found[i : i + size]) for i in range(max(1, len(found) - size + 1))} if found else set()
+
+
+def overlap(found: list[str], template: set) -> float:
+    """The share of a template's shingles that a paragraph has; a template of fewer words than SHINGLE is one shingle."""
+    return len(shingles(found, len(next(iter(template)))) & template) / len(template)
 
 
 def variants(template: str) -> list[str]:
@@ -106,8 +115,7 @@ class Classifier:
 
     def confirmed(self, found: list[str], family: str) -> float:
         """The largest share of a template's shingles that the paragraph has."""
-        mine = shingles(found)
-        return max((len(mine & t) / len(t) for name, t in self.templates if name == family), default=0.0)
+        return max((overlap(found, t) for name, t in self.templates if name == family), default=0.0)
 
 
 def fit(negatives: list[str]) -> Classifier:
@@ -118,8 +126,7 @@ def fit(negatives: list[str]) -> Classifier:
     vocabulary = {g: k for k, g in enumerate(sorted({g for grams, _ in rows for g in grams}, key=str))}
     for text in negatives:
         found = words(text)
-        mine = shingles(found)
-        if not any(len(mine & t) / len(t) >= 0.5 for _, t in templates):
+        if not any(overlap(found, t) >= 0.5 for _, t in templates):
             rows.append((ngrams(found), 0))
     rows.append((set(), 0))
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
