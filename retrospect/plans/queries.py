@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import features
+from . import features, outcomes
 
-QUERIES = {**features.QUERIES}
-SQL = {**features.SQL}
+QUERIES = {**features.QUERIES, **outcomes.QUERIES}
+SQL = {**features.SQL, **outcomes.SQL}
