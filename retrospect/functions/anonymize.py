@@ -71,8 +71,10 @@ def tokens(narratives: DataFrame, key: str, text: str) -> DataFrame:
 def _grams(words: DataFrame, key: str) -> DataFrame:
     """Each word with the 1-, 2- and 3-word runs that begin at it."""
     w = Window.partitionBy(key).orderBy("pos")
-    two, three = F.concat_ws(" ", "word", F.lead("word").over(w)), F.concat_ws(" ", "word", F.lead("word").over(w), F.lead("word", 2).over(w))
-    return words.select(key, "pos", F.explode(F.array(F.struct(F.lit(1).alias("size"), F.col("word").alias("run")), F.struct(F.lit(2).alias("size"), two.alias("run")), F.struct(F.lit(3).alias("size"), three.alias("run")))).alias("g")).select(key, "pos", "g.size", "g.run")
+    ahead = words.withColumn("_2", F.lead("word").over(w)).withColumn("_3", F.lead("word", 2).over(w))
+    runs = [F.col("word"), F.concat_ws(" ", "word", "_2"), F.concat_ws(" ", "word", "_2", "_3")]
+    each = F.array(*[F.struct(F.lit(k + 1).alias("size"), run.alias("run")) for k, run in enumerate(runs)])
+    return ahead.select(key, "pos", F.inline(each))
 
 
 def found_names(words: DataFrame, forms: DataFrame, key: str) -> DataFrame:
@@ -111,7 +113,8 @@ def anonymize(narratives: DataFrame, names: DataFrame, key: str, text: str, orde
     A name found after a role is replaced wherever it stands in the same text (X5, X6); of overlapping names the one
     that begins first counts. Texts keep their words otherwise; null stays null.
     """
-    clean = narratives.select(key, normalize_report(strip_punctuation(scrub_badges(F.lower(text)))).alias(text))
+    plain = strip_punctuation(scrub_badges(F.lower(text)))
+    clean = narratives.select(key, F.trim(F.regexp_replace(plain, r"\s+", " ")).alias(text))
     forms = name_forms(names, order)
     words = tokens(clean, key, text)
     found = found_names(words, forms, key)

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: {block}_id_{window}_{feature and type}_{function}; the window is an ISO period or `all`.
-NAME = r"^([A-Za-z]+)_id_(?:(P[0-9][0-9A-Z]*|p[0-9][0-9a-z]*|all)_)?(.*)_([A-Za-z]+)$"
+#: {block}_id_{window}_{feature}_{type}_{function}; the window is an ISO period or `all`; many features have no type.
+NAME = r"^([A-Za-z]+)_id_(?:(P[0-9][0-9A-Z]*|p[0-9][0-9a-z]*|all)_)?([^_]+)(?:_(.*))?_([A-Za-z]+)$"
 
 
 def wide_join(dated: Sequence[DataFrame], undated: Sequence[DataFrame], entity: str) -> DataFrame:
@@ -25,16 +25,16 @@ def feature_columns(table: DataFrame) -> DataFrame:
 
 
 def parse_names(columns: DataFrame) -> DataFrame:
-    """column_name split into block, window, feature and metric (O13, O14); windows are in upper case but for `all`."""
+    """column_name split into block, window, feature, type and metric (O13, O14); windows are in upper case but for `all`."""
     part = lambda k: F.regexp_extract("column_name", NAME, k)
     window = F.when(F.lower(part(2)) == "all", F.lit("all")).otherwise(F.upper(part(2)))
-    return columns.select("column_name", part(1).alias("block"), window.alias("window"), part(3).alias("feature"), part(4).alias("metric"))
+    return columns.select("column_name", part(1).alias("block"), window.alias("window"), part(3).alias("feature"), part(4).alias("type"), part(5).alias("metric"))
 
 
 def resolve(requested: DataFrame, windows: DataFrame, columns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The columns at hand that serve the requested features, and the requests that none serves.
 
-    requested: feature (a prefix of the feature part); windows: window. Both are small. A requested feature needs a
+    requested: feature (a prefix of the feature); windows: window. Both are small. A requested feature needs a
     column for each window, unless the columns that it has are without a window or of all history.
     """
     parsed = parse_names(columns)
@@ -62,4 +62,4 @@ def describe(columns: DataFrame, blocks: DataFrame, features: DataFrame, metrics
         out = out.join(F.broadcast(named), F.upper(out[key]) == named["_name"], "left").drop("_name")
     said = [F.coalesce(f"{k}_description", k) for k in ("metric", "feature", "block")]
     window = F.when(F.col("window") == "", F.lit("")).otherwise(F.concat(F.lit(" over "), F.col("window")))
-    return out.withColumn("description", F.concat(said[0], F.lit(" of "), said[1], F.lit(" ("), said[2], F.lit(")"), window))
+    return out.withColumn("description", F.concat(said[0], F.lit(" of "), F.trim(F.concat_ws(" ", said[1], F.col("type"))), F.lit(" ("), said[2], F.lit(")"), window))

@@ -322,7 +322,8 @@ def _description(c: str) -> str:
     window = rest.split("_")[0] if rest.startswith("p") else ""
     feature, metric = (rest[len(window) + 1 :] if window else rest).rsplit("_", 1)
     named = {"ord": "orders", "st": "orders by status", "price": "total price", "sum": "the sum"}
-    return f"{named.get(metric, metric)} of {named.get(feature, feature)} ({named.get(block, block)})" + (f" over {window.upper()}" if window else "")
+    feature, _, kind = feature.partition("_")
+    return f"{named.get(metric, metric)} of {named.get(feature, feature)}{' ' + kind if kind else ''} ({named.get(block, block)})" + (f" over {window.upper()}" if window else "")
 
 
 FEATURE_DESCRIPTION = f"WITH x AS ({WIDE}) " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{_description(c)}' AS description, count({c}) AS n_known FROM x" for c in _ALL_WIDE)
