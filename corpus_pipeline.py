@@ -14,16 +14,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs)
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but for the rows whose doc_id is in gone; rows without a doc_id can't be named and stay."""
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+
+
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
-    gone = exact_dedup.duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of equal texts the largest doc_id stays, once even if its row is repeated."""
+    found = exact_dedup.duplicates(docs)
+    kept = _without(docs, found.filter("not kept").select("doc_id"))
+    repeated = found.filter("kept and group_size > 1").groupBy("doc_id").count().filter("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the least doc_id stays."""
     gone = simhash.near_duplicates(docs).filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, gone)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
