@@ -149,7 +149,9 @@ def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every secret replaced by [SECRET] and n_chars, if there, counted anew; null texts stay null."""
-    out = docs.mapInArrow(_redact_batches, docs.schema)
+    names = [x if x == "text" else f"_{k}" for k, x in enumerate(docs.columns)]
+    renamed = docs.toDF(*names)
+    out = renamed.mapInArrow(_redact_batches, renamed.schema).toDF(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
