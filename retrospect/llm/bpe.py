@@ -1,11 +1,16 @@
-"""Byte-level BPE as Spark expressions: ranked merges are folded over the bytes of each word."""
+"""Byte-level BPE: Spark's higher-order functions fold ranked merges over the bytes of distinct words."""
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
+from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,74 +21,37 @@ from .common import documents, text_or_empty
 SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s+(?!\S)", f"[{SPACE}]+(?![^{SPACE}])").replace(r"\s+", f"[{SPACE}]+")
 
-#: Words whose ids are looked up instead of folded again and again, the most frequent ones of at most SAMPLE documents.
-#: They save time alone: any other word is folded where it stands, so the result doesn't depend on them.
-WORDS = 1 << 18
-SAMPLE = 20_000
-NONE = 1 << 30
+#: Distinct words that a task remembers; then it forgets them and goes on, so its memory stays bounded.
+REMEMBERED = 500_000
+#: The most frequent words of about SAMPLE documents are folded beforehand, WORDS at most, and sent to every task. They save
+#: folding them in each task; any other word is folded where it is met, so the result doesn't depend on them.
+WORDS, SAMPLE = 200_000, 20_000
+GUARD = "\u0100"
 LATIN = "ISO-8859-1"
 
 
-def read_ranks(path: str) -> dict[str, int]:
-    """Rank by token. A token's bytes are written as the characters U+0000 to U+00FF, so it is a string to Spark."""
+def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
-        return {base64.b64decode(token).decode(LATIN): int(rank) for token, rank in map(bytes.split, lines)}
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def literal(values: list, kind: str) -> Column:
-    """A literal array: one JSON string that the optimizer turns into a constant."""
-    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+class RankMap:
+    """The ranks as one literal: an array of small maps, found by the key's hash, since Spark searches a map from end to end.
 
-
-class Table:
-    """A literal map with look-ups in constant time (Spark's own maps are searched from end to end).
-
-    Keys with one value of xxhash64 modulo the number of rows share a displacement, which sends each to a slot of its own.
+    Bytes are written as the characters U+0000 to U+00FF, so tokens are strings to Spark.
     """
 
-    def __init__(self, entries: dict[str, object], kind: str):
-        self.kind, n = kind, max(1, len(entries))
-        self.slots = 1 << (n + n // 4).bit_length()
-        self.rows = 1 << max(1, (n // 3).bit_length())
-        for self.shift in range(20, 44):
-            if self._fill(entries):
-                return
-        raise ValueError("no displacement found")
-
-    def _fill(self, entries: dict[str, object]) -> bool:
-        rows: dict[int, list[tuple[int, str]]] = {}
-        for key in entries:
-            h = xxhash.xxh64_intdigest(key.encode(), 42)
-            rows.setdefault(h & (self.rows - 1), []).append((h >> self.shift & (self.slots - 1), key))
-        self.keys: list = [None] * self.slots
-        self.values: list = [None] * self.slots
-        self.moves, taken, start = [0] * self.rows, bytearray(self.slots), 0
-        for row, members in sorted(rows.items(), key=lambda x: -len(x[1])):
-            places = [place for place, _ in members]
-            if len(set(places)) < len(places):
-                return False
-            if len(members) == 1:  # a lone key takes any free slot
-                start = taken.find(0, start)
-                move = places[0] ^ start
-            else:
-                move = next((m for m in range(self.slots) if not any(taken[p ^ m] for p in places)), None)
-                if move is None:
-                    return False
-            self.moves[row] = move
-            for place, key in members:
-                taken[place ^ move] = 1
-                self.keys[place ^ move], self.values[place ^ move] = key, entries[key]
-        return True
-
-    def columns(self) -> tuple[Column, Column, Column]:
-        return literal(self.moves, "int"), literal(self.keys, "string"), literal(self.values, self.kind)
-
-    def find(self, key: Column, otherwise: Column) -> Column:
-        moves, keys, values = self.columns()
-        h = F.xxhash64(key)
-        place = F.shiftrightunsigned(h, self.shift).bitwiseAND(F.lit(self.slots - 1)).cast("int")
-        slot = place.bitwiseXOR(F.get(moves, h.bitwiseAND(F.lit(self.rows - 1)).cast("int")))
-        return bind(slot, lambda s: F.when(F.get(keys, s) == key, F.get(values, s)).otherwise(otherwise))
+    def __init__(self, ranks: dict[bytes, int]):
+        self.mask = (1 << len(ranks).bit_length()) - 1
+        buckets: list[dict[str, int]] = [{} for _ in range(self.mask + 1)]
+        for token, rank in ranks.items():
+            key = token.decode(LATIN)
+            buckets[xxhash.xxh64_intdigest(key.encode(), 42) & self.mask][key] = rank
+        self.literal = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+
+    def rank(self, table: Column, token: Column) -> Column:
+        """Null if the token has none. table is `literal`, bound."""
+        return F.element_at(F.get(table, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int")), token)
 
 
 def bind(value: Column, use) -> Column:
@@ -91,74 +59,208 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def fold(word: Column, ranks: Table) -> Column:
-    """The tokens of a word, as latin-1 strings: the adjacent pair of least rank is merged, from the left, until no pair has one."""
+def fold(latin: Column, ranks: RankMap, table: Column) -> Column:
+    """The tokens of a word of two bytes or more: the adjacent pair of least rank is merged, from the left, until no pair has one.
 
-    def rank(pair: Column) -> Column:
-        return ranks.find(pair, F.lit(NONE))
+    The state has a guard at either end, so each pair has neighbours; a pair without a rank has null, which no minimum is.
+    The arrays keep their length: what a merge frees at the end becomes null. (Spark joins and slices arrays much more slowly.)
+    """
+
+    def rank(token: Column) -> Column:
+        return ranks.rank(table, token)
 
     def merged(state: Column, at: Column) -> Column:
         """The pair at `at` (from 1) becomes one token; only the ranks on either side of it change."""
         tokens, known = state["tokens"], state["known"]
-        n = F.size(tokens)
-        token = F.concat(F.get(tokens, at - 1), F.get(tokens, at))
-        before = F.when(at > 1, F.array(rank(F.concat(F.get(tokens, at - 2), token)))).otherwise(F.array().cast("array<int>"))
-        after = F.when(at + 1 < n, F.array(rank(F.concat(token, F.get(tokens, at + 1))))).otherwise(F.array().cast("array<int>"))
-        return F.struct(
-            F.concat(F.slice(tokens, F.lit(1), at - 1), F.array(token), F.slice(tokens, at + 2, n)).alias("tokens"),
-            F.concat(F.slice(known, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(known, at + 2, n)).alias("known"),
-        )
+
+        def put(token: Column) -> Column:
+            def tokens_after(x: Column, i: Column) -> Column:
+                return F.when(i < at - 1, x).when(i >= at, F.get(tokens, i + 1)).otherwise(token)
+
+            def known_after(x: Column, i: Column) -> Column:
+                return F.when(i < at - 2, x).when(i >= at, F.get(known, i + 1)).when(i == at - 1, rank(F.concat(token, F.get(tokens, at + 1)))).otherwise(rank(F.concat(F.get(tokens, at - 2), token)))
+
+            return F.struct(F.transform(tokens, tokens_after).alias("tokens"), F.transform(known, known_after).alias("known"))
+
+        return bind(F.concat(F.get(tokens, at - 1), F.get(tokens, at)), put)
 
     def step(state: Column, _: Column) -> Column:
-        least = F.array_min(state["known"])
-        return F.when(least < NONE, bind(F.array_position(state["known"], least).cast("int"), lambda at: merged(state, at))).otherwise(state)
+        return bind(F.array_min(state["known"]), lambda least: F.when(least.isNotNull(), bind(F.array_position(state["known"], least).cast("int"), lambda at: merged(state, at))).otherwise(state))
+
+    guarded = F.concat(F.lit(GUARD), latin, F.lit(GUARD))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(latin) + 1), lambda i: rank(F.substr(guarded, i, F.lit(2))))
+    start = F.struct(F.split(guarded, "").alias("tokens"), pairs.alias("known"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(latin) - 1), start, step, lambda state: F.filter(state["tokens"], lambda token: token != GUARD))
+
+
+def word_ids(word: Column, ranks: RankMap) -> Column:
+    """The ids of a word, which may be a token as it is."""
 
-    def start(latin: Column) -> Column:
-        first = F.split(latin, "")
-        pairs = F.transform(F.sequence(F.lit(1), F.length(latin) - 1), lambda i: rank(F.substr(latin, i, F.lit(2))))
-        return F.struct(first.alias("tokens"), pairs.alias("known"))
+    def of(table: Column, latin: Column) -> Column:
+        whole = ranks.rank(table, latin)
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(fold(latin, ranks, table), lambda token: ranks.rank(table, token)))
 
-    latin = F.decode(F.encode(word, "UTF-8"), LATIN)
-    folded = bind(latin, lambda x: F.aggregate(F.sequence(F.lit(1), F.length(x) - 1), start(x), step, lambda s: s["tokens"]))
-    return F.when(F.octet_length(word) > 1, folded).otherwise(F.array(latin))
+    return bind(ranks.literal, lambda table: bind(F.decode(F.encode(word, "UTF-8"), LATIN), lambda latin: of(table, latin)))
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-def ids_text(word: Column, ranks: Table) -> Column:
-    """The ids of a word, in decimal, joined by spaces."""
-    return F.array_join(F.transform(fold(word, ranks), lambda token: ranks.find(token, F.lit(None).cast("int")).cast("string")), " ")
+# --- distinct words of a task -----------------------------------------------------------------------
+# A row is either a word that the task hasn't met (in order), or a document as the numbers of its words.
+
+
+class KnownWords:
+    """Frequent words, numbered from 0, and their ids one after another."""
+
+    def __init__(self, rows: list[tuple[str, list[int]]]):
+        self.words = [w for w, _ in rows]
+        self.lengths = np.fromiter((len(ids) for _, ids in rows), np.int64, len(rows))
+        self.flat = np.fromiter((x for _, ids in rows for x in ids), np.int32, int(self.lengths.sum()))
+
+
+def _number_batches(known: KnownWords):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[str, int] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            forget = len(numbers) > REMEMBERED + len(known.words)
+            if forget or not numbers:
+                numbers = dict(zip(known.words, range(len(known.words)), strict=True))
+            yield from _number(batch, numbers, forget)
+
+    return run
+
+
+def _number(batch: pa.RecordBatch, numbers: dict[str, int], forget: bool) -> Iterator[pa.RecordBatch]:
+    """The batch's words that numbers lacks, and its documents; both as one batch of rows."""
+    lists = batch.column("words")
+    coded = lists.flatten().dictionary_encode()
+    found = coded.dictionary.to_pylist()
+    there = len(numbers)
+    own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.int32, len(found))
+    new = [w for w, k in zip(found, own.tolist(), strict=True) if k >= there]
+    refs = own[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int32)
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    n, m = len(new) + forget, batch.num_rows
+    first = [*[None] * forget, *new]
+    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array([forget and k == 0 for k in range(n)], pa.bool_()), pa.array(first, pa.string()), pa.nulls(n, pa.list_(pa.int32()))], ["doc_id", "forget", "word", "refs"])
+    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([False] * m, pa.bool_()), pa.nulls(m, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(refs))], ["doc_id", "forget", "word", "refs"])
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, refs: np.ndarray) -> np.ndarray:
+    """flat[start : start + length] of each ref, one after another."""
+    n = lengths[refs]
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts[refs] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _document_ids(batches: Iterator[pa.RecordBatch], known: KnownWords) -> Iterator[tuple[pa.Array, Iterator[np.ndarray]]]:
+    """doc_ids and their token ids, batch by batch; ids are made one document at a time."""
+    flat, lengths = known.flat, known.lengths
+    starts = np.cumsum(lengths) - lengths
+    for batch in batches:
+        kinds = np.array(batch.column("refs").is_null())
+        ids, refs, forget = batch.column("ids"), batch.column("refs"), batch.column("forget").to_pylist()
+        bounds = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), len(kinds)]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if a == b:
+                continue
+            if kinds[a]:  # words
+                if forget[a]:
+                    flat, lengths, a = known.flat, known.lengths, a + 1
+                part = ids.slice(a, b - a)
+                flat = np.concatenate([flat, part.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
+                lengths = np.concatenate([lengths, pc.list_value_length(part).to_numpy(zero_copy_only=False).astype(np.int64)])
+                starts = np.cumsum(lengths) - lengths
+            else:
+                part = refs.slice(a, b - a)
+                values = part.flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum(pc.list_value_length(part).to_numpy(zero_copy_only=False))
+                yield batch.column("doc_id").slice(a, b - a), (_gather(flat, starts, lengths, x) if len(x) else np.zeros(0, np.int32) for x in np.split(values, ends[:-1]))
+
+
+def _id_batches(known: KnownWords):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, tokens in _document_ids(batches, known):
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(list(tokens), pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    return run
 
 
-def frequent_words(docs: DataFrame, ranks: Table, n: int = WORDS, sample: int = SAMPLE) -> dict[str, str]:
-    """Ids of the most frequent words of at most about `sample` documents: n rows at most come to the driver."""
+def decoded(ids: list[int], pieces: list[bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, ids))
+
+
+def read_pieces(path: str) -> list[bytes]:
+    return [token for token, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])]
+
+
+def _digest_batches(path: str, known: KnownWords):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = read_pieces(path)
+        for doc_ids, tokens in _document_ids(batches, known):
+            counts, ids, texts = [], [], []
+            for x in tokens:
+                own = x.tolist()
+                counts.append(len(own))
+                ids.append(hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest())
+                texts.append(hashlib.sha256(decoded(own, pieces)).hexdigest())
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
+
+
+def frequent_words(docs: DataFrame, ranks: RankMap, n: int = WORDS, sample: int = SAMPLE) -> KnownWords:
     share = min(1.0, sample / max(1, docs.count()))
     counted = docs.sample(share, seed=7).select(F.explode(words(text_or_empty())).alias("word")).groupBy("word").count()
-    top = counted.orderBy(F.desc("count"), "word").limit(n)
-    return {r["word"]: r["ids"] for r in top.select("word", ids_text(F.col("word"), ranks).alias("ids")).collect()}
+    top = counted.filter("count > 1").orderBy(F.desc("count"), "word").limit(n)
+    return KnownWords([(r["word"], r["ids"]) for r in top.select("word", word_ids(F.col("word"), ranks).alias("ids")).collect()])
+
+
+def _coded(docs: DataFrame, path: str) -> tuple[DataFrame, KnownWords]:
+    """Word rows with their ids and document rows, in the order in which tasks made them; nothing is shuffled."""
+    ranks = RankMap(read_ranks(path))
+    known = frequent_words(docs, ranks)
+    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(text_or_empty()).alias("words"))
+    numbered = split.mapInArrow(_number_batches(known), "doc_id long, forget boolean, word string, refs array<int>")
+    return numbered.select("doc_id", "forget", F.when(F.col("word").isNotNull(), word_ids(F.col("word"), ranks)).alias("ids"), "refs"), known
+
+
+def _path(path: str | None) -> str:
+    return path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids (decimal, joined by spaces) for each row of docs; a null text is empty and has no ids."""
-    ranks = Table(read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken")), "int")
-    known = Table(frequent_words(docs, ranks), "string")
-    ids = F.transform(words(text_or_empty()), lambda word: known.find(word, ids_text(word, ranks)))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_join(ids, " ").alias("ids"))
+    """doc_id, ids (array of int) for each row of docs; a null text is empty and has no ids.
+
+    Every task folds each of its distinct words once.
+    """
+    rows, known = _coded(docs, _path(path))
+    return rows.mapInArrow(_id_batches(known), "doc_id long, ids array<int>")
+
+
+def _text_batches(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = read_pieces(path)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([None if x is None else decoded(x, pieces) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "bytes"])
+
+    return run
 
 
-def decode(ids: Column, path: str | None = None) -> Column:
-    """The bytes of ids that `encode` made: the pieces of all ids, one after another."""
-    ranks = read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    pieces = literal([token for token, _ in sorted(ranks.items(), key=lambda x: x[1])], "string")
-    return F.encode(F.array_join(F.transform(ids, lambda x: F.get(pieces, x.cast("int"))), ""), LATIN)
+def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, bytes: the pieces of all ids, one after another; null ids give null."""
+    return coded.select("doc_id", "ids").mapInArrow(_text_batches(_path(path)), "doc_id long, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs."""
-    coded = encode(docs, path).withColumn("each", F.when(F.col("ids") == "", F.array().cast("array<string>")).otherwise(F.split("ids", " ")))
-    return coded.select("doc_id", F.size("each").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decode(F.col("each"), path), 256).alias("decoded_sha256"))
+    rows, known = _coded(docs, _path(path))
+    return rows.mapInArrow(_digest_batches(_path(path), known), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
