@@ -25,8 +25,11 @@ PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s+
 REMEMBERED = 500_000
 #: The most frequent words of about SAMPLE documents are folded beforehand, WORDS at most, and sent to every task. They save
 #: folding them in each task; any other word is folded where it is met, so the result doesn't depend on them.
-WORDS, SAMPLE = 200_000, 20_000
-GUARD = "\u0100"
+WORDS, SAMPLE = 300_000, 30_000
+#: Documents that a task takes at a time.
+AT_ONCE = 2_000
+#: A character beyond all bytes, and one beyond all ranks.
+GUARD, NONE = "\u0100", "\uE000"
 LATIN = "ISO-8859-1"
 
 
@@ -38,19 +41,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RankMap:
     """The ranks as one literal: an array of small maps, found by the key's hash, since Spark searches a map from end to end.
 
-    Bytes are written as the characters U+0000 to U+00FF, so tokens are strings to Spark.
+    Bytes are written as the characters U+0000 to U+00FF, so tokens are strings to Spark; rank r is the character U+0001 + r.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.mask = (1 << len(ranks).bit_length()) - 1
-        buckets: list[dict[str, int]] = [{} for _ in range(self.mask + 1)]
+        if max(ranks.values(), default=0) >= ord(NONE) - 1:
+            raise ValueError("ranks beyond the private characters")
+        buckets: list[dict[str, str]] = [{} for _ in range(self.mask + 1)]
         for token, rank in ranks.items():
             key = token.decode(LATIN)
-            buckets[xxhash.xxh64_intdigest(key.encode(), 42) & self.mask][key] = rank
-        self.literal = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+            buckets[xxhash.xxh64_intdigest(key.encode(), 42) & self.mask][key] = chr(rank + 1)
+        self.literal = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
 
-    def rank(self, table: Column, token: Column) -> Column:
-        """Null if the token has none. table is `literal`, bound."""
+    def mark(self, table: Column, token: Column) -> Column:
+        """The character of the token's rank, null if it has none. table is `literal`, bound."""
         return F.element_at(F.get(table, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int")), token)
 
 
@@ -60,45 +65,52 @@ def bind(value: Column, use) -> Column:
 
 
 def fold(latin: Column, ranks: RankMap, table: Column) -> Column:
-    """The tokens of a word of two bytes or more: the adjacent pair of least rank is merged, from the left, until no pair has one.
+    """Where the tokens of a word begin: the adjacent pair of least rank is merged, from the left, until no pair has one.
 
-    The state has a guard at either end, so each pair has neighbours; a pair without a rank has null, which no minimum is.
-    The arrays keep their length: what a merge frees at the end becomes null. (Spark joins and slices arrays much more slowly.)
+    latin has a guard at either end, which no token has, so each pair has neighbours. The state is two strings with a
+    character for each place: starts has 1 where a token begins, known the rank's character of the token that the
+    pair beginning there would make (NONE elsewhere). Strings are changed in place of arrays, which Spark copies
+    element by element.
     """
+    one, none = F.lit("1"), F.lit(NONE)
 
-    def rank(token: Column) -> Column:
-        return ranks.rank(table, token)
+    def known_of(a: Column, b: Column) -> Column:
+        return F.coalesce(ranks.mark(table, F.substr(latin, a, b - a)), none)
 
     def merged(state: Column, at: Column) -> Column:
-        """The pair at `at` (from 1) becomes one token; only the ranks on either side of it change."""
-        tokens, known = state["tokens"], state["known"]
+        """The token at `at` takes in the next one; only the pairs on either side of it change."""
+        starts, known = state["starts"], state["known"]
+        following = lambda place: F.position(one, starts, place + 1)
+        before = at - F.position(one, F.reverse(F.substr(starts, F.lit(1), at - 1)))
 
-        def put(token: Column) -> Column:
-            def tokens_after(x: Column, i: Column) -> Column:
-                return F.when(i < at - 1, x).when(i >= at, F.get(tokens, i + 1)).otherwise(token)
+        def put(gone: Column, after: Column) -> Column:
+            changed = F.overlay(F.overlay(known, none, gone, F.lit(1)), known_of(at, following(after)), at, F.lit(1))
+            changed = bind(before, lambda left: F.overlay(changed, known_of(left, after), left, F.lit(1)))
+            return F.struct(F.overlay(starts, F.lit("0"), gone, F.lit(1)).alias("starts"), changed.alias("known"))
 
-            def known_after(x: Column, i: Column) -> Column:
-                return F.when(i < at - 2, x).when(i >= at, F.get(known, i + 1)).when(i == at - 1, rank(F.concat(token, F.get(tokens, at + 1)))).otherwise(rank(F.concat(F.get(tokens, at - 2), token)))
-
-            return F.struct(F.transform(tokens, tokens_after).alias("tokens"), F.transform(known, known_after).alias("known"))
-
-        return bind(F.concat(F.get(tokens, at - 1), F.get(tokens, at)), put)
+        return bind(following(at), lambda gone: bind(following(gone), lambda after: put(gone, after)))
 
     def step(state: Column, _: Column) -> Column:
-        return bind(F.array_min(state["known"]), lambda least: F.when(least.isNotNull(), bind(F.array_position(state["known"], least).cast("int"), lambda at: merged(state, at))).otherwise(state))
+        return bind(F.array_min(F.split(state["known"], "")), lambda least: F.when(least < none, bind(F.position(least, state["known"]), lambda at: merged(state, at))).otherwise(state))
 
-    guarded = F.concat(F.lit(GUARD), latin, F.lit(GUARD))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(latin) + 1), lambda i: rank(F.substr(guarded, i, F.lit(2))))
-    start = F.struct(F.split(guarded, "").alias("tokens"), pairs.alias("known"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(latin) - 1), start, step, lambda state: F.filter(state["tokens"], lambda token: token != GUARD))
+    size = F.length(latin)
+    pairs = F.transform(F.sequence(F.lit(1), size - 1), lambda i: known_of(i, i + 2))
+    start = F.struct(F.repeat(one, size + 1).alias("starts"), F.array_join(pairs, "").alias("known"))
+    return F.aggregate(F.sequence(F.lit(1), size - 3), start, step, lambda state: state["starts"])
 
 
 def word_ids(word: Column, ranks: RankMap) -> Column:
     """The ids of a word, which may be a token as it is."""
+    number = lambda mark: F.ascii(mark) - 1
+
+    def tokens(table: Column, guarded: Column, starts: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(2), F.length(guarded) - 1), lambda i: F.substr(starts, i, F.lit(1)) == "1")
+        return F.transform(places, lambda i: number(ranks.mark(table, F.substr(guarded, i, F.position(F.lit("1"), starts, i + 1) - i))))
 
     def of(table: Column, latin: Column) -> Column:
-        whole = ranks.rank(table, latin)
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(fold(latin, ranks, table), lambda token: ranks.rank(table, token)))
+        guarded = F.concat(F.lit(GUARD), latin, F.lit(GUARD))
+        folded = bind(guarded, lambda g: bind(fold(g, ranks, table), lambda starts: tokens(table, g, starts)))
+        return bind(ranks.mark(table, latin), lambda whole: F.when(whole.isNotNull(), F.array(number(whole))).otherwise(folded))
 
     return bind(ranks.literal, lambda table: bind(F.decode(F.encode(word, "UTF-8"), LATIN), lambda latin: of(table, latin)))
 
@@ -114,22 +126,22 @@ def words(text: Column) -> Column:
 class KnownWords:
     """Frequent words, numbered from 0, and their ids one after another."""
 
-    def __init__(self, rows: list[tuple[str, list[int]]]):
-        self.words = [w for w, _ in rows]
-        self.lengths = np.fromiter((len(ids) for _, ids in rows), np.int64, len(rows))
-        self.flat = np.fromiter((x for _, ids in rows for x in ids), np.int32, int(self.lengths.sum()))
+    def __init__(self, rows: pa.Table):
+        ids = rows.column("ids").combine_chunks()
+        self.words = rows.column("word").to_pylist()
+        self.lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
 
 
 def _number_batches(known: KnownWords):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, int] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            forget = len(numbers) > REMEMBERED + len(known.words)
-            if forget or not numbers:
-                numbers = dict(zip(known.words, range(len(known.words)), strict=True))
-            yield from _number(batch, numbers, forget)
+            for k in range(0, batch.num_rows, AT_ONCE):
+                forget = len(numbers) > REMEMBERED + len(known.words)
+                if forget or not numbers:
+                    numbers = dict(zip(known.words, range(len(known.words)), strict=True))
+                yield from _number(batch.slice(k, AT_ONCE), numbers, forget)
 
     return run
 
@@ -191,24 +203,33 @@ def _id_batches(known: KnownWords):
     return run
 
 
-def decoded(ids: list[int], pieces: list[bytes]) -> bytes:
-    return b"".join(map(pieces.__getitem__, ids))
+class Pieces:
+    """Byte strings, one for each id, laid end to end."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+        self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The pieces of the ids, one after another."""
+        return _gather(self.flat, self.starts, self.lengths, ids).tobytes()
 
 
-def read_pieces(path: str) -> list[bytes]:
-    return [token for token, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])]
+def read_pieces(path: str) -> Pieces:
+    return Pieces([token for token, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])])
 
 
 def _digest_batches(path: str, known: KnownWords):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = read_pieces(path)
+        numbers = Pieces([b"%d " % k for k in range(len(pieces.lengths))])
         for doc_ids, tokens in _document_ids(batches, known):
             counts, ids, texts = [], [], []
             for x in tokens:
-                own = x.tolist()
-                counts.append(len(own))
-                ids.append(hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest())
-                texts.append(hashlib.sha256(decoded(own, pieces)).hexdigest())
+                counts.append(len(x))
+                ids.append(hashlib.sha256(numbers.joined(x)[:-1]).hexdigest())
+                texts.append(hashlib.sha256(pieces.joined(x)).hexdigest())
             yield pa.RecordBatch.from_arrays([doc_ids, pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
@@ -218,7 +239,7 @@ def frequent_words(docs: DataFrame, ranks: RankMap, n: int = WORDS, sample: int
     share = min(1.0, sample / max(1, docs.count()))
     counted = docs.sample(share, seed=7).select(F.explode(words(text_or_empty())).alias("word")).groupBy("word").count()
     top = counted.filter("count > 1").orderBy(F.desc("count"), "word").limit(n)
-    return KnownWords([(r["word"], r["ids"]) for r in top.select("word", word_ids(F.col("word"), ranks).alias("ids")).collect()])
+    return KnownWords(top.select("word", word_ids(F.col("word"), ranks).alias("ids")).toArrow())
 
 
 def _coded(docs: DataFrame, path: str) -> tuple[DataFrame, KnownWords]:
@@ -247,7 +268,7 @@ def _text_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = read_pieces(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([None if x is None else decoded(x, pieces) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "bytes"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([None if x is None else pieces.joined(np.array(x, np.int64)) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "bytes"])
 
     return run
 
