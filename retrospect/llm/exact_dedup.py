@@ -79,6 +79,7 @@ def _different(docs: DataFrame, members: DataFrame) -> DataFrame:
     A large group meets several copies of its first text, so no task holds a whole group.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(members, "doc_id").filter(F.octet_length("text") == F.col("n_bytes"))
+    own = materialise(own, "members")  # the texts of all documents are shuffled once, those of groups are kept
     first = own.filter("doc_id = first").dropDuplicates(["print", "n_bytes"]).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     rest = own.filter("doc_id != first").withColumn("_copy", F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int"))
     left = _chunks(rest.select("doc_id", "print", "n_bytes", "_copy", "text"))
