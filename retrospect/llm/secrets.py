@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice, takewhile
 
 import pyarrow as pa
 import zstandard
@@ -20,8 +21,8 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 KINDS = ("assign", "access", "hex", "novel")
-#: A candidate of the novelty measure: a run of key characters that holds a digit.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: Candidates of the novelty measure: a run of key characters that holds a digit, or a value after an inner `=` of it.
+CANDIDATE, VALUE, CANDIDATE_LEAST = r"[A-Za-z0-9+/_=-]{16,}", r"[^=]+(?:=+$)?", 16
 #: What makes its surroundings sensitive, in the characters just before it.
 SENSITIVE = r"(?i)secret|token|passw|passphrase|credential|api.?key|access.?key|private.?key|auth|bearer|signature|session"
 BEFORE = 48
@@ -56,7 +57,7 @@ class Scanner:
     def __init__(self, identifiers=tuple(IDENTIFIERS), least_novelty: float = LEAST_NOVELTY):
         self.assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
         self.access, self.hex = re.compile(ACCESS), re.compile(HEX)
-        self.candidate, self.sensitive = re.compile(CANDIDATE), re.compile(SENSITIVE, re.ASCII)
+        self.candidate, self.value, self.sensitive = re.compile(CANDIDATE), re.compile(VALUE), re.compile(SENSITIVE, re.ASCII)
         self.identifiers, self.least_novelty = " ".join(identifiers).encode(), least_novelty
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
@@ -76,20 +77,35 @@ class Scanner:
         marker = b"=\n"  # both inputs pay for the frame
         return (len(compress(marker + text[start:end].encode())) - len(compress(marker))) / (end - start)
 
+    def candidates(self, run: str) -> list[tuple[int, int]]:
+        """The values of a run, which `=` parts from their names; padding belongs to the last one."""
+        return [m.span() for m in self.value.finditer(run) if m.end() - m.start() >= CANDIDATE_LEAST]
+
     def novel(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Candidates in a sensitive context that overlap no base span and don't compress."""
+        """Candidates in a sensitive context that overlap no base span and don't compress.
+
+        A name before `=` counts as context of its value. A run none of whose values is found is a candidate itself.
+        """
         found, k = [], 0
         for m in self.candidate.finditer(text):
-            start, end = m.span()
-            while k < len(base) and base[k][2] <= start:
-                k += 1
-            covered = any(s < end and start < e for s, _, e in base[max(0, k - 8) : k + 8])
-            if covered or not any(c.isdigit() for c in m[0]) or not self.sensitive.search(text, max(0, start - BEFORE), start):
+            first, last = m.span()
+            if not any(c.isdigit() for c in m[0]):
                 continue
-            if self.novelty(text, start, end) >= self.least_novelty:
-                found.append((start, 3, end))
+            while k < len(base) and base[k][2] <= first:
+                k += 1
+            near = list(takewhile(lambda b: b[0] < last, islice(base, k, None)))
+            values = [(first + start, first + end) for start, end in self.candidates(m[0])]
+            finds = [span for span in values if self.is_novel(text, *span, near)]
+            if not finds and (first, last) not in values and self.is_novel(text, first, last, near):
+                finds = [(first, last)]
+            found += [(start, 3, end) for start, end in finds]
         return found
 
+    def is_novel(self, text: str, start: int, end: int, near: list[tuple[int, int, int]]) -> bool:
+        if any(s < end and start < e for s, _, e in near) or not any(c.isdigit() for c in text[start:end]):
+            return False
+        return bool(self.sensitive.search(text, max(0, start - BEFORE), start)) and self.novelty(text, start, end) >= self.least_novelty
+
     def scan(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         base = self.base(text)
         return base, sorted(base + self.novel(text, base))

@@ -254,6 +254,26 @@ def test_novelty_adds_incompressible_strings_in_context():
     assert s.scan(f"secret: {key}")[1] == s.scan(f"secret: {key}")[0]
 
 
+@pytest.mark.parametrize("name", ["AWS_SECRET_ACCESS_KEY", "secret_key", "credential", "/path?x=1&signature", "export session_key"])
+def test_novelty_of_values_after_a_name(name):
+    s = secrets.Scanner()
+    for key in ("wJalrXUtnFEMI7K9MDENGbPxRfiCYzEXAMPL3KEYq", "q7Zr2mX9vB4tK1wY8nD5=="):
+        text = f"# settings\n{name}={key}\nend"
+        at = text.index(key)
+        assert s.scan(text)[1] == [(at, 3, at + len(key))], text
+        assert secrets.redacted(text, s.scan(text)[1]) == f"# settings\n{name}=[SECRET]\nend"
+
+
+def test_novelty_of_several_values_and_short_ones():
+    s = secrets.Scanner()
+    one, two = "q7Zr2mX9vB4tK1wY8nD5", "Hs83kPz0Qw5LxV6cJt2M"
+    text = f"session_a={one}=session_b={two}"
+    assert [text[b:e] for b, _, e in s.scan(text)[1]] == [one, two]
+    text = "auth user=k3J9hQ5xR7mZ"
+    assert [text[b:e] for b, _, e in s.scan(text)[1]] == ["user=k3J9hQ5xR7mZ"]
+    assert s.scan("garden_key_name=q7Zr2mX9vB4tK1wY8nD5")[1] == []
+
+
 def test_redact(docs):
     out = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
     assert out[9]["text"] == '[SECRET]" and [SECRET]' and out[9]["n_chars"] == len(out[9]["text"])
