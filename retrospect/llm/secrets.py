@@ -71,8 +71,15 @@ class Scanner:
         return sorted(found)
 
     def novelty(self, text: str, start: int, end: int) -> float:
-        """Bytes that the candidate adds to its compressed surroundings, for each of its characters."""
-        seen = zstandard.ZstdCompressionDict(self.identifiers + b" " + text[max(0, start - AROUND) : start].encode() + b" " + text[end : end + AROUND].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        """Bytes that the candidate adds to its compressed surroundings, for each of its characters.
+
+        Other copies of the candidate are blank there, or each would make the others compressible.
+        """
+        core = text[start:end].strip("=")
+        blank, reach = " " * len(core), AROUND + len(core)  # so far that no copy is cut before it is blank
+        before = text[max(0, start - reach) : start].replace(core, blank)[-AROUND:]
+        after = text[end : end + reach].replace(core, blank)[:AROUND]
+        seen = zstandard.ZstdCompressionDict(self.identifiers + b" " + before.encode() + b" " + after.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         compress = zstandard.ZstdCompressor(level=9, dict_data=seen, write_content_size=False, write_dict_id=False).compress
         marker = b"=\n"  # both inputs pay for the frame
         return (len(compress(marker + text[start:end].encode())) - len(compress(marker))) / (end - start)

@@ -274,6 +274,21 @@ def test_novelty_of_several_values_and_short_ones():
     assert s.scan("garden_key_name=q7Zr2mX9vB4tK1wY8nD5")[1] == []
 
 
+@pytest.mark.parametrize("length", [16, 20, 32, 40, 1500])
+def test_novelty_of_repeated_values(length):
+    s = secrets.Scanner()
+    key = "".join(np.random.default_rng(length).choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), length))
+    gaps = ["\n", "\nGET /index\n", " " + prose(4, 40) + "\n", " " * (secrets.AROUND - length // 2 - 7)]
+    for gap in gaps:
+        text = f"bearer {key}{gap}bearer {key}{gap}bearer {key}=\n"
+        assert [text[b:e].rstrip("=") for b, _, e in s.scan(text)[1]] == [key] * 3, gap
+        assert key not in secrets.redacted(text, s.scan(text)[1])
+    text = f"credential = {key}\n{prose(5, 20)}\nconnect('{key}')"
+    assert s.scan(text)[1] == [(13, 3, 13 + length)]
+    words = "bearer your_api_key_here_0123456789abcdef\n" * 3
+    assert s.scan(words)[1] == []
+
+
 def test_redact(docs):
     out = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
     assert out[9]["text"] == '[SECRET]" and [SECRET]' and out[9]["n_chars"] == len(out[9]["text"])
