@@ -1,10 +1,12 @@
-"""Licence scans: a paragraph classifier on word n-grams, whose finds are compared with templates."""
+"""Licence scans: a classifier on word n-grams for lines and windows of lines, whose finds are compared with templates."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -57,9 +59,11 @@ TEMPLATES = {
     ],
 }
 NONE, UNKNOWN = "none", "unknown"
-#: Paragraphs of the corpus that stand for the class `none`, at most; the rows they come from are those of least hash.
+#: Lines and windows of the corpus that stand for the class `none`, at most; the rows they come from are those of least hash.
 NEGATIVES = 5_000
 NEGATIVE_ROWS = 500
+#: Lines of such a row and characters of a line that are learned from, and lines of a window. Scans have no such bounds.
+NEGATIVE_LINES, NEGATIVE_CHARS, NEGATIVE_WINDOW = 50, 2_000, 3
 EPOCHS, RATE, RIDGE = 300, 1.0, 1e-4
 #: A paragraph with a probability below this for every family, but likelier a licence than not, is `unknown`.
 SURE = 0.6
@@ -67,6 +71,8 @@ SURE = 0.6
 SHINGLE, SIMILAR = 5, 0.8
 
 _WORD = re.compile(r"\w+")
+#: Comment marks that are words; other marks are none.
+_COMMENT = re.compile(r"\s*(?:rem|dnl)\b", re.IGNORECASE)
 
 
 def words(text: str) -> list[str]:
@@ -113,6 +119,63 @@ class Classifier:
         z = np.exp(z - z.max())
         return z / z.sum()
 
+    @cached_property
+    def single(self) -> set[str]:
+        return {g for g in self.vocabulary if isinstance(g, str)}
+
+    @cached_property
+    def longest(self) -> int:
+        """Words of the longest template."""
+        return max(len(words(t)) for some in TEMPLATES.values() for t in some)
+
+    @cached_property
+    def index(self) -> dict[int, tuple[set[str], dict]]:
+        """By the size of shingles: their first words, and the templates of each shingle."""
+        out: dict = {}
+        for k, (_, template) in enumerate(self.templates):
+            for shingle in template:
+                first, by = out.setdefault(len(shingle), (set(), {}))
+                first.add(shingle[0])
+                by.setdefault(shingle, []).append(k)
+        return out
+
+    def judged(self, found: list[str]) -> tuple[str, float, float]:
+        """(family, probability, confirmation): `none`, a confirmed family, or else `unknown`."""
+        p = self.probabilities(found)
+        if p[0] >= 0.5:
+            return NONE, 0.0, 0.0
+        best = int(p[1:].argmax()) + 1
+        near = self.confirmed(found, self.classes[best])
+        return (UNKNOWN if p[best] < SURE or near < SIMILAR else self.classes[best]), float(p[best]), near
+
+    def statements(self, found: list[str]) -> list[tuple[int, int]]:
+        """(first, last) words of the runs that hold enough of a template's shingles, wherever they are in a paragraph."""
+        hits = defaultdict(list)
+        for size, (first, by) in self.index.items():
+            for at in range(len(found) - size + 1):
+                if found[at] in first:
+                    shingle = tuple(found[at : at + size])
+                    for k in by.get(shingle, ()):
+                        hits[k].append((at, shingle))
+        out = []
+        for k, some in hits.items():
+            total, size = len(self.templates[k][1]), len(some[0][1])
+            seen: Counter = Counter()
+            left = at = 0
+            while at < len(some):
+                seen[some[at][1]] += 1
+                if len(seen) / total >= SIMILAR:
+                    while at + 1 < len(some) and some[at + 1][1] not in seen and some[at + 1][0] - some[at][0] <= 2 * size:
+                        at += 1
+                        seen[some[at][1]] += 1
+                    while seen[some[left][1]] > 1:
+                        seen[some[left][1]] -= 1
+                        left += 1
+                    out.append((some[left][0], some[at][0] + size - 1))
+                    seen, left = Counter(), at + 1
+                at += 1
+        return out
+
     def confirmed(self, found: list[str], family: str) -> float:
         """The largest share of a template's shingles that the paragraph has."""
         return max((overlap(found, t) for name, t in self.templates if name == family), default=0.0)
@@ -155,23 +218,72 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
+def _may_be(found: list[str], model: Classifier, single: set[str]) -> bool:
+    """Words that know no two adjacent words of any template have no n-gram beyond single words."""
+    return sum(w in single for w in found) >= 2 and any(pair in model.vocabulary for pair in zip(found, found[1:]))
+
+
+def _paragraph(lines: list[list[str]], model: Classifier, single: set[str]) -> list[tuple[int, int, str, float, float]]:
+    """(first line, last line, family, probability, confirmation) of a paragraph, given the words of its lines."""
+    every = [w for line in lines for w in line]
+    if not _may_be(every, model, single):
+        return []
+    owner = [k for k, line in enumerate(lines) for _ in line]
+    joined = lambda i, j: [w for line in lines[i : j + 1] for w in line]
+    sure: list = []
+    for a, b in sorted(model.statements(every)):
+        i, j = owner[a], owner[b]
+        family, p, near = model.judged(joined(i, j))
+        if family in (NONE, UNKNOWN):
+            family, p, near = model.judged(every[a : b + 1])
+        if family in (NONE, UNKNOWN):
+            continue
+        same = next((k for k in range(len(sure)) if sure[k][2] == family and sure[k][0] <= j and i <= sure[k][1]), None)
+        if same is None:
+            sure.append((i, j, family, p, near))
+        else:
+            s = sure[same]
+            sure[same] = (min(i, s[0]), max(j, s[1]), family, max(p, s[3]), max(near, s[4]))
+    taken = {k for i, j, *_ in sure for k in range(i, j + 1)}
+    alone = []
+    for k, line in enumerate(lines):
+        if k not in taken and _may_be(line, model, single) and (found := model.judged(line))[0] != NONE:
+            if alone and alone[-1][1] == k - 1 and alone[-1][2] == found[0] == UNKNOWN:
+                alone[-1] = (alone[-1][0], k, UNKNOWN, max(alone[-1][3], found[1]), max(alone[-1][4], found[2]))
+            else:
+                alone.append((k, k, *found))
+    taken |= {k for i, j, *_ in alone for k in range(i, j + 1)}
+    i = 0
+    while i < len(lines):
+        j, n = i, len(lines[i])
+        while i not in taken and j + 1 < len(lines) and j + 1 not in taken and n + len(lines[j + 1]) <= model.longest:
+            j += 1
+            n += len(lines[j])
+        if j > i and _may_be(window := joined(i, j), model, single) and (found := model.judged(window))[0] != NONE:
+            alone.append((i, j, *found))
+            i = j
+        i += 1
+    return sorted(sure + alone)
+
+
 def scan(text: str, model: Classifier, single: set[str]) -> tuple[int, list[tuple[int, int, str, float, float]]]:
-    """How many paragraphs there are, and (start, end, family, probability, confirmation) of those that aren't `none`.
+    """How many paragraphs there are, and (start, end, family, probability, confirmation) of their lines that aren't `none`.
 
-    A paragraph is a line with a word in it. One that knows no two adjacent words of any template has no n-gram beyond single words.
+    A paragraph is a run of lines with a word in them; comment marks aren't words. Its statements are the windows of lines
+    that hold enough of a template; of the other lines, single ones and windows as long as a template can be `unknown`.
     """
     n, found, at = 0, [], 0
-    for line in text.split("\n"):
-        mine = words(line)
-        n += bool(mine)
-        if mine and sum(w in single for w in mine) >= 2 and any(pair in model.vocabulary for pair in zip(mine, mine[1:])):
-            p = model.probabilities(mine)
-            if p[0] < 0.5:
-                best = int(p[1:].argmax()) + 1
-                family, near = model.classes[best], model.confirmed(mine, model.classes[best])
-                if p[best] < SURE or near < SIMILAR:
-                    family = UNKNOWN
-                found.append((at, at + len(line), family, float(p[best]), near))
+    spans: list[tuple[int, int]] = []
+    lines: list[list[str]] = []
+    for line in [*text.split("\n"), ""]:
+        mark = _COMMENT.match(line)
+        if mine := words(line[mark.end() :] if mark else line):
+            spans.append((at, at + len(line)))
+            lines.append(mine)
+        elif lines:
+            n += 1
+            found += [(spans[i][0], spans[j][1], *rest) for i, j, *rest in _paragraph(lines, model, single)]
+            spans, lines = [], []
         at += len(line) + 1
     return n, found
 
@@ -181,11 +293,10 @@ SCHEMA = "doc_id long, n_paragraphs long, n_licences long, family string, score
 
 def _scan_batches(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single = {g for g in model.vocabulary if isinstance(g, str)}
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for text in batch.column("text"):
-                n, found = scan(text.as_py(), model, single)
+                n, found = scan(text.as_py(), model, model.single)
                 best = max(found, key=lambda x: (x[2] != UNKNOWN, x[3], -x[0]), default=(0, 0, NONE, 0.0, 0.0))
                 for column, value in zip(rows, (n, sum(x[2] != UNKNOWN for x in found), best[2], best[3], ",".join(f"{x[2]}:{x[0]}:{x[1]}" for x in found)), strict=True):
                     column.append(value)
@@ -195,16 +306,18 @@ def _scan_batches(model: Classifier):
     return run
 
 
-def licences(docs: DataFrame, negatives: int = NEGATIVES, rows: int = NEGATIVE_ROWS) -> DataFrame:
+def licences(docs: DataFrame, negatives: int = NEGATIVES, rows: int = NEGATIVE_ROWS, lines: int = NEGATIVE_LINES, chars: int = NEGATIVE_CHARS) -> DataFrame:
     """doc_id, n_paragraphs, n_licences, family, score, spans for each row of docs; a null text is empty.
 
-    spans joins family:start:end of licence paragraphs in order (code points, end exclusive); family is that of the
+    spans joins family:start:end of licence statements, which are whole lines, in order (code points, end exclusive); family is that of the
     surest confirmed one, `unknown` if only unconfirmed ones are there, else `none` with score 0.
     """
-    some = docs.select(F.xxhash64("doc_id").alias("h"), text_or_empty().alias("text")).select("h", F.explode(F.slice(F.split("text", "\n"), 1, 50)).alias("line"))
+    first = F.transform(F.slice(F.split("text", "\n"), 1, lines), lambda x: F.substring(x, 1, chars))
+    windows = F.transform("lines", lambda _, k: F.array_join(F.slice("lines", k + 1, NEGATIVE_WINDOW), "\n"))
+    some = docs.select(F.xxhash64("doc_id").alias("h"), text_or_empty().alias("text")).select("h", first.alias("lines"))
     picked = docs.select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(rows)
-    lines = some.join(F.broadcast(picked), "h").select(F.xxhash64("line").alias("k"), F.substring("line", 1, 2000).alias("line")).distinct().orderBy("k", "line").limit(negatives)
-    model = fit([r["line"] for r in lines.select("line").collect()])
+    learned = some.join(F.broadcast(picked), "h").select(F.explode(F.concat("lines", windows)).alias("line")).select(F.xxhash64("line").alias("k"), "line").distinct().orderBy("k", "line").limit(negatives)
+    model = fit([r["line"] for r in learned.select("line").collect()])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_scan_batches(model), SCHEMA)
 
 

@@ -413,6 +413,46 @@ def test_licences(docs):
     assert got[2]["n_paragraphs"] == 0
 
 
+MIT = """The garden tool
+Copyright (c) 2020 the authors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "REM ", "dnl "])
+@pytest.mark.parametrize(("family", "notice", "at"), [("mit", MIT, 3), ("gpl-3.0", GPL, 0), ("bsd", BSD, 0)])
+def test_wrapped_licences(family, notice, at, mark):
+    model = licences.fit([prose(k, 20) for k in range(200)])
+    block = "\n".join(mark + line for line in notice.split("\n"))
+    for before, after in (("", ""), (prose(6, 60).replace(". ", ".\n") + "\n", "\n" + prose(7, 30)), ("x = 1\n\n", "\n\ny = 2")):
+        text = before + block + after
+        found = [(start, end) for start, end, got, _, _ in licences.scan(text, model, model.single)[1] if got != licences.UNKNOWN]
+        assert [x[2] for x in licences.scan(text, model, model.single)[1] if x[2] != licences.UNKNOWN] == [family], text
+        start = len(before) + sum(len(mark + line) + 1 for line in notice.split("\n")[:at])
+        assert found[0][0] == start and found[0][1] <= len(before + block)
+
+
+def test_wrapped_licences_twice_and_narrow():
+    model = licences.fit([prose(k, 20) for k in range(200)])
+    found = licences.scan(f"{BSD}\n{GPL}\n{BSD}", model, model.single)[1]
+    assert [x[2] for x in found if x[2] != licences.UNKNOWN] == ["bsd", "gpl-3.0", "bsd"]
+    for statement in (t for some in licences.TEMPLATES.values() for t in some):
+        narrow = re.sub(r"((?:\S+ ){2}\S+) ", r"\1\n", statement)
+        assert [x[2] for x in licences.scan(narrow, model, model.single)[1]] == [x[2] for x in licences.scan(statement, model, model.single)[1]], narrow
+    assert licences.scan("one\ntwo\n\n *\nthree", model, model.single)[0] == 2
+
+
 def test_licence_variants():
     model = licences.fit([prose(k, 20) for k in range(200)])
     single = {g for g in model.vocabulary if isinstance(g, str)}
