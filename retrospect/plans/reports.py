@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import anonymize
@@ -297,13 +297,19 @@ def _scrub(text: str) -> str:
 BADGE_SCRUB = f"SELECT doc_id, md5({_scrub('lower(text)')}) AS scrubbed, len(string_split({_scrub('text')}, '{anonymize.BADGE}'))::INT AS parts FROM documents"
 
 
+#: Words of a bucket, on average, that are dealt to people.
+BUCKET = 48
+
+
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """People named by words of the documents: the commonest longer ones, three to a person."""
-    w = table(spark, sf_dir, "documents").select(F.explode(F.split(anonymize.normalize_name(F.col("text")), " ")).alias("w")).filter("length(w) > 5").groupBy("w").count()
-    top = w.orderBy(F.desc("count"), "w").limit(60)  # a fixed number of people
-    n = top.withColumn("n", F.row_number().over(Window.orderBy(F.desc("count"), "w")) - 1)
+    """People named by all longer words of the documents, three to a person by hash; the last one of a bucket may have fewer."""
+    w = table(spark, sf_dir, "documents").select(F.explode(F.split(anonymize.normalize_name(F.col("text")), " ")).alias("w")).filter("length(w) > 5").distinct()
+    buckets = max(1, w.count() // BUCKET)
+    dealt = w.withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets)))
+    n = dealt.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("w")) - 1)
     part = lambda k: F.max(F.when(F.col("n") % 3 == k, F.col("w")))
-    people = n.groupBy(F.floor(F.col("n") / 3).alias("person")).agg(part(0).alias("first"), part(1).alias("middle"), part(2).alias("last"))
+    person = (F.floor(F.col("n") / 3) * buckets + F.col("bucket")).alias("person")
+    people = n.groupBy(person).agg(part(0).alias("last"), part(1).alias("first"), part(2).alias("middle"))
     return people.select("person", F.concat(F.lit("ID"), 10000 + F.col("person")).alias("id"), "first", F.when(F.col("person") % 2 == 0, F.col("middle")).alias("middle"), "last")
 
 
@@ -312,9 +318,18 @@ def name_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anonymize.name_forms(_names(spark, sf_dir), "person")
 
 
+#: Every so many words of a text a role word goes before one, in turn a singular and a plural.
+ROLE_EVERY, ROLE_WORDS = 9, ("officer", "sergeants")
+
+
+def _with_roles(text: Column) -> Column:
+    place = lambda w, k, n: (k % (ROLE_EVERY * len(ROLE_WORDS)) == n * ROLE_EVERY, F.concat(F.lit(ROLE_WORDS[n] + " "), w))
+    return F.array_join(F.transform(F.split(text, " "), lambda w, k: F.when(*place(w, k, 0)).when(*place(w, k, 1)).otherwise(w)), " ")
+
+
 def anonymized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each text after a role word, so that names are found."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("officer "), F.col("text")).alias("text"))
+    """Each text with role words put in, so that names are found all over it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", _with_roles(F.col("text")).alias("text"))
     return anonymize.anonymize(d, _names(spark, sf_dir), "doc_id", "text", "person")
 
 

@@ -1,13 +1,16 @@
 """Small cases whose rows follow by hand."""
 
 import datetime as dt
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from retrospect.functions import anonymize
 from retrospect.operators import banding, blocks, catalog, evaluate, event_features, labels, matrix, models, results, temporal
 from retrospect.operators.blocks import Block, Quantity
+from retrospect.plans import reports
 from retrospect.sources import io
 
 
@@ -101,6 +104,57 @@ def test_anonymize(spark):
     assert got == {1: "officer ID1 met BADGENUM and ID1 left", 2: "the officers ID1 and ID1", 3: "cole is coal", 4: None, 5: ""}
 
 
+def _brute_anonymize(text, forms):
+    roles = [r.lower() for r in anonymize.ROLES]
+    text = text.lower()
+    for pattern in anonymize.BADGE_PATTERNS:
+        text = re.sub(pattern, anonymize.BADGE, text)
+    words = re.sub(r"[ \t\n\x0b\f\r]+", " ", text.translate({ord(c): None for c in anonymize.PUNCTUATION})).strip(" ").split(" ")
+    found = {}
+    for k in range(len(words)):
+        for size in (1, 2, 3):
+            if k + size <= len(words) and (run := " ".join(words[k : k + size])) in forms:
+                found[k] = (size, run)
+    named = {j for k, (size, _) in found.items() for j in range(k, k + size)}
+    known, opened = set(), False
+    for k, w in enumerate(words):
+        plural = w in {r + "s" for r in roles}
+        opened = plural or (opened and (k in named or w == "and" or w in roles))
+        single = any(k >= n and words[k - n] in {r.split()[-1] for r in roles} for n in (1, 2))
+        if k in found and (opened or single):
+            known.add(found[k][1])
+    out, reach = [], 0
+    for k, w in enumerate(words):
+        if k in found and found[k][1] in known and k >= reach:
+            out.append(forms[found[k][1]])
+            reach = k + found[k][0]
+        elif k >= reach:
+            out.append(w)
+    return " ".join(out)
+
+
+def test_people_are_all_words(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(400)]
+    texts = [" ".join(rng.choice([*vocabulary, "and", "of", "the", "#123-4", "Sgt"], 60)) for _ in range(12)]
+    rows = [*enumerate(texts), (50, None), (51, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    used = {w for t in texts for w in t.split() if w in vocabulary}
+    assert len(used) > 60
+    people = reports._names(spark, str(tmp_path)).collect()
+    assert len({r["person"] for r in people}) == len({r["id"] for r in people}) == len(people) >= len(used) / 3
+    forms = {r["pattern"]: r["id"] for r in reports.name_forms(spark, str(tmp_path)).collect()}
+    assert {r["last"] for r in people} <= set(forms) and all(r["last"] in used for r in people)
+    got = {r["doc_id"]: r["text"] for r in reports.anonymized(spark, str(tmp_path)).collect()}
+    for k, text in enumerate(texts):
+        words = text.split(" ")
+        roles = {0: "officer ", 9: "sergeants "}
+        assert got[k] == _brute_anonymize(" ".join(roles.get(i % 18, "") + w for i, w in enumerate(words)), forms)
+    assert sum(w.startswith("ID") for k in range(len(texts)) for w in got[k].split()) > 3 * len(texts)
+    assert any("sergeants ID" in got[k] for k in range(len(texts)))
+    assert got[50] is None and got[51] == "officer"
+
+
 def test_dummies_ignore_null(spark):
     levels = spark.createDataFrame([("bachelor",), (None,), ("highschool",)], "education string")
     assert matrix.dummies(levels, "education").agg(F.sum("is_highschool")).first()[0] == 1
