@@ -232,7 +232,7 @@ SELECT c_custkey, round(avg(outcome), 9) AS score FROM p WHERE k <= 5 GROUP BY 1
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances of a forest for each subset of features that leaves one out."""
     found = None
-    subsets = [[f for f in FEATURES if f != out] for out in FEATURES[:2]]
+    subsets = [[f for f in FEATURES if f != out] for out in FEATURES]
     for features, kind, _, model in models.fit_grid(_rows(spark, sf_dir), subsets, {"random_forest": {"n_estimators": [5], "max_depth": [3]}}):
         rows = models.feature_importances(model, features, spark).withColumn("subset", F.lit(",".join(features))).withColumn("kind", F.lit(kind))
         found = rows if found is None else found.unionByName(rows)

@@ -187,3 +187,8 @@ def test_empty_tables(spark):
     assert evaluate.global_metrics(none).count() == 6
     assert evaluate.cut_metrics(none).count() == 102
     assert evaluate.curve_metrics(none).filter("value is not null").count() == 0
+
+
+def test_importances_leave_out_each_feature(spark, small):
+    got = {tuple(r["subset"].split(",")) for r in reports.feature_importances(spark, small).select("subset").distinct().collect()}
+    assert got == {tuple(f for f in reports.FEATURES if f != out) for out in reports.FEATURES}
