@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, text_or_empty
+from .common import documents, raw_texts, text_or_empty
 
 #: The characters of Unicode's White_Space, which \\s means in the tokenizer's pattern but not in Java's.
 SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -23,14 +22,13 @@ PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s+
 
 #: Distinct words that a task remembers; then it forgets them and goes on, so its memory stays bounded.
 REMEMBERED = 500_000
-#: The most frequent words of about SAMPLE documents are folded beforehand, WORDS at most, and sent to every task. They save
-#: folding them in each task; any other word is folded where it is met, so the result doesn't depend on them.
-WORDS, SAMPLE = 300_000, 30_000
 #: Documents that a task takes at a time.
 AT_ONCE = 2_000
-#: A character beyond all bytes, and one beyond all ranks.
-GUARD, NONE = "\u0100", "\uE000"
+#: Words of more bytes are folded part by part, cut where no token can lie across.
+LONG = 48
 LATIN = "ISO-8859-1"
+#: Tokens of one byte are the characters U+0000 to U+00FF, the token of rank r is U+0100 + r; surrogates begin at U+D800.
+FIRST, LIMIT = 0x100, 0xD800 - 0x100
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,81 +36,44 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class RankMap:
-    """The ranks as one literal: an array of small maps, found by the key's hash, since Spark searches a map from end to end.
+def last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
+    """The two tokens that make a token when its own bytes are merged by rank.
 
-    Bytes are written as the characters U+0000 to U+00FF, so tokens are strings to Spark; rank r is the character U+0001 + r.
+    ValueError if they don't end up as this token by merges of lower rank: only for ranks where they do (those of any
+    trained BPE) all places of a pair can be merged at once, rank by rank.
     """
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        known = [(ranks[pair], i) for i in range(len(parts) - 1) if (pair := parts[i] + parts[i + 1]) in ranks]
+        rank, i = min(known, default=(ranks[token], 0))
+        if rank >= ranks[token]:
+            raise ValueError(f"token {ranks[token]} isn't made of lower ones")
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts[0], parts[1]
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.mask = (1 << len(ranks).bit_length()) - 1
-        if max(ranks.values(), default=0) >= ord(NONE) - 1:
-            raise ValueError("ranks beyond the private characters")
-        buckets: list[dict[str, str]] = [{} for _ in range(self.mask + 1)]
-        for token, rank in ranks.items():
-            key = token.decode(LATIN)
-            buckets[xxhash.xxh64_intdigest(key.encode(), 42) & self.mask][key] = chr(rank + 1)
-        self.literal = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
-
-    def mark(self, table: Column, token: Column) -> Column:
-        """The character of the token's rank, null if it has none. table is `literal`, bound."""
-        return F.element_at(F.get(table, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int")), token)
 
+class RankMap:
+    """The ranked merges as literals for Spark: by rank, the two tokens that are merged and the token they make."""
 
-def bind(value: Column, use) -> Column:
-    """use(value), with value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
+    def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values(), default=0) >= LIMIT or len(ranks) != len(set(ranks.values())):
+            raise ValueError("ranks are not distinct or too large")
+        mark = lambda token: token.decode(LATIN) if len(token) == 1 else chr(FIRST + ranks[token])
+        pairs: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            if len(token) > 1:
+                pairs[rank] = "".join(map(mark, last_merge(token, ranks)))
+        literal = lambda x: F.from_json(F.lit(json.dumps(x)), "array<string>")
+        self.pairs, self.made = literal(pairs), literal([chr(FIRST + k) for k in range(len(pairs))])
 
 
-def fold(latin: Column, ranks: RankMap, table: Column) -> Column:
-    """Where the tokens of a word begin: the adjacent pair of least rank is merged, from the left, until no pair has one.
+def fold(word: Column, merges: Column, ranks: RankMap) -> Column:
+    """The tokens of a word, a character each.
 
-    latin has a guard at either end, which no token has, so each pair has neighbours. The state is two strings with a
-    character for each place: starts has 1 where a token begins, known the rank's character of the token that the
-    pair beginning there would make (NONE elsewhere). Strings are changed in place of arrays, which Spark copies
-    element by element.
+    word: its bytes; merges: the ranks of all tokens within it, in order. Each merge takes all places of its pair from
+    the left. Merges of higher rank never bring back a pair of lower rank, so one pass by rank makes all merges.
     """
-    one, none = F.lit("1"), F.lit(NONE)
-
-    def known_of(a: Column, b: Column) -> Column:
-        return F.coalesce(ranks.mark(table, F.substr(latin, a, b - a)), none)
-
-    def merged(state: Column, at: Column) -> Column:
-        """The token at `at` takes in the next one; only the pairs on either side of it change."""
-        starts, known = state["starts"], state["known"]
-        following = lambda place: F.position(one, starts, place + 1)
-        before = at - F.position(one, F.reverse(F.substr(starts, F.lit(1), at - 1)))
-
-        def put(gone: Column, after: Column) -> Column:
-            changed = F.overlay(F.overlay(known, none, gone, F.lit(1)), known_of(at, following(after)), at, F.lit(1))
-            changed = bind(before, lambda left: F.overlay(changed, known_of(left, after), left, F.lit(1)))
-            return F.struct(F.overlay(starts, F.lit("0"), gone, F.lit(1)).alias("starts"), changed.alias("known"))
-
-        return bind(following(at), lambda gone: bind(following(gone), lambda after: put(gone, after)))
-
-    def step(state: Column, _: Column) -> Column:
-        return bind(F.array_min(F.split(state["known"], "")), lambda least: F.when(least < none, bind(F.position(least, state["known"]), lambda at: merged(state, at))).otherwise(state))
-
-    size = F.length(latin)
-    pairs = F.transform(F.sequence(F.lit(1), size - 1), lambda i: known_of(i, i + 2))
-    start = F.struct(F.repeat(one, size + 1).alias("starts"), F.array_join(pairs, "").alias("known"))
-    return F.aggregate(F.sequence(F.lit(1), size - 3), start, step, lambda state: state["starts"])
-
-
-def word_ids(word: Column, ranks: RankMap) -> Column:
-    """The ids of a word, which may be a token as it is."""
-    number = lambda mark: F.ascii(mark) - 1
-
-    def tokens(table: Column, guarded: Column, starts: Column) -> Column:
-        places = F.filter(F.sequence(F.lit(2), F.length(guarded) - 1), lambda i: F.substr(starts, i, F.lit(1)) == "1")
-        return F.transform(places, lambda i: number(ranks.mark(table, F.substr(guarded, i, F.position(F.lit("1"), starts, i + 1) - i))))
-
-    def of(table: Column, latin: Column) -> Column:
-        guarded = F.concat(F.lit(GUARD), latin, F.lit(GUARD))
-        folded = bind(guarded, lambda g: bind(fold(g, ranks, table), lambda starts: tokens(table, g, starts)))
-        return bind(ranks.mark(table, latin), lambda whole: F.when(whole.isNotNull(), F.array(number(whole))).otherwise(folded))
-
-    return bind(ranks.literal, lambda table: bind(F.decode(F.encode(word, "UTF-8"), LATIN), lambda latin: of(table, latin)))
+    return F.aggregate(merges, F.decode(word, LATIN), lambda tokens, rank: F.replace(tokens, F.get(ranks.pairs, rank), F.get(ranks.made, rank)))
 
 
 def words(text: Column) -> Column:
@@ -120,47 +81,105 @@ def words(text: Column) -> Column:
 
 
 # --- distinct words of a task -----------------------------------------------------------------------
-# A row is either a word that the task hasn't met (in order), or a document as the numbers of its words.
+# A row is either a part of a word that the task hasn't met (in order), or a document as the numbers of its words (refs, four
+# bytes each: Spark measures each row that it sends to Python, which takes long for arrays).
 
+ROW = "doc_id long, forget boolean, begins boolean, word binary, merges array<int>, refs binary"
+KINDS = (pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.list_(pa.int32()), pa.binary())
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
-class KnownWords:
-    """Frequent words, numbered from 0, and their ids one after another."""
 
-    def __init__(self, rows: pa.Table):
-        ids = rows.column("ids").combine_chunks()
-        self.words = rows.column("word").to_pylist()
-        self.lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+class Prefixes:
+    """Which strings begin a token, by length: sorted hashes, and the rank of those that are tokens (else -1).
 
+    Two strings of equal hash would add a merge that isn't in the word, which the fold passes over.
+    """
 
-def _number_batches(known: KnownWords):
+    def __init__(self, ranks: dict[bytes, int]):
+        self.crossed = np.zeros((256, 256), bool)
+        found: list[dict[int, int]] = [{} for _ in range(max(map(len, ranks), default=0) + 1)]
+        for token, rank in ranks.items():
+            h = token[0] + 1
+            for n in range(2, len(token) + 1):
+                h = (h * int(_STEP) + token[n - 1] + 1) & 0xFFFFFFFFFFFFFFFF
+                self.crossed[token[n - 2], token[n - 1]] = True
+                if n == len(token):
+                    found[n][h] = rank
+                else:
+                    found[n].setdefault(h, -1)
+        self.hashes = [np.array(sorted(x), np.uint64) for x in found]
+        self.ranks = [np.array([x[h] for h in sorted(x)], np.int64) for x in found]
+
+    def merges(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranks of the tokens within each part of data, in order, and where each part's begin and end. ends: of the parts."""
+        sizes = np.diff(ends, prepend=0)
+        part, room = np.repeat(np.arange(len(ends)), sizes), np.repeat(ends, sizes) - np.arange(len(data))
+        at, h, keys = np.arange(len(data)), data.astype(np.uint64) + np.uint64(1), []
+        for n in range(2, len(self.hashes)):
+            there = room[at] >= n
+            at, h = at[there], h[there]
+            if not len(at):
+                break
+            h = h * _STEP + data[at + n - 1] + np.uint64(1)
+            k = np.minimum(np.searchsorted(self.hashes[n], h), len(self.hashes[n]) - 1)
+            there = self.hashes[n][k] == h
+            at, h, rank = at[there], h[there], self.ranks[n][k[there]]
+            keys.append((part[at] << 17 | rank)[rank >= 0])
+        keys = np.sort(np.concatenate([*keys, np.zeros(0, np.int64)]))
+        keys = keys[np.diff(keys, prepend=-1) != 0]
+        return (keys & 0x1FFFF).astype(np.int32), np.searchsorted(keys >> 17, np.arange(len(ends) + 1)).astype(np.int32)
+
+
+@lru_cache(maxsize=1)
+def _prefixes(path: str) -> Prefixes:
+    return Prefixes(read_ranks(path))
+
+
+def _number_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefixes = _prefixes(path)
         numbers: dict[str, int] = {}
         for batch in batches:
             for k in range(0, batch.num_rows, AT_ONCE):
-                forget = len(numbers) > REMEMBERED + len(known.words)
-                if forget or not numbers:
-                    numbers = dict(zip(known.words, range(len(known.words)), strict=True))
-                yield from _number(batch.slice(k, AT_ONCE), numbers, forget)
+                if forget := len(numbers) > REMEMBERED:
+                    numbers = {}
+                yield from _number(batch.slice(k, AT_ONCE), numbers, forget, prefixes)
 
     return run
 
 
-def _number(batch: pa.RecordBatch, numbers: dict[str, int], forget: bool) -> Iterator[pa.RecordBatch]:
-    """The batch's words that numbers lacks, and its documents; both as one batch of rows."""
+def _number(batch: pa.RecordBatch, numbers: dict[str, int], forget: bool, prefixes: Prefixes) -> Iterator[pa.RecordBatch]:
+    """The parts of the batch's words that numbers lacks, and its documents; each as one batch of rows."""
+    names = [x.split()[0] for x in ROW.split(", ")]
+    rows = lambda n, **given: pa.RecordBatch.from_arrays([given.get(name, pa.nulls(n, kind)) for name, kind in zip(names, KINDS, strict=True)], names)
     lists = batch.column("words")
     coded = lists.flatten().dictionary_encode()
-    found = coded.dictionary.to_pylist()
     there = len(numbers)
-    own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.int32, len(found))
-    new = [w for w, k in zip(found, own.tolist(), strict=True) if k >= there]
-    refs = own[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int32)
-    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-    n, m = len(new) + forget, batch.num_rows
-    first = [*[None] * forget, *new]
-    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array([forget and k == 0 for k in range(n)], pa.bool_()), pa.array(first, pa.string()), pa.nulls(n, pa.list_(pa.int32()))], ["doc_id", "forget", "word", "refs"])
-    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([False] * m, pa.bool_()), pa.nulls(m, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(refs))], ["doc_id", "forget", "word", "refs"])
+    own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in coded.dictionary.to_pylist()), np.int32, len(coded.dictionary))
+    if forget:
+        yield rows(1, forget=pa.array([True]))
+    if len(numbers) > there:
+        new = np.flatnonzero(own >= there)
+        data, ends = raw_texts(coded.dictionary)
+        data = _gather(data, ends[:-1], np.diff(ends), new)
+        sizes = np.diff(ends)[new]
+        ends = np.cumsum(sizes)
+        # the ends of parts: those of words, and in long words also the places that no token lies across
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = ~prefixes.crossed[data[:-1], data[1:]] & np.repeat(sizes > LONG, sizes)[1:]
+        cut[ends] = True
+        parts = np.flatnonzero(cut)
+        begins = np.isin(np.concatenate([[0], parts[:-1]]), np.concatenate([[0], ends[:-1]]))
+        merges, bounds = prefixes.merges(data, parts)
+        yield rows(len(parts), begins=pa.array(begins), word=_binaries(data, parts), merges=pa.ListArray.from_arrays(pa.array(bounds), pa.array(merges)))
+    refs = own[coded.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int32)
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    yield rows(batch.num_rows, doc_id=batch.column("doc_id"), refs=_binaries(refs, 4 * ends))
+
+
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of data, cut at the ends."""
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(data)])
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, refs: np.ndarray) -> np.ndarray:
@@ -170,119 +189,80 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, refs: np.
     return flat[np.repeat(starts[refs] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def _document_ids(batches: Iterator[pa.RecordBatch], known: KnownWords) -> Iterator[tuple[pa.Array, Iterator[np.ndarray]]]:
-    """doc_ids and their token ids, batch by batch; ids are made one document at a time."""
-    flat, lengths = known.flat, known.lengths
-    starts = np.cumsum(lengths) - lengths
-    for batch in batches:
-        kinds = np.array(batch.column("refs").is_null())
-        ids, refs, forget = batch.column("ids"), batch.column("refs"), batch.column("forget").to_pylist()
-        bounds = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), len(kinds)]
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            if a == b:
-                continue
-            if kinds[a]:  # words
-                if forget[a]:
-                    flat, lengths, a = known.flat, known.lengths, a + 1
-                part = ids.slice(a, b - a)
-                flat = np.concatenate([flat, part.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
-                lengths = np.concatenate([lengths, pc.list_value_length(part).to_numpy(zero_copy_only=False).astype(np.int64)])
-                starts = np.cumsum(lengths) - lengths
-            else:
-                part = refs.slice(a, b - a)
-                values = part.flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum(pc.list_value_length(part).to_numpy(zero_copy_only=False))
-                yield batch.column("doc_id").slice(a, b - a), (_gather(flat, starts, lengths, x) if len(x) else np.zeros(0, np.int32) for x in np.split(values, ends[:-1]))
-
-
-def _id_batches(known: KnownWords):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, tokens in _document_ids(batches, known):
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(list(tokens), pa.list_(pa.int32()))], ["doc_id", "ids"])
-
-    return run
-
-
-class Pieces:
-    """Byte strings, one for each id, laid end to end."""
-
-    def __init__(self, pieces: list[bytes]):
-        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
-        self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        self.starts = np.cumsum(self.lengths) - self.lengths
-
-    def joined(self, ids: np.ndarray) -> bytes:
-        """The pieces of the ids, one after another."""
-        return _gather(self.flat, self.starts, self.lengths, ids).tobytes()
+def _token_ids(tokens: pa.Array, id_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of folded parts, one after another, and how many each has."""
+    data, ends = raw_texts(tokens)
+    data, ends = data[ends[0] : ends[-1]], ends - ends[0]
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters
+    return id_of[np.frombuffer(data.tobytes().decode().encode("utf-16-le"), "<u2")], np.diff(before[ends])
 
 
-def read_pieces(path: str) -> Pieces:
-    return Pieces([token for token, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])])
-
-
-def _digest_batches(path: str, known: KnownWords):
+def _id_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = read_pieces(path)
-        numbers = Pieces([b"%d " % k for k in range(len(pieces.lengths))])
-        for doc_ids, tokens in _document_ids(batches, known):
-            counts, ids, texts = [], [], []
-            for x in tokens:
-                counts.append(len(x))
-                ids.append(hashlib.sha256(numbers.joined(x)[:-1]).hexdigest())
-                texts.append(hashlib.sha256(pieces.joined(x)).hexdigest())
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        ranks = read_ranks(path)
+        id_of = np.concatenate([[ranks.get(bytes([b]), -1) for b in range(256)], np.arange(LIMIT)]).astype(np.int32)
+        flat, lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        for batch in batches:
+            documents_here = np.array(batch.column("refs").is_valid())
+            bounds = [0, *(np.flatnonzero(np.diff(documents_here)) + 1).tolist(), len(documents_here)]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                part = batch.slice(a, b - a)
+                if a == b:
+                    continue
+                if documents_here[a]:
+                    data, ends = raw_texts(part.column("refs"))
+                    refs = data[ends[0] : ends[-1]].view(np.int32)
+                    before = np.concatenate([[0], np.cumsum(lengths[refs])])
+                    offsets = pa.array(before[(ends - ends[0]) // 4], pa.int32())
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(_gather(flat, np.cumsum(lengths) - lengths, lengths, refs)))], ["doc_id", "ids"])
+                    continue
+                forget = np.flatnonzero(np.array(part.column("forget").fill_null(False)))
+                if len(forget):
+                    flat, lengths = flat[:0], lengths[:0]
+                    part = part.slice(int(forget[-1]) + 1)
+                if part.num_rows:
+                    ids, n = _token_ids(part.column("tokens"), id_of)
+                    begins = part.column("begins").to_numpy(zero_copy_only=False)
+                    # a word may go on in the next batch
+                    more = np.add.reduceat(np.concatenate([[0], n]), np.concatenate([[0], np.flatnonzero(begins) + 1]))
+                    if more[0]:
+                        lengths[-1] += more[0]
+                    flat, lengths = np.concatenate([flat, ids]), np.concatenate([lengths, more[1:]])
 
     return run
 
 
-def frequent_words(docs: DataFrame, ranks: RankMap, n: int = WORDS, sample: int = SAMPLE) -> KnownWords:
-    share = min(1.0, sample / max(1, docs.count()))
-    counted = docs.sample(share, seed=7).select(F.explode(words(text_or_empty())).alias("word")).groupBy("word").count()
-    top = counted.filter("count > 1").orderBy(F.desc("count"), "word").limit(n)
-    return KnownWords(top.select("word", word_ids(F.col("word"), ranks).alias("ids")).toArrow())
-
-
-def _coded(docs: DataFrame, path: str) -> tuple[DataFrame, KnownWords]:
-    """Word rows with their ids and document rows, in the order in which tasks made them; nothing is shuffled."""
-    ranks = RankMap(read_ranks(path))
-    known = frequent_words(docs, ranks)
-    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(text_or_empty()).alias("words"))
-    numbered = split.mapInArrow(_number_batches(known), "doc_id long, forget boolean, word string, refs array<int>")
-    return numbered.select("doc_id", "forget", F.when(F.col("word").isNotNull(), word_ids(F.col("word"), ranks)).alias("ids"), "refs"), known
-
-
 def _path(path: str | None) -> str:
     return path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids (array of int) for each row of docs; a null text is empty and has no ids.
+    """doc_id, ids (array of int) for each row of docs; a null text is empty and has no ids, repeated rows have ids each.
 
-    Every task folds each of its distinct words once.
+    Every task finds its distinct words, which are folded once each, and puts its documents together from their ids;
+    nothing is shuffled. Very long words are cut where no token lies across, so a text of one word takes no longer.
     """
-    rows, known = _coded(docs, _path(path))
-    return rows.mapInArrow(_id_batches(known), "doc_id long, ids array<int>")
-
-
-def _text_batches(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = read_pieces(path)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([None if x is None else pieces.joined(np.array(x, np.int64)) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "bytes"])
-
-    return run
+    path = _path(path)
+    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(text_or_empty()).alias("words"))
+    rows = split.mapInArrow(_number_batches(path), ROW)
+    folded = F.when(F.col("word").isNotNull(), fold(F.col("word"), F.col("merges"), RankMap(read_ranks(path))))
+    return rows.select("doc_id", "forget", "begins", folded.alias("tokens"), "refs").mapInArrow(_id_batches(path), "doc_id long, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, bytes: the pieces of all ids, one after another; null ids give null."""
-    return coded.select("doc_id", "ids").mapInArrow(_text_batches(_path(path)), "doc_id long, bytes binary")
+    """The columns of coded and bytes: the binary pieces of its ids, one after another; null ids give null, none gives no bytes."""
+    pieces = {rank: token.hex() for token, rank in read_ranks(_path(path)).items()}
+    held = F.from_json(F.lit(json.dumps([pieces.get(k) for k in range(max(pieces, default=-1) + 1)])), "array<string>")
+    return coded.withColumn("bytes", F.unhex(F.array_join(F.transform("ids", lambda x: F.get(held, x)), "")))
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs."""
-    rows, known = _coded(docs, _path(path))
-    return rows.mapInArrow(_digest_batches(_path(path), known), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs; a null text is empty, repeated rows stay."""
+    coded = decode(encode(docs, path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
+    """All documents."""
     return round_trip(documents(spark, sf_dir))

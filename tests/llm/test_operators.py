@@ -317,7 +317,6 @@ def test_bpe(docs):
 
 def test_bpe_forgets_words(spark, docs, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", -1)
-    monkeypatch.setattr(bpe, "WORDS", 5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     try:
         got = {r["doc_id"]: bytes(r["bytes"]).decode() for r in bpe.decode(bpe.encode(docs.coalesce(1))).collect() if r["doc_id"]}
@@ -326,6 +325,37 @@ def test_bpe_forgets_words(spark, docs, monkeypatch):
     assert got == {i: t or "" for i, t, _ in ROWS if i}
 
 
+def _letters(seed, alphabet, n):
+    return "".join(np.random.default_rng(seed).choice(list(alphabet), n))
+
+
+def test_bpe_long_words(spark):
+    """Words of up to a million bytes, with places that no token crosses and without."""
+    import time
+
+    import tiktoken
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = [_letters(0, "abcdefghijklmnopqrstuvwxyz", 1_000_000), _letters(1, "aeitn", 200_000), "a" * 1_000_000, _letters(2, "ABCDEFabcdef", 300_000), _letters(3, "你好世界的是不", 50_000)]
+    texts += [_letters(n, a, n) for a in ("ab", "a", "aA ", "é ñ😀", "the quick", "\x00\x01\x80ÿ", "0123456789", "-= ") for n in (1, 3, bpe.LONG - 1, bpe.LONG, bpe.LONG + 1, 1000)]
+    start = time.time()
+    got = {r["doc_id"]: r for r in bpe.round_trip(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()}
+    assert time.time() - start < 120
+    for k, t in enumerate(texts):
+        ids = enc.encode_ordinary(t)
+        assert got[k]["n_tokens"] == len(ids)
+        assert got[k]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert got[k]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_bpe_refuses_ranks_that_are_no_merges():
+    base = {bytes([b]): b for b in range(256)}
+    assert bpe.last_merge(b"abc", {**base, b"ab": 256, b"abc": 257}) == (b"ab", b"c")
+    with pytest.raises(ValueError):
+        bpe.RankMap({**base, b"abc": 256, b"ab": 257})
+
+
 # --- language and quality ---
 
 
