@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from retrospect.llm import exact_dedup, language, packing, secrets, simhash
 from retrospect.llm.common import documents, materialise
@@ -14,23 +13,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs)
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs but for the rows whose doc_id is in gone; rows without a doc_id can't be named and stay."""
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-
-
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays, once even if its row is repeated."""
-    found = exact_dedup.duplicates(docs)
-    kept = _without(docs, found.filter("not kept").select("doc_id"))
-    repeated = found.filter("kept and group_size > 1").groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    """Of equal texts the row of the largest doc_id stays, once even if it is repeated; texts without any doc_id have one row too."""
+    return exact_dedup.keep_last(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the least doc_id stays."""
-    gone = simhash.near_duplicates(docs).filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return _without(docs, gone)
+    """Of each group of near copies the row of the least doc_id stays."""
+    return simhash.keep_first(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s+
 #: Distinct words that a task remembers; then it forgets them and goes on, so its memory stays bounded.
 REMEMBERED = 500_000
 #: Documents that a task takes at a time.
-AT_ONCE = 2_000
+AT_ONCE = 500
 #: Words of more bytes are folded part by part, cut where no token can lie across.
 LONG = 48
 LATIN = "ISO-8859-1"

@@ -16,9 +16,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; one is set where none is (single-machine tests)."""
+    """The folder in spark.checkpoint.dir, which driver and executors share. ValueError if there is none, unless Spark runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -36,6 +38,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of materialised tables that nothing reads any more."""
+    for table in tables:
+        for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def same_row(a: DataFrame, b: DataFrame):
+    """Rows of equal doc_id (null equals null) and text hash."""
+    return (a["text_sha256"] == b["text_sha256"]) & a["doc_id"].eqNullSafe(b["doc_id"])
+
+
+def keep_one(docs: DataFrame, keepers: DataFrame) -> DataFrame:
+    """One row of docs, with its columns, for each row of keepers: doc_id, text_sha256, n (how many rows of docs it names).
+
+    Rows that docs repeats are few as a rule: they are found by a join of their own, so that the others needn't be grouped.
+    """
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    doc_id, text = (f"_{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    rows = docs.toDF(*names)
+    rows = rows.withColumn("text_sha256", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)).withColumn("doc_id", F.col(doc_id).cast("long"))
+    once, again = (materialise(keepers.filter(test).select("doc_id", "text_sha256"), "keepers") for test in ("n = 1", "n > 1"))
+    repeated = rows.join(again, same_row(rows, again), "left_semi").dropDuplicates(["doc_id", "text_sha256"])
+    return rows.join(once, same_row(rows, once), "left_semi").union(repeated).select(*names).toDF(*docs.columns)
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

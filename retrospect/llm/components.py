@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are tied to the least node next to it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # written, so that Spark can split the neighbours of one node when they are joined with it
+    least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.filter("v > u").join(least, "u").filter("v != m").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are tied to the least of them."""
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    least = materialise(edges.groupBy("b").agg(F.min("a").alias("m")), "least")
     moved = edges.join(least, "b").filter("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.union(least.select(F.col("m").alias("a"), "b")).distinct()
 
@@ -34,6 +35,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
-        before = now
+        before, last = now, edges
         edges = materialise(_small_star(_large_star(edges)), "links")
+        discard(last)
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, raw_texts
+from .common import documents, materialise, raw_texts
 
 #: Byte trigrams are hashed to so many cells; the model has a row of them for each language.
 CELLS = 1 << 15
@@ -18,8 +18,8 @@ SMOOTHING = 0.5
 ROUNDS = 12
 #: A language enters a document's set if it raises the log-likelihood by more than this times log(n-grams) / 2.
 PENALTY = 6.0
-#: Languages of the model at most: as many cells of it are sent to each task.
-LANGUAGES = 256
+#: More languages than this are refused: the model, CELLS numbers for each, is sent to every task.
+LANGUAGES = 4096
 UNKNOWN = "und"
 
 
@@ -47,18 +47,20 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and their n-gram probabilities (a row each), from text and non-null lang of all rows given.
 
-    Counts are summed by Spark; at most LANGUAGES x CELLS sums come to the driver, those of the languages with the most n-grams.
+    Counts are summed by Spark; CELLS sums for each language come to the driver. ValueError beyond LANGUAGES languages,
+    which no column of languages has.
     """
     rows = labelled.filter("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sums = rows.mapInArrow(_count_batches, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    by_lang = sums.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells"), F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(LANGUAGES)
-    found = sorted(((r["lang"], r["cells"]) for r in by_lang.collect()), key=lambda x: x[0])
+    by_lang = materialise(sums.groupBy("lang").agg(F.collect_list("cell").alias("cells"), F.collect_list("n").alias("counts")), "languages")
+    if (n := by_lang.count()) > LANGUAGES:
+        raise ValueError(f"{n} languages")
+    found = by_lang.orderBy("lang").toArrow()
     model = np.full((len(found), CELLS), SMOOTHING)
-    for k, (_, counted) in enumerate(found):
-        cell, n = np.array(counted, np.int64).T
-        model[k, cell] += n
+    for k in range(len(found)):
+        model[k, np.array(found["cells"][k].values)] += np.array(found["counts"][k].values)
     model /= model.sum(axis=1, keepdims=True) if len(found) else 1
-    return [lang for lang, _ in found], model
+    return found["lang"].to_pylist(), model
 
 
 def proportions(likelihood: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
@@ -132,7 +134,8 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, mixture for each row of docs.
 
     lang_pred is the language of the largest share, score that share; `und` with score 0 if the text is null or has
-    no letter, or nothing could be learned. Documents with a null doc_id are never held out.
+    no letter, or nothing could be learned. Documents with a null doc_id are never held out. Repeated rows have a row each and
+    count as often; very long texts are read whole.
     """
     return _predict(docs, [F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False))], ("doc_id", "held_out"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,8 +18,8 @@ from .common import documents, materialise, text_or_empty
 
 LENGTH = 1024
 END = 2
-#: Pieces of one length are numbered in so many groups, and their numbers then shifted.
-GROUPS = 64
+#: Pieces of one length are numbered in groups of about so many, and their numbers then shifted.
+GROUP = 200_000
 SPECIAL = {"<|endoftext|>": 50256}
 
 
@@ -54,7 +55,10 @@ def _piece_batches(path: str, length: int, end: int):
 
 
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: the pieces of every document; a null text is empty and gives the end id alone."""
+    """doc_id, piece, start, length, ids_crc32: the pieces of every document, repeated rows and long texts in full.
+
+    A null text is empty and gives the end id alone.
+    """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_piece_batches(path, length, end), schema)
@@ -147,22 +151,28 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     """Adds sequence_id and offset to pieces: doc_id, piece, start, length, ids_crc32.
 
     Packing depends on lengths alone. Their counts (`length` numbers at most) are packed on the driver; pieces of
-    one length are numbered in GROUPS groups, so no task holds a whole length, and each number has its place.
-    Pieces that repeat or have a null doc_id are packed like any other.
+    one length are numbered in groups of about GROUP rows, so no task holds a whole length, and each number has its
+    place. Full pieces are sequences of their own and aren't numbered. Pieces that repeat or have a null doc_id are
+    packed like any other; no pieces give no rows.
     """
-    spark = cut_pieces.sparkSession
-    table = materialise(cut_pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(GROUPS)).cast("int")), "pieces")
-    sizes = {(r["length"], r["group"]): r["n"] for r in table.groupBy("length", "group").agg(F.count(F.lit(1)).alias("n")).collect()}  # length x GROUPS rows at most
-    counts, before = np.zeros(length + 1, np.int64), []
-    for (size, group), n in sorted(sizes.items()):
-        before.append((size, group, int(counts[size])))
-        counts[size] += n
-    number = F.row_number().over(Window.partitionBy("length", "group").orderBy("doc_id", "piece"))
-    shift = spark.createDataFrame(before, "length long, group int, before long")
-    numbered = table.withColumn("_n", number).join(F.broadcast(shift), ["length", "group"]).withColumn("number", F.col("_n") - 1 + F.col("before"))
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    table = materialise(cut_pieces.select(*names, (F.rand(7) * (1 << 30)).cast("long").alias("salt")), "pieces")
+    short, counts = table.filter(F.col("length") < length), np.zeros(length + 1, np.int64)
+    for size, n in short.groupBy("length").agg(F.count(F.lit(1))).collect():  # a row for each length
+        counts[size] = n
+    groups = F.from_json(F.lit(json.dumps(np.maximum(1, counts // GROUP).tolist())), "array<bigint>")
+    short = short.withColumn("group", F.pmod("salt", F.get(groups, F.col("length").cast("int"))))
+    sizes = short.groupBy("length", "group").agg(F.count(F.lit(1)).alias("n"))
+    above = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)  # a row for each group of GROUP rows
+    before = sizes.select("length", "group", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("length", "group").orderBy("doc_id", "piece", "salt"))
+    numbered = short.withColumn("own", own).join(before, ["length", "group"]).withColumn("number", F.col("own") - 1 + F.col("before"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "number").mapInArrow(_place_batches(runs(best_two_fit(counts, length))), schema)
+    placed = numbered.select(*names, "number").mapInArrow(_place_batches(runs(best_two_fit(counts, length))), schema)
+    full = table.filter(F.col("length") >= length).select(*names, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.union(full)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
+    """All documents."""
     return pack(pieces(documents(spark, sf_dir)))

@@ -11,14 +11,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialise, popcount, raw_texts, text_or_empty
+from .common import documents, keep_one, materialise, popcount, raw_texts, text_or_empty
 from .components import connected_components
 
 BITS = 64
 SHINGLE = 4
 SEED = 42
 DISTANCE = 4
-#: A key with more fingerprints than this is linked through shared neighbours instead of pair by pair.
+#: A key with more fingerprints than this, guests included, is linked through shared neighbours instead of pair by pair.
 DENSE = 4096
 #: Groups up to this size are compared by shifts of the sorted block.
 SMALL = 32
@@ -49,12 +49,14 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         data, ends = raw_texts(batch.column("text"))
         prints = np.fromiter((simhash(data[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_sha256"), pa.array(prints.view(np.int64))], ["doc_id", "text_sha256", "print"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, print (long): one row for each row of docs; a null text counts as empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_hash_batches, "doc_id long, print long")
+    """doc_id, text_sha256, print (long): one row for each row of docs; a null text counts as empty."""
+    text = text_or_empty()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"), text.alias("text"))
+    return rows.mapInArrow(_hash_batches, "doc_id long, text_sha256 string, print long")
 
 
 # --- the plan of the search -------------------------------------------------------------------------
@@ -238,15 +240,19 @@ def _link_batches(distance: int):
 def close_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """a, b: links between distinct fingerprints (column print) that join just those within `distance` bits of a chain.
 
-    Keys that more than DENSE fingerprints own are handled apart: two fingerprints lie within 2r bits just if
-    some value lies within r bits of both, so each is put under all values near it and tied to the least there.
+    Keys under which more than DENSE fingerprints lie, as owners or guests, are handled apart: two fingerprints lie
+    within 2r bits just if some value lies within r bits of both, so each is put under all values near it and tied to the
+    least there. So no task holds more than DENSE of one key. ValueError for an odd distance.
     """
+    if distance % 2:
+        raise ValueError("the distance must be even")
     n, together = bit_statistics(prints)
     if n < 2:
         return prints.select(F.col("print").alias("a"), F.col("print").alias("b")).filter("false")
     plan = plan_search(n, together, distance)
     rows = probes(prints, plan)
-    dense = materialise(rows.filter("owner").groupBy("part", "key").count().filter(F.col("count") > DENSE).select("part", "key"), "dense")
+    sizes = rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.max("owner").alias("owned"))
+    dense = materialise(sizes.filter((F.col("n") > DENSE) & F.col("owned")).select("part", "key"), "dense")
     crowded = not dense.isEmpty()
     sparse = rows.join(dense, ["part", "key"], "left_anti") if crowded else rows
     links = sparse.repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(_link_batches(distance), "a long, b long")
@@ -259,23 +265,39 @@ def close_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return links
 
 
+def linked(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, text_sha256, print, component (the least fingerprint reachable), component_id for each row of docs."""
+    table = materialise(fingerprints(docs), "simhash")
+    nodes = materialise(table.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
+    parts = connected_components(close_pairs(nodes.select("print"), distance))
+    # components are of fingerprints; the least doc_id of each follows
+    joined = nodes.join(parts, nodes["print"] == parts["node"], "left").select("print", F.coalesce("component", "print").alias("component"), "least")
+    joined = materialise(joined, "components")
+    least = materialise(joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "least")
+    where = joined.join(least, "component", "left").select("print", "component", F.coalesce("component_id", "least").alias("component_id"))
+    # written, so that Spark can split the rows of one fingerprint when they are joined with it
+    return table.join(materialise(where, "where"), "print")
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: one row for each row of docs.
 
     Fingerprints within `distance` bits (even) link; component_id is the least doc_id reachable. Null and wordless
     texts have the fingerprint zero and link like any other. A null doc_id takes part in nobody's component_id: its
-    row has the component_id of its fingerprint, or null if no row of the component has an id.
+    row has the component_id of its fingerprint, or null if no row of the component has an id. Repeated rows have a
+    row each; an empty table gives none; other columns don't matter.
     """
-    table = materialise(fingerprints(docs), "simhash")
-    nodes = materialise(table.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
-    parts = connected_components(close_pairs(nodes.select("print"), distance))
-    # components are of fingerprints; the least doc_id of each follows
-    joined = nodes.join(parts, nodes["print"] == parts["node"]).select("print", "component", "least")
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    where = joined.join(least, "component").select("print", "component_id")
-    where = nodes.join(where, "print", "left").select("print", F.coalesce("component_id", "least").alias("component_id"))
-    return table.join(where, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    return linked(docs, distance).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Of each component one row stays, with all its columns: that of the least doc_id (rows without one come last; ties by the text's hash)."""
+    rows = linked(docs, distance)
+    sized = rows.groupBy("component", "doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+    first = sized.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_sha256", "n")).alias("first"))
+    return keep_one(docs, materialise(first.select("first.doc_id", "first.text_sha256", "first.n"), "first"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
+    """All documents."""
     return near_duplicates(documents(spark, sf_dir))

@@ -75,6 +75,45 @@ def test_exact_dedup(docs):
     assert got == sorted(want)
 
 
+def brute_classes(rows):
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    out = collections.Counter()
+    for i, t in rows:
+        ids = groups[t or ""]
+        keep = max((x for x in ids if x is not None), default=None)
+        out[i, keep, len(ids), i == keep, hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_exact_dedup_of_one_id_with_several_texts(spark, monkeypatch, clash):
+    """Repeated ids, ids with several texts of equal length, texts without an id, and very long texts, with right and with equal fingerprints."""
+    if clash:
+        monkeypatch.setattr(exact_dedup, "_hash_batches", clashing())
+    monkeypatch.setattr(exact_dedup, "HUGE", 50_000 if not clash else 1 << 30)
+    rows = [(1, "aaaa"), (5, "aaaa"), (5, "bbbb"), (2, "bbbb"), (None, "aaaa"), (None, "cccc"), (None, "cccc"), (None, "bbbb"), (7, "dddd"), (7, "dddd"), (8, None), (9, "")]
+    rows += [(20, LONG * 4), (21, LONG * 4), (21, LONG * 4), (22, LONG * 4 + "x"), (None, LONG * 4)]
+    frame = table(spark, [(i, t, None) for i, t in rows])
+    got = collections.Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact_dedup.duplicates(frame).collect())
+    assert got == brute_classes(rows)
+    kept = exact_dedup.keep_last(frame)
+    assert kept.columns == frame.columns
+    by_text = collections.defaultdict(list)
+    for i, t in rows:
+        by_text[t or ""].append(i)
+    want = collections.Counter((max((i for i in ids if i is not None), default=None), t) for t, ids in by_text.items())
+    assert collections.Counter((r["doc_id"], r["text"] or "") for r in kept.collect()) == want
+
+
+def test_huge_texts_have_the_same_fingerprints(spark, monkeypatch):
+    rows = [(k, prose(k, 40 * k), None) for k in range(12)]
+    usual = sorted(exact_dedup.fingerprints(table(spark, rows)).collect())
+    monkeypatch.setattr(exact_dedup, "HUGE", 100)
+    assert sorted(exact_dedup.fingerprints(table(spark, rows)).collect()) == usual
+
+
 def test_fingerprints_compose():
     weights = [exact_dedup.powers(b, exact_dedup.CHUNK) for b in exact_dedup.BASES]
     data = np.frombuffer(np.random.default_rng(0).bytes(200_000), np.uint8)
@@ -86,15 +125,19 @@ def test_fingerprints_compose():
         assert h == whole >> shift & exact_dedup.PRIME
 
 
-def test_equal_fingerprints_of_different_texts_are_split(spark, monkeypatch):
-    def clash(batches):
+def clashing():
+    def run(batches):
         import pyarrow as pa
 
         for b in batches:
             n = [len(x.as_py().encode()) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_sha256"), pa.array(n, pa.int64()), pa.array([7] * len(n), pa.int64())], ["doc_id", "text_sha256", "n_bytes", "print"])
 
-    monkeypatch.setattr(exact_dedup, "_hash_batches", clash)
+    return run
+
+
+def test_equal_fingerprints_of_different_texts_are_split(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_hash_batches", clashing())
     rows = [(1, "aa", None), (2, "bb", None), (3, "aa", None), (4, "cc", None), (5, "bb", None), (6, "ddd", None)]
     got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.duplicates(table(spark, rows)).collect()}
     assert got == {1: (3, 2), 3: (3, 2), 2: (5, 2), 5: (5, 2), 4: (4, 1), 6: (6, 1)}
@@ -151,6 +194,20 @@ def test_close_pairs_lose_no_link(spark, monkeypatch, dense):
     assert groups({k % (1 << 64): c for k, c in parts.items()}) == groups(want)
 
 
+def test_odd_distances_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.close_pairs(spark.createDataFrame([(1,), (2,)], "print long"), 3)
+
+
+def test_simhash_of_rows_without_id(spark, docs):
+    rows = [(None, "one two three"), (4, "one two three"), (9, "one two three"), (None, "other words in this row"), (None, "other words in this row"), (3, None), (None, "")]
+    got = collections.Counter((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(table(spark, [(i, t, None) for i, t in rows])).collect())
+    assert got == {(None, 4): 1, (4, 4): 1, (9, 4): 1, (None, None): 2, (3, 3): 1, (None, 3): 1}
+    kept = simhash.keep_first(table(spark, [(i, t, None) for i, t in rows]))
+    assert collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == {(4, "one two three"): 1, (None, "other words in this row"): 1, (3, None): 1}
+    assert simhash.keep_first(docs).columns == docs.columns
+
+
 def test_allocation_covers_the_distance():
     together = np.full((64, 64), 250) + np.diag([250] * 64)
     for distance in (2, 4, 6):
@@ -170,9 +227,12 @@ def test_components_of_a_chain(spark):
 # --- packing ---
 
 
-def test_packing(docs):
+@pytest.mark.parametrize("group", [packing.GROUP, 2])
+def test_packing(docs, monkeypatch, group):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "GROUP", group)
+
     tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = packing.pack(packing.pieces(docs)).collect()
     places = collections.defaultdict(list)
