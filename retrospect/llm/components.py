@@ -13,13 +13,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     # written, so that Spark can split the neighbours of one node when they are joined with it
     least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-    return both.filter("v > u").join(least, "u").filter("v != m").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+    return both.filter("v > u").join(least.hint("merge"), "u").filter("v != m").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are tied to the least of them."""
     least = materialise(edges.groupBy("b").agg(F.min("a").alias("m")), "least")
-    moved = edges.join(least, "b").filter("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))
+    moved = edges.join(least.hint("merge"), "b").filter("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.union(least.select(F.col("m").alias("a"), "b")).distinct()
 
 

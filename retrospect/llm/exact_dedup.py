@@ -109,7 +109,7 @@ def _chunks(texts: DataFrame) -> DataFrame:
 def _groups(table: DataFrame) -> DataFrame:
     """print, n_bytes, n, keep_id, first (the row with the largest doc_id) of each fingerprint that several rows share.
 
-    Written, so that Spark can split the rows of a large group when they are joined with it.
+    Written and merged, so that Spark can split the rows of a large group when they are joined with it.
     """
     first = F.max(F.struct("doc_id", "text_sha256"))
     return materialise(table.groupBy("print", "n_bytes").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"), first.alias("first")).filter("n > 1"), "groups")
@@ -120,7 +120,7 @@ def _different(docs: DataFrame, table: DataFrame, groups: DataFrame) -> DataFram
 
     A large group meets several copies of its first text, so no task holds a whole group.
     """
-    members = table.join(groups, ["print", "n_bytes"]).select("doc_id", "text_sha256", "print", "n_bytes", "first", F.ceil(F.col("n") / MEMBERS).cast("int").alias("copies"))
+    members = table.join(groups.hint("merge"), ["print", "n_bytes"]).select("doc_id", "text_sha256", "print", "n_bytes", "first", F.ceil(F.col("n") / MEMBERS).cast("int").alias("copies"))
     members, texts = materialise(members.distinct(), "members"), rows(docs)
     own = texts.join(members, same_row(texts, members)).select(texts["doc_id"], texts["text_sha256"], "text", "print", "n_bytes", "first", "copies")
     own = materialise(own.withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_sha256") == F.col("first.text_sha256"))), "texts")  # texts are shuffled once
@@ -140,7 +140,7 @@ def classes(docs: DataFrame) -> DataFrame:
     groups, rounds = _groups(table), []
     odd = _different(docs, table, groups)
     if odd.isEmpty():
-        joined = table.join(groups, ["print", "n_bytes"], "left")
+        joined = table.join(groups.hint("merge"), ["print", "n_bytes"], "left")
         return joined.select("doc_id", "text_sha256", "keep_id", F.col("n").alias("group_size"))
     while not odd.isEmpty():  # equal fingerprints of different texts: those that differ from the first are compared among themselves
         rounds.append(odd.withColumn("variant", F.lit(len(rounds) + 1)))
@@ -152,7 +152,7 @@ def classes(docs: DataFrame) -> DataFrame:
     split = table.join(later, same_row(table, later), "left").select(table["*"], F.coalesce("variant", F.lit(0)).alias("variant"))
     keys = ["print", "n_bytes", "variant"]
     groups = materialise(split.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id")).filter("group_size > 1"), "groups")
-    return split.join(groups, keys, "left").select("doc_id", "text_sha256", "keep_id", "group_size")
+    return split.join(groups.hint("merge"), keys, "left").select("doc_id", "text_sha256", "keep_id", "group_size")
 
 
 def duplicates(docs: DataFrame) -> DataFrame:

@@ -65,8 +65,9 @@ NEGATIVE_ROWS = 500
 #: Lines of such a row and characters of a line that are learned from, and lines of a window. Scans have no such bounds.
 NEGATIVE_LINES, NEGATIVE_CHARS, NEGATIVE_WINDOW = 50, 2_000, 3
 EPOCHS, RATE, RIDGE = 300, 1.0, 1e-4
+TEMPERATURES = (0.25, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0)
 #: A paragraph with a probability below this for every family, but likelier a licence than not, is `unknown`.
-SURE = 0.6
+SURE = 0.4
 #: Words of a template shingle, and the share of a template's shingles that confirms it.
 SHINGLE, SIMILAR = 5, 0.8
 
@@ -80,7 +81,7 @@ def words(text: str) -> list[str]:
 
 
 def ngrams(found: list[str]) -> set:
-    return {*found, *zip(found, found[1:]), *zip(found, found[1:], found[2:])}
+    return {*zip(found, found[1:]), *zip(found, found[1:], found[2:])}
 
 
 def shingles(found: list[str], size: int = SHINGLE) -> set:
@@ -120,8 +121,9 @@ class Classifier:
         return z / z.sum()
 
     @cached_property
-    def single(self) -> set[str]:
-        return {g for g in self.vocabulary if isinstance(g, str)}
+    def blank(self) -> bool:
+        """Whether a paragraph without any known n-gram is `none`, as it is unless the corpus had nothing to learn from."""
+        return bool(self.probabilities([])[0] >= 0.5)
 
     @cached_property
     def longest(self) -> int:
@@ -182,35 +184,52 @@ class Classifier:
 
 
 def fit(negatives: list[str]) -> Classifier:
-    """Learns the templates' variants against paragraphs of the corpus that hold no template; every fifth one calibrates."""
+    """Learns the templates' variants against paragraphs of the corpus that hold no template.
+
+    A first fit leaves every fourth statement out, with all its variants, and every fourth paragraph; the temperature is
+    that with which it tells those statements from those paragraphs best. Then all are learned. So a statement that is
+    new to the model gets its due probability of being a licence, and is `unknown` if no family is sure.
+    """
     templates = [(name, shingles(words(t))) for name, some in TEMPLATES.items() for t in some]
-    classes = [NONE, *TEMPLATES]
-    rows = [(ngrams(words(v)), classes.index(name)) for name, some in TEMPLATES.items() for t in some for v in variants(t)]
+    classes, fold = [NONE, *TEMPLATES], 0
+    rows, folds = [(set(), 0)], [0]
+    for name, some in TEMPLATES.items():
+        for t in some:
+            fold += 1
+            rows += [(ngrams(words(v)), classes.index(name)) for v in variants(t)]
+            folds += [fold] * (len(rows) - len(folds))
     vocabulary = {g: k for k, g in enumerate(sorted({g for grams, _ in rows for g in grams}, key=str))}
-    for text in negatives:
+    for k, text in enumerate(negatives):
         found = words(text)
         if not any(overlap(found, t) >= 0.5 for _, t in templates):
             rows.append((ngrams(found), 0))
-    rows.append((set(), 0))
+            folds.append(k)
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
     for k, (grams, _) in enumerate(rows):
         x[k, [vocabulary[g] for g in grams if g in vocabulary]] = 1
     y = np.eye(len(classes), dtype=np.float32)[[c for _, c in rows]]
-    share = 1 / np.maximum(y.sum(axis=0), 1) @ y.T  # classes count alike
+    share = 1 / np.maximum(y.sum(axis=0), 1) @ y.T  # families count alike, and `none` as much as all of them
+    share[y[:, 0] > 0] *= len(TEMPLATES)
     share *= len(rows) / share.sum()
-    held = np.arange(len(rows)) % 5 == 4
-    weights, bias = np.zeros((len(vocabulary), len(classes)), np.float32), np.zeros(len(classes), np.float32)
-    fit_x, fit_y, fit_share = x[~held], y[~held], share[~held, None]
+    held = np.array(folds) % 4 == 3
+    weights, bias = _descend(x[~held], y[~held], share[~held])
+    none, z = y[held, 0] > 0, x[held] @ weights + bias
+    losses = {}
+    for t in TEMPERATURES:
+        p = np.clip(_softmax(z / t)[:, 0].astype(float), 1e-6, 1 - 1e-6)
+        losses[t] = -float((np.log(np.where(none, p, 1 - p)) * share[held]).sum())
+    return Classifier(classes, vocabulary, *_descend(x, y, share), min(losses, key=losses.get), templates)
+
+
+def _descend(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    weights, bias = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     step = np.zeros_like(weights)
     for _ in range(EPOCHS):
-        p = _softmax(fit_x @ weights + bias)
-        wrong = (fit_y - p) * fit_share
-        step = 0.9 * step + fit_x.T @ wrong / len(fit_x) - RIDGE * weights
+        wrong = (y - _softmax(x @ weights + bias)) * share[:, None]
+        step = 0.9 * step + x.T @ wrong / len(x) - RIDGE * weights
         weights += RATE * step
-        bias += RATE * wrong.sum(axis=0) / len(fit_x)
-    z = x[held] @ weights + bias
-    loss = {t: -float((np.log(np.maximum((_softmax(z / t) * y[held]).sum(axis=1), 1e-9)) * share[held]).sum()) for t in (0.25, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0)}
-    return Classifier(classes, vocabulary, weights, bias, min(loss, key=loss.get), templates)
+        bias += RATE * wrong.sum(axis=0) / len(x)
+    return weights, bias
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -218,15 +237,15 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def _may_be(found: list[str], model: Classifier, single: set[str]) -> bool:
-    """Words that know no two adjacent words of any template have no n-gram beyond single words."""
-    return sum(w in single for w in found) >= 2 and any(pair in model.vocabulary for pair in zip(found, found[1:]))
+def _may_be(found: list[str], model: Classifier) -> bool:
+    """Without a known pair of words there is no known n-gram: then the classifier's answer is always the same one."""
+    return not model.blank or any(pair in model.vocabulary for pair in zip(found, found[1:]))
 
 
-def _paragraph(lines: list[list[str]], model: Classifier, single: set[str]) -> list[tuple[int, int, str, float, float]]:
+def _paragraph(lines: list[list[str]], model: Classifier) -> list[tuple[int, int, str, float, float]]:
     """(first line, last line, family, probability, confirmation) of a paragraph, given the words of its lines."""
     every = [w for line in lines for w in line]
-    if not _may_be(every, model, single):
+    if not _may_be(every, model):
         return []
     owner = [k for k, line in enumerate(lines) for _ in line]
     joined = lambda i, j: [w for line in lines[i : j + 1] for w in line]
@@ -247,7 +266,7 @@ def _paragraph(lines: list[list[str]], model: Classifier, single: set[str]) -> l
     taken = {k for i, j, *_ in sure for k in range(i, j + 1)}
     alone = []
     for k, line in enumerate(lines):
-        if k not in taken and _may_be(line, model, single) and (found := model.judged(line))[0] != NONE:
+        if k not in taken and _may_be(line, model) and (found := model.judged(line))[0] != NONE:
             if alone and alone[-1][1] == k - 1 and alone[-1][2] == found[0] == UNKNOWN:
                 alone[-1] = (alone[-1][0], k, UNKNOWN, max(alone[-1][3], found[1]), max(alone[-1][4], found[2]))
             else:
@@ -259,14 +278,14 @@ def _paragraph(lines: list[list[str]], model: Classifier, single: set[str]) -> l
         while i not in taken and j + 1 < len(lines) and j + 1 not in taken and n + len(lines[j + 1]) <= model.longest:
             j += 1
             n += len(lines[j])
-        if j > i and _may_be(window := joined(i, j), model, single) and (found := model.judged(window))[0] != NONE:
+        if j > i and _may_be(window := joined(i, j), model) and (found := model.judged(window))[0] != NONE:
             alone.append((i, j, *found))
             i = j
         i += 1
     return sorted(sure + alone)
 
 
-def scan(text: str, model: Classifier, single: set[str]) -> tuple[int, list[tuple[int, int, str, float, float]]]:
+def scan(text: str, model: Classifier) -> tuple[int, list[tuple[int, int, str, float, float]]]:
     """How many paragraphs there are, and (start, end, family, probability, confirmation) of their lines that aren't `none`.
 
     A paragraph is a run of lines with a word in them; comment marks aren't words. Its statements are the windows of lines
@@ -282,7 +301,7 @@ def scan(text: str, model: Classifier, single: set[str]) -> tuple[int, list[tupl
             lines.append(mine)
         elif lines:
             n += 1
-            found += [(spans[i][0], spans[j][1], *rest) for i, j, *rest in _paragraph(lines, model, single)]
+            found += [(spans[i][0], spans[j][1], *rest) for i, j, *rest in _paragraph(lines, model)]
             spans, lines = [], []
         at += len(line) + 1
     return n, found
@@ -296,7 +315,7 @@ def _scan_batches(model: Classifier):
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for text in batch.column("text"):
-                n, found = scan(text.as_py(), model, model.single)
+                n, found = scan(text.as_py(), model)
                 best = max(found, key=lambda x: (x[2] != UNKNOWN, x[3], -x[0]), default=(0, 0, NONE, 0.0, 0.0))
                 for column, value in zip(rows, (n, sum(x[2] != UNKNOWN for x in found), best[2], best[3], ",".join(f"{x[2]}:{x[0]}:{x[1]}" for x in found)), strict=True):
                     column.append(value)

@@ -18,8 +18,9 @@ from .common import documents, materialise, text_or_empty
 
 LENGTH = 1024
 END = 2
-#: Pieces of one length are numbered in groups of about so many, and their numbers then shifted.
-GROUP = 200_000
+#: Pieces of one length are numbered in groups, whose numbers are then shifted: SPREAD groups if there are as many times
+#: LEAST pieces, and no more than about GROUP pieces in each.
+GROUP, SPREAD, LEAST = 200_000, 64, 256
 SPECIAL = {"<|endoftext|>": 50256}
 
 
@@ -160,7 +161,7 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     short, counts = table.filter(F.col("length") < length), np.zeros(length + 1, np.int64)
     for size, n in short.groupBy("length").agg(F.count(F.lit(1))).collect():  # a row for each length
         counts[size] = n
-    groups = F.from_json(F.lit(json.dumps(np.maximum(1, counts // GROUP).tolist())), "array<bigint>")
+    groups = F.from_json(F.lit(json.dumps(np.maximum(np.clip(counts // LEAST, 1, SPREAD), counts // GROUP).tolist())), "array<bigint>")
     short = short.withColumn("group", F.pmod("salt", F.get(groups, F.col("length").cast("int"))))
     sizes = short.groupBy("length", "group").agg(F.count(F.lit(1)).alias("n"))
     above = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)  # a row for each group of GROUP rows

@@ -21,11 +21,16 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 KINDS = ("assign", "access", "hex", "novel")
-#: Candidates of the novelty measure: a run of key characters that holds a digit, or a value after an inner `=` of it.
+#: Candidates of the novelty measure: runs of key characters, or the values after an inner `=` of them.
 CANDIDATE, VALUE, CANDIDATE_LEAST = r"[A-Za-z0-9+/_=-]{16,}", r"[^=]+(?:=+$)?", 16
-#: What makes its surroundings sensitive, in the characters just before it.
+#: A value right after a name; if the name is sensitive, a shorter value with a digit is a candidate too.
+ASSIGNED, ASSIGNED_LEAST = r"""(?:=>|[:=])\s{0,4}["']?([A-Za-z0-9+/_-]{8,}(?:=+(?![A-Za-z0-9+/_=-]))?)""", 8
+#: What makes its surroundings sensitive, in the characters just before and after it.
 SENSITIVE = r"(?i)secret|token|passw|passphrase|credential|api.?key|access.?key|private.?key|auth|bearer|signature|session"
-BEFORE = 48
+NAME = rf"""(?:{SENSITIVE[4:]})[\w.-]*["']?\s{{0,4}}$"""
+BEFORE, AFTER = 48, 24
+#: Letters alone look random if their case changes at this share of places; words and names in camel case change less often.
+LEAST_CHANGES = 0.45
 #: Code on either side that the compressor has seen already.
 AROUND = 1024
 #: Marginal bytes for each character. Random hex takes about 0.5, random base64 0.75; known words and names take less.
@@ -58,6 +63,7 @@ class Scanner:
         self.assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
         self.access, self.hex = re.compile(ACCESS), re.compile(HEX)
         self.candidate, self.value, self.sensitive = re.compile(CANDIDATE), re.compile(VALUE), re.compile(SENSITIVE, re.ASCII)
+        self.assigned, self.name = re.compile(ASSIGNED), re.compile(NAME, re.ASCII | re.IGNORECASE)
         self.identifiers, self.least_novelty = " ".join(identifiers).encode(), least_novelty
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
@@ -93,36 +99,63 @@ class Scanner:
 
         A name before `=` counts as context of its value. A run none of whose values is found is a candidate itself.
         """
-        found, k = [], 0
+        found = [m.span(1) for m in self.assigned.finditer(text) if self.is_assigned(text, *m.span(1))] if ":" in text or "=" in text else []
+        found = [span for span in found if not any(s < span[1] and span[0] < e for s, _, e in base)]
+        known, k = sorted([*base, *((a, 3, b) for a, b in found)]), 0
         for m in self.candidate.finditer(text):
             first, last = m.span()
-            if not any(c.isdigit() for c in m[0]):
-                continue
-            while k < len(base) and base[k][2] <= first:
+            while k < len(known) and known[k][2] <= first:
                 k += 1
-            near = list(takewhile(lambda b: b[0] < last, islice(base, k, None)))
+            near = list(takewhile(lambda b: b[0] < last, islice(known, k, None)))
             values = [(first + start, first + end) for start, end in self.candidates(m[0])]
             finds = [span for span in values if self.is_novel(text, *span, near)]
             if not finds and (first, last) not in values and self.is_novel(text, first, last, near):
                 finds = [(first, last)]
-            found += [(start, 3, end) for start, end in finds]
-        return found
+            found += finds
+        return [(start, 3, end) for start, end in found]
+
+    def is_assigned(self, text: str, start: int, end: int) -> bool:
+        """Whether a sensitive name stands right before, and the value doesn't compress; without a digit it must be long."""
+        value = text[start:end]
+        if not (any(map(str.isdigit, value)) or len(value) >= CANDIDATE_LEAST) or len(value.rstrip("=")) < ASSIGNED_LEAST:
+            return False
+        at = start - 1 if text[start - 1] in "\"'" else start
+        before = text[max(0, at - BEFORE) : at].rstrip().rstrip("=:>")
+        return bool(self.name.search(before)) and self.novelty(text, start, end) >= self.least_novelty
 
     def is_novel(self, text: str, start: int, end: int, near: list[tuple[int, int, int]]) -> bool:
-        if any(s < end and start < e for s, _, e in near) or not any(c.isdigit() for c in text[start:end]):
+        if any(s < end and start < e for s, _, e in near) or not looks_random(text[start:end]):
             return False
-        return bool(self.sensitive.search(text, max(0, start - BEFORE), start)) and self.novelty(text, start, end) >= self.least_novelty
+        if not self.sensitive.search(text, max(0, start - BEFORE), start) and not self.sensitive.search(text, end, end + AFTER):
+            return False
+        return self.novelty(text, start, end) >= self.least_novelty
+
+    def measured(self, text: str, spans: list[tuple[int, int, int]]) -> list[float]:
+        """The novelty of each span: that of its value, for a name with its value."""
+        out = []
+        for start, kind, end in spans:
+            first, last = self.assign.match(text, start).span(2) if kind == 0 else (start, end)
+            out.append(self.novelty(text, first, last))
+        return out
 
     def scan(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         base = self.base(text)
         return base, sorted(base + self.novel(text, base))
 
 
+def looks_random(value: str) -> bool:
+    """A digit, or letters whose case changes again and again."""
+    if any(map(str.isdigit, value)):
+        return True
+    changes = sum(a.islower() != b.islower() for a, b in zip(value, value[1:]))
+    return changes >= LEAST_CHANGES * len(value)
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long"
+SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long, novelty string"
 
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,16 +166,18 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for text in batch.column("text"):
             base, spans = scanner.scan(text.as_py())
             kinds = [kind for _, kind, _ in spans]
-            for column, value in zip(rows, (kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), kinds.count(3)), strict=True):
+            for column, value in zip(rows, (kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), kinds.count(3), ",".join(f"{x:.3f}" for x in scanner.measured(text.as_py(), spans))), strict=True):
                 column.append(value)
-        kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+        kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(rows, kinds, strict=True))], names)
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_novel for each row of docs; a null text is empty.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_novel, novelty for each row of docs; a null text is empty.
 
-    spans joins kind:start:end by start, then kind; a text without any has the empty string.
+    spans joins kind:start:end by start, then kind; a text without any has the empty string. novelty joins the marginal
+    compressed bytes a character of all spans, base ones too, in the same order. Repeated rows have a row each; very long texts are
+    scanned whole.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_scan_batches, SCHEMA)
 

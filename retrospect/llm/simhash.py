@@ -18,8 +18,10 @@ BITS = 64
 SHINGLE = 4
 SEED = 42
 DISTANCE = 4
-#: A key with more fingerprints than this, guests included, is linked through shared neighbours instead of pair by pair.
+#: A key with more fingerprints of its own than this is linked through shared neighbours instead of pair by pair.
 DENSE = 4096
+#: More parts than a plan has.
+PARTS = 64
 #: Groups up to this size are compared by shifts of the sorted block.
 SMALL = 32
 
@@ -240,9 +242,10 @@ def _link_batches(distance: int):
 def close_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """a, b: links between distinct fingerprints (column print) that join just those within `distance` bits of a chain.
 
-    Keys under which more than DENSE fingerprints lie, as owners or guests, are handled apart: two fingerprints lie
-    within 2r bits just if some value lies within r bits of both, so each is put under all values near it and tied to the
-    least there. So no task holds more than DENSE of one key. ValueError for an odd distance.
+    Keys that more than DENSE fingerprints own are handled apart: two fingerprints lie within 2r bits just if some value
+    lies within r bits of both, so each is put under all values near it and tied to the least there. If a key has more
+    guests than that, they are dealt to several copies of its owners. So no task holds more than DENSE owners and about as many
+    guests of one key. ValueError for an odd distance.
     """
     if distance % 2:
         raise ValueError("the distance must be even")
@@ -251,14 +254,20 @@ def close_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         return prints.select(F.col("print").alias("a"), F.col("print").alias("b")).filter("false")
     plan = plan_search(n, together, distance)
     rows = probes(prints, plan)
-    sizes = rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.max("owner").alias("owned"))
-    dense = materialise(sizes.filter((F.col("n") > DENSE) & F.col("owned")).select("part", "key"), "dense")
+    sizes = rows.groupBy("part", "key").agg(F.count_if("owner").alias("owners"), F.count_if(~F.col("owner")).alias("guests"))
+    sizes = materialise(sizes.filter((F.col("owners") > DENSE) | (F.col("guests") > DENSE) & (F.col("owners") > 0)), "crowded")
+    dense, visited = sizes.filter(F.col("owners") > DENSE).select("part", "key"), sizes.filter(F.col("owners") <= DENSE)
     crowded = not dense.isEmpty()
-    sparse = rows.join(dense, ["part", "key"], "left_anti") if crowded else rows
+    sparse = rows.join(dense.hint("merge"), ["part", "key"], "left_anti") if crowded else rows
+    if not visited.isEmpty():
+        copies = visited.select("part", "key", F.ceil(F.col("guests") / DENSE).cast("int").alias("copies"))
+        dealt = sparse.join(copies.hint("merge"), ["part", "key"], "left")
+        copy = F.when(F.col("copies").isNull(), F.array(F.lit(0))).when(F.col("owner"), F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array(F.pmod(F.xxhash64("print"), F.col("copies")).cast("int")))
+        sparse = dealt.select("part", "key", "print", "owner", F.explode(copy).alias("copy")).select((F.col("part") + F.col("copy") * PARTS).alias("part"), "key", "print", "owner")
     links = sparse.repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(_link_batches(distance), "a long, b long")
     if crowded:
         near = F.array(*[F.lit(x).cast("long") for x in [0, *_flips((1 << BITS) - 1, distance // 2)]])
-        held = rows.join(dense, ["part", "key"], "left_semi").select("print").distinct()
+        held = rows.join(dense.hint("merge"), ["part", "key"], "left_semi").select("print").distinct()
         around = held.select("print", F.explode(near).alias("flip")).select("print", F.col("print").bitwiseXOR(F.col("flip")).alias("at"))
         least = around.groupBy("at").agg(F.min("print").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("at", "a")
         links = links.union(around.join(least, "at").filter("print != a").select("a", F.col("print").alias("b")).distinct())
@@ -274,9 +283,9 @@ def linked(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     joined = nodes.join(parts, nodes["print"] == parts["node"], "left").select("print", F.coalesce("component", "print").alias("component"), "least")
     joined = materialise(joined, "components")
     least = materialise(joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "least")
-    where = joined.join(least, "component", "left").select("print", "component", F.coalesce("component_id", "least").alias("component_id"))
-    # written, so that Spark can split the rows of one fingerprint when they are joined with it
-    return table.join(materialise(where, "where"), "print")
+    where = joined.join(least.hint("merge"), "component", "left").select("print", "component", F.coalesce("component_id", "least").alias("component_id"))
+    # written and merged, so that Spark can split the rows of one fingerprint when they are joined with it
+    return table.join(materialise(where, "where").hint("merge"), "print")
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:

@@ -175,7 +175,7 @@ def test_simhash(docs):
     assert got == {i: (f"{p:016x}", want[i]) for i, p in prints.items()}
 
 
-@pytest.mark.parametrize("dense", [4096, 3])
+@pytest.mark.parametrize("dense", [4096, 40, 12, 3])
 def test_close_pairs_lose_no_link(spark, monkeypatch, dense):
     monkeypatch.setattr(simhash, "DENSE", dense)
     rng = np.random.default_rng(5)
@@ -349,6 +349,45 @@ def test_novelty_of_repeated_values(length):
     assert s.scan(words)[1] == []
 
 
+def _planted(seed):
+    """Lines with a secret that no base kind has, and lines that look alike without one."""
+    rng = np.random.default_rng(seed)
+    key = lambda n, a="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(rng.choice(list(a), n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    good = [f"Authorization: Bearer {key(32)}", f"session_id={key(12)}5", f"credential = '{key(20, letters)}'", f"private key {key(44)} was lost", f"{key(24)} is the signature", f"auth => \"{key(10)}7\"", f"passphrase: {key(18)}", f"bearer {key(24, letters)}"]
+    bad = [f"the session of {prose(seed, 6)}", "signature: pending", "session: introduction to authorization", f"commit {key(30)} of the garden", "bearer getElementsByTagNameOfDocument", "auth: required", "credential = your_secret_here", f"river {key(20)} stone"]
+    return good, bad
+
+
+def test_planted_secrets_are_found_and_others_left_alone():
+    s, found, wrong, n, m = secrets.Scanner(), 0, 0, 0, 0
+    for seed in range(60):
+        good, bad = _planted(seed)
+        for line in good:
+            text = f"{prose(seed, 30)}\n{line}\n{prose(seed + 1, 30)}"
+            found += len(s.scan(text)[1]) == 1
+            n += 1
+        for line in bad:
+            wrong += len(s.scan(f"{prose(seed, 30)}\n{line}\n{prose(seed + 1, 30)}")[1])
+            m += 1
+    print("recall", found / n, "false", wrong / m)
+    assert found >= 0.97 * n and wrong <= 0.02 * m
+
+
+def test_base_spans_against_brute_force():
+    rng = np.random.default_rng(3)
+    parts = ["password", "Secret", "api_key", "apikey", "token", "=", ":", " ", '"', "'", "abcdef", "x-1", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "feedface", "\n", "é"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts, int(rng.integers(1, 30))))
+        want = []
+        assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+        for kind, pattern, passes in ((0, assign, lambda m: len(m[2]) >= 6), (1, "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), (2, "[0-9a-f]+", lambda m: len(m[0]) >= 24)):
+            want += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, re.ASCII | (re.IGNORECASE if kind == 0 else 0)) if passes(m)]
+        assert secrets.Scanner().base(text) == sorted(want)
+        base, spans = secrets.Scanner().scan(text)
+        assert set(base) <= set(spans) and len(secrets.Scanner().measured(text, spans)) == len(spans)
+
+
 def test_redact(docs):
     out = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
     assert out[9]["text"] == '[SECRET]" and [SECRET]' and out[9]["n_chars"] == len(out[9]["text"])
@@ -527,29 +566,39 @@ def test_wrapped_licences(family, notice, at, mark):
     block = "\n".join(mark + line for line in notice.split("\n"))
     for before, after in (("", ""), (prose(6, 60).replace(". ", ".\n") + "\n", "\n" + prose(7, 30)), ("x = 1\n\n", "\n\ny = 2")):
         text = before + block + after
-        found = [(start, end) for start, end, got, _, _ in licences.scan(text, model, model.single)[1] if got != licences.UNKNOWN]
-        assert [x[2] for x in licences.scan(text, model, model.single)[1] if x[2] != licences.UNKNOWN] == [family], text
+        found = [(start, end) for start, end, got, _, _ in licences.scan(text, model)[1] if got != licences.UNKNOWN]
+        assert [x[2] for x in licences.scan(text, model)[1] if x[2] != licences.UNKNOWN] == [family], text
         start = len(before) + sum(len(mark + line) + 1 for line in notice.split("\n")[:at])
         assert found[0][0] == start and found[0][1] <= len(before + block)
 
 
 def test_wrapped_licences_twice_and_narrow():
     model = licences.fit([prose(k, 20) for k in range(200)])
-    found = licences.scan(f"{BSD}\n{GPL}\n{BSD}", model, model.single)[1]
+    found = licences.scan(f"{BSD}\n{GPL}\n{BSD}", model)[1]
     assert [x[2] for x in found if x[2] != licences.UNKNOWN] == ["bsd", "gpl-3.0", "bsd"]
     for statement in (t for some in licences.TEMPLATES.values() for t in some):
         narrow = re.sub(r"((?:\S+ ){2}\S+) ", r"\1\n", statement)
-        assert [x[2] for x in licences.scan(narrow, model, model.single)[1]] == [x[2] for x in licences.scan(statement, model, model.single)[1]], narrow
-    assert licences.scan("one\ntwo\n\n *\nthree", model, model.single)[0] == 2
+        assert [x[2] for x in licences.scan(narrow, model)[1]] == [x[2] for x in licences.scan(statement, model)[1]], narrow
+    assert licences.scan("one\ntwo\n\n *\nthree", model)[0] == 2
+
+
+def test_certain_none_is_what_the_classifier_says():
+    """The shortcut passes over no paragraph that the classifier would not call none."""
+    model = licences.fit([prose(k, 20) for k in range(200)])
+    rng, some = np.random.default_rng(5), sorted({w for g in model.vocabulary for w in g})
+    for k in range(2000):
+        found = [*rng.choice(some, int(rng.integers(0, 8))), *rng.choice(WORDS, int(rng.integers(0, 8)))]
+        rng.shuffle(found)
+        if not licences._may_be(found, model):
+            assert model.judged(found)[0] == licences.NONE
 
 
 def test_licence_variants():
     model = licences.fit([prose(k, 20) for k in range(200)])
-    single = {g for g in model.vocabulary if isinstance(g, str)}
     for family, some in licences.TEMPLATES.items():
         for statement in some:
-            assert [x[2] for x in licences.scan(statement, model, single)[1]] == [family], statement
-    vague = licences.scan("this thing is licensed under some other licence of ours", model, single)[1]
+            assert [x[2] for x in licences.scan(statement, model)[1]] == [family], statement
+    vague = licences.scan("this thing is licensed under some other licence of ours", model)[1]
     assert all(x[2] == licences.UNKNOWN for x in vague)
 
 
