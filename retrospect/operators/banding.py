@@ -1,12 +1,14 @@
-"""Joins by time band and by distance, rewritten as equi-joins on buckets and grid cells."""
+"""Counts and sums by time band, from running sums; joins by distance as equi-joins on buckets and grid cells."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOUR = 3600
+
 
 def seconds(column: Column) -> Column:
     """Microseconds since 1970 of a timestamp without zone, as a whole number."""
@@ -26,19 +28,77 @@ def band_pairs(left: DataFrame, right: DataFrame, left_time: str, right_time: st
     return l.join(r, ["_bucket", *keys]).filter(inside).withColumn("_age", F.col("_lt") - F.col("_rt")).drop("_bucket")
 
 
+def running_sums(points: DataFrame, keys: Sequence[str], values: Sequence[str], bucket: int) -> DataFrame:
+    """points with each value summed over the rows of the same keys that come no later, by _at (microseconds), then _turn.
+
+    Sums run within buckets of time (seconds); those of the buckets before are added, of which a key has as many as its
+    time spans. So no task holds more of a busy key than a bucket of it, and no rows are paired.
+    """
+    points = points.withColumn("_bucket", F.floor(F.col("_at") / (bucket * 1_000_000)))
+    totals = points.groupBy(*keys, "_bucket").agg(*[F.sum(v).alias(f"_before_{v}") for v in values])
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_before_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values])
+    so_far = Window.partitionBy(*keys, "_bucket").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    run = points.withColumns({v: F.sum(v).over(so_far) for v in values})
+    run = run.join(totals, [*keys, "_bucket"])
+    return run.withColumns({v: F.col(v) + F.col(f"_before_{v}") for v in values}).drop("_bucket", *[f"_before_{v}" for v in values])
+
+
+def trailing_sums(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: Sequence[str], left_time: str, right_time: str, spans: Mapping[str, int | tuple[int, int]], quantities: Mapping[str, str], closed: bool, bucket: int = 86_400) -> DataFrame:
+    """ids, and {quantity}_{span}: sums over the right rows of the same keys in [left - span, left), or with left if closed.
+
+    A span is a number of seconds, or (months, days). Each sum is what has run up to the left time less what had run up
+    to the span's start, so whole numbers are exact and rows needn't be paired. {span} itself counts the right rows; left
+    rows without any in all spans have no row. Null keys meet nothing.
+    """
+    when = F.col(left_time)
+    start = lambda span: seconds(when) - span * 1_000_000 if isinstance(span, int) else seconds(when - F.make_interval(F.lit(0), F.lit(span[0]), F.lit(0), F.lit(span[1])))
+    point = lambda name, at, turn: F.struct(F.lit(name).alias("span"), at.alias("at"), F.lit(turn).alias("turn"))
+    names = list(dict.fromkeys([*ids, *keys]))
+    values = {"_n": "1", **{f"_q{k}": f"coalesce({v}, 0)" for k, v in enumerate(quantities.values())}}
+    asked = left.select(*names, F.explode(F.array(point("", seconds(when), 2 if closed else 0), *[point(k, start(v), 0) for k, v in spans.items()])).alias("_p"))
+    asked = asked.select(*names, F.col("_p.span").alias("_span"), F.col("_p.at").alias("_at"), F.col("_p.turn").alias("_turn"))
+    given = right.select(*keys, seconds(F.col(right_time)).alias("_at"), F.lit(1).alias("_turn"), *[F.expr(v).alias(k) for k, v in values.items()])
+    points = asked.unionByName(given, allowMissingColumns=True).dropna(subset=[*keys, "_at"]).fillna(0, list(values))
+    run = running_sums(points, keys, list(values), bucket).filter("_span is not null")
+    upto = lambda v, k: F.coalesce(F.sum(F.when(F.col("_span") == k, F.col(v))), F.lit(0))
+    labels = {"_n": "", **dict(zip(list(values)[1:], (f"{q}_" for q in quantities), strict=True))}
+    sums = run.groupBy(*ids).agg(*[(upto(v, "") - upto(v, k)).alias(f"{label}{k}") for k in spans for v, label in labels.items()])
+    return sums.filter(F.greatest(*[F.col(k) for k in spans], F.lit(0)) > 0)
+
+
 def band_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, widths: Mapping[str, int], closed: bool = True, keep_empty: bool = False) -> DataFrame:
-    """left_id and the number of right rows in each trailing band (D6, D7): one join of the widest band serves all.
+    """left_id and the number of right rows in each trailing band (D6, D7), from running counts by the hour.
 
     Left rows without a right row have no row, or counts of 0 with keep_empty.
     """
-    pairs = band_pairs(left.select(left_id, left_time), right.select(F.col(right_time).alias("_r")), left_time, "_r", max(widths.values()), closed)
-    counts = [F.count_if(F.col("_age") <= w * 1_000_000).alias(k) for k, w in widths.items()]
-    out = pairs.groupBy(left_id).agg(*counts)
+    out = trailing_sums(left, right, [left_id], [], left_time, right_time, widths, {}, closed, HOUR)
     if keep_empty:
         out = left.select(left_id).distinct().join(out, left_id, "left").na.fill(0, list(widths))
     return out
 
 
+def band_distinct_counts(left: DataFrame, right: DataFrame, left_id: str, entity: str, left_time: str, right_time: str, widths: Mapping[str, int]) -> DataFrame:
+    """left_id and the number of distinct entities with a right row in each trailing band [left - width, left] (D7 by entity).
+
+    A row stands for its entity from its time until the band leaves it or the entity's next row takes over; the
+    entities at a time are those that have begun less those that have ended.
+    """
+    times = right.select(entity, seconds(F.col(right_time)).alias("_t")).dropna().distinct()
+    times = times.withColumn("_next", F.lead("_t").over(Window.partitionBy(entity).orderBy("_t")))
+    point = lambda k, at, turn, n: F.struct(F.lit(k).alias("span"), at.alias("at"), turn.alias("turn"), F.lit(n).alias("n"))
+    changes = []
+    for k, w in widths.items():
+        leaves = F.col("_t") + w * 1_000_000
+        taken = F.coalesce(F.col("_next") <= leaves, F.lit(False))
+        changes += [point(k, F.col("_t"), F.lit(1), 1), point(k, F.when(taken, F.col("_next")).otherwise(leaves), F.when(taken, F.lit(1)).otherwise(F.lit(3)), -1)]
+    asked = left.select(left_id, F.explode(F.array(*[point(k, seconds(F.col(left_time)), F.lit(2), 0) for k in widths])).alias("_p"))
+    points = asked.unionByName(times.select(F.explode(F.array(*changes)).alias("_p")), allowMissingColumns=True)
+    points = points.select(left_id, F.col("_p.span").alias("_span"), F.col("_p.at").alias("_at"), F.col("_p.turn").alias("_turn"), F.col("_p.n").alias("n")).dropna(subset=["_at"])
+    run = running_sums(points, ["_span"], ["n"], HOUR).filter("_turn = 2")
+    return run.groupBy(left_id).agg(*[F.sum(F.when(F.col("_span") == k, F.col("n"))).alias(k) for k in widths])
+
+
 def radius_pairs(left: DataFrame, right: DataFrame, left_time: str, right_time: str, width: int, radius: float, point: tuple[str, str] = ("lon", "lat"), right_point: tuple[str, str] = ("r_lon", "r_lat")) -> DataFrame:
     """Pairs with left - width <= right < left within the radius (D13, D14), planar, in the unit of the coordinates.
 

@@ -12,10 +12,20 @@ from pyspark.sql import functions as F
 NAME = r"^([A-Za-z]+)_id_(?:(P[0-9][0-9A-Z]*|p[0-9][0-9a-z]*|all)_)?([^_]+)(?:_(.*))?_([A-Za-z]+)$"
 
 
+def _side_by_side(blocks: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Blocks with a row for each key at most, as one table: their rows are shuffled once and put together by key."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), blocks)
+    return rows.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns if c not in keys])
+
+
 def wide_join(dated: Sequence[DataFrame], undated: Sequence[DataFrame], entity: str) -> DataFrame:
-    """All features of each entity and date: full outer joins of the dated blocks, then of the undated ones by entity."""
-    table = reduce(lambda a, b: a.join(b, [entity, "as_of_date"], "outer"), dated)
-    return reduce(lambda a, b: a.join(b, entity, "outer"), undated, table)
+    """All features of each entity and date (O11): dated blocks by entity and date, then undated ones by entity.
+
+    Entities that have just undated features have one row, without a date. However many blocks there are, rows are
+    shuffled for each kind of block once and for one full outer join.
+    """
+    table = _side_by_side(dated, [entity, "as_of_date"])
+    return table.join(_side_by_side(undated, [entity]), entity, "outer") if undated else table
 
 
 def feature_columns(table: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .banding import trailing_sums
+
 #: Added to the count of a proportion, as the surveyed definition has it.
 EPSILON = 0.00001
 
@@ -42,18 +44,12 @@ def responder_history(responders: DataFrame, past: DataFrame, event: str, entity
     """event and {function}_{quantity}_{window}: sums over each responder's past events, then a function over responders.
 
     Past events lie in [time - window, time). A responder counts for a window just if a past event lies in it. All
-    windows and quantities come from one join on the responder.
+    windows and quantities (whole numbers) come from the running sums of each responder's past.
     """
-    widest = max(windows.values(), key=lambda w: w[0] * 31 + w[1])
-    bound = lambda step: F.col(time) - F.make_interval(F.lit(0), F.lit(step[0]), F.lit(0), F.lit(step[1]))
-    joined = responders.select(event, entity, time).join(past, entity).filter((F.col(past_time) < F.col(time)) & (F.col(past_time) >= bound(widest)))
-    sums = []
-    for label, step in windows.items():
-        inside = F.col(past_time) >= bound(step)
-        sums += [F.sum(F.when(inside, F.coalesce(F.expr(v), F.lit(0)))).alias(f"{k}_{label}") for k, v in quantities.items()]
-    each = joined.groupBy(event, entity).agg(*sums)
-    names = [f"{k}_{label}" for label in windows for k in quantities]
-    return each.groupBy(event).agg(*[getattr(F, f)(n).alias(f"{f}_{n}") for f in functions for n in names])
+    ours = past.withColumnRenamed(past_time, "_past") if past_time == time else past
+    each = trailing_sums(responders.select(event, entity, time), ours, [event, entity], [entity], time, "_past" if past_time == time else past_time, windows, quantities, closed=False)
+    known = lambda q, k: F.when(F.col(k) > 0, F.col(f"{q}_{k}"))
+    return each.groupBy(event).agg(*[getattr(F, f)(known(q, k)).alias(f"{f}_{q}_{k}") for f in functions for k in windows for q in quantities])
 
 
 def responder_age(responders: DataFrame, entities: DataFrame, event: str, entity: str, time: str, born: str) -> DataFrame:

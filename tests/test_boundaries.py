@@ -192,3 +192,40 @@ def test_empty_tables(spark):
 def test_importances_leave_out_each_feature(spark, small):
     got = {tuple(r["subset"].split(",")) for r in reports.feature_importances(spark, small).select("subset").distinct().collect()}
     assert got == {tuple(f for f in reports.FEATURES if f != out) for out in reports.FEATURES}
+
+
+def test_trailing_sums_against_pairs(spark):
+    """Ties at either edge, repeated left rows, null keys, several spans."""
+    import random
+
+    rng = random.Random(4)
+    at = lambda h: dt.datetime(2016, 1, 1) + dt.timedelta(hours=h)
+    left = [(rng.randrange(30), rng.choice([1, 2, None]), at(rng.randrange(60))) for _ in range(50)]
+    right = [(rng.choice([1, 2, None]), at(rng.randrange(60)), rng.randrange(9)) for _ in range(80)]
+    l = spark.createDataFrame(left, "id int, e int, t timestamp_ntz")  # noqa: E741
+    r = spark.createDataFrame(right, "e int, r timestamp_ntz, v int")
+    spans = {"a": 3600, "b": 30 * 3600, "c": (0, 2)}
+    length = {"a": dt.timedelta(hours=1), "b": dt.timedelta(hours=30), "c": dt.timedelta(days=2)}
+    for closed in (True, False):
+        got = {r["id"]: r.asDict() for r in banding.trailing_sums(l, r, ["id"], ["e"], "t", "r", spans, {"v": "v"}, closed).collect()}
+        want = {}
+        for i, e, t in left:
+            row = want.setdefault(i, {"id": i, **{k: 0 for s in spans for k in (s, f"v_{s}")}})
+            for f, u, v in right:
+                for s in spans:
+                    if e is not None and e == f and t - length[s] <= u and (u <= t if closed else u < t):
+                        row[s] += 1
+                        row[f"v_{s}"] += v
+        assert got == {i: w for i, w in want.items() if any(w[s] for s in spans)}
+
+
+def test_distinct_entities_in_a_band(spark):
+    import random
+
+    rng = random.Random(7)
+    at = lambda h: dt.datetime(2016, 1, 1) + dt.timedelta(minutes=20 * h)
+    left = [(i, at(rng.randrange(90))) for i in range(40)]
+    right = [(rng.randrange(6), at(rng.randrange(90))) for _ in range(70)]
+    got = banding.band_distinct_counts(spark.createDataFrame(left, "id int, t timestamp_ntz"), spark.createDataFrame(right, "e int, r timestamp_ntz"), "id", "e", "t", "r", {"a": 1200, "b": 7200})
+    want = {i: (len({e for e, u in right if t - dt.timedelta(seconds=1200) <= u <= t}), len({e for e, u in right if t - dt.timedelta(seconds=7200) <= u <= t})) for i, t in left}
+    assert {r["id"]: (r["a"], r["b"]) for r in got.collect()} == want
