@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import product
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import banding, event_features
+
 EPSILON = "0.00001D"
 HOUR, DAY = 3600, 86400
+# Spans, radii, columns, shares and tests of the features, and their names.
 #: Seconds of trailing windows, by how feature names spell them.
 SPANS = {"1Minute": 60, "15Minutes": 900, "30Minutes": 1800, "1Hour": HOUR, "3Hours": 3 * HOUR, "6Hours": 6 * HOUR, "12Hours": 12 * HOUR, "24Hours": DAY, "48Hours": 2 * DAY, "Week": 7 * DAY}
 #: Degrees of radii; each name keeps its own radius, the 1 km features of responders at 24 and 48 hours too.
@@ -84,3 +91,72 @@ def catalogue() -> dict[str, tuple[str, dict]]:
     for mean, radius, span in product(("Average", "Maximum"), ("100m", "500m", "1km"), ("1Hour", "3Hours", "6Hours", "24Hours", "48Hours")):
         out[f"{mean}OfficerDispatchesWithin{radius}RadiusInPast{span}"] = "entity_radius_counts", {"function": MEANS[mean], "seconds": SPANS[span], "radius": RADII[radius]}
     return out
+
+
+#: The staging tables that each family reads, after dispatches.
+FAMILIES = {
+    "outcome_label": ("incidents",), "calendar_parts": (), "attribute": (), "band_counts": ("arrests", "dispatches"), "responder_history": ("responders", "past_incidents"), "responder_age": ("responders", "responding_officers"),
+    "responder_level": ("responders", "responding_officers"), "responder_proportion": ("responders", "responding_officers"), "area_attributes": ("addresses", "tracts"), "radius_counts": ("arrests", "dispatches"), "entity_radius_counts": ("responders",),
+}
+
+
+def build(names: Sequence[str], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """event_id and these features of all dispatches, in one table (D16): each family's features come from one pass.
+
+    tables: dispatches and those that FAMILIES names. Events that a family has no value for have null there.
+    """
+    known = catalogue()
+    hub = tables["dispatches"].filter("event_id is not null")
+    made = [part for family in FAMILIES if (chosen := {n: known[n][1] for n in names if known[n][0] == family}) for part in _family(family, chosen, hub, tables)]
+    return event_features.event_table(hub, made, "event_id").select("event_id", *names)
+
+
+def _responders(hub: DataFrame, tables: Mapping[str, DataFrame], *columns: str) -> DataFrame:
+    return tables["responders"].select("event_id", "officer_id").distinct().join(hub.select("event_id", *columns), "event_id")
+
+
+def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Mapping[str, DataFrame]) -> Iterator[DataFrame]:
+    """Tables of event_id and features, one for each pass that the chosen features of a family need."""
+    renamed = lambda t, columns: t.select("event_id", *[F.col(old).alias(new) for new, old in columns.items()])
+    groups = lambda key: {k: {n: p for n, p in chosen.items() if p.get(key) == k} for k in dict.fromkeys(p.get(key) for p in chosen.values())}
+    time = "event_datetime"
+    match family:
+        case "outcome_label":
+            for name, p in chosen.items():
+                yield event_features.outcome_label(hub.select("event_id"), tables["incidents"], "event_id", "event_id", p["value"], name)
+        case "calendar_parts":
+            yield renamed(event_features.calendar_parts(hub, "event_id", time, [p["part"] for p in chosen.values()]), {n: p["part"] for n, p in chosen.items()})
+        case "attribute":
+            for only, some in groups("only").items():
+                rows = hub.filter(only) if only else hub
+                yield rows.groupBy("event_id").agg(*[F.expr(p["value"]).alias(n) for n, p in some.items()])
+        case "band_counts":
+            for (events, flag), some in {(p["events"], p["flag"]): {n: q for n, q in chosen.items() if (q["events"], q["flag"]) == (p["events"], p["flag"])} for p in chosen.values()}.items():
+                right = tables[events].filter(flag) if flag else tables[events]
+                yield banding.band_counts(hub, right.select(F.col(time).alias("past")), "event_id", time, "past", {n: p["seconds"] for n, p in some.items()})
+        case "responder_history":
+            windows = {f"{m}m": (m, d) for m, d in dict.fromkeys(p["window"] for p in chosen.values())}
+            values = dict.fromkeys(p["value"] for p in chosen.values())
+            functions = list(dict.fromkeys(p["function"] for p in chosen.values()))
+            made = event_features.responder_history(_responders(hub, tables, time), tables["past_incidents"], "event_id", "officer_id", time, "report_date", {v: v for v in values}, windows, functions)
+            yield renamed(made, {n: f"{p['function']}_{p['value']}_{p['window'][0]}m" for n, p in chosen.items()})
+        case "responder_age":
+            yield renamed(event_features.responder_age(_responders(hub, tables, time), tables["responding_officers"], "event_id", "officer_id", time, "date_of_birth"), {n: f"{p['function']}_age" for n, p in chosen.items()})
+        case "responder_level":
+            made = event_features.responder_level(_responders(hub, tables), tables["responding_officers"], "event_id", "officer_id", "education_level_code")
+            yield renamed(made, {n: f"{'highest' if p['function'] == 'max' else 'lowest'}_education_level_code" for n, p in chosen.items()})
+        case "responder_proportion":
+            for column, some in groups("column").items():
+                yield event_features.responder_proportion(_responders(hub, tables), tables["responding_officers"], "event_id", "officer_id", column, {n: p["test"] for n, p in some.items()})
+        case "area_attributes":
+            yield event_features.area_attributes(hub, tables["addresses"], tables["tracts"], "event_id", "address_id", "tract_id", {n: p["value"] for n, p in chosen.items()})
+        case "radius_counts":
+            for events, some in groups("events").items():
+                yield banding.radius_counts(hub, tables[events], "event_id", time, time, {n: (p["seconds"], p["radius"]) for n, p in some.items()})
+        case "entity_radius_counts":
+            sites = _responders(hub, tables, time, "lon", "lat")
+            bands = dict.fromkeys((p["seconds"], p["radius"]) for p in chosen.values())
+            labels = {b: f"b{k}" for k, b in enumerate(bands)}
+            functions = {f: f for f in dict.fromkeys(p["function"] for p in chosen.values())}
+            made = banding.entity_radius_counts(sites, sites, "event_id", "officer_id", time, time, {labels[b]: b for b in bands}, functions)
+            yield renamed(made, {n: f"{p['function']}_{labels[p['seconds'], p['radius']]}" for n, p in chosen.items()})

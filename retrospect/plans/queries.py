@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import features, outcomes, reports
+from . import catalogue, features, outcomes, reports
 
-QUERIES = {**features.QUERIES, **outcomes.QUERIES, **reports.QUERIES}
-SQL = {**features.SQL, **outcomes.SQL, **reports.SQL}
+QUERIES = {**features.QUERIES, **outcomes.QUERIES, **reports.QUERIES, **catalogue.QUERIES}
+SQL = {**features.SQL, **outcomes.SQL, **reports.SQL, **catalogue.SQL}
