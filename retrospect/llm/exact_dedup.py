@@ -120,8 +120,9 @@ def _different(docs: DataFrame, table: DataFrame, groups: DataFrame) -> DataFram
 
     A large group meets several copies of its first text, so no task holds a whole group.
     """
-    members = table.join(groups.hint("merge"), ["print", "n_bytes"]).select("doc_id", "text_sha256", "print", "n_bytes", "first", F.ceil(F.col("n") / MEMBERS).cast("int").alias("copies"))
-    members, texts = materialise(members.distinct(), "members"), rows(docs)
+    named = table.select("doc_id", "text_sha256", "print", "n_bytes").distinct()
+    members = named.join(groups.hint("merge"), ["print", "n_bytes"]).select(*named.columns, "first", F.ceil(F.col("n") / MEMBERS).cast("int").alias("copies"))
+    members, texts = materialise(members, "members"), rows(docs)
     own = texts.join(members, same_row(texts, members)).select(texts["doc_id"], texts["text_sha256"], "text", "print", "n_bytes", "first", "copies")
     own = materialise(own.withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_sha256") == F.col("first.text_sha256"))), "texts")  # texts are shuffled once
     first = own.filter("is_first").dropDuplicates(["print", "n_bytes"]).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
