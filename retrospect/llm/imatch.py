@@ -16,8 +16,11 @@ LOWER, UPPER = 3.0, 7.0
 #: One in so many terms of the band is in each random lexicon (powers of two). Small lexicons outlast large edits; the
 #: first has all terms, as the method has it without random lexicons.
 SHARES = (1, *[32] * 3, *[64] * 6, *[128] * 8, *[256] * 9, *[512] * 5)
-#: Neighbours by doc_id lie in ranges of about so many rows, and there are so many ranges at most.
-RANGE, RANGES = 1000, 4096
+#: Neighbours by doc_id lie in ranges of about RANGE rows. Beyond RANGES ranges they hold more rows each, which are sorted on
+#: disk. Bounds of ranges come from about SAMPLE ids for each: they only balance the ranges, any bounds give the same result.
+RANGE, RANGES, SAMPLE = 1000, 65_536, 64
+#: The band of idf holds no more terms than this; the lexicon is part of the plan.
+LEXICON = 2_000_000
 WORD = r"[^\s\p{P}\p{S}]+"
 
 
@@ -27,11 +30,17 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, lower: float = LOWER, upper: float = UPPER) -> list[int]:
-    """The terms whose document frequency over all rows of docs lies in the band; those of one row only are left out."""
+    """The terms whose document frequency over all rows of docs lies in the band; those of one row only are left out.
+
+    ValueError if they are more than LEXICON, which takes over 1,800 distinct terms a document: then the band is too wide.
+    """
     n = docs.count()
     counted = docs.select(F.explode(terms(text_or_empty())).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     band = counted.filter(F.col("n").between(max(2.0, n * math.exp(-upper)), max(2.0, n * math.exp(-lower))))
-    return [r["term"] for r in band.select("term").collect()]
+    found = band.select("term").limit(LEXICON + 1).toArrow()["term"].to_pylist()
+    if len(found) > LEXICON:
+        raise ValueError(f"more than {LEXICON} terms in the band")
+    return found
 
 
 def in_lexicon(band: list[int]):
@@ -80,11 +89,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def id_range(docs: DataFrame) -> Column:
-    """The number of doc_id's range: quantiles of all ids bound the ranges, RANGES at most; null ids are in range -1."""
-    n = min(RANGES, max(1, docs.count() // RANGE))
-    bounds = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)).first()[0] if n > 1 else []
+    """The number of doc_id's range: quantiles of sampled ids bound the ranges; null ids are in range -1."""
+    rows = max(1, docs.count())
+    n = min(RANGES, max(1, rows // RANGE))
+    ids = docs.select("doc_id").sample(min(1.0, SAMPLE * n / rows), seed=7)
+    bounds = ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)).first()[0] if n > 1 else []
     held = F.from_json(F.lit(json.dumps(sorted(set(bounds or [])))), "array<bigint>")
-    steps = F.array(*[F.lit(1 << k) for k in range(12, -1, -1)])
+    steps = F.array(*[F.lit(1 << k) for k in range(RANGES.bit_length() - 1, -1, -1)])
     found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(held, at + step - 1) <= F.col("doc_id"), at + step).otherwise(at))
     return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(found)
 
@@ -108,14 +119,16 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row of docs.
 
     The edited text has its last quarter of characters replaced by the first as many of the next document. Null texts
-    are empty. Next is by ascending doc_id, null first, then by the hash of the text; a lone row is next to itself.
+    are empty. Next is by ascending doc_id, null first, then by the hash of the text; a lone row is next to itself. Repeated rows are
+    each other's neighbours; very long texts are read whole; an empty table gives no rows.
     """
     band = lexicon(docs)
     order = Window.partitionBy("range").orderBy("guest", F.asc_nulls_first("doc_id"), "tie")
     near = with_followers(docs).withColumn("next", F.lead("text").over(order)).withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substr(F.coalesce("next", F.lit("")), F.lit(1), cut))
-    marked = near.withColumn("edited", edited).select("range", "guest", "doc_id", "tie", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signature(F.col("text"), band).alias("own"), signature(F.col("edited"), band).alias("changed"))
+    marked = near.withColumn("edited", edited).withColumn("marks", F.transform(F.array("text", "edited"), lambda t: signature(t, band)))
+    marked = marked.select("range", "guest", "doc_id", "tie", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.get("marks", 0).alias("own"), F.get("marks", 1).alias("changed"))
     return (
         marked.withColumn("next", F.lead("own").over(order))
         .filter("not guest")
@@ -124,4 +137,5 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
+    """All documents."""
     return neighbour_fingerprints(documents(spark, sf_dir))

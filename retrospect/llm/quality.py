@@ -187,7 +187,8 @@ def quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Dat
     """doc_id, held_out, score, predicted for each row of docs.
 
     Labels of held-out ids, null labels and labels of no document are not learned from; of several for one id the
-    largest counts. Without labels of both kinds every score is their share (0.5 if there are none).
+    largest counts. Without labels of both kinds every score is their share (0.5 if there are none). Null texts are empty, repeated
+    rows have a row each, very long texts are measured whole.
     """
     table = materialise(measured(docs), "features")
     marks = labels.filter("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality")).filter(~held_out())
@@ -199,4 +200,5 @@ def quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Dat
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
+    """All documents."""
     return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

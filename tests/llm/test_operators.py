@@ -483,6 +483,47 @@ def test_mixture_finds_two_languages():
     assert language.mixture(rng.choice(400, 500, p=model[1]), model, np.log(model)).tolist() == [0, 1, 0]
 
 
+def test_mixture_against_every_set_of_languages():
+    """The chosen set has the best penalised likelihood among all sets, and its shares are those of a long plain EM."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(11)
+    model = rng.dirichlet(np.full(60, 0.1), 4) * 0.98 + 0.02 / 60
+    for parts in ([1, 0, 0, 0], [0.6, 0.4, 0, 0], [0.4, 0, 0.3, 0.3]):
+        cell = np.concatenate([rng.choice(60, int(900 * p), p=model[k]) for k, p in enumerate(parts) if p])
+        price, best = language.PENALTY * np.log(len(cell)) / 2, None
+        for size in (1, 2, 3, 4):
+            for some in combinations(range(4), size):
+                share = np.full(size, 1 / size)
+                for _ in range(300):
+                    joint = model[list(some)][:, cell].T * share
+                    share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+                value = float(np.log(model[list(some)][:, cell].T @ share).sum()) - price * (size - 1)
+                if best is None or value > best[0]:
+                    best = value, some, share
+        got = language.mixture(cell, model, np.log(model))
+        assert tuple(np.flatnonzero(got)) == best[1] and got[list(best[1])] == pytest.approx(best[2], abs=0.02)
+
+
+def test_more_languages_than_were_once_allowed(spark):
+    rows = [(k, f"{chr(0x4E00 + 7 * k)}{chr(0x4E01 + 7 * k)} " * 40, f"l{k:03}") for k in range(300)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(table(spark, rows)).collect()}
+    learned = [k for k in range(300) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert all(got[k] == f"l{k:03}" for k in learned)
+
+
+def test_scores_are_sums_of_table_entries():
+    rng = np.random.default_rng(6)
+    x = rng.random((500, 3))
+    model = quality.fit(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0.8).astype(float))
+    for row, score in zip(x[:50], model.score(x[:50]), strict=True):
+        total = model.intercept
+        bins = [sum(edge <= v for edge in edges) for v, edges in zip(row, model.edges, strict=True)]
+        total += sum(t[b] for t, b in zip(model.tables, bins, strict=True))
+        total += sum(t[model.coarse[i][bins[i]]][model.coarse[j][bins[j]]] for i, j, t in model.pairs)
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+
+
 def test_quality(spark, small):
     d, marks = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
     got = quality.quality(d, marks).join(marks, "doc_id").collect()
@@ -526,6 +567,52 @@ def test_imatch(docs):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
 
 
+def brute_imatch(texts):
+    """Fingerprints and likeness of a list of (text, edited text, next text)."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    terms = lambda t: {signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.findall(r"[A-Za-z0-9]+", t.lower())}
+    counts = collections.Counter(x for t, _, _ in texts for x in terms(t))
+    low, high = (max(2.0, len(texts) * np.exp(-b)) for b in (imatch.UPPER, imatch.LOWER))
+    band = {x for x, n in counts.items() if low <= n <= high}
+
+    def marks(t):
+        every = terms(t)
+        kept, out = sorted(every & band or every), []
+        for k, share in enumerate(imatch.SHARES):
+            mine = [x for x in kept if share == 1 or (x % (1 << 64) >> 7 * k % 53) & (share - 1) == 0]
+            h = 42
+            for x in mine:
+                h = xxhash.xxh64_intdigest(x.to_bytes(8, "little", signed=True), h)
+            out.append(f"{h:016x}" if mine else "")
+        return out
+
+    def like(a, b):
+        used = [(x, y) for x, y in zip(marks(a), marks(b), strict=True) if x or y]
+        return sum(x == y for x, y in used) / len(used) if used else 1.0
+
+    return [(".".join(marks(t)), ".".join(marks(e)), like(t, e), like(t, n)) for t, e, n in texts]
+
+
+def test_imatch_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 90)))) for _ in range(120)] + ["", "A b. C", "a B c"]
+    cases = []
+    for k, t in enumerate(texts):
+        cut, after = len(t) // 4, texts[(k + 1) % len(texts)]
+        cases.append((t, t[: len(t) - cut] + after[:cut], after))
+    got = {r["doc_id"]: r for r in imatch.neighbour_fingerprints(table(spark, [(k, t, None) for k, t in enumerate(texts)])).collect()}
+    for k, (own, changed, near, following) in enumerate(brute_imatch(cases)):
+        assert (got[k]["fingerprint"], got[k]["edited_fingerprint"]) == (own, changed)
+        assert got[k]["near_edited"] == pytest.approx(near) and got[k]["near_next"] == pytest.approx(following)
+
+
+def test_imatch_refuses_a_lexicon_without_bound(spark, docs, monkeypatch):
+    monkeypatch.setattr(imatch, "LEXICON", 1)
+    with pytest.raises(ValueError):
+        imatch.lexicon(docs, 0.0, 9.0)
+
+
 def test_imatch_ranges_have_the_right_neighbours(spark, monkeypatch):
     monkeypatch.setattr(imatch, "RANGE", 7)
     texts = {k * 3: prose(k, 30) for k in range(60)}
