@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,11 +44,21 @@ def align(train: DataFrame, test: DataFrame, keys: Sequence[str]) -> tuple[DataF
     return fill(train), fill(test)
 
 
-def undersample(table: DataFrame, label: str, share: float, seed: int = 42) -> DataFrame:
-    """All positives, and a sample of the negatives such that positives are about `share` of the rows (M7)."""
-    n = {r[label]: r["count"] for r in table.groupBy(label).count().collect()}
-    fraction = min(1.0, n.get(1, 0) * (1 - share) / share / max(1, n.get(0, 0)))
-    return table.sampleBy(label, {1: 1.0, 0: fraction}, seed)
+def undersample(table: DataFrame, label: str, share: float, keys: Sequence[str]) -> DataFrame:
+    """All positives, and just so many negatives that positives are `share` of the rows (M7): those of the least hashes of their keys.
+
+    Negatives are counted by the first digits of their hash; whole counts are taken until the next would be too many, and of
+    that one the least hashes. So no sort over all rows is needed, and the choice is the same every time.
+    """
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    positives, negatives = table.filter(F.col(label) == 1), table.filter(F.col(label) == 0).withColumn("_hash", digest).withColumn("_head", F.substring("_hash", 1, 4))
+    wanted = int(positives.count() * (1 - share) / share + 1e-9)
+    sizes = negatives.groupBy("_head").agg(F.count(F.lit(1)).alias("_n"))  # 65,536 rows at most
+    so_far = sizes.withColumn("_upto", F.sum("_n").over(Window.orderBy("_head")))
+    placed = negatives.join(F.broadcast(so_far.filter(F.col("_upto") - F.col("_n") < wanted)), "_head")
+    whole = placed.filter(F.col("_upto") <= wanted)
+    rest = placed.filter(F.col("_upto") > wanted).withColumn("_k", F.row_number().over(Window.partitionBy("_head").orderBy("_hash", *keys))).filter(F.col("_k") <= wanted - (F.col("_upto") - F.col("_n")))
+    return positives.unionByName(whole.select(*table.columns)).unionByName(rest.select(*table.columns))
 
 
 def scale(train: DataFrame, others: Sequence[DataFrame], columns: Sequence[str]) -> list[DataFrame]:

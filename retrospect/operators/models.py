@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from itertools import product
 
-from pyspark.ml import Model, Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml import Model
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -120,19 +120,23 @@ def _samme(rows: DataFrame, kind: str, p: Mapping) -> Ensemble:
     return Ensemble(members, votes=True)
 
 
+#: Rows of a training matrix of nearest_neighbours at most: all of them are sent to every task.
+NEIGHBOURS = 200_000
+
+
 def nearest_neighbours(train: DataFrame, test: DataFrame, key: str, features: Sequence[str], k: int = 5, weights: str = "uniform") -> DataFrame:
     """key, score: the share of positives among the k nearest training rows, by Euclidean distance, ties by key.
 
-    Exact: every test row meets every training row of a bounded training matrix, and keeps the k best so far of each
-    part of it before the parts meet. distance weighs a neighbour by the inverse of its distance.
+    Exact: every test row meets every training row. The training rows, NEIGHBOURS at most (ValueError beyond), are one
+    broadcast array, so nothing is shuffled. distance weighs a neighbour by the inverse of its distance.
     """
-    parts = 32
-    left = test.select(F.col(key).alias("_key"), F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
-    right = train.select(F.col(key).alias("_other"), F.array(*[F.col(f).cast("double") for f in features]).alias("_y"), "outcome", F.pmod(F.xxhash64(key), F.lit(parts)).alias("_part"))
-    square = F.aggregate(F.zip_with("_x", "_y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
-    pairs = left.join(right).select("_key", "_part", F.struct(square.alias("d"), "_other", "outcome").alias("near"))
-    best = pairs.groupBy("_key", "_part").agg(F.slice(F.array_sort(F.collect_list("near")), 1, k).alias("some"))
-    top = best.groupBy("_key").agg(F.slice(F.array_sort(F.flatten(F.collect_list("some"))), 1, k).alias("top"))
+    if (n := train.count()) > NEIGHBOURS:
+        raise ValueError(f"{n} training rows are too many to compare all rows with")
+    known = train.select(F.struct(F.array(*[F.col(f).cast("double") for f in features]).alias("y"), F.col(key).alias("other"), "outcome").alias("row")).agg(F.collect_list("row").alias("_train"))
+    left = test.select(F.col(key).alias("_key"), F.array(*[F.col(f).cast("double") for f in features]).alias("_x")).crossJoin(F.broadcast(known))
+    square = lambda y: F.aggregate(F.zip_with("_x", y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
+    near = F.transform("_train", lambda r: F.struct(square(r["y"]).alias("d"), r["other"].alias("other"), r["outcome"].alias("outcome")))
+    top = left.select("_key", F.slice(F.array_sort(near), 1, k).alias("top")).filter(F.size("top") > 0)
     weight = (lambda x: F.lit(1.0)) if weights == "uniform" else (lambda x: 1.0 / (F.sqrt(x["d"]) + F.lit(1e-12)))
     votes = F.aggregate("top", F.lit(0.0), lambda a, x: a + weight(x) * x["outcome"])
     return top.select(F.col("_key").alias(key), (votes / F.aggregate("top", F.lit(0.0), lambda a, x: a + weight(x))).alias("score"))
@@ -157,11 +161,22 @@ def fit_grid(matrix: DataFrame, subsets: Sequence[Sequence[str]], kinds: Mapping
         cached.unpersist()
 
 
-def feature_importances(model: Scored, features: Sequence[str], spark) -> DataFrame:
-    """feature, importance, rank: of trees their importances, else coefficients by absolute value."""
-    m = model.model
-    values = m.featureImportances.toArray() if hasattr(m, "featureImportances") else m.coefficients.toArray()
-    rows = spark.createDataFrame([(f, float(v)) for f, v in zip(features, values, strict=True)], "feature string, importance double")
+def importances(model, n: int) -> list[float] | None:
+    """Importances of trees, else coefficients; of boosted members the weighted mean of theirs; None where there are none."""
+    if isinstance(model, Ensemble):
+        own = [(w, importances(m, n)) for w, m in model.members] if model.votes else []
+        total = sum(w for w, _ in own)
+        return [sum(w * x[k] for w, x in own) / total for k in range(n)] if own and all(x is not None for _, x in own) else None
+    m = getattr(model, "model", None)
+    if hasattr(m, "featureImportances"):
+        return m.featureImportances.toArray().tolist()
+    return m.coefficients.toArray().tolist() if isinstance(m, (LogisticRegressionModel, LinearSVCModel)) else None
+
+
+def feature_importances(model, features: Sequence[str], spark) -> DataFrame:
+    """feature, importance, rank: by importances() and their absolute value; no rows for a model without any."""
+    values = importances(model, len(features)) or []
+    rows = spark.createDataFrame([(f, float(v)) for f, v in zip(features, values, strict=False)], "feature string, importance double")
     return rows.withColumn("rank", F.rank().over(Window.orderBy(F.desc(F.abs("importance")))))  # a row for each feature
 
 
@@ -180,6 +195,26 @@ def signed_top(contributions: DataFrame, key: str, n: int = 5) -> DataFrame:
     return contributions.select(key, named.alias("_risks")).select(key, *[F.get("_risks", k).alias(f"risk_{k + 1}") for k in range(n)])
 
 
+#: Ranges of a feature's values in which they are ranked separately.
+RANGES = 64
+
+
+def _ranks(long: DataFrame) -> DataFrame:
+    """feature, value, count, upto (rows up to the value), n (of the feature), rank (average over ties) of each distinct value.
+
+    Values lie in ranges by quantiles; counts run within each, and the totals of the ranges before are added.
+    """
+    counts = long.groupBy("feature", "value").count()
+    bounds = long.groupBy("feature").agg(F.percentile_approx("value", [k / RANGES for k in range(1, RANGES)], 10_000).alias("_bounds"))
+    ranged = counts.join(F.broadcast(bounds), "feature").withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= F.col("value")))).drop("_bounds")
+    inside = Window.partitionBy("feature", "_range").orderBy("value")
+    totals = ranged.groupBy("feature", "_range").agg(F.sum("count").alias("_all"))  # RANGES rows for each feature
+    before = Window.partitionBy("feature").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("feature", "_range", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_before"), F.sum("_all").over(Window.partitionBy("feature")).alias("n"))
+    run = ranged.withColumn("upto", F.sum("count").over(inside)).join(F.broadcast(totals), ["feature", "_range"]).withColumn("upto", F.col("upto") + F.col("_before"))
+    return run.select("feature", "value", "count", "upto", "n", (F.col("upto") - (F.col("count") - 1) / 2.0).alias("rank"))
+
+
 def rank_distance(matrix: DataFrame, key: str, importances: Mapping[str, float], n_features: int = 200, n: int = 5) -> DataFrame:
     """key and risk_1 to risk_n: the features in which a row's rank is farthest from that of the row nearest the median.
 
@@ -189,11 +224,13 @@ def rank_distance(matrix: DataFrame, key: str, importances: Mapping[str, float],
     order = sorted((f for f, v in importances.items() if v > 0 and "dummy" not in f), key=lambda f: (-importances[f], f))[:n_features]
     place = {f: k for k, f in enumerate(order)}
     long = matrix.unpivot([key], order, "feature", "value").withColumn("value", F.col("value").cast("double"))
-    counts = long.groupBy("feature", "value").count()
-    run = Window.partitionBy("feature").orderBy("value")
-    ranks = counts.withColumn("rank", F.sum("count").over(run) - (F.col("count") - 1) / 2.0)
-    median = long.groupBy("feature").agg(F.percentile("value", F.lit(0.5)).alias("median"))
+    ranks = _ranks(long)
+    # the median lies at one or two places of the sorted values, which the ranks' counts tell
+    at = ranks.withColumn("_low", F.floor((F.col("n") + 1) / 2)).withColumn("_high", F.ceil((F.col("n") + 1) / 2))
+    holds = lambda place: F.max(F.when((F.col("upto") - F.col("count") < F.col(place)) & (F.col(place) <= F.col("upto")), F.col("value")))
+    median = at.groupBy("feature").agg(((holds("_low") + holds("_high")) / 2).alias("median"))
     near = long.join(F.broadcast(median), "feature").groupBy("feature").agg(F.min(F.struct(F.abs(F.col("value") - F.col("median")).alias("d"), F.col(key).alias("k"), "value")).alias("m"))
+    ranks = ranks.select("feature", "value", "rank")
     middle = near.select("feature", F.col("m.value").alias("value")).join(ranks, ["feature", "value"]).select("feature", F.col("rank").alias("middle"))
     names = F.create_map(*[x for f, k in place.items() for x in (F.lit(f), F.lit(k))])
     distances = long.join(ranks, ["feature", "value"]).join(F.broadcast(middle), "feature")
@@ -221,6 +258,37 @@ def score_date(model, matrix: DataFrame, features: Sequence[str], key: str, mode
     return rank_movement(everything, hub).filter(F.col("as_of_date") == F.lit(date).cast("timestamp_ntz"))
 
 
-def calibrated_pipeline(features: Sequence[str], kind: str = "logistic_regression", parameters: Mapping | None = None) -> Pipeline:
-    """Assembly and classifier as one Spark ML pipeline, to be saved and loaded whole."""
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="vector", handleInvalid="keep"), _spark_ml(kind, parameters or {})])
+class LinearScore:
+    """A fixed rule in the place of a fitted model: the logistic curve of an intercept and weighted features."""
+
+    def __init__(self, weights: Mapping[str, float], intercept: float = 0.0):
+        self.weights, self.intercept = weights, intercept
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        z = F.lit(float(self.intercept))
+        for c, w in self.weights.items():
+            z = z + F.col(c) * float(w)
+        return rows.withColumn("score", 1 / (1 + F.exp(-z))).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+
+
+def run_experiments(matrices: Mapping[str, tuple[DataFrame, DataFrame, str]], key: str, subsets: Sequence[Sequence[str]], kinds: Mapping[str, Mapping[str, Sequence]], root: str, config: Mapping) -> int:
+    """Fits the grid on every (train, test, as_of_date) and feature subset, and stores what comes of it; the number of models.
+
+    Below root: models (registry rows, S14), predictions (S8), evaluations (S9) and feature_importances (S11).
+    """
+    from ..sources import io
+    from . import evaluate
+
+    number = 0
+    for window, (train, test, date) in matrices.items():
+        for features, kind, parameters, model in fit_grid(train, subsets, kinds):
+            number += 1
+            spark = train.sparkSession
+            io.append(io.registry_row(spark, number, kind, parameters, features, window, config), f"{root}/models", ())
+            scored = model.score(vectors(test, features)).select(F.lit(number).alias("model_id"), F.lit(date).cast("timestamp_ntz").alias("as_of_date"), F.col(key).alias("entity_id"), "score", "pred", F.col("outcome").alias("label_value"))
+            io.append(prediction_ranks(scored).select("model_id", "as_of_date", "entity_id", "score", "label_value", "rank_abs", "rank_pct"), f"{root}/predictions")
+            judged = scored.select(F.col("entity_id").alias("id"), "score", "pred", F.col("label_value").alias("label"))
+            metrics = evaluate.global_metrics(judged).unionByName(evaluate.curve_metrics(judged))
+            io.replace(metrics.select(F.lit(number).alias("model_id"), F.lit(date).cast("timestamp_ntz").alias("as_of_date"), "metric", "parameter", F.lit("").alias("comment"), "value"), f"{root}/evaluations")
+            io.append(feature_importances(model, features, spark).select(F.lit(number).alias("model_id"), "feature", F.col("importance").alias("feature_importance")), f"{root}/feature_importances", ("model_id",))
+    return number

@@ -182,8 +182,12 @@ UNION ALL SELECT o_custkey, 0, min(o_totalprice), count(*), 'test' FROM orders W
 
 
 def undersampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: the share of positives is a third; which negatives stay is random."""
-    return matrix.undersample(_matrix(spark, sf_dir), "outcome", 1 / 3).select("o_custkey", "as_of_date", "outcome")
+    """M7: the share of positives is a third; the negatives of the least hashes stay."""
+    rows = _matrix(spark, sf_dir).select("o_custkey", F.year("as_of_date").alias("year"), "as_of_date", "outcome")
+    return matrix.undersample(rows, "outcome", 1 / 3, ["o_custkey", "year"]).select("o_custkey", "as_of_date", "outcome")
+
+
+UNDERSAMPLED = f"WITH m AS (SELECT *, row_number() OVER (PARTITION BY outcome ORDER BY md5(o_custkey || '|' || year(as_of_date))) AS k, sum(outcome) OVER () AS p FROM ({MASTER})) SELECT o_custkey, as_of_date, outcome FROM m WHERE outcome = 1 OR k <= p * 2"
 
 
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,7 +385,7 @@ SQL = {
     "unpivot_attributes": ATTRIBUTES, "event_collapse": EVENT_COLLAPSE, "forward_window_label": f"SELECT * EXCLUDE (pairs) FROM ({_FORWARD})",
     "forward_window_closed": f"SELECT as_of_date, count(*) AS n_events FROM ({_COLLAPSED}) JOIN {DATES_SQL} ON min_date > as_of_date AND max_date <= as_of_date + INTERVAL 12 MONTH GROUP BY 1",
     "and_or_label": AND_OR, "active_population": ACTIVE, "sworn_population": SWORN, "master_labels": MASTER, "flagged_baseline": FLAGGED, "intervention_lookup": INTERVENTION, "training_matrix": TRAINING, "single_table": SINGLE,
-    "mean_impute_flag": MEAN_IMPUTE, "zero_impute": ZERO_IMPUTE, "aligned_matrices": ALIGNED, "standard_scale": SCALE, "dummies": DUMMIES, "event_label": EVENT_LABEL, "calendar_parts": CALENDAR, "event_attribute_max": ATTRIBUTE_MAX,
+    "undersampled": UNDERSAMPLED, "mean_impute_flag": MEAN_IMPUTE, "zero_impute": ZERO_IMPUTE, "aligned_matrices": ALIGNED, "standard_scale": SCALE, "dummies": DUMMIES, "event_label": EVENT_LABEL, "calendar_parts": CALENDAR, "event_attribute_max": ATTRIBUTE_MAX,
     "capped_travel_time": TRAVEL, "band_count": _band_sql(), "band_count_flagged": _band_sql(" AND value > 10"), "radius_band_count": _radius_sql("b.o_orderpriority = '1-URGENT'"), "radius_band_self": _radius_sql("true"),
     "entity_radius": ENTITY_RADIUS, "entity_history": ENTITY_HISTORY, "responder_age": RESPONDER_AGE, "responder_proportion": PROPORTION, "tract_ratio": TRACT, "event_wide_join": EVENT_WIDE,
 }

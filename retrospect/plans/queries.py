@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue, features, outcomes, reports
+from . import catalogue, features, outcomes, reports, stores
 
-QUERIES = {**features.QUERIES, **outcomes.QUERIES, **reports.QUERIES, **catalogue.QUERIES}
-SQL = {**features.SQL, **outcomes.SQL, **reports.SQL, **catalogue.SQL}
+QUERIES = {**features.QUERIES, **outcomes.QUERIES, **reports.QUERIES, **catalogue.QUERIES, **stores.QUERIES}
+SQL = {**features.SQL, **outcomes.SQL, **reports.SQL, **catalogue.SQL, **stores.SQL}

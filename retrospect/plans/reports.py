@@ -212,12 +212,26 @@ MODELS = {
     "model_logistic_regression": _scored("logistic_regression", {"C": 1.0, "penalty": "l2"}),
     "model_adaboost": _scored("adaboost", {"n_estimators": 5}),
     "model_gradient_boosting": _scored("gradient_boosting", {"n_estimators": 5}),
-    "model_gaussian_nb": _scored("gaussian_nb"),
     "model_decision_tree": _scored("decision_tree", {"max_depth": 5}),
     "model_sgd": _scored("sgd"),
 }
 
 
+def model_gaussian_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores to six digits."""
+    return rounded(_scored("gaussian_nb")(spark, sf_dir), 6)
+
+
+def _gaussian_sql() -> str:
+    """Class priors, means and variances in closed form; variances are raised by a billionth of the largest feature's."""
+    train = "SELECT * FROM r WHERE o_orderkey % 4 <> 0"
+    stats = ", ".join(f'avg("{c}") AS m_{c}, var_pop("{c}") + (SELECT 1e-9 * greatest({", ".join(f"var_pop(\"{d}\")" for d in FEATURES)}) FROM t) AS v_{c}' for c in FEATURES)
+    log = " + ".join(f'-0.5 * (ln(2 * pi() * v_{c}) + ("{c}" - m_{c}) * ("{c}" - m_{c}) / v_{c})' for c in FEATURES)
+    return f"""WITH r AS {_ROWS}, t AS ({train}), s AS (SELECT outcome AS class, ln(count(*) / (SELECT count(*) FROM t)) AS prior, {stats} FROM t GROUP BY 1),
+l AS (SELECT o_orderkey, any_value(outcome) AS outcome, max(prior + {log}) FILTER (WHERE class = 1) AS l1, max(prior + {log}) FILTER (WHERE class = 0) AS l0 FROM r, s GROUP BY 1)
+SELECT o_orderkey, outcome, round(1 / (1 + exp(l0 - l1)), 6) AS score, (l1 > l0)::INT AS pred FROM l"""
+
+
 def model_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers by those of one nation, which is the bounded training matrix."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("nation"), (F.col("c_mktsegment") == "BUILDING").cast("int").alias("outcome"))
@@ -230,10 +244,11 @@ SELECT c_custkey, round(avg(outcome), 9) AS score FROM p WHERE k <= 5 GROUP BY 1
 
 
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Importances of a forest for each subset of features that leaves one out."""
+    """Importances of models of every kind, for each subset of features that leaves one out."""
     found = None
     subsets = [[f for f in FEATURES if f != out] for out in FEATURES]
-    for features, kind, _, model in models.fit_grid(_rows(spark, sf_dir), subsets, {"random_forest": {"n_estimators": [5], "max_depth": [3]}}):
+    kinds = {"random_forest": {"n_estimators": [5], "max_depth": [3]}, "adaboost": {"n_estimators": [2]}, "bagging": {"n_bags": [2], "n_estimators": [2], "max_depth": [2]}, "gaussian_nb": {}, "svm": {}}
+    for features, kind, _, model in models.fit_grid(_rows(spark, sf_dir), subsets, kinds):
         rows = models.feature_importances(model, features, spark).withColumn("subset", F.lit(",".join(features))).withColumn("kind", F.lit(kind))
         found = rows if found is None else found.unionByName(rows)
     return found
@@ -303,9 +318,10 @@ BUCKET = 48
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People named by all longer words of the documents, three to a person by hash; the last one of a bucket may have fewer."""
-    w = table(spark, sf_dir, "documents").select(F.explode(F.split(anonymize.normalize_name(F.col("text")), " ")).alias("w")).filter("length(w) > 5").distinct()
+    text = F.regexp_replace("text", r"[^\x00-\x7F]", "")
+    w = table(spark, sf_dir, "documents").select(F.explode(F.split(anonymize.normalize_name(text), " ")).alias("w")).filter("length(w) > 5").distinct()
     buckets = max(1, w.count() // BUCKET)
-    dealt = w.withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets)))
+    dealt = w.withColumn("bucket", F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("long") % buckets)
     n = dealt.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("w")) - 1)
     part = lambda k: F.max(F.when(F.col("n") % 3 == k, F.col("w")))
     person = (F.floor(F.col("n") / 3) * buckets + F.col("bucket")).alias("person")
@@ -318,6 +334,25 @@ def name_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anonymize.name_forms(_names(spark, sf_dir), "person")
 
 
+_CLEAN = rf"translate({_REPORT}, '{anonymize.PUNCTUATION.replace(chr(39), chr(39) * 2)}', '')"
+_FORMS = [
+    ("true", "last", "id"),
+    ("first <> '' AND middle <> ''", "first[1] || middle[1] || ' ' || last", "id"),
+    ("first <> ''", "first || ' ' || last", "id"),
+    ("first <> ''", "first[1] || ' ' || last", "id"),
+    ("middle <> ''", "first || ' ' || middle[1] || ' ' || last", "id"),
+    *(("middle = ''", f"first || ' {chr(97 + k)} ' || last", "id || '?'") for k in range(26)),
+]
+NAME_FORMS = (
+    f"WITH w AS (SELECT DISTINCT w FROM (SELECT unnest(string_split({_CLEAN}, ' ')) AS w FROM documents) WHERE length(w) > 5), "
+    f"b AS (SELECT w, ('0x' || substr(md5(w), 1, 8))::UBIGINT::BIGINT % greatest(1, (SELECT count(*) FROM w) // {BUCKET}) AS bucket, greatest(1, (SELECT count(*) FROM w) // {BUCKET}) AS buckets FROM w), "
+    "n AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY w) - 1 AS n FROM b), "
+    "p AS (SELECT n // 3 * buckets + bucket AS person, max(w) FILTER (WHERE n % 3 = 0) AS last, coalesce(max(w) FILTER (WHERE n % 3 = 1), '') AS first, coalesce(max(w) FILTER (WHERE n % 3 = 2), '') AS mid FROM n GROUP BY ALL), "
+    "q AS (SELECT person, 'ID' || (10000 + person) AS id, first, CASE WHEN person % 2 = 0 THEN mid ELSE '' END AS middle, last FROM p), "
+    "f AS (" + " UNION ALL ".join(f"SELECT person, trim({form}) AS pattern, {i} AS id FROM q WHERE {when}" for when, form, i in _FORMS) + ") SELECT pattern, arg_max(id, person) AS id FROM f WHERE pattern <> '' GROUP BY 1"
+)
+
+
 #: Every so many words of a text a role word goes before one, in turn a singular and a plural.
 ROLE_EVERY, ROLE_WORDS = 9, ("officer", "sergeants")
 
@@ -358,12 +393,12 @@ AUDIT = " UNION ALL ".join([
 QUERIES = {
     f.__name__: f
     for f in (
-        eval_global, eval_curves, eval_at_k, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_nearest_neighbours, feature_importances,
+        eval_global, eval_curves, eval_at_k, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, feature_importances,
         signed_top5, rank_distance_explain, normalize_text, badge_scrub, name_forms, anonymized, constraint_audit,
     )
 } | MODELS
 SQL = {
     "eval_global": EVAL_GLOBAL, "eval_curves": EVAL_CURVES, "eval_at_k": EVAL_AT_K, "evaluation_rows": EVALUATION_ROWS, "top_models": TOP_MODELS, "top_with_artifacts": TOP_WITH, "models_run_at": MODELS_RUN_AT, "group_config": GROUP_CONFIG,
-    "prediction_ranks": PREDICTION_RANKS, "rank_movement": RANK_MOVEMENT, "model_groups": MODEL_GROUPS, "class_histogram": CLASS_HISTOGRAM, "model_nearest_neighbours": NEAREST, "signed_top5": SIGNED_TOP5,
+    "name_forms": NAME_FORMS, "model_gaussian_nb": _gaussian_sql(), "prediction_ranks": PREDICTION_RANKS, "rank_movement": RANK_MOVEMENT, "model_groups": MODEL_GROUPS, "class_histogram": CLASS_HISTOGRAM, "model_nearest_neighbours": NEAREST, "signed_top5": SIGNED_TOP5,
     "rank_distance_explain": RANK_DISTANCE, "normalize_text": NORMALIZE, "badge_scrub": BADGE_SCRUB, "constraint_audit": AUDIT,
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +66,22 @@ def archived(spark: SparkSession, root: str, metadata: Mapping, build: Callable[
     return spark.read.parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that driver and executors share (spark.checkpoint.dir); on one machine, without one, a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def registry_row(spark: SparkSession, model_id: int, kind: str, parameters: Mapping, features: Sequence[str], window: str, config: Mapping, group: int | None = None) -> DataFrame:
+    """A row of the table of models (S14); its experiment is the hash of the configuration."""
+    row = (model_id, group, None, matrix_key(config), kind, json.dumps(parameters, sort_keys=True), list(features), window, json.dumps(config, sort_keys=True, default=str))
+    return spark.createDataFrame([row], RESULT_SCHEMAS["models"]).withColumn("run_time", F.current_timestamp().cast("timestamp_ntz"))
+
+
 def append(table: DataFrame, path: str, keys: Sequence[str] = ("model_id", "as_of_date")) -> None:
     """Predictions (S8), global importances (S11) and registry rows (S14) are added to what is there."""
     (table.write.mode("append").partitionBy(*keys) if keys else table.write.mode("append")).parquet(path)
