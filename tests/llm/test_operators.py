@@ -725,28 +725,74 @@ def test_empty_quality(spark, empty):
     assert quality.quality(empty, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
 
 
-def test_pipeline(spark, small):
-    import corpus_pipeline
+def brute_pipeline(rows):
+    """(doc_id, piece, start, length, ids_crc32) of every piece that the pipeline's stages leave of (doc_id, text) rows."""
+    from tokenizers import Tokenizer
 
-    docs = [r for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
-    kept = [r for r in docs if r["text"] and any(map(str.isalpha, r["text"]))]
+    tk, scanner = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), secrets.Scanner()
+    order = lambda i: (i is not None, i or 0)
     last = {}
-    for r in sorted(kept, key=lambda r: r["doc_id"]):
-        last[r["text"]] = r
-    prints = {r["doc_id"]: brute_simhash(r["text"]) for r in last.values()}
-    label = brute_components(prints)
-    survivors = {i for i in label if label[i] == i}
-    scanner = secrets.Scanner()
-    enc = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for i, t in sorted((r for r in rows if r[1] and any(map(str.isalpha, r[1]))), key=lambda r: order(r[0])):
+        last[t] = i
+    left = [(i, t) for t, i in last.items()]
+    prints = [brute_simhash(t) for _, t in left]
+    label = brute_components(dict(enumerate(prints)))
+    groups = collections.defaultdict(list)
+    for k, (i, t) in enumerate(left):
+        groups[label[k]].append((i is None, i or 0, hashlib.sha256(t.encode()).hexdigest(), k))
     want = collections.Counter()
-    for r in last.values():
-        if r["doc_id"] in survivors:
-            text = secrets.redacted(r["text"], scanner.scan(r["text"])[1])
-            ids = np.array([*enc.encode(text, allowed_special="all"), 2], "<u4")
-            for k, (start, n) in enumerate(packing.cut(len(ids), 1024)):
-                want[r["doc_id"], k, start, n, zlib.crc32(ids[start : start + n].tobytes())] += 1
-    got = collections.Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in corpus_pipeline.run(spark, small).collect())
-    assert got == want
+    for some in groups.values():
+        i, t = left[min(some)[3]]
+        text, reach = "", 0
+        for start, _, end in scanner.scan(t)[1]:
+            if start >= reach:
+                text += t[reach:start] + "[SECRET]"
+            reach = max(reach, end)
+        ids = np.array([*tk.encode(text + t[reach:], add_special_tokens=False).ids, 2], "<u4")
+        first = len(ids) % 1024 or 1024
+        for k, end in enumerate(range(first, len(ids) + 1, 1024)):
+            start = max(0, end - 1024) if k else 0
+            want[i, k, start, end - start, zlib.crc32(ids[start:end].tobytes())] += 1
+    return want
+
+
+def check_places(rows):
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for some in places.values():
+        end = 0
+        for offset, length in sorted(some):
+            assert offset == end
+            end += length
+        assert end <= 1024
+    total = sum(r["length"] for r in rows)
+    assert len(places) <= max(1.1 * total / 1024, sum(r["length"] > 512 for r in rows)) + 1
+
+
+def test_pipeline(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    rows = corpus_pipeline.run(spark, small).collect()
+    assert collections.Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in rows) == brute_pipeline([tuple(r) for r in docs])
+    check_places(rows)
+
+
+def test_pipeline_of_messy_and_empty_tables(spark, docs, empty, tmp_path):
+    import corpus_pipeline
+
+    more = table(spark, [(None, prose(3, 40), "en"), (None, "another text without any id", "en"), (None, "another text without any id", "en"), (9, "one id with a second text of other words", "en")])
+    docs.union(more).write.parquet(f"{tmp_path}/messy/documents.parquet")
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/messy").collect()
+    given = [(i, t) for i, t, _ in ROWS] + [tuple(r) for r in more.select("doc_id", "text").collect()]
+    assert collections.Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in rows) == brute_pipeline(given)
+    check_places(rows)
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("language_id", "exact_duplicates", "near_duplicates", "secret_scan"):
+        assert stages[name](spark, docs, "").columns == docs.columns
+    empty.write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
 
 
 def test_dedup_sql(spark, small, duck):
