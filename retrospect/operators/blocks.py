@@ -115,9 +115,3 @@ def movement_rate(features: DataFrame, columns: Sequence[str], name: str) -> Dat
     """The sum of the columns less the greatest, over the greatest, to three digits; 0 where there is none."""
     total, top = reduce(lambda a, b: a + b, map(F.col, columns)), F.greatest(*columns)
     return features.withColumn(name, F.coalesce(F.round(F.try_divide(total - top, top), 3), F.lit(0.0)))
-
-
-def entity_days(source: DataFrame, entity: str, date: str, sums: Mapping[str, str]) -> DataFrame:
-    """Sums by entity and day: a smaller source for additive quantities of windows that begin and end at midnight."""
-    day = F.date_trunc("day", date).cast("timestamp_ntz").alias("day")
-    return source.groupBy(entity, day).agg(*[F.sum(F.expr(v)).alias(k) for k, v in sums.items()], F.count(F.lit(1)).alias("n"))

@@ -28,12 +28,6 @@ def wide_join(dated: Sequence[DataFrame], undated: Sequence[DataFrame], entity:
     return table.join(_side_by_side(undated, [entity]), entity, "outer") if undated else table
 
 
-def feature_columns(table: DataFrame) -> DataFrame:
-    """column_name: the feature columns of a table, a row each."""
-    names = [(c,) for c in table.columns if "_id_" in c]
-    return table.sparkSession.createDataFrame(names, "column_name string")
-
-
 def parse_names(columns: DataFrame) -> DataFrame:
     """column_name split into block, window, feature, type and metric (O13, O14); windows are in upper case but for `all`."""
     part = lambda k: F.regexp_extract("column_name", NAME, k)

@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 Step = tuple[int, int]
 
 
-def interval(step: Step) -> Column:
-    months, days = step
-    return F.expr(f"make_interval(0, {months}, 0, {days})")
-
-
 def walk_back(start: Column, end: Column, months: Column, days: Column, inclusive: bool = True) -> Column:
     """The dates from end back to start by a step of months and days, in ascending order.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import anonymize
-from ..operators import evaluate, models, results
+from ..operators import evaluate, models, results, temporal
 from ..sources import io
 from .features import rounded
 from .tables import SCORES_SQL, scores, table
@@ -69,6 +69,14 @@ SELECT unnest(['precision@', 'recall@', 'true positives@', 'true negatives@', 'f
 """
 
 
+def eval_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1 for the 100 largest scores, ties by id."""
+    return evaluate.binary_at(scores(spark, sf_dir), 100).select("id", "pred")
+
+
+EVAL_BINARY = f"SELECT id, (row_number() OVER (ORDER BY score DESC, id) <= 100)::INT AS pred FROM {SCORES_SQL}"
+
+
 def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics named metric|parameter|comment, split and rounded to 10 digits."""
     counts = evaluate.confusion(scores(spark, sf_dir))
@@ -246,7 +254,7 @@ SELECT c_custkey, round(avg(outcome), 9) AS score FROM p WHERE k <= 5 GROUP BY 1
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances of models of every kind, for each subset of features that leaves one out."""
     found = None
-    subsets = [[f for f in FEATURES if f != out] for out in FEATURES]
+    subsets = temporal.block_subsets(FEATURES, 1)
     kinds = {"random_forest": {"n_estimators": [5], "max_depth": [3]}, "adaboost": {"n_estimators": [2]}, "bagging": {"n_bags": [2], "n_estimators": [2], "max_depth": [2]}, "gaussian_nb": {}, "svm": {}}
     for features, kind, _, model in models.fit_grid(_rows(spark, sf_dir), subsets, kinds):
         rows = models.feature_importances(model, features, spark).withColumn("subset", F.lit(",".join(features))).withColumn("kind", F.lit(kind))
@@ -393,12 +401,12 @@ AUDIT = " UNION ALL ".join([
 QUERIES = {
     f.__name__: f
     for f in (
-        eval_global, eval_curves, eval_at_k, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, feature_importances,
+        eval_global, eval_curves, eval_at_k, eval_binary, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, feature_importances,
         signed_top5, rank_distance_explain, normalize_text, badge_scrub, name_forms, anonymized, constraint_audit,
     )
 } | MODELS
 SQL = {
-    "eval_global": EVAL_GLOBAL, "eval_curves": EVAL_CURVES, "eval_at_k": EVAL_AT_K, "evaluation_rows": EVALUATION_ROWS, "top_models": TOP_MODELS, "top_with_artifacts": TOP_WITH, "models_run_at": MODELS_RUN_AT, "group_config": GROUP_CONFIG,
+    "eval_global": EVAL_GLOBAL, "eval_curves": EVAL_CURVES, "eval_at_k": EVAL_AT_K, "eval_binary": EVAL_BINARY, "evaluation_rows": EVALUATION_ROWS, "top_models": TOP_MODELS, "top_with_artifacts": TOP_WITH, "models_run_at": MODELS_RUN_AT, "group_config": GROUP_CONFIG,
     "name_forms": NAME_FORMS, "model_gaussian_nb": _gaussian_sql(), "prediction_ranks": PREDICTION_RANKS, "rank_movement": RANK_MOVEMENT, "model_groups": MODEL_GROUPS, "class_histogram": CLASS_HISTOGRAM, "model_nearest_neighbours": NEAREST, "signed_top5": SIGNED_TOP5,
     "rank_distance_explain": RANK_DISTANCE, "normalize_text": NORMALIZE, "badge_scrub": BADGE_SCRUB, "constraint_audit": AUDIT,
 }
