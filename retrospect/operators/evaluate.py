@@ -1,7 +1,8 @@
 """Evaluation of scores: threshold metrics, ranked cut-offs and curves.
 
-Input: columns id, score (double), pred (0/1), label (0/1). Output: metric, parameter, value. Scores are first reduced
-to counts by distinct score, and running counts are taken in ranges of scores, so no task holds all rows.
+Input: columns id, score (double), pred (0/1), label (0/1), and those of `by` that keep sets of scores apart, as of models and
+dates. Output: by, metric, parameter, value. Scores are first reduced to counts by distinct score, and running counts are
+taken in ranges of scores, so no task holds all rows of a set.
 """
 
 from __future__ import annotations
@@ -23,18 +24,18 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def _rows(table: DataFrame, metrics: dict[tuple[str, str], Column]) -> DataFrame:
+def _rows(table: DataFrame, metrics: dict[tuple[str, str], Column], by: Sequence[str]) -> DataFrame:
     each = [F.struct(F.lit(m).alias("metric"), F.lit(p).alias("parameter"), v.cast("double").alias("value")) for (m, p), v in metrics.items()]
-    return table.select(F.inline(F.array(*each)))
+    return table.select(*by, F.inline(F.array(*each)))
 
 
-def confusion(scores: DataFrame) -> DataFrame:
-    """One row: n, tp, fp, fn, tn of the binary predictions."""
+def confusion(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """by and n, tp, fp, fn, tn of the binary predictions: one row without by."""
     test = lambda p, y: F.count_if((F.col("pred") == p) & (F.col("label") == y))
-    return scores.agg(F.count(F.lit(1)).alias("n"), test(1, 1).alias("tp"), test(1, 0).alias("fp"), test(0, 1).alias("fn"), test(0, 0).alias("tn"))
+    return scores.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), test(1, 1).alias("tp"), test(1, 0).alias("fp"), test(0, 1).alias("fn"), test(0, 0).alias("tn"))
 
 
-def global_metrics(scores: DataFrame) -> DataFrame:
+def global_metrics(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy (E1), F1 (E4), F-beta (E5), precision and recall (E6); 0 where the denominator is 0."""
     c = F.col
     precision, recall = _ratio(c("tp"), c("tp") + c("fp")), _ratio(c("tp"), c("tp") + c("fn"))
@@ -42,82 +43,90 @@ def global_metrics(scores: DataFrame) -> DataFrame:
     metrics = {("accuracy", ""): _ratio(c("tp") + c("tn"), c("n")), ("f1", ""): fbeta(1.0)}
     metrics |= {("fbeta@", f"{b} beta"): fbeta(b) for b in BETAS}
     metrics |= {("precision@", "default"): precision, ("recall@", "default"): recall}
-    return _rows(confusion(scores), metrics)
+    return _rows(confusion(scores, by), metrics, by)
 
 
-def running_counts(scores: DataFrame) -> DataFrame:
+def _ranged(rows: DataFrame, scores: DataFrame, by: Sequence[str]) -> DataFrame:
+    """rows with _range: how many of its set's quantiles (RANGES at most) a score reaches. Sets are small next to their rows."""
+    bounds = scores.groupBy(*by).agg(F.percentile_approx("score", [k / RANGES for k in range(1, RANGES)], 10_000).alias("_bounds"))
+    joined = rows.join(bounds, list(by)) if by else rows.crossJoin(F.broadcast(bounds))
+    return joined.withColumn("_range", F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")), lambda b: b <= F.col("score")))).drop("_bounds")
+
+
+def running_counts(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """By distinct score, descending: pos, neg at it, and tp, fp so far, ties included; positives and negatives in all.
 
-    Distinct scores lie in ranges by quantiles; counts run within each, and the ranges' totals (RANGES rows) are added.
+    Distinct scores lie in ranges by quantiles; counts run within each, and the totals of its ranges are added.
     """
-    by_score = scores.groupBy("score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    bounds = scores.agg(F.percentile_approx("score", [k / RANGES for k in range(1, RANGES)], 10_000)).first()[0] or []
-    held = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
-    ranged = by_score.withColumn("range", F.size(F.filter(held, lambda b: b <= F.col("score"))))
-    inside = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    totals = ranged.groupBy("range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows
-    everything = Window.partitionBy()
-    before = totals.select("range", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_bp"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_bn"), F.sum("_p").over(everything).alias("positives"), F.sum("_n").over(everything).alias("negatives"))
-    run = ranged.withColumn("tp", F.sum("pos").over(inside)).withColumn("fp", F.sum("neg").over(inside)).join(F.broadcast(before), "range")
-    return run.select("score", "pos", "neg", (F.col("tp") + F.col("_bp")).alias("tp"), (F.col("fp") + F.col("_bn")).alias("fp"), "positives", "negatives")
-
-
-def curve_metrics(scores: DataFrame) -> DataFrame:
+    by_score = scores.groupBy(*by, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    ranged = _ranged(by_score, scores, by)
+    inside = Window.partitionBy(*by, "_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    totals = ranged.groupBy(*by, "_range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    above = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows of each set
+    everything = Window.partitionBy(*by)
+    before = totals.select(*by, "_range", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_bp"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_bn"), F.sum("_p").over(everything).alias("positives"), F.sum("_n").over(everything).alias("negatives"))
+    run = ranged.withColumn("tp", F.sum("pos").over(inside)).withColumn("fp", F.sum("neg").over(inside)).join(before, [*by, "_range"])
+    return run.select(*by, "score", "pos", "neg", (F.col("tp") + F.col("_bp")).alias("tp"), (F.col("fp") + F.col("_bn")).alias("fp"), "positives", "negatives")
+
+
+def curve_metrics(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """ROC AUC (E2): the share of pairs in order, ties half; and step-wise average precision."""
     c = F.col
-    run = running_counts(scores)
+    run = running_counts(scores, by)
     # a positive beats the negatives below it, and half of those at its score
     won = F.sum(c("pos") * (c("negatives") - c("fp") + c("neg") / F.lit(2.0)))
-    sums = run.agg(won.alias("won"), F.sum(c("pos") * c("tp") / (c("tp") + c("fp"))).alias("steps"), F.first("positives").alias("p"), F.first("negatives").alias("n"))
-    return _rows(sums, {("auc", "roc"): F.try_divide(c("won"), c("p") * c("n")), ("average precision score", ""): F.try_divide(c("steps"), c("p"))})
+    sums = run.groupBy(*by).agg(won.alias("won"), F.sum(c("pos") * c("tp") / (c("tp") + c("fp"))).alias("steps"), F.first("positives").alias("p"), F.first("negatives").alias("n"))
+    return _rows(sums, {("auc", "roc"): F.try_divide(c("won"), c("p") * c("n")), ("average precision score", ""): F.try_divide(c("steps"), c("p"))}, by)
 
 
-def mean_rates(scores: DataFrame) -> DataFrame:
+def mean_rates(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The means of false and true positive rates over the points of the ROC curve, the origin included.
 
     A point stands for each distinct score; none is dropped for lying on a line.
     """
     c = F.col
-    sums = running_counts(scores).agg(F.sum("fp").alias("fp"), F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("k"), F.first("positives").alias("p"), F.first("negatives").alias("n"))
-    return _rows(sums, {("mean false positive rate", ""): F.try_divide(c("fp").cast("double"), c("n") * (c("k") + 1)), ("mean true positive rate", ""): F.try_divide(c("tp").cast("double"), c("p") * (c("k") + 1))})
-
-
-def numbered(scores: DataFrame) -> DataFrame:
-    """number: 1 for the largest score; ties by id (E7, E11). Rows are numbered in ranges of scores, and shifted."""
-    bounds = scores.agg(F.percentile_approx("score", [k / RANGES for k in range(1, RANGES)], 10_000)).first()[0] or []
-    held = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
-    ranged = scores.withColumn("range", F.size(F.filter(held, lambda b: b <= F.col("score"))))
-    sizes = ranged.groupBy("range").count()
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows
-    before = sizes.select("range", F.coalesce(F.sum("count").over(above), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("range").orderBy(F.desc("score"), "id")
-    return ranged.withColumn("number", F.row_number().over(inside)).join(F.broadcast(before), "range").withColumn("number", F.col("number") + F.col("_before")).drop("range", "_before")
-
-
-def binary_at(scores: DataFrame, k: int) -> DataFrame:
-    """pred: 1 for the k largest scores."""
-    return numbered(scores).withColumn("pred", (F.col("number") <= k).cast("int")).drop("number")
-
-
-def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts: Sequence[int] = COUNTS) -> DataFrame:
-    """Precision, recall and the four counts at each cut-off (E8, E9): one pass of conditional sums over numbered rows."""
-    n, positives = scores.agg(F.count(F.lit(1)), F.sum("label")).first()
-    cuts = {f"{p}_pct": int(n * (p / 100.0)) for p in percents} | {f"{k}_abs": k for k in counts}
-    rows = numbered(scores)
-    sums = rows.agg(*[F.sum(F.when(F.col("number") <= k, F.col("label")).otherwise(0)).alias(f"tp{i}") for i, k in enumerate(cuts.values())])
-    metrics = {}
+    sums = running_counts(scores, by).groupBy(*by).agg(F.sum("fp").alias("fp"), F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("k"), F.first("positives").alias("p"), F.first("negatives").alias("n"))
+    rates = {("mean false positive rate", ""): F.try_divide(c("fp").cast("double"), c("n") * (c("k") + 1)), ("mean true positive rate", ""): F.try_divide(c("tp").cast("double"), c("p") * (c("k") + 1))}
+    return _rows(sums, rates, by)
+
+
+def numbered(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """number: 1 for the largest score, ties by id (E7, E11); _n: the rows of the set. Rows are numbered in ranges of scores, and shifted."""
+    ranged = _ranged(scores, scores, by)
+    sizes = ranged.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    above = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows of each set
+    before = sizes.select(*by, "_range", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_before"), F.sum("_size").over(Window.partitionBy(*by)).alias("_n"))
+    inside = Window.partitionBy(*by, "_range").orderBy(F.desc("score"), "id")
+    return ranged.withColumn("number", F.row_number().over(inside)).join(before, [*by, "_range"]).withColumn("number", F.col("number") + F.col("_before")).drop("_range", "_before")
+
+
+def binary_at(scores: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
+    """pred: 1 for the k largest scores of each set."""
+    return numbered(scores, by).withColumn("pred", (F.col("number") <= k).cast("int")).drop("number", "_n")
+
+
+def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts: Sequence[int] = COUNTS, by: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and the four counts at each cut-off (E8, E9): one pass of conditional sums over numbered rows, for all sets."""
+    cuts = {f"{p}_pct": (F.col("_n") * F.lit(p / 100.0)).cast("long") for p in percents} | {f"{k}_abs": F.lit(k).cast("long") for k in counts}
+    label, rows = F.col("label"), numbered(scores, by)
+    sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(label), F.lit(0)).alias("_positives"), *[F.coalesce(F.sum(F.when(F.col("number") <= k, label)), F.lit(0)).alias(f"tp{i}") for i, k in enumerate(cuts.values())])
+    n, positives, metrics = F.col("_n"), F.col("_positives"), {}
     for i, (name, k) in enumerate(cuts.items()):
-        tp, taken, all_positives = F.coalesce(F.col(f"tp{i}"), F.lit(0)), F.lit(min(k, n)), F.lit(positives or 0)
+        tp, taken = F.col(f"tp{i}"), F.least(k, n)
         metrics |= {
             ("precision@", name): _ratio(tp, taken),
-            ("recall@", name): _ratio(tp, all_positives),
+            ("recall@", name): _ratio(tp, positives),
             ("true positives@", name): tp,
-            ("true negatives@", name): F.lit(n) - taken - (all_positives - tp),
+            ("true negatives@", name): n - taken - (positives - tp),
             ("false positives@", name): taken - tp,
-            ("false negatives@", name): all_positives - tp,
+            ("false negatives@", name): positives - tp,
         }
-    return _rows(sums, metrics)
+    return _rows(sums, metrics, by)
+
+
+def all_metrics(scores: DataFrame, by: Sequence[str] = ("model_id", "as_of_date")) -> DataFrame:
+    """by, metric, parameter, value: every metric of every set of scores (E1-E11), from one plan."""
+    return global_metrics(scores, by).unionByName(curve_metrics(scores, by)).unionByName(mean_rates(scores, by)).unionByName(cut_metrics(scores, by=by))
 
 
 def evaluation_rows(metrics: DataFrame) -> DataFrame:

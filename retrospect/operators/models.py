@@ -287,8 +287,7 @@ def run_experiments(matrices: Mapping[str, tuple[DataFrame, DataFrame, str]], ke
             io.append(io.registry_row(spark, number, kind, parameters, features, window, config), f"{root}/models", ())
             scored = model.score(vectors(test, features)).select(F.lit(number).alias("model_id"), F.lit(date).cast("timestamp_ntz").alias("as_of_date"), F.col(key).alias("entity_id"), "score", "pred", F.col("outcome").alias("label_value"))
             io.append(prediction_ranks(scored).select("model_id", "as_of_date", "entity_id", "score", "label_value", "rank_abs", "rank_pct"), f"{root}/predictions")
-            judged = scored.select(F.col("entity_id").alias("id"), "score", "pred", F.col("label_value").alias("label"))
-            metrics = evaluate.global_metrics(judged).unionByName(evaluate.curve_metrics(judged))
-            io.replace(metrics.select(F.lit(number).alias("model_id"), F.lit(date).cast("timestamp_ntz").alias("as_of_date"), "metric", "parameter", F.lit("").alias("comment"), "value"), f"{root}/evaluations")
+            judged = scored.select("model_id", "as_of_date", F.col("entity_id").alias("id"), "score", "pred", F.col("label_value").alias("label"))
+            io.replace(evaluate.all_metrics(judged).withColumn("comment", F.lit("")), f"{root}/evaluations")
             io.append(feature_importances(model, features, spark).select(F.lit(number).alias("model_id"), "feature", F.col("importance").alias("feature_importance")), f"{root}/feature_importances", ("model_id",))
     return number

@@ -77,6 +77,33 @@ def eval_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVAL_BINARY = f"SELECT id, (row_number() OVER (ORDER BY score DESC, id) <= 100)::INT AS pred FROM {SCORES_SQL}"
 
 
+def eval_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E11 of each model and date at once: values of events as scores of errors."""
+    e = table(spark, sf_dir, "events")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("as_of_date")
+    sets = e.select((F.col("user_id") % 3).cast("int").alias("model_id"), day, F.col("event_id").alias("id"), F.round("value", 0).alias("score"), (F.col("value") > 60).cast("int").alias("pred"), (F.col("event_type") == "error").cast("int").alias("label"))
+    return rounded(evaluate.all_metrics(sets), 9)
+
+
+def _sets_sql() -> str:
+    ratio = lambda a, b: f"coalesce(({a})::DOUBLE / nullif(({b})::DOUBLE, 0), 0)"
+    whole = [("accuracy", "", ratio("tp + tn", "n")), ("f1", "", ratio("2 * tp", "2 * tp + fn + fp")), *(("fbeta@", f"{b} beta", ratio(f"{1 + b * b}::DOUBLE * tp", f"{1 + b * b}::DOUBLE * tp + {b * b}::DOUBLE * fn + fp")) for b in evaluate.BETAS)]
+    whole += [("precision@", "default", ratio("tp", "tp + fp")), ("recall@", "default", ratio("tp", "tp + fn"))]
+    curves = [("auc", "roc", "won / nullif(p * m, 0)"), ("average precision score", "", "steps / nullif(p, 0)"), ("mean false positive rate", "", "fps / nullif(m * (k + 1), 0)"), ("mean true positive rate", "", "tps / nullif(p * (k + 1), 0)")]
+    parts = [f"SELECT model_id, as_of_date, '{m}' AS metric, '{p}' AS parameter, round({v}, 9) AS value FROM {t}" for t, some in (("c", whole), ("v", curves)) for m, p, v in some]
+    for name, k in _CUTS:
+        x = f"(SELECT model_id, as_of_date, any_value(n) AS n, any_value(p) AS p, least(any_value({k}), any_value(n))::DOUBLE AS k, coalesce(sum(label) FILTER (WHERE number <= {k}), 0)::DOUBLE AS tp FROM o GROUP BY 1, 2)"
+        values = [("precision@", ratio("tp", "k")), ("recall@", ratio("tp", "p")), ("true positives@", "tp"), ("true negatives@", "n - k - (p - tp)"), ("false positives@", "k - tp"), ("false negatives@", "p - tp")]
+        parts += [f"SELECT model_id, as_of_date, '{m}', '{name}', round({v}, 9) FROM {x}" for m, v in values]
+    return f"""WITH s AS (SELECT (user_id % 3)::INT AS model_id, date_trunc('day', ts)::TIMESTAMP AS as_of_date, event_id AS id, round(value, 0) AS score, (value > 60)::INT AS pred, (event_type = 'error')::INT AS label FROM events),
+c AS (SELECT model_id, as_of_date, count(*) AS n, count(*) FILTER (WHERE pred = 1 AND label = 1) AS tp, count(*) FILTER (WHERE pred = 1 AND label = 0) AS fp, count(*) FILTER (WHERE pred = 0 AND label = 1) AS fn, count(*) FILTER (WHERE pred = 0 AND label = 0) AS tn FROM s GROUP BY 1, 2),
+g AS (SELECT model_id, as_of_date, score, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg FROM s GROUP BY ALL),
+r AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER a AS p, sum(neg) OVER a AS m FROM g WINDOW w AS (PARTITION BY model_id, as_of_date ORDER BY score DESC), a AS (PARTITION BY model_id, as_of_date)),
+v AS (SELECT model_id, as_of_date, sum(pos * (m - fp + neg / 2)) AS won, sum(pos * tp / (tp + fp)) AS steps, sum(fp) AS fps, sum(tp) AS tps, count(*) AS k, any_value(p) AS p, any_value(m) AS m FROM r GROUP BY 1, 2),
+o AS (SELECT *, row_number() OVER (PARTITION BY model_id, as_of_date ORDER BY score DESC, id) AS number, count(*) OVER (PARTITION BY model_id, as_of_date)::DOUBLE AS n, sum(label) OVER (PARTITION BY model_id, as_of_date)::DOUBLE AS p FROM s)
+{" UNION ALL ".join(parts)}"""
+
+
 def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics named metric|parameter|comment, split and rounded to 10 digits."""
     counts = evaluate.confusion(scores(spark, sf_dir))
@@ -401,12 +428,12 @@ AUDIT = " UNION ALL ".join([
 QUERIES = {
     f.__name__: f
     for f in (
-        eval_global, eval_curves, eval_at_k, eval_binary, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, feature_importances,
+        eval_global, eval_curves, eval_at_k, eval_binary, eval_sets, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, feature_importances,
         signed_top5, rank_distance_explain, normalize_text, badge_scrub, name_forms, anonymized, constraint_audit,
     )
 } | MODELS
 SQL = {
-    "eval_global": EVAL_GLOBAL, "eval_curves": EVAL_CURVES, "eval_at_k": EVAL_AT_K, "eval_binary": EVAL_BINARY, "evaluation_rows": EVALUATION_ROWS, "top_models": TOP_MODELS, "top_with_artifacts": TOP_WITH, "models_run_at": MODELS_RUN_AT, "group_config": GROUP_CONFIG,
+    "eval_global": EVAL_GLOBAL, "eval_curves": EVAL_CURVES, "eval_at_k": EVAL_AT_K, "eval_binary": EVAL_BINARY, "eval_sets": _sets_sql(), "evaluation_rows": EVALUATION_ROWS, "top_models": TOP_MODELS, "top_with_artifacts": TOP_WITH, "models_run_at": MODELS_RUN_AT, "group_config": GROUP_CONFIG,
     "name_forms": NAME_FORMS, "model_gaussian_nb": _gaussian_sql(), "prediction_ranks": PREDICTION_RANKS, "rank_movement": RANK_MOVEMENT, "model_groups": MODEL_GROUPS, "class_histogram": CLASS_HISTOGRAM, "model_nearest_neighbours": NEAREST, "signed_top5": SIGNED_TOP5,
     "rank_distance_explain": RANK_DISTANCE, "normalize_text": NORMALIZE, "badge_scrub": BADGE_SCRUB, "constraint_audit": AUDIT,
 }
