@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import functools
 import hashlib
 import json
 import re
@@ -622,6 +623,11 @@ def test_imatch_ranges_have_the_right_neighbours(spark, monkeypatch):
         assert got[i] == hashlib.sha256((t[: len(t) - cut] + after[:cut]).encode()).hexdigest()
 
 
+@functools.cache
+def licence_model():
+    return licences.fit([prose(k, 20) for k in range(200)])
+
+
 def test_licences(docs):
     got = {r["doc_id"]: r for r in licences.licences(docs).collect()}
     assert got[13]["spans"] == "apache-2.0:0:47,mit:65:96" and got[13]["n_licences"] == 2
@@ -649,7 +655,7 @@ are met:"""
 @pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "REM ", "dnl "])
 @pytest.mark.parametrize(("family", "notice", "at"), [("mit", MIT, 3), ("gpl-3.0", GPL, 0), ("bsd", BSD, 0)])
 def test_wrapped_licences(family, notice, at, mark):
-    model = licences.fit([prose(k, 20) for k in range(200)])
+    model = licence_model()
     block = "\n".join(mark + line for line in notice.split("\n"))
     for before, after in (("", ""), (prose(6, 60).replace(". ", ".\n") + "\n", "\n" + prose(7, 30)), ("x = 1\n\n", "\n\ny = 2")):
         text = before + block + after
@@ -660,7 +666,7 @@ def test_wrapped_licences(family, notice, at, mark):
 
 
 def test_wrapped_licences_twice_and_narrow():
-    model = licences.fit([prose(k, 20) for k in range(200)])
+    model = licence_model()
     found = licences.scan(f"{BSD}\n{GPL}\n{BSD}", model)[1]
     assert [x[2] for x in found if x[2] != licences.UNKNOWN] == ["bsd", "gpl-3.0", "bsd"]
     for statement in (t for some in licences.TEMPLATES.values() for t in some):
@@ -671,7 +677,7 @@ def test_wrapped_licences_twice_and_narrow():
 
 def test_certain_none_is_what_the_classifier_says():
     """The shortcut passes over no paragraph that the classifier would not call none."""
-    model = licences.fit([prose(k, 20) for k in range(200)])
+    model = licence_model()
     rng, some = np.random.default_rng(5), sorted({w for g in model.vocabulary for w in g})
     for k in range(2000):
         found = [*rng.choice(some, int(rng.integers(0, 8))), *rng.choice(WORDS, int(rng.integers(0, 8)))]
@@ -681,7 +687,7 @@ def test_certain_none_is_what_the_classifier_says():
 
 
 def test_licence_variants():
-    model = licences.fit([prose(k, 20) for k in range(200)])
+    model = licence_model()
     for family, some in licences.TEMPLATES.items():
         for statement in some:
             assert [x[2] for x in licences.scan(statement, model)[1]] == [family], statement
