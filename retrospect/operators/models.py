@@ -241,7 +241,7 @@ def rank_distance(matrix: DataFrame, key: str, importances: Mapping[str, float],
 def prediction_ranks(predictions: DataFrame, by: Sequence[str] = ("model_id", "as_of_date")) -> DataFrame:
     """rank_abs: dense rank by descending score; rank_pct: that over the number of rows.
 
-    Distinct scores are ranked, and rows joined to their score's rank.
+    The distinct scores of one model and date are ranked in one task, and rows joined to their score's rank.
     """
     w = Window.partitionBy(*by).orderBy(F.desc("score"))
     scores = predictions.groupBy(*by, "score").count().withColumn("rank_abs", F.dense_rank().over(w)).withColumn("_n", F.sum("count").over(Window.partitionBy(*by)))
