@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 # Words that a name follows.
 ROLES = (
-    "Chief,Deputy Chief,DC,Major,Mjr,Mgr,Inspector,Insp,Commander,Captain,Cpt,Cptn,Lieutenant,Ltn,Sergeant,Sgt,Detective,Det,Corporal,Corp,Crp,"
-    "Police Officer,Officer,PO,Ofcr,Ofr,Ofc,Offc,Offr,IOfficer,IOfc,Patrol Officer,Cadet,R/O,RO,Trainee,Agent,Agnt,ICE,ICE Agent,SA,SAS,Manager,"
-    "Technician,Examiner,Assistant,DA,District Attorney,Volunteer,Investigator,CDPC,Analyst,Intern,FBI Agent,FBI,Marshall,Probation Officer,"
-    "ATF Agent,ATF,Reserve,Attorney,Contractor,MCSO,MCSD,Medic,Dispatcher"
-).split(",")
+    "Chief", "Deputy Chief", "DC", "Major", "Mjr", "Mgr", "Inspector", "Insp", "Commander", "Captain", "Cpt", "Cptn", "Lieutenant", "Ltn", "Sergeant",
+    "Sgt", "Detective", "Det", "Corporal", "Corp", "Crp", "Police Officer", "Officer", "PO", "Ofcr", "Ofr", "Ofc", "Offc", "Offr", "IOfficer", "IOfc",
+    "Patrol Officer", "Cadet", "R/O", "RO", "Trainee", "Agent", "Agnt", "ICE", "ICE Agent", "SA", "SAS", "Manager", "Technician", "Examiner",
+    "Assistant", "DA", "District Attorney", "Volunteer", "Investigator", "CDPC", "Analyst", "Intern", "FBI Agent", "FBI", "Marshall",
+    "Probation Officer", "ATF Agent", "ATF", "Reserve", "Attorney", "Contractor", "MCSO", "MCSD", "Medic", "Dispatcher",
+)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 BADGE_PATTERNS = (r"\([#0-9]*?\)", r"#[0-9-]+", r"code[0-9-]+", r"code no\.[0-9-]+", r"code number [0-9-]+", r"[0-9]{4,5}")
 BADGE = "BADGENUM"

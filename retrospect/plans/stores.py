@@ -97,7 +97,8 @@ def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STORED_RESULTS = "SELECT (o_custkey % 3)::INT AS model_id, date_trunc('year', o_orderdate)::TIMESTAMP AS as_of_date, count(*) AS n, sum(o_orderkey)::BIGINT AS entities, CASE WHEN (o_custkey % 3) = 1 THEN max(o_custkey) ELSE count(*) END AS value FROM orders GROUP BY 1, 2, o_custkey % 3"
 
-_WEIGHTS, _INTERCEPT, _DAY = {"n_events": 0.3, "n_errors": -0.5}, -1.0, "2024-01-20"
+#: Sums of these are exact, so that equal ones tie.
+_WEIGHTS, _INTERCEPT, _DAY = {"n_events": 0.25, "n_errors": -0.5}, -1.0, "2024-01-20"
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,15 +109,15 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R9 with T13, T18 and R6: one day's users scored by a fixed rule, ranked, and compared with their days before."""
     rows, model = _daily(spark, sf_dir), models.LinearScore(_WEIGHTS, _INTERCEPT)
-    before = model.score(rows.filter(F.col("as_of_date") < F.lit(_DAY).cast("timestamp_ntz"))).select(F.lit(1).alias("model_id"), "as_of_date", "entity_id", F.round("score", 9).alias("score"))
+    before = model.score(rows.filter(F.col("as_of_date") < F.lit(_DAY).cast("timestamp_ntz"))).select(F.lit(1).alias("model_id"), "as_of_date", "entity_id", "score")
     today = rows.filter(F.col("as_of_date") == F.lit(_DAY).cast("timestamp_ntz"))
     moved = models.score_date(model, today, list(_WEIGHTS), "entity_id", 1, _DAY, models.prediction_ranks(before), today.select("entity_id"))
     return rounded(moved, 6)
 
 
 SCORED_DATE = f"""WITH d AS (SELECT user_id AS entity_id, date_trunc('day', ts)::TIMESTAMP AS as_of_date, count(*) AS a, count(*) FILTER (WHERE event_type = 'error') AS b FROM events GROUP BY ALL),
-s AS (SELECT entity_id, as_of_date, 1 / (1 + exp(-({_INTERCEPT}::DOUBLE + a * 0.3::DOUBLE + b * -0.5::DOUBLE))) AS score FROM d WHERE as_of_date <= TIMESTAMP '{_DAY}'),
-q AS (SELECT *, dense_rank() OVER (PARTITION BY as_of_date ORDER BY round(score, 9) DESC)::INT AS rank_abs, count(*) OVER (PARTITION BY as_of_date) AS n FROM s),
+s AS (SELECT entity_id, as_of_date, 1 / (1 + exp(-({_INTERCEPT}::DOUBLE + a * 0.25::DOUBLE + b * -0.5::DOUBLE))) AS score FROM d WHERE as_of_date <= TIMESTAMP '{_DAY}'),
+q AS (SELECT *, dense_rank() OVER (PARTITION BY as_of_date ORDER BY score DESC)::INT AS rank_abs, count(*) OVER (PARTITION BY as_of_date) AS n FROM s),
 m AS (SELECT 1 AS model_id, as_of_date, entity_id, round(score, 6) AS score, rank_abs, round(rank_abs / n, 6) AS rank_pct, {', '.join(f"round(rank_abs / n - lag(rank_abs / n, {k}) OVER w, 6) AS {name}" for name, k in results.LAGS.items())} FROM q WINDOW w AS (PARTITION BY entity_id ORDER BY as_of_date))
 SELECT * FROM m WHERE as_of_date = TIMESTAMP '{_DAY}'"""
 
