@@ -21,6 +21,8 @@ PENALTY = 6.0
 #: More languages than this are refused: the model, CELLS numbers for each, is sent to every task.
 LANGUAGES = 4096
 UNKNOWN = "und"
+#: Bytes of a text that are taken at a time.
+PART = 1 << 20
 
 
 def cells(data: np.ndarray) -> np.ndarray:
@@ -31,14 +33,25 @@ def cells(data: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> 15) % CELLS
 
 
+def counted(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of a text and how often each occurs; texts over PART bytes are counted part by part, so memory stays bounded."""
+    if len(data) <= PART:
+        return np.unique(cells(data), return_counts=True)
+    n = np.zeros(CELLS, np.int64)
+    for at in range(0, len(data), PART):
+        n += np.bincount(cells(data[at : at + PART]), minlength=CELLS)
+    where = np.flatnonzero(n)
+    return where, n[where]
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
         data, ends = raw_texts(batch.column("text"))
         for lang, a, b in zip(batch.column("lang").to_pylist(), ends[:-1], ends[1:], strict=True):
             mine = counts.setdefault(lang, np.zeros(CELLS, np.int64))
-            for at in range(a, b, 1 << 20):
-                mine += np.bincount(cells(data[at : min(b, at + (1 << 20))]), minlength=CELLS)
+            for at in range(a, b, PART):
+                mine += np.bincount(cells(data[at : min(b, at + PART)]), minlength=CELLS)
     for lang, mine in counts.items():
         there = np.flatnonzero(mine)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there, pa.int32()), pa.array(mine[there], pa.int64())], ["lang", "cell", "n"])
@@ -72,9 +85,8 @@ def proportions(likelihood: np.ndarray, n: np.ndarray, start: np.ndarray) -> tup
     return share, float(n @ np.log(likelihood @ share))
 
 
-def mixture(cell: np.ndarray, model: np.ndarray, logs: np.ndarray) -> np.ndarray:
-    """Shares of all languages: one language first, then those that pay for their parameter, one by one."""
-    where, n = np.unique(cell, return_counts=True)
+def mixture(where: np.ndarray, n: np.ndarray, model: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Shares of all languages in these cells and their counts: one language first, then those that pay for their parameter, one by one."""
     likelihood, log = model[:, where].T, logs[:, where]
     single = log @ n
     chosen = [int(single.argmax())]
@@ -107,7 +119,7 @@ def _predict_batches(languages: list[str], model: np.ndarray, carried: tuple[str
                 if not (known and languages):
                     lang.append(UNKNOWN), score.append(0.0), sets.append("")
                     continue
-                shares = mixture(cells(data[a:b]), model, logs)
+                shares = mixture(*counted(data[a:b]), model, logs)
                 best = int(shares.argmax())
                 lang.append(languages[best])
                 score.append(float(min(1.0, shares[best])))

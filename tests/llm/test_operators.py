@@ -479,9 +479,9 @@ def test_mixture_finds_two_languages():
     rng = np.random.default_rng(0)
     model = rng.dirichlet(np.full(400, 0.05), 3) * 0.99 + 0.01 / 400
     cell = np.concatenate([rng.choice(400, 700, p=model[0]), rng.choice(400, 300, p=model[2])])
-    shares = language.mixture(cell, model, np.log(model))
+    shares = language.mixture(*np.unique(cell, return_counts=True), model, np.log(model))
     assert shares[1] == 0 and shares[0] == pytest.approx(0.7, abs=0.06) and shares[2] == pytest.approx(0.3, abs=0.06)
-    assert language.mixture(rng.choice(400, 500, p=model[1]), model, np.log(model)).tolist() == [0, 1, 0]
+    assert language.mixture(*np.unique(rng.choice(400, 500, p=model[1]), return_counts=True), model, np.log(model)).tolist() == [0, 1, 0]
 
 
 def test_mixture_against_every_set_of_languages():
@@ -502,10 +502,19 @@ def test_mixture_against_every_set_of_languages():
                 value = float(np.log(model[list(some)][:, cell].T @ share).sum()) - price * (size - 1)
                 if best is None or value > best[0]:
                     best = value, some, share
-        got = language.mixture(cell, model, np.log(model))
+        got = language.mixture(*np.unique(cell, return_counts=True), model, np.log(model))
         assert tuple(np.flatnonzero(got)) == best[1] and got[list(best[1])] == pytest.approx(best[2], abs=0.02)
 
 
+def test_long_texts_are_counted_part_by_part(monkeypatch):
+    data = np.frombuffer(prose(9, 400).encode(), np.uint8)
+    whole = dict(zip(*(x.tolist() for x in language.counted(data)), strict=True))
+    monkeypatch.setattr(language, "PART", 100)
+    parts = dict(zip(*(x.tolist() for x in language.counted(data)), strict=True))
+    assert sum(whole.values()) == sum(parts.values()) == len(data)
+    assert sum(abs(whole.get(k, 0) - parts.get(k, 0)) for k in {*whole, *parts}) <= 4 * (len(data) // 100 + 1)
+
+
 def test_more_languages_than_were_once_allowed(spark):
     rows = [(k, f"{chr(0x4E00 + 7 * k)}{chr(0x4E01 + 7 * k)} " * 40, f"l{k:03}") for k in range(300)]
     got = {r["doc_id"]: r["lang_pred"] for r in language.identify(table(spark, rows)).collect()}
