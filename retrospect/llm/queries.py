@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, imatch, language, licences, negatives, packing, quality, runs, secrets, sharding, simhash
+from . import bpe, exact_dedup, imatch, language, licences, negatives, packing, quality, runs, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_imatch": imatch.op8,
     "op9_licences": licences.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op11_toxicity": toxicity.op11,
     "op12_hard_negatives": negatives.op12,
     "op13_runs": runs.op13,
 }
