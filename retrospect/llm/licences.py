@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
@@ -30,37 +30,77 @@ TEMPLATES = {
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "The MIT License (MIT)",
-        "SPDX-License-Identifier: MIT License",
+        "SPDX-License-Identifier: MIT",
     ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "gpl-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ],
+    "lgpl": [
+        "This library is free software under the terms of the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ],
+    "agpl-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ],
-    "lgpl": ["This library is free software under the terms of the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "agpl-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
     "bsd": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "SPDX-License-Identifier: BSD-2-Clause",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
-    "cc-by-sa": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
-    "cc-by-nc": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."],
-    "cc0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Released under CC0 1.0 Universal public domain dedication."],
-    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Licensed under the ISC License."],
+    "cc-by": [
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "This work is licensed under the Creative Commons Attribution 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by/4.0/",
+        "Licensed under CC BY 4.0.",
+        "SPDX-License-Identifier: CC-BY-4.0",
+    ],
+    "cc-by-sa": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-sa/4.0/",
+        "Licensed under CC BY-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ],
+    "cc-by-nc": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-nc/4.0/",
+        "Licensed under CC BY-NC 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ],
+    "cc0": [
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "Released under CC0 1.0 Universal public domain dedication.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ],
     "unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
     "epl-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "SPDX-License-Identifier: EPL-2.0"],
-    "zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.", "Licensed under the zlib License."],
+    "zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.", "Licensed under the zlib License.", "SPDX-License-Identifier: Zlib"],
     "boost": ["Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0"],
     "proprietary": [
         "All rights reserved.",
@@ -78,6 +118,10 @@ EPOCHS, RATE, RIDGE = 300, 1.0, 1e-4
 TEMPERATURES = (0.25, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0)
 #: A paragraph with a probability below this for every family, but likelier a licence than not, is `unknown`.
 SURE = 0.4
+#: Lines of more words than so many of the longest template are judged by a statement's own words alone.
+WIDE = 4
+#: Paragraphs whose judgement a task remembers.
+REMEMBERED = 20_000
 #: Words of a template shingle, and the share of a template's shingles that confirms it.
 SHINGLE, SIMILAR = 5, 0.8
 
@@ -123,6 +167,7 @@ class Classifier:
     bias: np.ndarray
     temperature: float
     templates: list[tuple[str, set]]
+    seen: dict = field(default_factory=dict)
 
     def probabilities(self, found: list[str]) -> np.ndarray:
         known = [self.vocabulary[g] for g in ngrams(found) if g in self.vocabulary]
@@ -152,13 +197,27 @@ class Classifier:
         return out
 
     def judged(self, found: list[str]) -> tuple[str, float, float]:
-        """(family, probability, confirmation): `none`, a confirmed family, or else `unknown`."""
+        """(family, probability, confirmation): `none`, a confirmed family, or else `unknown`.
+
+        Notices of one kind share most of their words. So a family is confirmed only if no other's template is there to a larger share.
+        """
+        key = tuple(found)
+        if key not in self.seen:
+            if len(self.seen) >= REMEMBERED:
+                self.seen.clear()
+            self.seen[key] = self._judged(found)
+        return self.seen[key]
+
+    def _judged(self, found: list[str]) -> tuple[str, float, float]:
         p = self.probabilities(found)
         if p[0] >= 0.5:
             return NONE, 0.0, 0.0
         best = int(p[1:].argmax()) + 1
-        near = self.confirmed(found, self.classes[best])
-        return (UNKNOWN if p[best] < SURE or near < SIMILAR else self.classes[best]), float(p[best]), near
+        shares = self.shares(found)
+        near = shares.get(self.classes[best], 0.0)
+        if p[best] < SURE or near < SIMILAR or max(shares.values()) > near:
+            return UNKNOWN, float(p[best]), near
+        return self.classes[best], float(p[best]), near
 
     def statements(self, found: list[str]) -> list[tuple[int, int]]:
         """(first, last) words of the runs that hold enough of a template's shingles, wherever they are in a paragraph."""
@@ -188,9 +247,17 @@ class Classifier:
                 at += 1
         return out
 
-    def confirmed(self, found: list[str], family: str) -> float:
-        """The largest share of a template's shingles that the paragraph has."""
-        return max((overlap(found, t) for name, t in self.templates if name == family), default=0.0)
+    def shares(self, found: list[str]) -> dict[str, float]:
+        """For each family the largest share of a template's shingles that the paragraph has, none if it has none."""
+        hits: Counter = Counter()
+        for size, (_, by) in self.index.items():
+            for shingle in by.keys() & zip(*(found[k:] for k in range(size))):
+                hits.update(by[shingle])
+        out: dict[str, float] = {}
+        for k, n in hits.items():
+            name, template = self.templates[k]
+            out[name] = max(out.get(name, 0.0), n / len(template))
+        return out
 
 
 def fit(negatives: list[str]) -> Classifier:
@@ -202,24 +269,30 @@ def fit(negatives: list[str]) -> Classifier:
     """
     templates = [(name, shingles(words(t))) for name, some in TEMPLATES.items() for t in some]
     classes, fold = [NONE, *TEMPLATES], 0
-    rows, folds = [(set(), 0)], [0]
+    rows, folds, statements = [(set(), 0)], [0], [0]
     for name, some in TEMPLATES.items():
         for t in some:
             fold += 1
             rows += [(ngrams(words(v)), classes.index(name)) for v in variants(t)]
             folds += [fold] * (len(rows) - len(folds))
+            statements += [fold] * (len(rows) - len(statements))
     vocabulary = {g: k for k, g in enumerate(sorted({g for grams, _ in rows for g in grams}, key=str))}
     for k, text in enumerate(negatives):
         found = words(text)
         if not any(overlap(found, t) >= 0.5 for _, t in templates):
             rows.append((ngrams(found), 0))
             folds.append(k)
+            statements.append(0)
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
     for k, (grams, _) in enumerate(rows):
         x[k, [vocabulary[g] for g in grams if g in vocabulary]] = 1
     y = np.eye(len(classes), dtype=np.float32)[[c for _, c in rows]]
-    share = 1 / np.maximum(y.sum(axis=0), 1) @ y.T  # families count alike, and `none` as much as all of them
-    share[y[:, 0] > 0] *= len(TEMPLATES)
+    # families count alike, and so do a family's statements, whatever their length; `none` counts as much as all families
+    of = np.array(statements)
+    share = 1 / np.maximum(np.bincount(of)[of], 1.0)
+    for k, some in enumerate(TEMPLATES.values(), start=1):
+        share[y[:, k] > 0] /= len(some)
+    share[y[:, 0] > 0] = len(TEMPLATES) / max(float(y[:, 0].sum()), 1.0)
     share *= len(rows) / share.sum()
     held = np.array(folds) % 4 == 3
     weights, bias = _descend(x[~held], y[~held], share[~held])
@@ -260,15 +333,17 @@ def _paragraph(lines: list[list[str]], model: Classifier) -> list[tuple[int, int
     owner = [k for k, line in enumerate(lines) for _ in line]
     joined = lambda i, j: [w for line in lines[i : j + 1] for w in line]
     sure: list = []
+    last: dict[str, int] = {}  # by family the last of sure; statements come in order, so only that one can reach a later one
     for a, b in sorted(model.statements(every)):
         i, j = owner[a], owner[b]
-        family, p, near = model.judged(joined(i, j))
+        family, p, near = model.judged(joined(i, j)) if sum(map(len, lines[i : j + 1])) <= WIDE * model.longest else (UNKNOWN, 0.0, 0.0)
         if family in (NONE, UNKNOWN):
             family, p, near = model.judged(every[a : b + 1])
         if family in (NONE, UNKNOWN):
             continue
-        same = next((k for k in range(len(sure)) if sure[k][2] == family and sure[k][0] <= j and i <= sure[k][1]), None)
-        if same is None:
+        same = last.get(family)
+        if same is None or sure[same][1] < i:
+            last[family] = len(sure)
             sure.append((i, j, family, p, near))
         else:
             s = sure[same]
@@ -339,13 +414,15 @@ def licences(docs: DataFrame, negatives: int = NEGATIVES, rows: int = NEGATIVE_R
     """doc_id, n_paragraphs, n_licences, family, score, spans for each row of docs; a null text is empty.
 
     spans joins family:start:end of licence statements, which are whole lines, in order (code points, end exclusive); family is that of the
-    surest confirmed one, `unknown` if only unconfirmed ones are there, else `none` with score 0.
+    surest confirmed one, `unknown` if only unconfirmed ones are there, else `none` with score 0. Repeated rows have a row each, no
+    rows give none; very long texts are scanned whole, in time that grows with their length.
     """
     first = F.transform(F.slice(F.split("text", "\n"), 1, lines), lambda x: F.substring(x, 1, chars))
     windows = F.transform("lines", lambda _, k: F.array_join(F.slice("lines", k + 1, NEGATIVE_WINDOW), "\n"))
-    some = docs.select(F.xxhash64("doc_id").alias("h"), text_or_empty().alias("text")).select("h", first.alias("lines"))
-    picked = docs.select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(rows)
-    learned = some.join(F.broadcast(picked), "h").select(F.explode(F.concat("lines", windows)).alias("line")).select(F.xxhash64("line").alias("k"), "line").distinct().orderBy("k", "line").limit(negatives)
+    hashed = docs.select(F.xxhash64("doc_id", text_or_empty()).alias("h"), text_or_empty().alias("text"))
+    picked = hashed.select("h").distinct().orderBy("h").limit(rows)  # of equal rows one is learned from
+    some = hashed.select("h", first.alias("lines")).join(F.broadcast(picked), "h").dropDuplicates(["h"])
+    learned = some.select(F.explode(F.concat("lines", windows)).alias("line")).select(F.xxhash64("line").alias("k"), "line").distinct().orderBy("k", "line").limit(negatives)
     model = fit([r["line"] for r in learned.select("line").collect()])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_scan_batches(model), SCHEMA)
 

@@ -34,19 +34,34 @@ def tokenizer(path: str):
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
+@lru_cache(maxsize=1)
+def whole_tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str, ranks: str, vocabulary: str) -> np.ndarray:
+    """The ids of a text. The regular expressions of the faster library give up on runs of about a million white-space characters:
+    then the other one, which has no such bound, encodes the text."""
+    try:
+        return tokenizer(ranks).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(whole_tokenizer(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def cut(n: int, length: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: all are full but the first, which may be shorter."""
     first = n % length or min(n, length)
     return [(0, first), *((start, length) for start in range(first, n, length))]
 
 
-def _piece_batches(path: str, length: int, end: int):
+def _piece_batches(path: str, vocabulary: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_to_numpy
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.append(encode(text.as_py(), allowed_special="all"), end).astype("<u4")
+                ids = np.append(token_ids(text.as_py(), path, vocabulary), end).astype("<u4")
                 for k, (start, size) in enumerate(cut(len(ids), length)):
                     for column, value in zip(rows, (doc_id, k, start, size, zlib.crc32(ids[start : start + size])), strict=True):
                         column.append(value)
@@ -55,14 +70,14 @@ def _piece_batches(path: str, length: int, end: int):
     return run
 
 
-def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, vocabulary: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every document, repeated rows and long texts in full.
 
-    A null text is empty and gives the end id alone.
+    A null text is empty and gives the end id alone. No text is too long, whatever it is made of.
     """
-    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path, vocabulary = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_piece_batches(path, length, end), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_piece_batches(path, vocabulary, length, end), schema)
 
 
 def _best_two(counts: np.ndarray, room: int) -> tuple[int, int]:

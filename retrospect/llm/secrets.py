@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import islice, takewhile
 
 import pyarrow as pa
 import zstandard
@@ -56,6 +56,24 @@ IDENTIFIERS = (
 ).split()
 
 
+class Taken:
+    """Spans, merged where they overlap, so that each question about them is one search."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlap(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k < len(self.starts) and self.starts[k] < end
+
+
 class Scanner:
     """Finds spans in one text after another. Offsets are code points, ends are exclusive."""
 
@@ -65,6 +83,7 @@ class Scanner:
         self.candidate, self.value, self.sensitive = re.compile(CANDIDATE), re.compile(VALUE), re.compile(SENSITIVE, re.ASCII)
         self.assigned, self.name = re.compile(ASSIGNED), re.compile(NAME, re.ASCII | re.IGNORECASE)
         self.identifiers, self.least_novelty = " ".join(identifiers).encode(), least_novelty
+        self.known: dict[tuple[int, int], float] = {}  # of the text at hand
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind, end) of the base kinds. A run of hex digits is as long as it can be, so the short ones can be passed over."""
@@ -81,6 +100,11 @@ class Scanner:
 
         Other copies of the candidate are blank there, or each would make the others compressible.
         """
+        if (start, end) not in self.known:
+            self.known[start, end] = self.marginal(text, start, end)
+        return self.known[start, end]
+
+    def marginal(self, text: str, start: int, end: int) -> float:
         core = text[start:end].strip("=")
         blank, reach = " " * len(core), AROUND + len(core)  # so far that no copy is cut before it is blank
         before = text[max(0, start - reach) : start].replace(core, blank)[-AROUND:]
@@ -99,17 +123,15 @@ class Scanner:
 
         A name before `=` counts as context of its value. A run none of whose values is found is a candidate itself.
         """
-        found = [m.span(1) for m in self.assigned.finditer(text) if self.is_assigned(text, *m.span(1))] if ":" in text or "=" in text else []
-        found = [span for span in found if not any(s < span[1] and span[0] < e for s, _, e in base)]
-        known, k = sorted([*base, *((a, 3, b) for a, b in found)]), 0
+        taken = Taken([(start, end) for start, _, end in base])
+        assigned = [m.span(1) for m in self.assigned.finditer(text)] if ":" in text or "=" in text else []
+        found = [span for span in assigned if not taken.overlap(*span) and self.is_assigned(text, *span)]
+        taken = Taken([*((start, end) for start, _, end in base), *found])
         for m in self.candidate.finditer(text):
             first, last = m.span()
-            while k < len(known) and known[k][2] <= first:
-                k += 1
-            near = list(takewhile(lambda b: b[0] < last, islice(known, k, None)))
             values = [(first + start, first + end) for start, end in self.candidates(m[0])]
-            finds = [span for span in values if self.is_novel(text, *span, near)]
-            if not finds and (first, last) not in values and self.is_novel(text, first, last, near):
+            finds = [span for span in values if self.is_novel(text, *span, taken)]
+            if not finds and (first, last) not in values and self.is_novel(text, first, last, taken):
                 finds = [(first, last)]
             found += finds
         return [(start, 3, end) for start, end in found]
@@ -123,8 +145,8 @@ class Scanner:
         before = text[max(0, at - BEFORE) : at].rstrip().rstrip("=:>")
         return bool(self.name.search(before)) and self.novelty(text, start, end) >= self.least_novelty
 
-    def is_novel(self, text: str, start: int, end: int, near: list[tuple[int, int, int]]) -> bool:
-        if any(s < end and start < e for s, _, e in near) or not looks_random(text[start:end]):
+    def is_novel(self, text: str, start: int, end: int, taken: Taken) -> bool:
+        if taken.overlap(start, end) or not looks_random(text[start:end]):
             return False
         if not self.sensitive.search(text, max(0, start - BEFORE), start) and not self.sensitive.search(text, end, end + AFTER):
             return False
@@ -139,6 +161,7 @@ class Scanner:
         return out
 
     def scan(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+        self.known = {}
         base = self.base(text)
         return base, sorted(base + self.novel(text, base))
 
