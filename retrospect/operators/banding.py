@@ -1,4 +1,4 @@
-"""Counts and sums by time band, from running sums; joins by distance as equi-joins on buckets and grid cells."""
+"""Counts and sums by time band, from running sums; counts by distance from tiles, and in crowded ones from grids of running counts."""
 
 from __future__ import annotations
 
@@ -15,19 +15,6 @@ def seconds(column: Column) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
-def band_pairs(left: DataFrame, right: DataFrame, left_time: str, right_time: str, width: int, closed: bool, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs with left - width <= right <= left (or < left if not closed); width in seconds.
-
-    Rows meet in buckets as wide as the band: a left row looks into its own bucket and the one before. Columns of the
-    two sides have different names, but for `keys`, on which they are equal too.
-    """
-    size = width * 1_000_000
-    l = left.withColumn("_lt", seconds(F.col(left_time))).withColumn("_bucket", F.explode(F.array(*[F.floor(F.col("_lt") / size) - k for k in (0, 1)])))  # noqa: E741
-    r = right.withColumn("_rt", seconds(F.col(right_time))).withColumn("_bucket", F.floor(F.col("_rt") / size))
-    inside = (F.col("_rt") >= F.col("_lt") - size) & ((F.col("_rt") <= F.col("_lt")) if closed else (F.col("_rt") < F.col("_lt")))
-    return l.join(r, ["_bucket", *keys]).filter(inside).withColumn("_age", F.col("_lt") - F.col("_rt")).drop("_bucket")
-
-
 def running_sums(points: DataFrame, keys: Sequence[str], values: Sequence[str], bucket: int) -> DataFrame:
     """points with each value summed over the rows of the same keys that come no later, by _at (microseconds), then _turn.
 
@@ -99,43 +86,112 @@ def band_distinct_counts(left: DataFrame, right: DataFrame, left_id: str, entity
     return run.groupBy(left_id).agg(*[F.sum(F.when(F.col("_span") == k, F.col("n"))).alias(k) for k in widths])
 
 
-def radius_pairs(left: DataFrame, right: DataFrame, left_time: str, right_time: str, width: int, radius: float, point: tuple[str, str] = ("lon", "lat"), right_point: tuple[str, str] = ("r_lon", "r_lat")) -> DataFrame:
-    """Pairs with left - width <= right < left within the radius (D13, D14), planar, in the unit of the coordinates.
+#: Right rows of one tile and time bucket up to which left rows are compared with each of them.
+CROWDED = 2_048
+#: Blocks of a circle's radius, at least, and cells of a block's side.
+BLOCKS, CELLS = 4, 4
+#: Cells count as inside or outside a circle by this share of its square radius; between, points are compared one by one.
+MARGIN = 1e-9
+
+
+def _range(low: Column, high: Column) -> Column:
+    return F.explode(F.when(low <= high, F.sequence(low, high)))
+
+
+def _reach(column: str, cell: Column, side: float) -> tuple[Column, Column]:
+    """The least and the greatest distance of a coordinate from a cell's points, in one direction."""
+    below, above = F.col(column) - cell * side, (cell + 1) * side - F.col(column)
+    return F.greatest(-below, -above, F.lit(0.0)), F.greatest(F.abs(below), F.abs(above))
 
-    Rows meet in cells of the grid and buckets of time: a left row looks into nine cells and two buckets.
+
+def _placed(rows: DataFrame, radius: float, side: float) -> DataFrame:
+    """rows with _inside (all of the cell _cx, _cy lies in the circle); cells outside are left out."""
+    (nx, fx), (ny, fy) = _reach("_lon", F.col("_cx"), side), _reach("_lat", F.col("_cy"), side)
+    rows = rows.withColumn("_inside", fx * fx + fy * fy <= radius * radius * (1 - MARGIN))
+    return rows.filter(nx * nx + ny * ny <= radius * radius * (1 + MARGIN))
+
+
+def _crowded_counts(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: Sequence[str], spans: Mapping[str, int], radius: float, tile: float) -> DataFrame:
+    """ids and the number of right rows of the left rows' tiles in each trailing band within one radius.
+
+    left: ids, _when, _lon, _lat and the tile _x, _y, _b; right: keys, _when, _lon, _lat and its tile. A circle is laid out in blocks, and
+    the blocks on its border in cells. Blocks and cells that lie inside give their running counts at the band's ends; only
+    points of the cells on the border are compared, so what is joined grows with the border and not with the area.
     """
-    size = width * 1_000_000
-    cell = lambda c: F.floor(F.col(c) / radius)
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (0, 1)])
-    l = left.withColumn("_lt", seconds(F.col(left_time))).withColumn("_at", F.explode(around))  # noqa: E741
-    l = l.withColumn("_x", cell(point[0]) + F.col("_at.i")).withColumn("_y", cell(point[1]) + F.col("_at.j")).withColumn("_b", F.floor(F.col("_lt") / size) - F.col("_at.k")).drop("_at")  # noqa: E741
-    r = right.withColumn("_rt", seconds(F.col(right_time))).withColumn("_x", cell(right_point[0])).withColumn("_y", cell(right_point[1])).withColumn("_b", F.floor(F.col("_rt") / size))
-    dx, dy = F.col(point[0]) - F.col(right_point[0]), F.col(point[1]) - F.col(right_point[1])
-    pairs = l.join(r, ["_x", "_y", "_b"]).withColumn("_square", dx * dx + dy * dy)
-    inside = (F.col("_rt") >= F.col("_lt") - size) & (F.col("_rt") < F.col("_lt")) & (F.col("_square") <= radius * radius)
-    return pairs.filter(inside).withColumn("_age", F.col("_lt") - F.col("_rt")).drop("_x", "_y", "_b")
-
-
-def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, bands: Mapping[str, tuple[int, float]], point: tuple[str, str] = ("lon", "lat")) -> DataFrame:
-    """left_id and the number of right rows in each band of (seconds, radius): one join of the widest serves all."""
+    parts = 1
+    while tile / parts > radius / BLOCKS:
+        parts *= 2
+    block, cell = tile / parts, tile / parts / CELLS
+    own = ["_b", *keys]
+    at = lambda c, t: _range(F.greatest(F.floor((F.col(c) - radius) / block), F.col(t) * parts), F.least(F.floor((F.col(c) + radius) / block), F.col(t) * parts + parts - 1))
+    blocks = _placed(left.withColumn("_cx", at("_lon", "_x")).withColumn("_cy", at("_lat", "_y")), radius, block)
+    each = _range(F.lit(0), F.lit(CELLS - 1))
+    cells = blocks.filter("not _inside").withColumn("_i", each).withColumn("_j", each)
+    cells = _placed(cells.withColumn("_cx", F.col("_cx") * CELLS + F.col("_i")).withColumn("_cy", F.col("_cy") * CELLS + F.col("_j")), radius, cell)
+    names = list(dict.fromkeys([*ids, "_when", *own, "_level", "_cx", "_cy"]))
+    # the cell of a point is that within its block, so that rounding can't part the two
+    points = right.withColumn("_bx", F.floor(F.col("_lon") / block)).withColumn("_by", F.floor(F.col("_lat") / block))
+    part = lambda c, b: F.least(F.lit(CELLS - 1), F.greatest(F.lit(0), F.floor((F.col(c) - F.col(b) * block) / cell)))
+    fine = points.withColumn("_level", F.lit(1)).withColumn("_cx", F.col("_bx") * CELLS + part("_lon", "_bx")).withColumn("_cy", F.col("_by") * CELLS + part("_lat", "_by"))
+    coarse = points.withColumn("_level", F.lit(0)).withColumn("_cx", F.col("_bx")).withColumn("_cy", F.col("_by"))
+    given = coarse.unionByName(fine).select(*own, "_level", "_cx", "_cy", F.col("_when").alias("_r"))
+    asked = blocks.filter("_inside").withColumn("_level", F.lit(0)).select(*names).unionByName(cells.filter("_inside").withColumn("_level", F.lit(1)).select(*names))
+    inner = trailing_sums(asked, given, list(ids), ["_level", "_cx", "_cy", *own], "_when", "_r", spans, {}, False)
+    others = fine.select(*own, "_cx", "_cy", seconds(F.col("_when")).alias("_rt"), F.col("_lon").alias("_rlon"), F.col("_lat").alias("_rlat"))
+    dx, dy = F.col("_lon") - F.col("_rlon"), F.col("_lat") - F.col("_rlat")
+    border = cells.filter("not _inside").join(others, ["_cx", "_cy", *own]).withColumn("_lt", seconds(F.col("_when"))).filter((F.col("_rt") < F.col("_lt")) & (dx * dx + dy * dy <= radius * radius))
+    border = border.groupBy(*ids).agg(*[F.count_if(F.col("_lt") - F.col("_rt") <= w * 1_000_000).alias(k) for k, w in spans.items()])
+    return inner.select(*ids, *spans).unionByName(border)
+
+
+def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, bands: Mapping[str, tuple[int, float]], point: tuple[str, str] = ("lon", "lat"), keys: Sequence[str] = ()) -> DataFrame:
+    """left_id (and keys) and the number of right rows in each band of (seconds, radius): left - seconds <= right < left, planar
+    distance in the unit of the coordinates (D13, D14). Left rows without a row in the widest band have no row.
+
+    Rows meet in square tiles and time buckets twice as wide as the widest band, of which a left row looks into those that its
+    band reaches. In tiles of up to CROWDED right rows it is compared with each of them; in others a grid of running
+    counts is asked, and only rows of cells on the circle's border are compared (_crowded_counts). So a left row's
+    work has a bound for each tile, however dense that is.
+    """
+    from ..sources import io
+
+    spark, ids = left.sparkSession, [left_id, *keys]
     width, radius = max(w for w, _ in bands.values()), max(r for _, r in bands.values())
-    others = right.select(F.col(right_time).alias("_r"), F.col(point[0]).alias("r_lon"), F.col(point[1]).alias("r_lat"))
-    pairs = radius_pairs(left.select(left_id, left_time, *point), others, left_time, "_r", width, radius, point)
-    return pairs.groupBy(left_id).agg(*[F.count_if((F.col("_age") <= w * 1_000_000) & (F.col("_square") <= r * r)).alias(k) for k, (w, r) in bands.items()])
+    every = {**bands, "_widest": (width, radius)}
+    size, tile, tiles = 2 * width * 1_000_000, 2 * radius, ["_x", "_y", "_b", *keys]
+    place = [F.col(point[0]).cast("double").alias("_lon"), F.col(point[1]).cast("double").alias("_lat")]
+    given = right.select(*keys, F.col(right_time).alias("_when"), *place).dropna(subset=["_lon", "_lat"])  # NaN too
+    given = given.withColumn("_x", F.floor(F.col("_lon") / tile)).withColumn("_y", F.floor(F.col("_lat") / tile)).withColumn("_b", F.floor(seconds(F.col("_when")) / size))
+    path = io.scratch(spark, "crowded")
+    given.groupBy(*tiles).count().filter(F.col("count") > CROWDED).select(*tiles).write.parquet(path)
+    crowded = spark.read.parquet(path)
+    any_crowded = not crowded.isEmpty()
+
+    spread = lambda c: _range(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile))
+    asked = left.select(*ids, F.col(left_time).alias("_when"), *place).dropna(subset=["_lon", "_lat"]).withColumn("_lt", seconds(F.col("_when")))
+    asked = asked.withColumn("_x", spread("_lon")).withColumn("_y", spread("_lat")).withColumn("_b", _range(F.floor((F.col("_lt") - width * 1_000_000) / size), F.floor((F.col("_lt") - 1) / size)))
+    few, some = (asked.join(crowded, tiles, "left_anti"), given.join(crowded, tiles, "left_anti")) if any_crowded else (asked, given)
+    others = some.select(*tiles, seconds(F.col("_when")).alias("_rt"), F.col("_lon").alias("_rlon"), F.col("_lat").alias("_rlat"))
+    dx, dy = F.col("_lon") - F.col("_rlon"), F.col("_lat") - F.col("_rlat")
+    age, square = F.col("_lt") - F.col("_rt"), dx * dx + dy * dy
+    near = few.join(others, tiles).filter((age > 0) & (age <= width * 1_000_000) & (square <= radius * radius))
+    out = near.groupBy(*ids).agg(*[F.count_if((age <= w * 1_000_000) & (square <= r * r)).alias(k) for k, (w, r) in every.items()])
+    if any_crowded:
+        dense, there = asked.join(crowded, tiles, "left_semi").drop("_lt"), given.join(crowded, tiles, "left_semi")
+        for r in dict.fromkeys(r for _, r in every.values()):
+            spans = {k: w for k, (w, own) in every.items() if own == r}
+            out = out.unionByName(_crowded_counts(dense, there, ids, keys, spans, r, tile), allowMissingColumns=True)
+        out = out.groupBy(*ids).agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in every])
+    return out.filter("_widest > 0").select(*ids, *bands)
 
 
 def entity_radius_counts(left: DataFrame, right: DataFrame, left_id: str, entity: str, left_time: str, right_time: str, bands: Mapping[str, tuple[int, float]], functions: Mapping[str, str], point: tuple[str, str] = ("lon", "lat")) -> DataFrame:
     """left_id and, for each band, a function (avg, max) over its entities of their own rows in the band.
 
-    left has a row for each left_id and entity. Rows meet on entity and time bucket; entities without a row in the
-    widest band don't count.
+    left has a row for each left_id and entity. Rows meet on entity, tile and time bucket, as in radius_counts, so a busy entity
+    is many keys; entities without a row in the widest band don't count.
     """
-    width, radius = max(w for w, _ in bands.values()), max(r for _, r in bands.values())
-    others = right.select(entity, F.col(right_time).alias("_r"), F.col(point[0]).alias("r_lon"), F.col(point[1]).alias("r_lat"))
-    pairs = band_pairs(left.select(left_id, entity, left_time, *point), others, left_time, "_r", width, False, (entity,))
-    dx, dy = F.col(point[0]) - F.col("r_lon"), F.col(point[1]) - F.col("r_lat")
-    near = pairs.withColumn("_square", dx * dx + dy * dy).filter(F.col("_square") <= radius * radius)
-    counted = near.groupBy(left_id, entity).agg(*[F.count_if((F.col("_age") <= w * 1_000_000) & (F.col("_square") <= r * r)).alias(k) for k, (w, r) in bands.items()])
+    counted = radius_counts(left, right, left_id, left_time, right_time, bands, point, (entity,))
     # a band's mean is over the entities that have a row in it
     each = [getattr(F, f)(F.when(F.col(k) > 0, F.col(k))).alias(f"{f}_{k}") for k in bands for f in functions.values()]
     return counted.groupBy(left_id).agg(*each)
