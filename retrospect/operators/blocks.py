@@ -80,18 +80,73 @@ def _bound(as_of: Column, step: tuple[int, int]) -> Column:
     return as_of - F.make_interval(F.lit(0), F.lit(step[0]), F.lit(0), F.lit(step[1]))
 
 
+def _states(quantity: Quantity, k: int) -> dict[str, Column]:
+    """What must be known of a quantity's values to have its functions for any set of days, by name: count, sum, least, greatest, and the
+    sums of squares within the days and between them."""
+    value, needs = F.expr(quantity.value), set(quantity.functions)
+    number = value.cast("double")
+    out = {f"_n{k}": F.count(value), f"_s{k}": F.sum(value)} if needs & {"sum", "avg", "count", "variance", "cv"} else {}
+    if needs & {"variance", "cv"}:
+        n = F.count(number)
+        out |= {f"_w{k}": F.coalesce(F.var_pop(number) * n, F.lit(0.0)), f"_b{k}": F.coalesce(F.avg(number) * F.avg(number) * n, F.lit(0.0))}
+    return out | {f"_{f}{k}": AGGREGATES[f](value) for f in ("min", "max") if f in needs}
+
+
+def _merged(function: str, k: int, inside: Column) -> Column:
+    """A function of a quantity from the states of the days inside a window."""
+    part = lambda state: F.when(inside, F.col(f"_{state}{k}"))
+    if function in ("min", "max"):
+        return AGGREGATES[function](part(function))
+    n, total = F.sum(part("n")), F.sum(part("s"))
+    if function == "sum":
+        return total
+    if function == "count":
+        return F.coalesce(n, F.lit(0))
+    if function == "avg":
+        return F.try_divide(total.cast("double"), n)
+    mean, squares = F.try_divide(total.cast("double"), n), F.sum(part("b"))
+    between = squares - mean * mean * n
+    apart = F.sum(part("w")) + F.when(between > squares * 1e-13, between).otherwise(0.0)  # what rounding leaves of nothing
+    variance = F.when(n > 1, apart / (n - 1))
+    return variance if function == "variance" else F.try_divide(F.sqrt(variance), mean)
+
+
+def day_of(when: Column, bounds: Sequence) -> Column:
+    """The start of the day of a time, or the last of the bounds up to it if that is later: a time is on the same side of every
+    bound as this is. bounds are those that aren't midnights."""
+    day = when.cast("date").cast("timestamp_ntz")
+    if not bounds:
+        return day
+    later = F.array_max(F.filter(F.array(*[F.lit(str(b)).cast("timestamp_ntz") for b in bounds]), lambda b: b <= when.cast("timestamp_ntz")))
+    return F.greatest(day, later)
+
+
 def lookback(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
     """entity, as_of_date and each quantity over each window.
 
-    dates (as_of_date) are few: it is their number that is broadcast. An event meets just the dates whose widest
-    window holds it. Entities without an event in any window of a date have no row for it.
+    dates (as_of_date) are few: it is their number that is broadcast. Events are aggregated by entity and day first, into states
+    that can be merged, so that a busy entity is as many rows as it has days; each of these meets just the dates whose widest
+    window holds it. Only modes are taken from the events themselves. Entities without an event in any window of a date have no row for it.
     """
     dates = dates.select(F.col("as_of_date").cast("timestamp_ntz").alias("as_of_date")).distinct()
-    when = F.col(block.date)
+    ends = dates.select("as_of_date", *[_bound(F.col("as_of_date"), w).alias(f"_{k}") for k, w in enumerate(block.windows.values())])
+    odd = sorted({b for r in ends.collect() for b in r if b is not None and (b.hour, b.minute, b.second, b.microsecond) != (0, 0, 0, 0)})
     widest = F.least(*[_bound(F.col("as_of_date"), w) for w in block.windows.values()]) if len(block.windows) > 1 else _bound(F.col("as_of_date"), next(iter(block.windows.values())))
-    joined = source.join(F.broadcast(dates), (when < F.col("as_of_date")) & (when >= widest))
-    columns = [c for label, step in block.windows.items() for c in _aggregates(block, label, when >= _bound(F.col("as_of_date"), step))]
-    return joined.groupBy(block.entity, "as_of_date").agg(*columns)
+    when = F.col(block.date)
+    merged = [Quantity(q.name, q.value, [f for f in q.functions if f != "mode"]) for q in block.quantities]
+    states = {name: state for k, q in enumerate(merged) for name, state in _states(q, k).items()}
+    days = source.groupBy(block.entity, day_of(when, odd).alias("_day")).agg(*[state.alias(name) for name, state in states.items()] or [F.lit(0).alias("_none")])
+    seen = days.join(F.broadcast(dates), (F.col("_day") < F.col("as_of_date")) & (F.col("_day") >= widest))
+    name = lambda label, q, f: "_".join(x for x in (block.prefix, "id", label, q.name, f) if x).lower()
+    columns = [_merged(f, k, F.col("_day") >= _bound(F.col("as_of_date"), step)).alias(name(label, q, f)) for label, step in block.windows.items() for k, q in enumerate(merged) for f in q.functions]
+    out = seen.groupBy(block.entity, "as_of_date").agg(*columns or [F.lit(0).alias("_none")])
+    modes = Block(block.prefix, block.entity, block.date, [Quantity(q.name, q.value, ["mode"]) for q in block.quantities if "mode" in q.functions], block.windows)
+    if modes.quantities:
+        joined = source.join(F.broadcast(dates), (when < F.col("as_of_date")) & (when >= widest))
+        of_events = joined.groupBy(block.entity, "as_of_date").agg(*[c for label, step in block.windows.items() for c in _aggregates(modes, label, when >= _bound(F.col("as_of_date"), step))])
+        left, right = (t.withColumnRenamed(block.entity, "_entity") for t in (out, of_events))
+        out = left.join(right.withColumnRenamed("as_of_date", "_date").withColumnRenamed("_entity", "_other"), F.col("_entity").eqNullSafe(F.col("_other")) & (F.col("as_of_date") == F.col("_date"))).withColumnRenamed("_entity", block.entity)
+    return out.select(block.entity, "as_of_date", *[name(label, q, f) for label in block.windows for q in block.quantities for f in q.functions])
 
 
 def history(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
