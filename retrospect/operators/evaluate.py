@@ -54,29 +54,45 @@ def _ranged(rows: DataFrame, scores: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def running_counts(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """By distinct score, descending: pos, neg at it, and tp, fp so far, ties included; positives and negatives in all.
+    """By distinct score, descending: rows, pos, neg at it, and upto (rows), tp, fp so far, ties included; total, positives and negatives in all;
+    place: the number of the distinct score.
 
     Distinct scores lie in ranges by quantiles; counts run within each, and the totals of its ranges are added.
     """
-    by_score = scores.groupBy(*by, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    by_score = scores.groupBy(*by, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"), F.count(F.lit(1)).alias("rows"), F.lit(1).alias("one"))
     ranged = _ranged(by_score, scores, by)
     inside = Window.partitionBy(*by, "_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    totals = ranged.groupBy(*by, "_range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     above = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows of each set
-    everything = Window.partitionBy(*by)
-    before = totals.select(*by, "_range", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_bp"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_bn"), F.sum("_p").over(everything).alias("positives"), F.sum("_n").over(everything).alias("negatives"))
-    run = ranged.withColumn("tp", F.sum("pos").over(inside)).withColumn("fp", F.sum("neg").over(inside)).join(before, [*by, "_range"])
-    return run.select(*by, "score", "pos", "neg", (F.col("tp") + F.col("_bp")).alias("tp"), (F.col("fp") + F.col("_bn")).alias("fp"), "positives", "negatives")
+    names = {"pos": ("tp", "positives"), "neg": ("fp", "negatives"), "rows": ("upto", "total"), "one": ("place", "places")}
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_{c}") for c in names])
+    before = totals.select(*by, "_range", *[F.coalesce(F.sum(f"_{c}").over(above), F.lit(0)).alias(f"_b{c}") for c in names], *[F.sum(f"_{c}").over(Window.partitionBy(*by)).alias(n) for c, (_, n) in names.items()])
+    run = ranged.withColumns({n: F.sum(c).over(inside) for c, (n, _) in names.items()}).join(before, [*by, "_range"])
+    return run.select(*by, "score", "pos", "neg", "rows", *[(F.col(n) + F.col(f"_b{c}")).alias(n) for c, (n, _) in names.items()], *[n for _, n in names.values()])
 
 
-def curve_metrics(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """ROC AUC (E2): the share of pairs in order, ties half; and step-wise average precision."""
+def _auc() -> dict[tuple[str, str], Column]:
     c = F.col
-    run = running_counts(scores, by)
     # a positive beats the negatives below it, and half of those at its score
-    won = F.sum(c("pos") * (c("negatives") - c("fp") + c("neg") / F.lit(2.0)))
-    sums = run.groupBy(*by).agg(won.alias("won"), F.sum(c("pos") * c("tp") / (c("tp") + c("fp"))).alias("steps"), F.first("positives").alias("p"), F.first("negatives").alias("n"))
-    return _rows(sums, {("auc", "roc"): F.try_divide(c("won"), c("p") * c("n")), ("average precision score", ""): F.try_divide(c("steps"), c("p"))}, by)
+    won, p, n = F.sum(c("pos") * (c("negatives") - c("fp") + c("neg") / F.lit(2.0))), F.first("positives"), F.first("negatives")
+    return {("auc", "roc"): F.try_divide(won, p * n), ("average precision score", ""): F.try_divide(F.sum(c("pos") * c("tp") / (c("tp") + c("fp"))), p)}
+
+
+def _rates() -> dict[tuple[str, str], Column]:
+    points = F.count(F.lit(1)) + 1
+    return {
+        ("mean false positive rate", ""): F.try_divide(F.sum("fp").cast("double"), F.first("negatives") * points),
+        ("mean true positive rate", ""): F.try_divide(F.sum("tp").cast("double"), F.first("positives") * points),
+    }
+
+
+def _of_run(run: DataFrame, metrics: dict[tuple[str, str], Column], by: Sequence[str]) -> DataFrame:
+    sums = run.groupBy(*by).agg(*[v.alias(f"_m{k}") for k, v in enumerate(metrics.values())])
+    return _rows(sums, {name: F.col(f"_m{k}") for k, name in enumerate(metrics)}, by)
+
+
+def curve_metrics(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """ROC AUC (E2): the share of pairs in order, ties half; and step-wise average precision."""
+    return _of_run(running_counts(scores, by), _auc(), by)
 
 
 def mean_rates(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -84,35 +100,98 @@ def mean_rates(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     A point stands for each distinct score; none is dropped for lying on a line.
     """
-    c = F.col
-    sums = running_counts(scores, by).groupBy(*by).agg(F.sum("fp").alias("fp"), F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("k"), F.first("positives").alias("p"), F.first("negatives").alias("n"))
-    rates = {("mean false positive rate", ""): F.try_divide(c("fp").cast("double"), c("n") * (c("k") + 1)), ("mean true positive rate", ""): F.try_divide(c("tp").cast("double"), c("p") * (c("k") + 1))}
-    return _rows(sums, rates, by)
+    return _of_run(running_counts(scores, by), _rates(), by)
 
 
-def numbered(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """number: 1 for the largest score, ties by id (E7, E11); _n: the rows of the set. Rows are numbered in ranges of scores, and shifted."""
-    ranged = _ranged(scores, scores, by)
-    sizes = ranged.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_size"))
-    above = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows of each set
-    before = sizes.select(*by, "_range", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_before"), F.sum("_size").over(Window.partitionBy(*by)).alias("_n"))
-    inside = Window.partitionBy(*by, "_range").orderBy(F.desc("score"), "id")
-    return ranged.withColumn("number", F.row_number().over(inside)).join(before, [*by, "_range"]).withColumn("number", F.col("number") + F.col("_before")).drop("_range", "_before")
+def numbered_in_ranges(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """rows with number: 1 for the least `order` (a number) of each key.
 
-
-def binary_at(scores: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
-    """pred: 1 for the k largest scores of each set."""
-    return numbered(scores, by).withColumn("pred", (F.col("number") <= k).cast("int")).drop("number", "_n")
+    Rows are numbered in ranges of `order` by quantiles, RANGES of them and as many within each, whose sizes are added; so a key
+    with all rows is thousands of tasks' work.
+    """
+    ranged = rows
+    for level in (0, 1):
+        within = [*keys, *[f"_r{k}" for k in range(level)]]
+        bounds = ranged.groupBy(*within).agg(F.percentile_approx(order, [k / RANGES for k in range(1, RANGES)], 10_000).alias("_bounds"))
+        ranged = _same(ranged, bounds, within).withColumn(f"_r{level}", F.size(F.filter("_bounds", lambda b: b < F.col(order)))).drop("_bounds")
+    parts = [*keys, "_r0", "_r1"]
+    sizes = ranged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_r0", "_r1").rowsBetween(Window.unboundedPreceding, -1)  # RANGES x RANGES rows of each key
+    sizes = sizes.select(*parts, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    out = _same(ranged.withColumn("number", F.row_number().over(Window.partitionBy(*parts).orderBy(order))), sizes, parts)
+    return out.withColumn("number", F.col("number") + F.col("_before")).drop("_r0", "_r1", "_before")
+
+
+def _same(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on keys in which nulls are equal; the keys of rows stay."""
+    if not keys:
+        return rows.crossJoin(F.broadcast(others)) if how == "inner" else rows.join(F.broadcast(others), F.lit(True), how)  # one row
+    right = others.withColumnsRenamed({k: f"_k{n}" for n, k in enumerate(keys)})
+    test = F.lit(True)
+    for n, k in enumerate(keys):
+        test = test & rows[k].eqNullSafe(right[f"_k{n}"])
+    return rows.join(right, test, how).drop(*[f"_k{n}" for n in range(len(keys))])
+
+
+def _cut_points(run: DataFrame, cuts: Sequence[Column], by: Sequence[str]) -> DataFrame:
+    """by, score, cut, rest, above: for each cut the score at which its last row lies, how many rows of that score it takes (null: all) and the
+    positives it has with them all, or else above them. A cut without rows has none. cuts are functions of total."""
+    lower = F.col("upto") - F.col("rows")
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.least(k, F.col("total")).alias("k")) for i, k in enumerate(cuts)])
+    at = run.withColumn("_cut", F.explode(F.filter(each, lambda x: (x["k"] > lower) & (x["k"] <= F.col("upto"))))).withColumn("_k", F.col("_cut.k"))
+    whole = F.col("_k") == F.col("upto")
+    above = F.coalesce(F.col("tp"), F.lit(0)) - F.when(whole, F.lit(0)).otherwise(F.coalesce("pos", F.lit(0)))
+    return at.select(*by, "score", F.col("_cut.i").alias("cut"), F.when(~whole, F.col("_k") - lower).alias("rest"), above.alias("above"))
+
+
+def _ties(scores: DataFrame, points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows of scores that a cut divides, numbered by id. Only these are ever put in order."""
+    divided = points.filter("rest is not null").select(*by, "score").distinct()
+    return numbered_in_ranges(_same(scores, divided, [*by, "score"], "left_semi"), [*by, "score"], "id")
+
+
+def binary_at(scores: DataFrame, k: float, by: Sequence[str] = (), percent: bool = False) -> DataFrame:
+    """pred: 1 for the k largest scores of each set, or the largest k percent, rounded down; ties by id, a number.
+
+    The score of the last row taken comes from counts by score; of the rows of that score alone the order of ids matters.
+    """
+    cut = (F.col("total") * F.lit(k / 100.0)).cast("long") if percent else F.lit(k).cast("long")
+    points = _cut_points(running_counts(scores, by), [cut], by).select(*by, F.col("score").alias("_at"), "rest")
+    if not by:  # none or one row
+        points = points.groupBy().agg(F.first(F.struct("_at", "rest")).alias("_p")).select("_p.*", F.col("_p").isNotNull().alias("_any"))
+    else:
+        points = points.withColumn("_any", F.lit(True))
+    rows = _same(scores.drop("pred"), points, list(by), "left")
+    same = F.col("score").eqNullSafe(F.col("_at"))
+    higher = F.col("score").isNotNull() & (F.col("_at").isNull() | (F.col("score") > F.col("_at")))
+    taken = F.coalesce(F.col("_any"), F.lit(False)) & (higher | (same & F.col("rest").isNull()))
+    divided = F.coalesce(F.col("_any"), F.lit(False)) & same & F.col("rest").isNotNull()
+    ties = numbered_in_ranges(rows.filter(divided), [*by, "score"], "id").withColumn("pred", (F.col("number") <= F.col("rest")).cast("int"))
+    rest = rows.filter(~divided).withColumn("pred", taken.cast("int"))
+    return rest.drop("_at", "rest", "_any").unionByName(ties.drop("_at", "rest", "_any", "number"))
 
 
 def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts: Sequence[int] = COUNTS, by: Sequence[str] = ()) -> DataFrame:
-    """Precision, recall and the four counts at each cut-off (E8, E9): one pass of conditional sums over numbered rows, for all sets."""
-    cuts = {f"{p}_pct": (F.col("_n") * F.lit(p / 100.0)).cast("long") for p in percents} | {f"{k}_abs": F.lit(k).cast("long") for k in counts}
-    label, rows = F.col("label"), numbered(scores, by)
-    sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(label), F.lit(0)).alias("_positives"), *[F.coalesce(F.sum(F.when(F.col("number") <= k, label)), F.lit(0)).alias(f"tp{i}") for i, k in enumerate(cuts.values())])
+    """Precision, recall and the four counts at each cut-off (E8, E9), for all sets.
+
+    Counts by score give the score that each cut-off divides; only the rows of these few scores are put in order, by id.
+    """
+    return _cut_metrics(running_counts(scores, by), scores, percents, counts, by)
+
+
+def _cut_metrics(run: DataFrame, scores: DataFrame, percents: Sequence[float], counts: Sequence[int], by: Sequence[str]) -> DataFrame:
+    cuts = {f"{p}_pct": lambda n, p=p: (n * F.lit(p / 100.0)).cast("long") for p in percents} | {f"{k}_abs": lambda n, k=k: F.lit(k).cast("long") for k in counts}
+    points = _cut_points(run, [k(F.col("total")) for k in cuts.values()], by)
+    asked = points.filter("rest is not null").select(*by, "score", "cut", "rest")
+    among = _same(_ties(scores, points, by), asked, [*by, "score"]).filter(F.col("number") <= F.col("rest"))
+    none = F.lit(0).cast("long")
+    long = run.select(*by, F.col("rows").alias("n"), F.coalesce("pos", none).alias("p"), F.lit(None).cast("int").alias("cut"), none.alias("tp"))
+    long = long.unionByName(points.select(*by, none.alias("n"), none.alias("p"), "cut", F.col("above").alias("tp")))
+    long = long.unionByName(among.select(*by, none.alias("n"), none.alias("p"), "cut", F.coalesce(F.col("label").cast("long"), none).alias("tp")))
+    sums = long.groupBy(*by).agg(F.coalesce(F.sum("n"), none).alias("_n"), F.coalesce(F.sum("p"), none).alias("_positives"), *[F.coalesce(F.sum(F.when(F.col("cut") == i, F.col("tp"))), none).alias(f"tp{i}") for i in range(len(cuts))])
     n, positives, metrics = F.col("_n"), F.col("_positives"), {}
     for i, (name, k) in enumerate(cuts.items()):
-        tp, taken = F.col(f"tp{i}"), F.least(k, n)
+        tp, taken = F.col(f"tp{i}"), F.least(k(n), n)
         metrics |= {
             ("precision@", name): _ratio(tp, taken),
             ("recall@", name): _ratio(tp, positives),
@@ -125,8 +204,9 @@ def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts:
 
 
 def all_metrics(scores: DataFrame, by: Sequence[str] = ("model_id", "as_of_date")) -> DataFrame:
-    """by, metric, parameter, value: every metric of every set of scores (E1-E11), from one plan."""
-    return global_metrics(scores, by).unionByName(curve_metrics(scores, by)).unionByName(mean_rates(scores, by)).unionByName(cut_metrics(scores, by=by))
+    """by, metric, parameter, value: every metric of every set of scores (E1-E11), from one plan; its running counts serve curves and cut-offs."""
+    run = running_counts(scores, by)
+    return global_metrics(scores, by).unionByName(_of_run(run, _auc() | _rates(), by)).unionByName(_cut_metrics(run, scores, PERCENTS, COUNTS, by))
 
 
 def evaluation_rows(metrics: DataFrame) -> DataFrame:

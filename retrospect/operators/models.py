@@ -241,11 +241,13 @@ def rank_distance(matrix: DataFrame, key: str, importances: Mapping[str, float],
 def prediction_ranks(predictions: DataFrame, by: Sequence[str] = ("model_id", "as_of_date")) -> DataFrame:
     """rank_abs: dense rank by descending score; rank_pct: that over the number of rows.
 
-    The distinct scores of one model and date are ranked in one task, and rows joined to their score's rank.
+    Distinct scores are ranked in ranges, whose numbers are added (evaluate.running_counts), and rows joined to their score's rank.
     """
-    w = Window.partitionBy(*by).orderBy(F.desc("score"))
-    scores = predictions.groupBy(*by, "score").count().withColumn("rank_abs", F.dense_rank().over(w)).withColumn("_n", F.sum("count").over(Window.partitionBy(*by)))
-    return predictions.join(scores.withColumn("rank_pct", F.col("rank_abs") / F.col("_n")).drop("count", "_n"), [*by, "score"])
+    from .evaluate import running_counts
+
+    run = running_counts(predictions.select(*by, "score", F.lit(0).alias("label")), by)
+    ranks = run.select(*by, "score", F.col("place").cast("int").alias("rank_abs"), (F.col("place") / F.col("total")).alias("rank_pct"))
+    return predictions.join(ranks, [*by, "score"])
 
 
 def score_date(model, matrix: DataFrame, features: Sequence[str], key: str, model_id: int, date: str, history: DataFrame, hub: DataFrame) -> DataFrame:
