@@ -129,21 +129,24 @@ def lookback(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
     window holds it. Only modes are taken from the events themselves. Entities without an event in any window of a date have no row for it.
     """
     dates = dates.select(F.col("as_of_date").cast("timestamp_ntz").alias("as_of_date")).distinct()
-    ends = dates.select("as_of_date", *[_bound(F.col("as_of_date"), w).alias(f"_{k}") for k, w in enumerate(block.windows.values())])
-    odd = sorted({b for r in ends.collect() for b in r if b is not None and (b.hour, b.minute, b.second, b.microsecond) != (0, 0, 0, 0)})
-    widest = F.least(*[_bound(F.col("as_of_date"), w) for w in block.windows.values()]) if len(block.windows) > 1 else _bound(F.col("as_of_date"), next(iter(block.windows.values())))
+    starts = {label: f"_from{k}" for k, label in enumerate(block.windows)}
+    # the windows' starts are columns of the dates, so that they aren't computed anew for each row and quantity
+    dates = dates.select("as_of_date", *[_bound(F.col("as_of_date"), block.windows[label]).alias(c) for label, c in starts.items()])
+    odd = sorted({b for r in dates.collect() for b in r if b is not None and (b.hour, b.minute, b.second, b.microsecond) != (0, 0, 0, 0)})
+    dates = dates.withColumn("_widest", F.least(*starts.values()) if len(starts) > 1 else F.col(next(iter(starts.values()))))
     when = F.col(block.date)
     merged = [Quantity(q.name, q.value, [f for f in q.functions if f != "mode"]) for q in block.quantities]
     states = {name: state for k, q in enumerate(merged) for name, state in _states(q, k).items()}
     days = source.groupBy(block.entity, day_of(when, odd).alias("_day")).agg(*[state.alias(name) for name, state in states.items()] or [F.lit(0).alias("_none")])
-    seen = days.join(F.broadcast(dates), (F.col("_day") < F.col("as_of_date")) & (F.col("_day") >= widest))
+    seen = days.join(F.broadcast(dates), (F.col("_day") < F.col("as_of_date")) & (F.col("_day") >= F.col("_widest")))
+    seen = seen.withColumns({f"_in{k}": F.col("_day") >= F.col(c) for k, c in enumerate(starts.values())})
     name = lambda label, q, f: "_".join(x for x in (block.prefix, "id", label, q.name, f) if x).lower()
-    columns = [_merged(f, k, F.col("_day") >= _bound(F.col("as_of_date"), step)).alias(name(label, q, f)) for label, step in block.windows.items() for k, q in enumerate(merged) for f in q.functions]
+    columns = [_merged(f, k, F.col(f"_in{w}")).alias(name(label, q, f)) for w, label in enumerate(block.windows) for k, q in enumerate(merged) for f in q.functions]
     out = seen.groupBy(block.entity, "as_of_date").agg(*columns or [F.lit(0).alias("_none")])
     modes = Block(block.prefix, block.entity, block.date, [Quantity(q.name, q.value, ["mode"]) for q in block.quantities if "mode" in q.functions], block.windows)
     if modes.quantities:
-        joined = source.join(F.broadcast(dates), (when < F.col("as_of_date")) & (when >= widest))
-        of_events = joined.groupBy(block.entity, "as_of_date").agg(*[c for label, step in block.windows.items() for c in _aggregates(modes, label, when >= _bound(F.col("as_of_date"), step))])
+        joined = source.join(F.broadcast(dates), (when < F.col("as_of_date")) & (when >= F.col("_widest")))
+        of_events = joined.groupBy(block.entity, "as_of_date").agg(*[c for label, start in starts.items() for c in _aggregates(modes, label, when >= F.col(start))])
         left, right = (t.withColumnRenamed(block.entity, "_entity") for t in (out, of_events))
         out = left.join(right.withColumnRenamed("as_of_date", "_date").withColumnRenamed("_entity", "_other"), F.col("_entity").eqNullSafe(F.col("_other")) & (F.col("as_of_date") == F.col("_date"))).withColumnRenamed("_entity", block.entity)
     return out.select(block.entity, "as_of_date", *[name(label, q, f) for label in block.windows for q in block.quantities for f in q.functions])

@@ -18,6 +18,8 @@ COUNTS = (10, 50, 100, 200, 500, 1000)
 BETAS = (0.75, 1.25)
 #: Ranges of scores in which counts run separately.
 RANGES = 64
+#: Ranges of ids in which the rows of one score are put in order.
+TIE_RANGES = 512
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -106,20 +108,15 @@ def mean_rates(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def numbered_in_ranges(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """rows with number: 1 for the least `order` (a number) of each key.
 
-    Rows are numbered in ranges of `order` by quantiles, RANGES of them and as many within each, whose sizes are added; so a key
-    with all rows is thousands of tasks' work.
+    Rows are numbered in ranges of `order` by quantiles, whose sizes are added; so a key with all rows is hundreds of tasks' work.
     """
-    ranged = rows
-    for level in (0, 1):
-        within = [*keys, *[f"_r{k}" for k in range(level)]]
-        bounds = ranged.groupBy(*within).agg(F.percentile_approx(order, [k / RANGES for k in range(1, RANGES)], 10_000).alias("_bounds"))
-        ranged = _same(ranged, bounds, within).withColumn(f"_r{level}", F.size(F.filter("_bounds", lambda b: b < F.col(order)))).drop("_bounds")
-    parts = [*keys, "_r0", "_r1"]
-    sizes = ranged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_r0", "_r1").rowsBetween(Window.unboundedPreceding, -1)  # RANGES x RANGES rows of each key
-    sizes = sizes.select(*parts, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    bounds = rows.groupBy(*keys).agg(F.percentile_approx(order, [k / TIE_RANGES for k in range(1, TIE_RANGES)], 10_000).alias("_bounds"))
+    ranged = _same(rows, bounds, keys).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(order)))).drop("_bounds")
+    parts = [*keys, "_range"]
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # TIE_RANGES rows of each key
+    sizes = ranged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_size")).select(*parts, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     out = _same(ranged.withColumn("number", F.row_number().over(Window.partitionBy(*parts).orderBy(order))), sizes, parts)
-    return out.withColumn("number", F.col("number") + F.col("_before")).drop("_r0", "_r1", "_before")
+    return out.withColumn("number", F.col("number") + F.col("_before")).drop("_range", "_before")
 
 
 def _same(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -133,21 +130,19 @@ def _same(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str = "i
     return rows.join(right, test, how).drop(*[f"_k{n}" for n in range(len(keys))])
 
 
-def _cut_points(run: DataFrame, cuts: Sequence[Column], by: Sequence[str]) -> DataFrame:
-    """by, score, cut, rest, above: for each cut the score at which its last row lies, how many rows of that score it takes (null: all) and the
-    positives it has with them all, or else above them. A cut without rows has none. cuts are functions of total."""
-    lower = F.col("upto") - F.col("rows")
-    each = F.array(*[F.struct(F.lit(i).alias("i"), F.least(k, F.col("total")).alias("k")) for i, k in enumerate(cuts)])
-    at = run.withColumn("_cut", F.explode(F.filter(each, lambda x: (x["k"] > lower) & (x["k"] <= F.col("upto"))))).withColumn("_k", F.col("_cut.k"))
-    whole = F.col("_k") == F.col("upto")
-    above = F.coalesce(F.col("tp"), F.lit(0)) - F.when(whole, F.lit(0)).otherwise(F.coalesce("pos", F.lit(0)))
-    return at.select(*by, "score", F.col("_cut.i").alias("cut"), F.when(~whole, F.col("_k") - lower).alias("rest"), above.alias("above"))
+def _cut_table(run: DataFrame, cuts: Sequence[Column], by: Sequence[str]) -> DataFrame:
+    """A row for each set: by, n, positives, and for each cut a struct c0, c1, ...: the score at which its last row lies, how many rows of
+    that score it takes (null: all), and the positives it has with them all, or else above them. A cut without rows has null.
 
-
-def _ties(scores: DataFrame, points: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The rows of scores that a cut divides, numbered by id. Only these are ever put in order."""
-    divided = points.filter("rest is not null").select(*by, "score").distinct()
-    return numbered_in_ranges(_same(scores, divided, [*by, "score"], "left_semi"), [*by, "score"], "id")
+    cuts are functions of total."""
+    lower, tp, pos = F.col("upto") - F.col("rows"), F.coalesce(F.col("tp"), F.lit(0)), F.coalesce(F.col("pos"), F.lit(0))
+    columns = []
+    for i, cut in enumerate(cuts):
+        k = F.least(cut, F.col("total"))
+        point = F.struct(F.when(k == F.col("upto"), tp).otherwise(tp - pos).alias("above"), F.when(k < F.col("upto"), k - lower).alias("rest"), F.col("score").alias("score"))
+        columns.append(F.max(F.when((k > lower) & (k <= F.col("upto")), point)).alias(f"c{i}"))
+    none = F.lit(0).cast("long")
+    return run.groupBy(*by).agg(F.coalesce(F.sum("rows"), none).alias("n"), F.coalesce(F.sum("pos"), none).alias("positives"), *columns)
 
 
 def binary_at(scores: DataFrame, k: float, by: Sequence[str] = (), percent: bool = False) -> DataFrame:
@@ -156,19 +151,13 @@ def binary_at(scores: DataFrame, k: float, by: Sequence[str] = (), percent: bool
     The score of the last row taken comes from counts by score; of the rows of that score alone the order of ids matters.
     """
     cut = (F.col("total") * F.lit(k / 100.0)).cast("long") if percent else F.lit(k).cast("long")
-    points = _cut_points(running_counts(scores, by), [cut], by).select(*by, F.col("score").alias("_at"), "rest")
-    if not by:  # none or one row
-        points = points.groupBy().agg(F.first(F.struct("_at", "rest")).alias("_p")).select("_p.*", F.col("_p").isNotNull().alias("_any"))
-    else:
-        points = points.withColumn("_any", F.lit(True))
-    rows = _same(scores.drop("pred"), points, list(by), "left")
-    same = F.col("score").eqNullSafe(F.col("_at"))
-    higher = F.col("score").isNotNull() & (F.col("_at").isNull() | (F.col("score") > F.col("_at")))
-    taken = F.coalesce(F.col("_any"), F.lit(False)) & (higher | (same & F.col("rest").isNull()))
-    divided = F.coalesce(F.col("_any"), F.lit(False)) & same & F.col("rest").isNotNull()
-    ties = numbered_in_ranges(rows.filter(divided), [*by, "score"], "id").withColumn("pred", (F.col("number") <= F.col("rest")).cast("int"))
-    rest = rows.filter(~divided).withColumn("pred", taken.cast("int"))
-    return rest.drop("_at", "rest", "_any").unionByName(ties.drop("_at", "rest", "_any", "number"))
+    rows = _same(scores.drop("pred"), _cut_table(running_counts(scores, by), [cut], by).select(*by, F.col("c0").alias("_c")), list(by), "left")
+    same = F.col("_c").isNotNull() & F.col("score").eqNullSafe(F.col("_c.score"))
+    higher = F.col("_c").isNotNull() & F.col("score").isNotNull() & (F.col("_c.score").isNull() | (F.col("score") > F.col("_c.score")))
+    divided = same & F.col("_c.rest").isNotNull()
+    ties = numbered_in_ranges(rows.filter(divided), [*by, "score"], "id").withColumn("pred", (F.col("number") <= F.col("_c.rest")).cast("int"))
+    rest = rows.filter(~divided).withColumn("pred", (higher | same).cast("int"))
+    return rest.drop("_c").unionByName(ties.drop("_c", "number"))
 
 
 def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts: Sequence[int] = COUNTS, by: Sequence[str] = ()) -> DataFrame:
@@ -181,14 +170,13 @@ def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts:
 
 def _cut_metrics(run: DataFrame, scores: DataFrame, percents: Sequence[float], counts: Sequence[int], by: Sequence[str]) -> DataFrame:
     cuts = {f"{p}_pct": lambda n, p=p: (n * F.lit(p / 100.0)).cast("long") for p in percents} | {f"{k}_abs": lambda n, k=k: F.lit(k).cast("long") for k in counts}
-    points = _cut_points(run, [k(F.col("total")) for k in cuts.values()], by)
-    asked = points.filter("rest is not null").select(*by, "score", "cut", "rest")
-    among = _same(_ties(scores, points, by), asked, [*by, "score"]).filter(F.col("number") <= F.col("rest"))
+    table = _cut_table(run, [k(F.col("total")) for k in cuts.values()], by)
+    asked = table.select(*by, F.posexplode(F.array(*[F.col(f"c{i}") for i in range(len(cuts))])).alias("cut", "c")).filter("c.rest is not null").select(*by, F.col("c.score").alias("score"), "cut", F.col("c.rest").alias("rest"))
+    tied = _same(scores, asked.select(*by, "score").distinct(), [*by, "score"], "left_semi")  # only these rows are ever put in order
+    among = _same(numbered_in_ranges(tied, [*by, "score"], "id"), asked, [*by, "score"]).filter(F.col("number") <= F.col("rest"))
+    more = among.groupBy(*by).agg(*[F.sum(F.when(F.col("cut") == i, F.col("label"))).alias(f"t{i}") for i in range(len(cuts))])
     none = F.lit(0).cast("long")
-    long = run.select(*by, F.col("rows").alias("n"), F.coalesce("pos", none).alias("p"), F.lit(None).cast("int").alias("cut"), none.alias("tp"))
-    long = long.unionByName(points.select(*by, none.alias("n"), none.alias("p"), "cut", F.col("above").alias("tp")))
-    long = long.unionByName(among.select(*by, none.alias("n"), none.alias("p"), "cut", F.coalesce(F.col("label").cast("long"), none).alias("tp")))
-    sums = long.groupBy(*by).agg(F.coalesce(F.sum("n"), none).alias("_n"), F.coalesce(F.sum("p"), none).alias("_positives"), *[F.coalesce(F.sum(F.when(F.col("cut") == i, F.col("tp"))), none).alias(f"tp{i}") for i in range(len(cuts))])
+    sums = _same(table, more, list(by), "left").select(*by, F.col("n").alias("_n"), F.col("positives").alias("_positives"), *[(F.coalesce(F.col(f"c{i}.above"), none) + F.coalesce(F.col(f"t{i}").cast("long"), none)).alias(f"tp{i}") for i in range(len(cuts))])
     n, positives, metrics = F.col("_n"), F.col("_positives"), {}
     for i, (name, k) in enumerate(cuts.items()):
         tp, taken = F.col(f"tp{i}"), F.least(k(n), n)

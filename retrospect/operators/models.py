@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 def vectors(matrix: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -273,23 +274,59 @@ class LinearScore:
         return rows.withColumn("score", 1 / (1 + F.exp(-z))).withColumn("pred", (F.col("score") > 0.5).cast("int"))
 
 
-def run_experiments(matrices: Mapping[str, tuple[DataFrame, DataFrame, str]], key: str, subsets: Sequence[Sequence[str]], kinds: Mapping[str, Mapping[str, Sequence]], root: str, config: Mapping) -> int:
-    """Fits the grid on every (train, test, as_of_date) and feature subset, and stores what comes of it; the number of models.
+def _claimed(spark: SparkSession, root: str, wanted: Sequence[str]) -> dict[str, int]:
+    """model_id of each identity: those that an earlier run gave out, and the next free ones in order."""
+    from ..sources import io
+
+    path, schema = f"{root}/claims", "identity string, model_id int"
+    known = {r["identity"]: r["model_id"] for r in spark.read.schema(schema).parquet(path).collect()} if io.exists(spark, path) else {}  # a row for each model
+    fresh = [x for x in dict.fromkeys(wanted) if x not in known]
+    first = max(known.values(), default=0) + 1
+    given = {x: first + k for k, x in enumerate(fresh)}
+    if given:
+        io.append(spark.createDataFrame(list(given.items()), schema).coalesce(1), path, ())
+    return known | given
+
+
+def run_experiments(matrices: Mapping[str, tuple[DataFrame, DataFrame, str]], key: str, subsets: Sequence[Sequence[str]], kinds: Mapping[str, Mapping[str, Sequence]], root: str, config: Mapping, threads: int = 4) -> int:
+    """Fits the grid on every (train, test, as_of_date) and feature subset, and stores what comes of it; the number of models fitted.
 
-    Below root: models (registry rows, S14), predictions (S8), evaluations (S9) and feature_importances (S11).
+    Below root: models (registry rows, S14), predictions (S8), evaluations (S9), feature_importances (S11) and claims (the ids
+    given out). A model is known by the hash of what it is made from: configuration, window, date, features, kind and parameters. Its rows
+    replace those of the same id, and its registry row is written last; a model that has one is not fitted again. So a second
+    run adds nothing, and an interrupted one goes on. Models of a window are fitted by some threads at a time.
+    One run at a time may write below a root.
     """
     from ..sources import io
     from . import evaluate
 
-    number = 0
-    for window, (train, test, date) in matrices.items():
-        for features, kind, parameters, model in fit_grid(train, subsets, kinds):
-            number += 1
-            spark = train.sparkSession
-            io.append(io.registry_row(spark, number, kind, parameters, features, window, config), f"{root}/models", ())
-            scored = model.score(vectors(test, features)).select(F.lit(number).alias("model_id"), F.lit(date).cast("timestamp_ntz").alias("as_of_date"), F.col(key).alias("entity_id"), "score", "pred", F.col("outcome").alias("label_value"))
-            io.append(prediction_ranks(scored).select("model_id", "as_of_date", "entity_id", "score", "label_value", "rank_abs", "rank_pct"), f"{root}/predictions")
-            judged = scored.select("model_id", "as_of_date", F.col("entity_id").alias("id"), "score", "pred", F.col("label_value").alias("label"))
-            io.replace(evaluate.all_metrics(judged).withColumn("comment", F.lit("")), f"{root}/evaluations")
-            io.append(feature_importances(model, features, spark).select(F.lit(number).alias("model_id"), "feature", F.col("importance").alias("feature_importance")), f"{root}/feature_importances", ("model_id",))
-    return number
+    spark = next(iter(matrices.values()))[0].sparkSession if matrices else None
+    tasks = [(window, list(features), kind, parameters) for window in matrices for features in subsets for kind, parameters in grid(kinds)]
+    identity = lambda window, features, kind, parameters: io.matrix_key({"config": config, "window": window, "date": matrices[window][2], "features": features, "kind": kind, "parameters": parameters})
+    ids = _claimed(spark, root, [identity(*t) for t in tasks]) if tasks else {}
+    done = {r["model_id"] for r in spark.read.schema(io.RESULT_SCHEMAS["models"]).parquet(f"{root}/models").select("model_id").collect()} if tasks and io.there(spark, f"{root}/models") else set()
+
+    def one(window: str, features: list[str], kind: str, parameters: dict, cached: DataFrame) -> None:
+        number, (_, test, date) = ids[identity(window, features, kind, parameters)], matrices[window]
+        model = fit(kind, vectors(cached, features), parameters)
+        scored = model.score(vectors(test, features)).select(F.lit(number).alias("model_id"), F.lit(date).cast("timestamp_ntz").alias("as_of_date"), F.col(key).alias("entity_id"), "score", "pred", F.col("outcome").alias("label_value"))
+        io.replace(prediction_ranks(scored).select("model_id", "as_of_date", "entity_id", "score", "label_value", "rank_abs", "rank_pct"), f"{root}/predictions")
+        judged = scored.select("model_id", "as_of_date", F.col("entity_id").alias("id"), "score", "pred", F.col("label_value").alias("label"))
+        io.replace(evaluate.all_metrics(judged).withColumn("comment", F.lit("")), f"{root}/evaluations")
+        io.replace(feature_importances(model, features, spark).select(F.lit(number).alias("model_id"), "feature", F.col("importance").alias("feature_importance")), f"{root}/feature_importances", ("model_id",))
+        io.replace(io.registry_row(spark, number, kind, parameters, features, window, config), f"{root}/models", ("model_id",))
+
+    fitted = 0
+    for window, (train, _, _) in matrices.items():
+        todo = [t for t in tasks if t[0] == window and ids[identity(*t)] not in done]
+        if not todo:
+            continue
+        cached = train.persist()
+        try:
+            with ThreadPoolExecutor(max_workers=threads) as pool:
+                for future in [pool.submit(one, *t, cached) for t in todo]:
+                    future.result()
+                    fitted += 1
+        finally:
+            cached.unpersist()
+    return fitted
