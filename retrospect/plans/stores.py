@@ -135,8 +135,33 @@ def experiment_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.select("model_id", "experiment_hash", "model_type", "model_parameters", "prediction_window", F.size("features").alias("n_features")).join(sizes, "model_id").join(judged, "model_id").join(known, "model_id", "left")
 
 
-QUERIES = {f.__name__: f for f in (stored_features, stored_labels, stored_matrix, stored_lookup, stored_narratives, stored_results, scored_date, experiment_results)}
+_GRID = {"decision_tree": {"max_depth": [2, 3]}, "gaussian_nb": {}}
+_SUBSETS = (["n_lines", "month"], ["o_totalprice", "n_lines"])
+
+
+def experiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs over one store leave, of which the first fits one kind of models alone; nothing is stored twice."""
+    rows, root = reports._rows(spark, sf_dir), io.scratch(spark, "experiments")
+    early, late = rows.filter("month <= 6"), rows.filter("month > 6")
+    periods = {"early": (early, late, "1999-01-01"), "late": (late, early, "2000-01-01")}
+    for kinds in ({"gaussian_nb": {}}, _GRID):
+        models.run_experiments(periods, "o_orderkey", _SUBSETS, kinds, root, {"name": "experiment", "seed": 42})
+    predictions = spark.read.parquet(f"{root}/predictions").groupBy("model_id").agg(F.count(F.lit(1)).alias("n_predictions"), F.sum("entity_id").alias("entities"), F.sum("label_value").cast("long").alias("positives"))
+    judged = spark.read.parquet(f"{root}/evaluations").groupBy("model_id").agg(F.count(F.lit(1)).alias("n_evaluations"), F.max(F.when((F.col("metric") == "true positives@") & (F.col("parameter") == "100.0_pct"), F.col("value"))).alias("all_positives"))
+    known = spark.read.parquet(f"{root}/feature_importances").groupBy("model_id").agg(F.count(F.lit(1)).alias("n_importances"))
+    registry = spark.read.schema(io.RESULT_SCHEMAS["models"]).parquet(f"{root}/models").select("model_id", "model_type", "prediction_window", F.array_join("features", ",").alias("subset"))
+    return registry.join(predictions, "model_id").join(judged, "model_id").join(known, "model_id", "left")
+
+
+EXPERIMENT_COUNTS = f"""WITH r AS {reports._ROWS}, p AS (SELECT CASE WHEN "month" > 6 THEN 'early' ELSE 'late' END AS prediction_window, count(*) AS n, sum(o_orderkey)::BIGINT AS e, sum(outcome)::BIGINT AS y FROM r GROUP BY 1),
+g AS (SELECT * FROM (VALUES (1, 'gaussian_nb', 'early', 'n_lines,month', NULL), (2, 'gaussian_nb', 'early', 'o_totalprice,n_lines', NULL), (3, 'gaussian_nb', 'late', 'n_lines,month', NULL), (4, 'gaussian_nb', 'late', 'o_totalprice,n_lines', NULL),
+  (5, 'decision_tree', 'early', 'n_lines,month', 2), (6, 'decision_tree', 'early', 'n_lines,month', 2), (7, 'decision_tree', 'early', 'o_totalprice,n_lines', 2), (8, 'decision_tree', 'early', 'o_totalprice,n_lines', 2),
+  (9, 'decision_tree', 'late', 'n_lines,month', 2), (10, 'decision_tree', 'late', 'n_lines,month', 2), (11, 'decision_tree', 'late', 'o_totalprice,n_lines', 2), (12, 'decision_tree', 'late', 'o_totalprice,n_lines', 2)) AS t(model_id, model_type, prediction_window, subset, i))
+SELECT model_id::INT AS model_id, model_type, prediction_window, subset, n AS n_predictions, e AS entities, y AS positives, 112::BIGINT AS n_evaluations, y::DOUBLE AS all_positives, i::BIGINT AS n_importances FROM g JOIN p USING (prediction_window)"""
+
+
+QUERIES = {f.__name__: f for f in (stored_features, stored_labels, stored_matrix, stored_lookup, stored_narratives, stored_results, scored_date, experiment_results, experiment_counts)}
 SQL = {
     "stored_features": STORED_FEATURES, "stored_labels": STORED_LABELS, "stored_matrix": STORED_MATRIX, "stored_lookup": STORED_LOOKUP, "stored_narratives": STORED_NARRATIVES, "stored_results": STORED_RESULTS,
-    "scored_date": SCORED_DATE,
+    "scored_date": SCORED_DATE, "experiment_counts": EXPERIMENT_COUNTS,
 }

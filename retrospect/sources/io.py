@@ -59,13 +59,29 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def archived(spark: SparkSession, root: str, metadata: Mapping, build: Callable[[], DataFrame]) -> DataFrame:
-    """The matrix of this metadata: read if it was built before, else built and written."""
+    """The matrix of this metadata: read if it was built before, else built and written.
+
+    It is written aside and renamed when it is whole. Of two that build it at once the later one throws its copy away.
+    """
     path = f"{root}/{matrix_key(metadata)}"
     if not exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+        aside = f"{path}-{uuid.uuid4().hex}"
+        build().write.parquet(aside)
+        Path = spark._jvm.org.apache.hadoop.fs.Path
+        source, target = Path(aside), Path(path)
+        store = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        if exists(spark, path) or not store.rename(source, target):
+            store.delete(source, True)
+        store.delete(Path(target, source.getName()), True)  # where a store moves a folder into one that is there
     return spark.read.parquet(path)
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written to a path; tables whose partitions are replaced one by one have no mark of being finished."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share (spark.checkpoint.dir); on one machine, without one, a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -87,9 +103,24 @@ def append(table: DataFrame, path: str, keys: Sequence[str] = ("model_id", "as_o
     (table.write.mode("append").partitionBy(*keys) if keys else table.write.mode("append")).parquet(path)
 
 
-def replace(table: DataFrame, path: str, keys: Sequence[str] = ("model_id", "as_of_date")) -> None:
-    """Evaluations (S9) and individual importances (S10): rows of the keys in the table replace those of the same keys."""
+def replace(table: DataFrame, path: str, keys: Sequence[str] = ("model_id", "as_of_date"), of: Sequence[Mapping] = ()) -> None:
+    """Evaluations (S9) and individual importances (S10): rows of the keys in the table replace those of the same keys.
+
+    Keys of `of`, as {key: value}, lose their old rows also if the table has none for them.
+    """
     table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    if not of:
+        return
+    spark, known = table.sparkSession, table.select(*keys).distinct()
+    asked = spark.createDataFrame([tuple(x[k] for k in keys) for x in of], table.select(*keys).schema)
+    empty = asked.join(known, list(keys), "left_anti")
+    # as text, since a partition's column may be read as another type
+    same = lambda t: t.select(*[F.col(k).cast("string").alias(k) for k in keys])
+    old = spark.read.parquet(path)
+    folders = old.select(*[F.col(k).cast("string").alias(k) for k in keys], F.input_file_name().alias("_file")).join(F.broadcast(same(empty)), list(keys), "left_semi").select("_file").distinct().collect()
+    for folder in {r["_file"].rpartition("/")[0] for r in folders}:  # one for each key of `of` at most
+        where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def export_mapping(table: DataFrame, path: str) -> None:
