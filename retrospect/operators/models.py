@@ -6,6 +6,8 @@ from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -77,7 +79,7 @@ def fit(kind: str, rows: DataFrame, parameters: Mapping | None = None):
     """A model of rows (vector, outcome).
 
     bagging: forests on samples with replacement; boosted_forest and adaboost: members on reweighted rows (SAMME);
-    svm: a linear machine whose margins are calibrated by a logistic curve.
+    svm: a linear machine whose probabilities are a logistic curve over cross-fitted margins.
     """
     p = dict(parameters or {})
     if kind == "bagging":
@@ -88,10 +90,28 @@ def fit(kind: str, rows: DataFrame, parameters: Mapping | None = None):
     if kind in ("logistic_regression", "svm"):
         p.setdefault("rows", rows.count())
     model = _spark_ml(kind, p).fit(rows)
-    if kind != "svm":
-        return Scored(model)
-    margins = _margins(model.transform(rows))
-    return Scored(model, LogisticRegression(featuresCol="margins", labelCol="outcome").fit(margins))
+    return Scored(model) if kind != "svm" else Scored(model, _calibration(model, rows, p))
+
+
+#: Parts of the rows that an SVM's probabilities are learned from.
+FOLDS = 3
+
+
+def _calibration(model: Model, rows: DataFrame, p: Mapping) -> Model:
+    """A logistic curve over margins that don't come from a machine that has seen their rows (T4).
+
+    Rows lie in folds by the hash of their values; the margins of a fold are those of a machine of the other folds. A fold without which
+    there are not both outcomes keeps the margins of the whole.
+    """
+    folded = rows.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array("vector")), F.lit(FOLDS)).cast("int"))
+    there = {(r["_fold"], r["outcome"]) for r in folded.select("_fold", "outcome").distinct().collect()}  # 2 x FOLDS rows at most
+    margins = None
+    for fold in range(FOLDS):
+        others = folded.filter(F.col("_fold") != fold)
+        own = _spark_ml("svm", p).fit(others) if len({y for f, y in there if f != fold}) > 1 else model
+        part = _margins(own.transform(folded.filter(F.col("_fold") == fold))).select("margins", "outcome")
+        margins = part if margins is None else margins.unionByName(part)
+    return LogisticRegression(featuresCol="margins", labelCol="outcome").fit(margins)
 
 
 def _samme(rows: DataFrame, kind: str, p: Mapping) -> Ensemble:
@@ -121,26 +141,128 @@ def _samme(rows: DataFrame, kind: str, p: Mapping) -> Ensemble:
     return Ensemble(members, votes=True)
 
 
-#: Rows of a training matrix of nearest_neighbours at most: all of them are sent to every task.
-NEIGHBOURS = 200_000
+#: Training rows that stand for a cell of those nearest to them, and rows of a cell or of its questions that one task compares, about.
+PIVOTS, PART = 256, 4_096
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squares of the distances of all rows of x from all rows of y, summed feature by feature."""
+    out = np.zeros((len(x), len(y)))
+    for j in range(x.shape[1]):
+        out += (x[:, j, None] - y[None, :, j]) ** 2
+    return out
+
+
+def _matrix(values: pd.Series, width: int) -> np.ndarray:
+    return np.stack(values.to_numpy()).astype(float) if len(values) else np.zeros((0, width))
+
+
+def _assigned(pivots: np.ndarray):
+    """Adds cell (of the nearest pivot) and away (the distance from it)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            d = _distances(_matrix(rows["y"], pivots.shape[1]), pivots)
+            yield rows.assign(cell=d.argmin(axis=1).astype("int32"), away=np.sqrt(d.min(axis=1)))
+
+    return run
+
+
+def _cells_to_ask(pivots: np.ndarray, counts: np.ndarray, radius: np.ndarray, k: int, first: bool):
+    """Adds cells: at first the nearest ones that hold k rows together; then all others that can hold a row no farther than bound."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            d = np.sqrt(_distances(_matrix(rows["x"], pivots.shape[1]), pivots))
+            d[:, counts == 0] = np.inf
+            order = np.argsort(d, axis=1, kind="stable")
+            enough = np.cumsum(counts[order], axis=1)
+            n = np.minimum((enough < k).sum(axis=1) + 1, (counts > 0).sum())
+            if first:
+                chosen = [row[:m].tolist() for row, m in zip(order, n, strict=True)]
+            else:
+                reach = np.sqrt(rows["bound"].to_numpy(float)) * (1 + 1e-9) + 1e-300
+                chosen = [[int(c) for c in row[m:] if counts[c] and d[i, c] - radius[c] * (1 + 1e-9) <= reach[i] + 1e-9 * d[i, c]] for i, (row, m) in enumerate(zip(order, n, strict=True))]
+            yield pd.DataFrame({"row": rows["row"], "x": rows["x"], "cells": chosen})
+
+    return run
+
+
+def _nearest(k: int):
+    def run(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        """The k nearest known rows of each question, ties by key."""
+        rows, found, others, outcomes = [], [], [], []
+        if len(asked) and len(known):
+            known = known.sort_values("other", kind="stable")
+            width = len(known["y"].iloc[0])
+            y, other, outcome = _matrix(known["y"], width), known["other"].to_numpy(), known["outcome"].to_numpy()
+            for start in range(0, len(asked), 256):
+                some = asked.iloc[start : start + 256]
+                d = _distances(_matrix(some["x"], width), y)
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                rows.append(np.repeat(some["row"].to_numpy(), best.shape[1]))
+                found.append(np.take_along_axis(d, best, axis=1).ravel())
+                others.append(other[best].ravel())
+                outcomes.append(outcome[best].ravel())
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        return pd.DataFrame({"row": join(rows, "int64"), "d": join(found, float), "other": join(others, "int64"), "outcome": join(outcomes, "int64")})
+
+    return run
 
 
 def nearest_neighbours(train: DataFrame, test: DataFrame, key: str, features: Sequence[str], k: int = 5, weights: str = "uniform") -> DataFrame:
-    """key, score: the share of positives among the k nearest training rows, by Euclidean distance, ties by key.
+    """key, score: the share of positives among the k nearest training rows, by Euclidean distance, ties by key, a whole number.
 
-    Exact: every test row meets every training row. The training rows, NEIGHBOURS at most (ValueError beyond), are one
-    broadcast array, so nothing is shuffled. distance weighs a neighbour by the inverse of its distance.
+    Exact, for any number of training rows. These lie in cells around PIVOTS of them. A row first asks the nearest cells that
+    hold k rows; its k-th distance there bounds what it looks for, so that of the other cells only those within that bound are
+    asked. Cells and their questions are dealt into parts of bounded size, which give k rows for each question. distance weighs a
+    neighbour by the inverse of its distance. Rows with a null or NaN feature have no distances: they are no neighbours and get no score.
     """
-    if (n := train.count()) > NEIGHBOURS:
-        raise ValueError(f"{n} training rows are too many to compare all rows with")
-    known = train.select(F.struct(F.array(*[F.col(f).cast("double") for f in features]).alias("y"), F.col(key).alias("other"), "outcome").alias("row")).agg(F.collect_list("row").alias("_train"))
-    left = test.select(F.col(key).alias("_key"), F.array(*[F.col(f).cast("double") for f in features]).alias("_x")).crossJoin(F.broadcast(known))
-    square = lambda y: F.aggregate(F.zip_with("_x", y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
-    near = F.transform("_train", lambda r: F.struct(square(r["y"]).alias("d"), r["other"].alias("other"), r["outcome"].alias("outcome")))
-    top = left.select("_key", F.slice(F.array_sort(near), 1, k).alias("top")).filter(F.size("top") > 0)
+    from ..sources import io
+
+    spark = train.sparkSession
+    values = F.array(*[F.col(f).cast("double") for f in features])
+    whole = lambda c: F.forall(c, lambda v: v.isNotNull() & ~F.isnan(v))
+
+    def stored(table: DataFrame, name: str) -> DataFrame:
+        path = io.scratch(spark, name)
+        table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
+    known = train.select(F.col(key).cast("long").alias("other"), values.alias("y"), F.col("outcome").cast("long").alias("outcome")).filter(whole("y"))
+    pivots = _matrix(pd.Series([r["y"] for r in known.orderBy(F.xxhash64("other"), "other").limit(PIVOTS).select("y").collect()], dtype=object), len(features))
+    out = test.select(F.col(key).alias("_key"), values.alias("x")).filter(whole("x"))
+    if not len(pivots):
+        return out.filter(F.lit(False)).select(F.col("_key").alias(key), F.lit(0.0).alias("score"))
+    cells = stored(known.mapInPandas(_assigned(pivots), "other long, y array<double>, outcome long, cell int, away double"), "cells")
+    counts, radius = np.zeros(len(pivots), np.int64), np.zeros(len(pivots))
+    for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).collect():  # a row for each pivot
+        counts[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
+    parts = F.array(*[F.lit(int(max(1, -(-n // PART)))) for n in counts])
+    cells = cells.withColumn("part", F.pmod(F.xxhash64("other"), F.get(parts, F.col("cell"))).cast("int"))
+    asked = stored(out.withColumn("row", F.monotonically_increasing_id()), "asked")
+
+    def found(questions: DataFrame) -> DataFrame:
+        """The k best of each cell's part for the questions: row, x, cells."""
+        each = questions.select("row", "x", F.explode("cells").alias("cell"))
+        sizes = {r["cell"]: r["count"] for r in each.groupBy("cell").count().collect()}
+        blocks = F.array(*[F.lit(max(1, -(-sizes.get(c, 0) // PART))) for c in range(len(pivots))])
+        each = each.withColumn("block", F.pmod(F.xxhash64("row"), F.get(blocks, F.col("cell"))).cast("int"))
+        each = each.withColumn("part", F.explode(F.sequence(F.lit(0), F.get(parts, F.col("cell")) - 1)))
+        there = cells.withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("cell")) - 1)))
+        by = ["cell", "part", "block"]
+        return each.groupBy(*by).cogroup(there.groupBy(*by)).applyInPandas(_nearest(k), "row long, d double, other long, outcome long")
+
+    order = Window.partitionBy("row").orderBy("d", "other")
+    best = lambda rows: rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
+    ask = lambda rows, first: rows.mapInPandas(_cells_to_ask(pivots, counts, radius, k, first), "row long, x array<double>, cells array<int>")
+    nearby = stored(best(found(ask(asked.select("row", "x"), True))), "nearby")
+    bounds = nearby.groupBy("row").agg(F.when(F.count(F.lit(1)) == k, F.max("d")).otherwise(float("inf")).alias("bound"))
+    others = ask(asked.join(bounds, "row").select("row", "x", "bound"), False)
+    top = best(nearby.unionByName(found(stored(others, "farther")))).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("d", "other", "outcome"))).alias("top"))
     weight = (lambda x: F.lit(1.0)) if weights == "uniform" else (lambda x: 1.0 / (F.sqrt(x["d"]) + F.lit(1e-12)))
     votes = F.aggregate("top", F.lit(0.0), lambda a, x: a + weight(x) * x["outcome"])
-    return top.select(F.col("_key").alias(key), (votes / F.aggregate("top", F.lit(0.0), lambda a, x: a + weight(x))).alias("score"))
+    return asked.join(top, "row").select(F.col("_key").alias(key), (votes / F.aggregate("top", F.lit(0.0), lambda a, x: a + weight(x))).alias("score"))
 
 
 def grid(kinds: Mapping[str, Mapping[str, Sequence]]) -> Iterator[tuple[str, dict]]:

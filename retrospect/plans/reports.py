@@ -278,6 +278,17 @@ p AS (SELECT a.c_custkey, b.outcome, row_number() OVER (PARTITION BY a.c_custkey
 SELECT c_custkey, round(avg(outcome), 9) AS score FROM p WHERE k <= 5 GROUP BY 1"""
 
 
+def model_nearest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by three quarters of all customers, in two features."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", (F.col("c_custkey") * 37 % 1000).cast("double").alias("place"), (F.col("c_mktsegment") == "BUILDING").cast("int").alias("outcome"))
+    return rounded(models.nearest_neighbours(rows.filter("c_custkey % 4 != 0"), rows, "c_custkey", ["c_acctbal", "place"], 5), 9)
+
+
+NEAREST_ALL = """WITH r AS (SELECT c_custkey, c_acctbal, (c_custkey * 37 % 1000)::DOUBLE AS place, (c_mktsegment = 'BUILDING')::INT AS outcome FROM customer),
+p AS (SELECT a.c_custkey, b.outcome, row_number() OVER (PARTITION BY a.c_custkey ORDER BY (a.c_acctbal - b.c_acctbal) * (a.c_acctbal - b.c_acctbal) + (a.place - b.place) * (a.place - b.place), b.c_custkey) AS k FROM r a JOIN r b ON b.c_custkey % 4 <> 0)
+SELECT c_custkey, round(avg(outcome), 9) AS score FROM p WHERE k <= 5 GROUP BY 1"""
+
+
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances of models of every kind, for each subset of features that leaves one out."""
     found = None
@@ -428,12 +439,12 @@ AUDIT = " UNION ALL ".join([
 QUERIES = {
     f.__name__: f
     for f in (
-        eval_global, eval_curves, eval_at_k, eval_binary, eval_sets, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, feature_importances,
+        eval_global, eval_curves, eval_at_k, eval_binary, eval_sets, evaluation_rows, top_models, top_with_artifacts, models_run_at, group_config, prediction_ranks, rank_movement, model_groups, class_histogram, model_gaussian_nb, model_nearest_neighbours, model_nearest_all, feature_importances,
         signed_top5, rank_distance_explain, normalize_text, badge_scrub, name_forms, anonymized, constraint_audit,
     )
 } | MODELS
 SQL = {
     "eval_global": EVAL_GLOBAL, "eval_curves": EVAL_CURVES, "eval_at_k": EVAL_AT_K, "eval_binary": EVAL_BINARY, "eval_sets": _sets_sql(), "evaluation_rows": EVALUATION_ROWS, "top_models": TOP_MODELS, "top_with_artifacts": TOP_WITH, "models_run_at": MODELS_RUN_AT, "group_config": GROUP_CONFIG,
-    "name_forms": NAME_FORMS, "model_gaussian_nb": _gaussian_sql(), "prediction_ranks": PREDICTION_RANKS, "rank_movement": RANK_MOVEMENT, "model_groups": MODEL_GROUPS, "class_histogram": CLASS_HISTOGRAM, "model_nearest_neighbours": NEAREST, "signed_top5": SIGNED_TOP5,
+    "name_forms": NAME_FORMS, "model_gaussian_nb": _gaussian_sql(), "prediction_ranks": PREDICTION_RANKS, "rank_movement": RANK_MOVEMENT, "model_groups": MODEL_GROUPS, "class_histogram": CLASS_HISTOGRAM, "model_nearest_neighbours": NEAREST, "model_nearest_all": NEAREST_ALL, "signed_top5": SIGNED_TOP5,
     "rank_distance_explain": RANK_DISTANCE, "normalize_text": NORMALIZE, "badge_scrub": BADGE_SCRUB, "constraint_audit": AUDIT,
 }
