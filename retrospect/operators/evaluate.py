@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import stored
+
 # The cut-offs that scores are judged at.
 PERCENTS = (0.01, 0.10, 0.25, 0.50, 1.0, 5.0, 10.0, 25.0, 50.0, 75.0, 100.0)
 COUNTS = (10, 50, 100, 200, 500, 1000)
@@ -170,9 +172,11 @@ def cut_metrics(scores: DataFrame, percents: Sequence[float] = PERCENTS, counts:
 
 def _cut_metrics(run: DataFrame, scores: DataFrame, percents: Sequence[float], counts: Sequence[int], by: Sequence[str]) -> DataFrame:
     cuts = {f"{p}_pct": lambda n, p=p: (n * F.lit(p / 100.0)).cast("long") for p in percents} | {f"{k}_abs": lambda n, k=k: F.lit(k).cast("long") for k in counts}
-    table = _cut_table(run, [k(F.col("total")) for k in cuts.values()], by)
+    table = stored(_cut_table(run, [k(F.col("total")) for k in cuts.values()], by), "cuts")
     asked = table.select(*by, F.posexplode(F.array(*[F.col(f"c{i}") for i in range(len(cuts))])).alias("cut", "c")).filter("c.rest is not null").select(*by, F.col("c.score").alias("score"), "cut", F.col("c.rest").alias("rest"))
-    tied = _same(scores, asked.select(*by, "score").distinct(), [*by, "score"], "left_semi")  # only these rows are ever put in order
+    columns = scores.select(*by, "id", "score", "label")
+    # only these rows are ever put in order
+    tied = columns.filter(F.lit(False)) if asked.isEmpty() else stored(_same(columns, asked.select(*by, "score").distinct(), [*by, "score"], "left_semi"), "ties")
     among = _same(numbered_in_ranges(tied, [*by, "score"], "id"), asked, [*by, "score"]).filter(F.col("number") <= F.col("rest"))
     more = among.groupBy(*by).agg(*[F.sum(F.when(F.col("cut") == i, F.col("label"))).alias(f"t{i}") for i in range(len(cuts))])
     none = F.lit(0).cast("long")

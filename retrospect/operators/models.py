@@ -218,17 +218,11 @@ def nearest_neighbours(train: DataFrame, test: DataFrame, key: str, features: Se
     asked. Cells and their questions are dealt into parts of bounded size, which give k rows for each question. distance weighs a
     neighbour by the inverse of its distance. Rows with a null or NaN feature have no distances: they are no neighbours and get no score.
     """
-    from ..sources import io
+    from ..sources.io import stored
 
-    spark = train.sparkSession
     values = F.array(*[F.col(f).cast("double") for f in features])
     whole = lambda c: F.forall(c, lambda v: v.isNotNull() & ~F.isnan(v))
 
-    def stored(table: DataFrame, name: str) -> DataFrame:
-        path = io.scratch(spark, name)
-        table.write.parquet(path)
-        return spark.read.schema(table.schema).parquet(path)
-
     known = train.select(F.col(key).cast("long").alias("other"), values.alias("y"), F.col("outcome").cast("long").alias("outcome")).filter(whole("y"))
     pivots = _matrix(pd.Series([r["y"] for r in known.orderBy(F.xxhash64("other"), "other").limit(PIVOTS).select("y").collect()], dtype=object), len(features))
     out = test.select(F.col(key).alias("_key"), values.alias("x")).filter(whole("x"))

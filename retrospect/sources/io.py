@@ -92,6 +92,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """The table, written to a new path of the shared folder and read again, where several plans need it."""
+    path = scratch(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def registry_row(spark: SparkSession, model_id: int, kind: str, parameters: Mapping, features: Sequence[str], window: str, config: Mapping, group: int | None = None) -> DataFrame:
     """A row of the table of models (S14); its experiment is the hash of the configuration."""
     row = (model_id, group, None, matrix_key(config), kind, json.dumps(parameters, sort_keys=True), list(features), window, json.dumps(config, sort_keys=True, default=str))
