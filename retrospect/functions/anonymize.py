@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import stored
+
 # Words that a name follows.
 ROLES = (
     "Chief", "Deputy Chief", "DC", "Major", "Mjr", "Mgr", "Inspector", "Insp", "Commander", "Captain", "Cpt", "Cptn", "Lieutenant", "Ltn", "Sergeant",
@@ -18,6 +23,12 @@ ROLES = (
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 BADGE_PATTERNS = (r"\([#0-9]*?\)", r"#[0-9-]+", r"code[0-9-]+", r"code no\.[0-9-]+", r"code number [0-9-]+", r"[0-9]{4,5}")
 BADGE = "BADGENUM"
+#: Words of the longest form of a name.
+LONGEST = 3
+#: Bits of the filter of forms: so many a form, and no more than these in all (32 MB), however many forms there are.
+FORM_BITS, MOST_BITS = 12, 1 << 28
+#: Bits of one of the bitmaps that Spark's bitmap functions build.
+BITMAP = 1 << 15
 
 
 def normalize_report(text: Column) -> Column:
@@ -64,67 +75,137 @@ def name_forms(names: DataFrame, order: str) -> DataFrame:
     return every.filter("pattern != ''").groupBy("pattern").agg(F.max_by("id", order).alias("id"))
 
 
-def tokens(narratives: DataFrame, key: str, text: str) -> DataFrame:
-    """key, pos, word: the words of each text."""
-    return narratives.select(key, F.posexplode(F.filter(F.split(text, " "), lambda w: w != "")).alias("pos", "word"))
-
-
-def _grams(words: DataFrame, key: str) -> DataFrame:
-    """Each word with the 1-, 2- and 3-word runs that begin at it."""
-    w = Window.partitionBy(key).orderBy("pos")
-    ahead = words.withColumn("_2", F.lead("word").over(w)).withColumn("_3", F.lead("word", 2).over(w))
-    runs = [F.col("word"), F.concat_ws(" ", "word", "_2"), F.concat_ws(" ", "word", "_2", "_3")]
-    each = F.array(*[F.struct(F.lit(k + 1).alias("size"), run.alias("run")) for k, run in enumerate(runs)])
-    return ahead.select(key, "pos", F.inline(each))
-
-
-def found_names(words: DataFrame, forms: DataFrame, key: str) -> DataFrame:
-    """key, pos, size, id: the longest known name that begins at each word (X4 joins initials to a name that way)."""
-    hits = _grams(words, key).join(forms, F.col("run") == F.col("pattern"))
-    longest = hits.groupBy(key, "pos").agg(F.max(F.struct("size", "id", "run")).alias("h"))
-    return longest.select(key, "pos", "h.size", "h.id", "h.run")
-
+@dataclass(frozen=True)
+class Roles:
+    """Words that names follow: the last word of each role, the plurals of roles, and what a list after a plural may hold beside names."""
+
+    ends: frozenset[str]
+    plurals: frozenset[str]
+    listed: frozenset[str]
+
+    @classmethod
+    def of(cls, roles: Sequence[str]) -> Roles:
+        lower = [r.lower() for r in roles]
+        return cls(frozenset(r.split()[-1] for r in lower), frozenset(f"{r}s" for r in lower), frozenset(["and", *lower]))
+
+
+def runs_at(words: Sequence[str], k: int) -> list[str]:
+    """The runs of one to three words that begin at a word; an initial is joined to the name after it that way."""
+    return [" ".join(words[k : k + n]) for n in range(1, min(LONGEST, len(words) - k) + 1)]
+
+
+def after_roles(words: Sequence[str], roles: Roles, reach_at: Callable[[int], int]) -> list[int]:
+    """Places where a name follows a role: one or two words after a singular (X5), and in the list of names, `and` and roles that
+    begins with a plural (X6). reach_at: the end of the longest name that begins at a place, or the place itself."""
+    places, opened, reach = [], False, 0
+    for k, word in enumerate(words):
+        plural = word in roles.plurals
+        if plural and not opened and k:
+            reach = max(reach, reach_at(k - 1))  # a name that begins before the plural may go on after it
+        if plural or opened:
+            reach = max(reach, reach_at(k))
+            opened = plural or reach > k or word in roles.listed
+        if opened or (k > 0 and words[k - 1] in roles.ends) or (k > 1 and words[k - 2] in roles.ends):
+            places.append(k)
+    return places
+
+
+def asked_forms(words: Sequence[str], roles: Roles, maybe: Callable[[str], bool]) -> set[str]:
+    """All runs of words that must be looked up to replace a text's names: those after roles, and all that begin where one of these
+    stands again. maybe: false only for runs that are no form of a name."""
+    seen: dict[int, list[str]] = {}
+
+    def at(k: int) -> list[str]:
+        if k not in seen:
+            seen[k] = [run for run in runs_at(words, k) if maybe(run)]
+        return seen[k]
+
+    places = after_roles(words, roles, lambda k: k + max((run.count(" ") + 1 for run in at(k)), default=0))
+    known = {run for k in places for run in at(k)}
+    asked = known.union(*seen.values())
+    first = {run.partition(" ")[0] for run in known}
+    for k, word in enumerate(words):
+        if word in first and k not in seen and any(run in known for run in runs_at(words, k)):
+            asked.update(at(k))
+    return asked
+
+
+def with_ids(words: Sequence[str], roles: Roles, ids: Mapping[str, str]) -> list[str]:
+    """The words with names that follow a role somewhere in them replaced by ids, wherever they stand; the longest name that begins at a
+    word counts, and of overlapping ones the first. ids holds what `asked_forms` asks for, as far as it is a form."""
+    first = {run.partition(" ")[0] for run in ids}
+
+    def name(k: int) -> str | None:
+        return next((run for run in reversed(runs_at(words, k)) if run in ids), None) if words[k] in first else None
+
+    def reach(k: int) -> int:
+        return k + (run.count(" ") + 1 if (run := name(k)) else 0)
+
+    known = {name(k) for k in after_roles(words, roles, reach)} - {None}
+    out, k = [], 0
+    while k < len(words):
+        run = name(k)
+        out.append(ids[run] if run in known else words[k])
+        k += run.count(" ") + 1 if run in known else 1
+    return out
+
+
+def _in_filter(pattern: Column) -> Column:
+    """A form as the filter knows it: an initial between two names is any initial, as those of a name without one are guessed."""
+    return F.regexp_replace(pattern, "^([^ ]+) [^ ] ([^ ]+)$", "$1 ? $2")
+
+
+def form_filter(forms: DataFrame) -> bytes:
+    """A Bloom filter of all patterns, two bits for each, of MOST_BITS at most: where that is too few, more runs of words are looked
+    up and the result is the same."""
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(BITMAP, forms.count() * FORM_BITS).bit_length())
+    code = F.xxhash64(_in_filter(F.col("pattern")))
+    spots = forms.select(F.explode(F.array(*[F.shiftrightunsigned(code, n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32)])).alias("bit"))
+    # each bitmap is made in one task, from bits that are shuffled as numbers
+    maps = spots.withColumn("bucket", F.floor(F.col("bit") / BITMAP)).repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg((F.col("bit") % BITMAP).cast("long")).alias("bitmap"))
+    out = bytearray(bits // 8)
+    for bucket, bitmap in maps.collect():  # MOST_BITS / 8 bytes at most
+        out[bucket * BITMAP // 8 : (bucket + 1) * BITMAP // 8] = bitmap
+    return bytes(out)
+
+
+def in_filter(data: bytes, run: str) -> bool:
+    """Whether a run of words may be a form of a name."""
+    parts = run.split(" ")
+    if len(parts) == LONGEST and len(parts[1]) == 1:
+        run = f"{parts[0]} ? {parts[2]}"
+    code, last = xxhash.xxh64_intdigest(run.encode(), 42), len(data) * 8 - 1
+    return all(data[b >> 3] >> (b & 7) & 1 for b in (code & last, (code >> 32) & last))
+
+
+def anonymize(narratives: DataFrame, names: DataFrame, key: str, text: str, order: str, roles: Sequence[str] = ROLES) -> DataFrame:
+    """key, text: badge numbers scrubbed, punctuation gone, names after roles replaced by their ids.
 
-def name_after_role(words: DataFrame, names: DataFrame, key: str, roles: Sequence[str] = tuple(ROLES)) -> DataFrame:
-    """Names that begin one or two words after a singular role."""
-    ends = F.array(*[F.lit(r.lower().split()[-1]) for r in roles])
-    at = words.filter(F.array_contains(ends, F.col("word"))).select(key, F.explode(F.array(F.col("pos") + 1, F.col("pos") + 2)).alias("pos"))
-    return names.join(at.distinct(), [key, "pos"], "left_semi")
+    A name found after a role is replaced wherever it stands in the same text (X5, X6); of overlapping names the one
+    that begins first counts. Texts keep their words otherwise; null stays null, an empty text empty; rows may be repeated and
+    have any key, null too.
 
+    Texts are read where they lie: only runs of words within reach of a role, and where these stand again, are joined with the forms,
+    those alone which the filter of forms passes. What is found comes back to its text by one join.
+    """
+    spark, words_of = narratives.sparkSession, Roles.of(roles)
+    forms = stored(name_forms(names, order), "forms")
+    passes = spark.sparkContext.broadcast(form_filter(forms))
 
-def names_after_plural(words: DataFrame, names: DataFrame, key: str, roles: Sequence[str] = tuple(ROLES)) -> DataFrame:
-    """Names in the run of names, `and` and roles that follows a plural role.
+    @F.pandas_udf("array<string>")
+    def asked(texts: pd.Series) -> pd.Series:
+        data = passes.value
+        return pd.Series([sorted(asked_forms(t.split(" "), words_of, lambda run: in_filter(data, run))) if t else [] for t in texts])
 
-    A run ends at the first word that is none of these; it is found by counting such words so far.
-    """
-    plurals = F.array(*[F.lit(r.lower() + "s") for r in roles])
-    listed = F.array(F.lit("and"), *[F.lit(r.lower()) for r in roles])
-    covered = names.select(key, F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("pos")).distinct().withColumn("_named", F.lit(True))
-    w = Window.partitionBy(key).orderBy("pos")
-    marked = words.join(covered, [key, "pos"], "left").withColumn("_start", F.array_contains(plurals, F.col("word")))
-    stop = ~(F.coalesce("_named", F.lit(False)) | F.array_contains(listed, F.col("word")) | F.col("_start"))
-    runs = marked.withColumn("_run", F.sum(stop.cast("int")).over(w)).withColumn("_stop", stop)
-    opened = runs.withColumn("_open", F.max(F.col("_start").cast("int")).over(Window.partitionBy(key, "_run").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
-    return names.join(opened.filter((F.col("_open") == 1) & ~F.col("_stop")).select(key, "pos"), [key, "pos"], "left_semi")
-
-
-def anonymize(narratives: DataFrame, names: DataFrame, key: str, text: str, order: str) -> DataFrame:
-    """key, text: badge numbers scrubbed, punctuation gone, names after roles replaced by their ids.
+    @F.pandas_udf("string")
+    def replaced(texts: pd.Series, patterns: pd.Series, ids: pd.Series) -> pd.Series:
+        return pd.Series([" ".join(with_ids(t.split(" "), words_of, dict(zip(p, i, strict=True)))) for t, p, i in zip(texts, patterns, ids, strict=True)], dtype=object)
 
-    A name found after a role is replaced wherever it stands in the same text (X5, X6); of overlapping names the one
-    that begins first counts. Texts keep their words otherwise; null stays null.
-    """
     plain = strip_punctuation(scrub_badges(F.lower(text)))
-    clean = narratives.select(key, F.trim(F.regexp_replace(plain, r"\s+", " ")).alias(text))
-    forms = name_forms(names, order)
-    words = tokens(clean, key, text)
-    found = found_names(words, forms, key)
-    known = name_after_role(words, found, key).select(key, "run").union(names_after_plural(words, found, key).select(key, "run")).distinct()
-    hits = found.join(known, [key, "run"], "left_semi")
-    w = Window.partitionBy(key).orderBy("pos")
-    reach = F.max(F.col("pos") + F.col("size")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    first = hits.withColumn("_reach", reach).filter(F.col("_reach").isNull() | (F.col("_reach") <= F.col("pos")))
-    inside = first.select(key, F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("pos"), F.col("pos").alias("_at"), "id")
-    replaced = words.join(inside, [key, "pos"], "left").filter(F.col("_at").isNull() | (F.col("_at") == F.col("pos"))).withColumn("word", F.coalesce("id", "word"))
-    joined = replaced.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ").alias("_new"))
-    return clean.join(joined, key, "left").select(key, F.coalesce("_new", text).alias(text))
+    clean = narratives.select(key, F.trim(F.regexp_replace(plain, r"\s+", " ")).alias(text)).withColumn("_row", F.xxhash64(key, text))
+    # forms found for another row of the same hash change nothing: all that matter for a text were asked for it
+    wanted = clean.select("_row", F.explode(asked(text)).alias("pattern"))
+    hits = wanted.join(forms, "pattern").groupBy("_row").agg(F.collect_set(F.struct("pattern", "id")).alias("_hits"))
+    both = clean.join(hits, "_row", "left")
+    new = F.when(F.col("_hits").isNotNull(), replaced(F.coalesce(text, F.lit("")), F.coalesce("_hits.pattern", F.array().cast("array<string>")), F.coalesce("_hits.id", F.array().cast("array<string>"))))
+    return both.select(key, F.coalesce(new, text).alias(text))

@@ -155,6 +155,32 @@ def test_people_are_all_words(spark, tmp_path):
     assert got[50] is None and got[51] == "officer"
 
 
+def test_names_after_roles_at_random():
+    """Forms of one to three words, roles and lists of names in any order; a filter that passes every run or some changes nothing."""
+    rng, roles = np.random.default_rng(8), anonymize.Roles.of(anonymize.ROLES)
+    replaced = 0
+    for turn in range(400):
+        vocabulary = list("abcde") + ["officer", "officers", "sgts", "chief", "and", "of", "chiefs x"][: 2 + turn % 6]
+        forms = {" ".join(rng.choice(vocabulary, 1 + rng.integers(3))): f"ID{k}" for k in range(turn % 9)}
+        text = " ".join(rng.choice(vocabulary, rng.integers(1, 40)))
+        words = text.split(" ")
+        for maybe in (forms.__contains__, lambda run: True, lambda run: run in forms or len(run) % 2 == 0):
+            asked = anonymize.asked_forms(words, roles, maybe)
+            got = " ".join(anonymize.with_ids(words, roles, {r: forms[r] for r in asked if r in forms}))
+            assert got == _brute_anonymize(text, forms)
+        replaced += got != text
+    assert replaced > 100
+
+
+def test_anonymize_repeated_rows_and_null_keys(spark):
+    names = spark.createDataFrame([(0, "ID1", "Ann", None, "Cole"), (1, "ID2", "Bo", "Cy", "Dee")], "n int, id string, first string, middle string, last string")
+    rows = [(None, "Sgt Ann Q Cole saw B Cole"), (None, "Officers BC Dee and Cole ran"), (7, "Officer Dee"), (7, "Officer Dee"), (7, "Dee is not named here"), (None, None)]
+    got = anonymize.anonymize(spark.createDataFrame(rows, "k int, text string"), names, "k", "text", "n")
+    assert sorted(((r["k"], r["text"]) for r in got.collect()), key=str) == sorted([(None, "sgt ID1? saw b cole"), (None, "officers ID2 and ID1 ran"), (7, "officer ID2"), (7, "officer ID2"), (7, "dee is not named here"), (None, None)], key=str)
+    empty = anonymize.anonymize(spark.createDataFrame([], "k int, text string"), names.limit(0), "k", "text", "n")
+    assert empty.columns == ["k", "text"] and empty.count() == 0
+
+
 def test_dummies_ignore_null(spark):
     levels = spark.createDataFrame([("bachelor",), (None,), ("highschool",)], "education string")
     assert matrix.dummies(levels, "education").agg(F.sum("is_highschool")).first()[0] == 1
