@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue, features, outcomes, reports, stores
+from . import catalogue, features, outcomes, reports, stage, stores
 
-QUERIES = {**features.QUERIES, **outcomes.QUERIES, **reports.QUERIES, **catalogue.QUERIES, **stores.QUERIES}
-SQL = {**features.SQL, **outcomes.SQL, **reports.SQL, **catalogue.SQL, **stores.SQL}
+QUERIES = {**features.QUERIES, **outcomes.QUERIES, **reports.QUERIES, **catalogue.QUERIES, **stage.QUERIES, **stores.QUERIES}
+SQL = {**features.SQL, **outcomes.SQL, **reports.SQL, **catalogue.SQL, **stage.SQL, **stores.SQL}

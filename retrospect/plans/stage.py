@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import io
+from ..sources.schemas import STAGING, conform
 from . import dispatches
 from .tables import table
 
@@ -74,9 +76,34 @@ def lookup(spark: SparkSession) -> DataFrame:
 
 def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     base, columns = STAGED[name]
-    return table(spark, sf_dir, base).selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
+    return conform(table(spark, sf_dir, base).selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()]), name)
 
 
 def staged_sql(name: str) -> str:
     base, columns = STAGED[name]
     return "(SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in columns.items()) + f" FROM {base})"
+
+
+def staging_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every staged table in its schema, and what each of its constraints finds."""
+    tables = {name: staged(spark, sf_dir, name) for name in STAGED}
+    specs = {name: STAGING[name] for name in STAGED}
+    return io.audit_all([io.Audited(tables[n], n, s.primary, s.unique, s.required, {c: (tables[o], k) for c, (o, k) in s.foreign.items()}, s.checks) for n, s in specs.items()])
+
+
+def _audit_sql() -> str:
+    def line(name: str, label: str, sql: str) -> str:
+        return f"SELECT '{name}' AS table_name, '{label}' AS \"constraint\", ({sql})::BIGINT AS violations"
+
+    out = []
+    for name in STAGED:
+        spec, rows = STAGING[name], staged_sql(name)
+        out += [line(name, f"{kind} ({', '.join(key)})", f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {rows} GROUP BY {', '.join(key)})") for kind, key in [*([("primary key", spec.primary)] if spec.primary else []), *[("unique", u) for u in spec.unique]]]
+        out += [line(name, f"not null ({c})", f"SELECT count(*) FROM {rows} WHERE {c} IS NULL") for c in [*spec.required, *spec.primary]]
+        out += [line(name, f"check ({label})", f"SELECT count(*) FROM {rows} WHERE NOT ({check})") for label, check in spec.checks.items()]
+        out += [line(name, f"foreign key ({c})", f"SELECT count(*) FROM {rows} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {staged_sql(o)} WHERE {k} IS NOT NULL)") for c, (o, k) in spec.foreign.items()]
+    return " UNION ALL ".join(out)
+
+
+QUERIES = {"staging_audit": staging_audit}
+SQL = {"staging_audit": _audit_sql()}

@@ -7,8 +7,10 @@ import json
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,25 +147,72 @@ def write_narratives(table: DataFrame, path: str, text: str = "narrative") -> No
     table.select(text).write.mode("overwrite").option("header", True).csv(path)
 
 
-def audit(table: DataFrame, name: str, primary: Sequence[str] = (), unique: Sequence[Sequence[str]] = (), required: Sequence[str] = (), foreign: Mapping[str, tuple[DataFrame, str]] | None = None, checks: Mapping[str, str] | None = None) -> DataFrame:
-    """table_name, constraint, violations for each constraint, those that hold with 0.
+@dataclass(frozen=True)
+class Audited:
+    """A table and what should hold of its rows. foreign: by column, the table and column that have its values."""
+
+    table: DataFrame
+    name: str
+    primary: Sequence[str] = ()
+    unique: Sequence[Sequence[str]] = ()
+    required: Sequence[str] = ()
+    foreign: Mapping[str, tuple[DataFrame, str]] = field(default_factory=dict)
+    checks: Mapping[str, str] = field(default_factory=dict)
+
+
+def _key(columns: Sequence[Column]) -> Column:
+    """A key as 128 bits of hash, nulls apart from all values."""
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    return F.struct(*[F.xxhash64(F.lit(k), nulls, *columns).alias(f"h{k}") for k in (0, 1)])
+
 
-    Keys count the rows beyond one of each key, NOT NULL and CHECK the rows that fail (a null passes a CHECK), foreign
-    keys the rows whose value isn't there.
+def audit_all(tables: Sequence[Audited]) -> DataFrame:
+    """table_name, constraint, violations for each constraint of each table, those that hold with 0.
+
+    Keys count the rows beyond one of each key (nulls are one value), NOT NULL and CHECK the rows that fail (a null passes a CHECK),
+    foreign keys the rows whose value isn't there (a null passes).
+
+    Each table is scanned once: a row becomes one (constraint, hash of its key) for each key and foreign key and for what it
+    violates itself. All are counted by one shuffle after partial counts, so a frequent key is a few rows; values that
+    foreign keys refer to join them there as rows of their own.
     """
-    found = []
-    for kind, key in [*((("primary key", primary),) if primary else ()), *(("unique", u) for u in unique)]:
-        groups = table.groupBy(*key).count()
-        found.append((f"{kind} ({', '.join(key)})", groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))))
-    rows = [(f"not null ({c})", F.count_if(F.col(c).isNull())) for c in [*required, *primary]] + [(f"check ({k})", F.count_if(~F.expr(v))) for k, v in (checks or {}).items()]
-    if rows:  # one pass for all of them
-        one = table.agg(*[v.alias(f"_{k}") for k, (_, v) in enumerate(rows)])
-        found += [(label, one.select(F.col(f"_{k}").alias("n"))) for k, (label, _) in enumerate(rows)]
-    for column, (other, key) in (foreign or {}).items():
-        missing = table.filter(F.col(column).isNotNull()).join(other.select(F.col(key).alias(column)), column, "left_anti")
-        found.append((f"foreign key ({column})", missing.agg(F.count(F.lit(1)).alias("n"))))
-    out = [t.select(F.lit(name).alias("table_name"), F.lit(label).alias("constraint"), F.col("n").cast("long").alias("violations")) for label, t in found]
-    result = out[0]
-    for t in out[1:]:
-        result = result.unionByName(t)
-    return result
+    labels, parts = [], []
+    for t in tables:
+        entries = []
+
+        def entry(label: str, key: Column, when: Column | None = None, kind: str = "rows", t: Audited = t, entries: list = entries) -> int:
+            labels.append((len(labels), t.name, label, kind))
+            row = F.struct(F.lit(len(labels) - 1).alias("c"), key.alias("key"))
+            entries.append(row if when is None else F.when(when, row))
+            return len(labels) - 1
+
+        def refer(k: int, other: DataFrame, key: Column) -> None:
+            parts.append(other.select(F.lit(k).alias("c"), key.alias("key"), F.lit(0).alias("own"), F.lit(1).alias("known")))
+
+        nothing = _key([F.lit(0)])
+        for kind, key in [*((("primary key", t.primary),) if t.primary else ()), *(("unique", u) for u in t.unique)]:
+            entry(f"{kind} ({', '.join(key)})", _key([F.col(c) for c in key]), kind="key")
+        for c in dict.fromkeys([*t.required, *t.primary]):
+            entry(f"not null ({c})", nothing, F.col(c).isNull())
+        for label, check in t.checks.items():
+            entry(f"check ({label})", nothing, ~F.expr(check))
+        for c, (other, key) in t.foreign.items():
+            # both sides in the type that holds the values of both
+            common = lambda mine, table, name: F.coalesce(F.col(mine), F.lit(None).cast(table.schema[name].dataType))
+            k = entry(f"foreign key ({c})", _key([common(c, other, key)]), F.col(c).isNotNull(), "foreign")
+            refer(k, other.filter(F.col(key).isNotNull()), _key([common(key, t.table, c)]))
+        if entries:
+            parts.append(t.table.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.c", "e.key", F.lit(1).alias("own"), F.lit(0).alias("known")))
+    spark = tables[0].table.sparkSession
+    named = spark.createDataFrame(labels, "c int, table_name string, constraint string, kind string")
+    if not labels:
+        return named.select("table_name", "constraint", F.lit(0).cast("long").alias("violations"))
+    keys = reduce(lambda a, b: a.unionByName(b), parts).groupBy("c", "key").agg(F.sum("own").alias("own"), F.max("known").alias("known"))
+    counts = keys.groupBy("c").agg(F.sum("own").alias("rows"), F.sum(F.greatest(F.col("own") - 1, F.lit(0))).alias("beyond"), F.sum(F.when(F.col("known") == 0, F.col("own")).otherwise(0)).alias("unknown"))
+    violations = F.when(F.col("kind") == "key", F.col("beyond")).when(F.col("kind") == "foreign", F.col("unknown")).otherwise(F.col("rows"))
+    return named.join(F.broadcast(counts), "c", "left").select("table_name", "constraint", F.coalesce(violations, F.lit(0)).cast("long").alias("violations"))
+
+
+def audit(table: DataFrame, name: str, primary: Sequence[str] = (), unique: Sequence[Sequence[str]] = (), required: Sequence[str] = (), foreign: Mapping[str, tuple[DataFrame, str]] | None = None, checks: Mapping[str, str] | None = None) -> DataFrame:
+    """The audit of one table."""
+    return audit_all([Audited(table, name, primary, unique, required, foreign or {}, checks or {})])
