@@ -48,9 +48,24 @@ def lookup_quantities(prefix: str, column: str, lookup: Sequence[tuple], functio
     return out
 
 
+#: Values of a column that may become columns of a table; `lookback_long` has no such bound.
+LEVELS = 10_000
+
+
+def levels(source: DataFrame, column: str, most: int = LEVELS) -> list:
+    """The distinct values of a column in order, null aside: the dictionary that columns are named after.
+
+    It is an error if there are more than `most`: no more than one beyond that is ever collected.
+    """
+    found = [r[0] for r in source.select(column).dropna().distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values to make columns of; lookback_long keeps them as rows")
+    return sorted(found)
+
+
 def distinct_quantities(prefix: str, source: DataFrame, column: str, functions: Sequence[str] = ("sum", "avg"), condition: str | None = None) -> list[Quantity]:
     """A 0/1 quantity for each distinct value of a categorical column (O4); null is no category."""
-    values = sorted(r[0] for r in source.select(column).distinct().dropna().collect())
+    values = levels(source, column)
     return lookup_quantities(prefix, column, [(v, v) for v in values], functions, condition)
 
 
@@ -152,6 +167,58 @@ def lookback(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
     return out.select(block.entity, "as_of_date", *[name(label, q, f) for label in block.windows for q in block.quantities for f in q.functions])
 
 
+def _level_states(source: DataFrame, dates: DataFrame, entity: str, date: str, column: str, windows: Mapping[str, tuple[int, int]], weight: str | None) -> DataFrame:
+    """entity, as_of_date, _level (null too) and for each window the rows that have a level and a weight, _n{k}, and their sum, _s{k}."""
+    dates = dates.select(F.col("as_of_date").cast("timestamp_ntz").alias("as_of_date")).distinct()
+    starts = [f"_from{k}" for k in range(len(windows))]
+    dates = dates.select("as_of_date", *[_bound(F.col("as_of_date"), w).alias(c) for c, w in zip(starts, windows.values(), strict=True)])
+    odd = sorted({b for r in dates.collect() for b in r if b is not None and (b.hour, b.minute, b.second, b.microsecond) != (0, 0, 0, 0)})
+    dates = dates.withColumn("_widest", F.least(*starts) if len(starts) > 1 else F.col(starts[0]))
+    value = F.expr(weight) if weight else F.lit(1)
+    counted = F.when(F.col(column).isNotNull(), value)
+    days = source.groupBy(entity, day_of(F.col(date), odd).alias("_day"), F.col(column).alias("_level")).agg(F.count(counted).alias("_n"), F.sum(counted).alias("_s"))
+    seen = days.join(F.broadcast(dates), (F.col("_day") < F.col("as_of_date")) & (F.col("_day") >= F.col("_widest")))
+    inside = lambda k, c: F.sum(F.when(F.col("_day") >= F.col(starts[k]), F.col(c)))
+    return seen.groupBy(entity, "as_of_date", "_level").agg(*[a for k in range(len(windows)) for a in (F.coalesce(inside(k, "_n"), F.lit(0)).alias(f"_n{k}"), inside(k, "_s").alias(f"_s{k}"))])
+
+
+def lookback_long(source: DataFrame, dates: DataFrame, entity: str, date: str, column: str, windows: Mapping[str, tuple[int, int]], weight: str | None = None) -> DataFrame:
+    """entity, as_of_date, window, level, sum, avg: the quantities of `distinct_quantities` (O2-O4) as rows, for any number of values.
+
+    A row for each value that an entity has in a window; sum and avg of a value's 0/1 (times the weight) over the window's rows with
+    a value. A column's values are never collected: rows are merged by entity, day and value, then by entity, date and value.
+    """
+    states = _level_states(source, dates, entity, date, column, windows, weight)
+    each = F.explode(F.array(*[F.struct(F.lit(label).alias("window"), F.col(f"_n{k}").alias("n"), F.col(f"_s{k}").alias("sum")) for k, label in enumerate(windows)]))
+    rows = states.filter(F.col("_level").isNotNull()).select(entity, "as_of_date", F.col("_level").alias("level"), each.alias("_w")).select(entity, "as_of_date", "_w.window", "level", "_w.n", "_w.sum").filter("n > 0")
+    # totals by aggregation and a join, not by a window over an entity's rows: a busy entity has many values
+    totals = rows.groupBy(entity, "as_of_date", "window").agg(F.sum("n").alias("_total"))
+    return rows.join(totals, [entity, "as_of_date", "window"]).select(entity, "as_of_date", "window", "level", "sum", F.try_divide(F.col("sum").cast("double"), F.col("_total")).alias("avg"))
+
+
+def lookback_levels(source: DataFrame, dates: DataFrame, prefix: str, entity: str, date: str, name: str, column: str, windows: Mapping[str, tuple[int, int]], weight: str | None = None, values: Sequence | None = None) -> DataFrame:
+    """entity, as_of_date and {prefix}_id_{window}_{name}_{value}_sum and _avg for each value: what `lookback` makes of
+    `distinct_quantities`, for a column of up to LEVELS values.
+
+    Only the values that an entity has are aggregated, as rows, and they become columns in the last step, so the work grows with the
+    rows and not with rows times values. values: those that become columns, all that there are if it isn't given.
+    """
+    values = levels(source, column) if values is None else values
+    states = _level_states(source, dates, entity, date, column, windows, weight)
+    sums = F.map_from_entries(F.collect_list(F.when(F.col("_level").isNotNull(), F.struct("_level", F.array(*[f"_s{k}" for k in range(len(windows))])))))
+    wide = states.groupBy(entity, "as_of_date").agg(sums.alias("_sums"), *[F.sum(f"_n{k}").alias(f"_n{k}") for k in range(len(windows))])
+    # for each window the sums in the dictionary's order, of which each column takes its own
+    known = F.lit(list(values)) if values else F.array()
+    of = lambda k: F.transform(known, lambda v: F.when(F.col(f"_n{k}") > 0, F.coalesce(F.get(F.try_element_at("_sums", v), F.lit(k)), F.lit(0))))
+    placed = wide.select(entity, "as_of_date", *[c for k in range(len(windows)) for c in (F.col(f"_n{k}"), of(k).alias(f"_v{k}"))])
+    out = []
+    for k, label in enumerate(windows):
+        for i, v in enumerate(values):
+            stem = f"{prefix}_id_{label}_{name}_{column_name(str(v))}".lower()
+            out += [f"_v{k}[{i}] AS `{stem}_sum`", f"try_divide(cast(_v{k}[{i}] AS double), _n{k}) AS `{stem}_avg`"]
+    return placed.selectExpr(f"`{entity}`", "as_of_date", *out)
+
+
 def history(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
     """entity, as_of_date and each quantity over all events before the date (O6); quantities may refer to as_of_date."""
     dates = dates.select(F.col("as_of_date").cast("timestamp_ntz").alias("as_of_date")).distinct()

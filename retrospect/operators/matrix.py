@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import blocks
 
 def assemble(labels: DataFrame, dated: Sequence[DataFrame], undated: Sequence[DataFrame], entity: str) -> DataFrame:
     """Features of each labelled entity and date, missing ones 0, the outcome last (M1, M2)."""
@@ -69,9 +70,9 @@ def scale(train: DataFrame, others: Sequence[DataFrame], columns: Sequence[str])
 
 
 def dummies(table: DataFrame, column: str, levels: Sequence[str] | None = None) -> DataFrame:
-    """is_{level} 0/1 for each level of a categorical column (M9); a null is no level."""
+    """is_{level} 0/1 for each level of a categorical column (M9), of up to blocks.LEVELS; a null is no level."""
     if levels is None:
-        levels = sorted(r[0] for r in table.select(column).distinct().dropna().collect())
+        levels = blocks.levels(table, column)
     return table.withColumns({f"is_{level}": F.coalesce((F.col(column) == level).cast("int"), F.lit(0)) for level in levels}).drop(column)
 
 

@@ -152,6 +152,15 @@ def lookback_weighted_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
+def lookback_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4 and O5 as rows: the parts that each supplier has shipped, each part a value of its own."""
+    return blocks.lookback_long(table(spark, sf_dir, "lineitem"), dates(spark), "l_suppkey", "l_shipdate", "l_partkey", WINDOWS)
+
+
+LOOKBACK_LONG = f"""WITH j AS (SELECT l_suppkey, as_of_date, w AS "window", l_partkey AS level, count(*)::BIGINT AS "sum" FROM lineitem JOIN {DATES_SQL} ON l_shipdate < as_of_date JOIN (VALUES {', '.join(f"('{w}', INTERVAL {m} MONTH)" for w, (m, _) in WINDOWS.items())}) v(w, d) ON l_shipdate >= as_of_date - d WHERE l_partkey IS NOT NULL GROUP BY ALL)
+SELECT *, "sum" / (sum("sum") OVER (PARTITION BY l_suppkey, as_of_date, "window"))::DOUBLE AS "avg" FROM j"""
+
+
 def lookback_distinct_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O4."""
     orders = table(spark, sf_dir, "orders")
@@ -350,13 +359,13 @@ SELECT as_of_date, (SELECT count(*) FROM f WHERE first < as_of_date) AS n_custom
 QUERIES = {
     f.__name__: f
     for f in (
-        as_of_dates, temporal_splits, feature_dates, train_test_sets, nested_dates, lookback_expr, lookback_lookup_pivot, lookback_weighted_pivot, lookback_distinct_pivot, all_history_days_since, static_dummies,
+        lookback_long, as_of_dates, temporal_splits, feature_dates, train_test_sets, nested_dates, lookback_expr, lookback_lookup_pivot, lookback_weighted_pivot, lookback_distinct_pivot, all_history_days_since, static_dummies,
         monthly_variance, mode_hour, shifted_year_join, movement_rate, wide_outer_join, catalog_available, catalog_missing, columns_by_window, feature_description, feature_set,
     )
 }
 SQL = {
     "as_of_dates": AS_OF_DATES, "temporal_splits": TEMPORAL_SPLITS, "feature_dates": FEATURE_DATES, "train_test_sets": TRAIN_TEST_SETS, "nested_dates": NESTED_DATES, "lookback_expr": LOOKBACK_EXPR,
-    "lookback_lookup_pivot": _pivot_sql("st"), "lookback_weighted_pivot": _pivot_sql("wt", " * o_totalprice"), "lookback_distinct_pivot": LOOKBACK_DISTINCT, "all_history_days_since": ALL_HISTORY, "static_dummies": STATIC_DUMMIES,
+    "lookback_lookup_pivot": _pivot_sql("st"), "lookback_weighted_pivot": _pivot_sql("wt", " * o_totalprice"), "lookback_distinct_pivot": LOOKBACK_DISTINCT, "lookback_long": LOOKBACK_LONG, "all_history_days_since": ALL_HISTORY, "static_dummies": STATIC_DUMMIES,
     "monthly_variance": MONTHLY_VARIANCE, "mode_hour": MODE_HOUR, "shifted_year_join": SHIFTED_YEAR, "movement_rate": MOVEMENT, "wide_outer_join": WIDE, "catalog_available": CATALOG_AVAILABLE,
     "catalog_missing": CATALOG_MISSING, "columns_by_window": COLUMNS_BY_WINDOW, "feature_description": FEATURE_DESCRIPTION, "feature_set": FEATURE_SET,
 }

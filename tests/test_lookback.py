@@ -8,6 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from retrospect.operators import blocks
 from retrospect.operators.blocks import Block, Quantity, lookback
 
 FUNCTIONS = ("sum", "avg", "count", "min", "max", "variance", "cv", "mode")
@@ -67,3 +68,34 @@ def test_no_events(spark):
     none = spark.createDataFrame([], "e int, t timestamp_ntz, v double, w int")
     dates = spark.createDataFrame([(datetime.datetime(2020, 3, 1),)], "as_of_date timestamp_ntz")
     assert lookback(none, dates, Block("b", "e", "t", [Quantity("v", "v", FUNCTIONS)], WINDOWS)).collect() == []
+
+
+def test_levels_as_rows_equal_columns(spark):
+    """Values as rows, made columns at the end, against a quantity for each value; nulls, odd bounds and weights included."""
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 1, 2, 3, None]), datetime.datetime(2020, 1, 1) + datetime.timedelta(hours=rng.randrange(24 * 90)), rng.choice(["a b", "c-d", "e", None]), rng.choice([None, 1.0, 2.0, 4.0])) for _ in range(500)]
+    source = spark.createDataFrame(rows, "id int, t timestamp_ntz, kind string, w double")
+    dates = spark.createDataFrame([("2020-02-01",), ("2020-03-01 07:30:00",), ("2030-01-01",)], "d string").select(F.col("d").cast("timestamp_ntz").alias("as_of_date"))
+    windows = {"P1D": (0, 1), "P1M": (1, 0), "P9D": (0, 9)}
+    for weight in (None, "w"):
+        quantities = blocks.lookup_quantities("kind", "kind", [(v, v) for v in blocks.levels(source, "kind")], weight=weight)
+        want = blocks.lookback(source, dates, blocks.Block("x", "id", "t", quantities, windows))
+        got = blocks.lookback_levels(source, dates, "x", "id", "t", "kind", "kind", windows, weight)
+        assert set(got.columns) == set(want.columns) and want.count() == got.count() > 5
+        assert want.select(*want.columns).exceptAll(got.select(*want.columns)).count() == 0
+        long = {(r["id"], r["as_of_date"], r["window"], r["level"]): (r["sum"], r["avg"]) for r in blocks.lookback_long(source, dates, "id", "t", "kind", windows, weight).collect() if r["id"] is not None}
+        wide = {(r["id"], r["as_of_date"]): r for r in got.collect()}
+        assert len(long) > 20
+        for (e, d, w, v), pair in long.items():
+            assert tuple(wide[e, d][f"x_id_{w.lower()}_kind_{blocks.column_name(v)}_{f}"] for f in ("sum", "avg")) == pair
+
+
+def test_five_thousand_levels(spark):
+    source = spark.range(20_000).select((F.col("id") % 7).alias("e"), F.lit("2020-01-05").cast("timestamp_ntz").alias("t"), (F.col("id") % 5000).alias("v"))
+    dates = spark.createDataFrame([("2020-02-01",)], "d string").select(F.col("d").cast("timestamp_ntz").alias("as_of_date"))
+    got = blocks.lookback_levels(source, dates, "x", "e", "t", "v", "v", {"P1M": (1, 0)}).collect()
+    assert len(got) == 7 and len(got[0]) == 2 + 2 * 5000
+    assert sum(r[f"x_id_p1m_v_{k}_sum"] for r in got for k in range(5000)) == 20_000
+    with pytest.raises(ValueError, match="v has more than 4999 values"):
+        blocks.levels(source, "v", 4999)
+    assert blocks.lookback_long(source, dates, "e", "t", "v", {"P1M": (1, 0)}).agg(F.sum("sum")).first()[0] == 20_000
