@@ -125,7 +125,7 @@ def asked_forms(words: Sequence[str], roles: Roles, maybe: Callable[[str], bool]
     asked = known.union(*seen.values())
     first = {run.partition(" ")[0] for run in known}
     for k, word in enumerate(words):
-        if word in first and k not in seen and any(run in known for run in runs_at(words, k)):
+        if word in first and k not in seen and (word in known or any(run in known for run in runs_at(words, k))):
             asked.update(at(k))
     return asked
 
@@ -150,17 +150,18 @@ def with_ids(words: Sequence[str], roles: Roles, ids: Mapping[str, str]) -> list
     return out
 
 
-def _in_filter(pattern: Column) -> Column:
-    """A form as the filter knows it: an initial between two names is any initial, as those of a name without one are guessed."""
-    return F.regexp_replace(pattern, "^([^ ]+) [^ ] ([^ ]+)$", "$1 ? $2")
-
-
 def form_filter(forms: DataFrame) -> bytes:
-    """A Bloom filter of all patterns, two bits for each, of MOST_BITS at most: where that is too few, more runs of words are looked
-    up and the result is the same."""
+    """A Bloom filter of the patterns of `name_forms` and of their last words, two bits for each, of MOST_BITS at most: where that is
+    too few, more runs of words are looked up and the result is the same.
+
+    An initial between two names is any initial there, as those of a name without one are guessed; the last word of such a form is
+    that of another form of the same name.
+    """
     bits = 1 << min(MOST_BITS.bit_length() - 1, max(BITMAP, forms.count() * FORM_BITS).bit_length())
-    code = F.xxhash64(_in_filter(F.col("pattern")))
-    spots = forms.select(F.explode(F.array(*[F.shiftrightunsigned(code, n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32)])).alias("bit"))
+    guess = "^([^ ]+) [^ ] ([^ ]+)$"
+    last = F.when(~F.col("pattern").rlike(guess), F.xxhash64(F.concat(F.lit("* "), F.substring_index("pattern", " ", -1))))
+    codes = forms.select(F.explode(F.array_compact(F.array(F.xxhash64(F.regexp_replace("pattern", guess, "$1 ? $2")), last))).alias("code"))
+    spots = codes.select(F.explode(F.array(*[F.shiftrightunsigned("code", n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32)])).alias("bit"))
     # each bitmap is made in one task, from bits that are shuffled as numbers
     maps = spots.withColumn("bucket", F.floor(F.col("bit") / BITMAP)).repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg((F.col("bit") % BITMAP).cast("long")).alias("bitmap"))
     out = bytearray(bits // 8)
@@ -169,13 +170,37 @@ def form_filter(forms: DataFrame) -> bytes:
     return bytes(out)
 
 
-def in_filter(data: bytes, run: str) -> bool:
-    """Whether a run of words may be a form of a name."""
-    parts = run.split(" ")
-    if len(parts) == LONGEST and len(parts[1]) == 1:
-        run = f"{parts[0]} ? {parts[2]}"
-    code, last = xxhash.xxh64_intdigest(run.encode(), 42), len(data) * 8 - 1
-    return all(data[b >> 3] >> (b & 7) & 1 for b in (code & last, (code >> 32) & last))
+class FormFilter:
+    """Whether a run of words may be a form of a name; words are remembered, up to REMEMBERED of them."""
+
+    REMEMBERED = 1 << 18
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.mask = data, len(data) * 8 - 1
+        self.ends: dict[str, bool] = {}
+        self.words: dict[str, bool] = {}
+
+    def _has(self, entry: str) -> bool:
+        code = xxhash.xxh64_intdigest(entry.encode(), 42)
+        a, b = code & self.mask, (code >> 32) & self.mask
+        return bool(self.data[a >> 3] >> (a & 7) & 1 and self.data[b >> 3] >> (b & 7) & 1)
+
+    def _recall(self, known: dict[str, bool], word: str, entry: str) -> bool:
+        if (found := known.get(word)) is None:
+            if len(known) >= self.REMEMBERED:
+                known.clear()
+            found = known[word] = self._has(entry)
+        return found
+
+    def __call__(self, run: str) -> bool:
+        front, _, last = run.rpartition(" ")
+        if not self._recall(self.ends, last, f"* {last}"):
+            return False
+        if not front:
+            return self._recall(self.words, run, run)
+        if len(front) > 2 and front[-2] == " " and front.count(" ") == 1:
+            run = f"{front[:-2]} ? {last}"
+        return self._has(run)
 
 
 def anonymize(narratives: DataFrame, names: DataFrame, key: str, text: str, order: str, roles: Sequence[str] = ROLES) -> DataFrame:
@@ -194,8 +219,8 @@ def anonymize(narratives: DataFrame, names: DataFrame, key: str, text: str, orde
 
     @F.pandas_udf("array<string>")
     def asked(texts: pd.Series) -> pd.Series:
-        data = passes.value
-        return pd.Series([sorted(asked_forms(t.split(" "), words_of, lambda run: in_filter(data, run))) if t else [] for t in texts])
+        maybe = FormFilter(passes.value)
+        return pd.Series([sorted(asked_forms(t.split(" "), words_of, maybe)) if t else [] for t in texts])
 
     @F.pandas_udf("string")
     def replaced(texts: pd.Series, patterns: pd.Series, ids: pd.Series) -> pd.Series:

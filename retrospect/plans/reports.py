@@ -332,14 +332,12 @@ SELECT o_orderkey, {', '.join(f"max(CASE WHEN n = {i} THEN feature END) AS risk_
 
 
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hashes of the normalised texts."""
+    """Hashes of the normalised texts, whole ones."""
     d = table(spark, sf_dir, "documents")
-    ascii_only = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    return d.select("doc_id", F.md5(anonymize.normalize_report(ascii_only)).alias("report"), F.md5(anonymize.normalize_name(ascii_only)).alias("name"))
+    return d.select("doc_id", F.md5(anonymize.normalize_report(F.col("text"))).alias("report"), F.md5(anonymize.normalize_name(F.col("text"))).alias("name"))
 
 
-_ASCII = r"regexp_replace(text, '[^\x00-\x7F]', '', 'g')"
-_REPORT = rf"trim(regexp_replace(lower({_ASCII}), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
+_REPORT = r"trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
 NORMALIZE = f"SELECT doc_id, md5({_REPORT}) AS report, md5(translate({_REPORT}, '{anonymize.PUNCTUATION.replace(chr(39), chr(39) * 2)}', '')) AS name FROM documents"
 
 
@@ -364,8 +362,7 @@ BUCKET = 48
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People named by all longer words of the documents, three to a person by hash; the last one of a bucket may have fewer."""
-    text = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    w = table(spark, sf_dir, "documents").select(F.explode(F.split(anonymize.normalize_name(text), " ")).alias("w")).filter("length(w) > 5").distinct()
+    w = io.stored(table(spark, sf_dir, "documents").select(F.explode(F.split(anonymize.normalize_name(F.col("text")), " ")).alias("w")).filter("length(w) > 5").distinct(), "words")
     buckets = max(1, w.count() // BUCKET)
     dealt = w.withColumn("bucket", F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("long") % buckets)
     n = dealt.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("w")) - 1)
