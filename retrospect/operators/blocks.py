@@ -136,12 +136,28 @@ def day_of(when: Column, bounds: Sequence) -> Column:
     return F.greatest(day, later)
 
 
-def lookback(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
+def _day_states(source: DataFrame, entity: str, day: Column, states: Mapping[str, Column]) -> DataFrame:
+    return source.groupBy(entity, day.alias("_day")).agg(*[state.alias(name) for name, state in states.items()] or [F.lit(0).alias("_none")])
+
+
+def _met_states(source: DataFrame, entity: str, day: Column, states: Mapping[str, Column], met: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The states of all pairs of an event and a row of met, without the pairs: those of met's rows of each key, times the events of the
+    entity, day and key."""
+    times = source.dropna(subset=list(keys)).groupBy(entity, day.alias("_day"), *keys).agg(F.count(F.lit(1)).alias("_times"))
+    rows = met.groupBy(*keys).agg(*[state.alias(name) for name, state in states.items()])
+    own = lambda name: F.col(name) if name.startswith(("_min", "_max")) else F.col(name) * F.col("_times")
+    return times.join(rows, list(keys)).select(entity, "_day", *[own(name).alias(name) for name in states])
+
+
+def lookback(source: DataFrame, dates: DataFrame, block: Block, met: tuple[DataFrame, Sequence[str]] | None = None) -> DataFrame:
     """entity, as_of_date and each quantity over each window.
 
     dates (as_of_date) are few: it is their number that is broadcast. Events are aggregated by entity and day first, into states
     that can be merged, so that a busy entity is as many rows as it has days; each of these meets just the dates whose widest
     window holds it. Only modes are taken from the events themselves. Entities without an event in any window of a date have no row for it.
+
+    met: a table and the columns by which events meet its rows. The quantities are then of its columns, over all pairs of an event and a
+    row, modes aside; the pairs aren't made (_met_states), of which there are as many as events times rows of a key.
     """
     dates = dates.select(F.col("as_of_date").cast("timestamp_ntz").alias("as_of_date")).distinct()
     starts = {label: f"_from{k}" for k, label in enumerate(block.windows)}
@@ -152,7 +168,9 @@ def lookback(source: DataFrame, dates: DataFrame, block: Block) -> DataFrame:
     when = F.col(block.date)
     merged = [Quantity(q.name, q.value, [f for f in q.functions if f != "mode"]) for q in block.quantities]
     states = {name: state for k, q in enumerate(merged) for name, state in _states(q, k).items()}
-    days = source.groupBy(block.entity, day_of(when, odd).alias("_day")).agg(*[state.alias(name) for name, state in states.items()] or [F.lit(0).alias("_none")])
+    if met is not None and any("mode" in q.functions for q in block.quantities):
+        raise ValueError("modes need the events' own values")
+    days = _day_states(source, block.entity, day_of(when, odd), states) if met is None else _met_states(source, block.entity, day_of(when, odd), states, *met)
     seen = days.join(F.broadcast(dates), (F.col("_day") < F.col("as_of_date")) & (F.col("_day") >= F.col("_widest")))
     seen = seen.withColumns({f"_in{k}": F.col("_day") >= F.col(c) for k, c in enumerate(starts.values())})
     name = lambda label, q, f: "_".join(x for x in (block.prefix, "id", label, q.name, f) if x).lower()
