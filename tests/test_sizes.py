@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from retrospect.operators import models
 from retrospect.operators.blocks import Block, Quantity, lookback
 
 
@@ -24,3 +25,33 @@ def test_events_that_meet_many_rows_of_one_key(spark):
     areas = spark.range(200_000).select(F.lit(3).alias("area"), F.col("id").cast("double").alias("x"))
     rows = lookback(events, _dates(spark), Block("b", "who", "at", [Quantity("x", "x", ("avg", "count"))], {"P1Y": (12, 0)}), (areas, ["area"])).collect()
     assert [tuple(r)[2:] for r in rows] == [(99_999.5, 200_000**2)] * 2
+
+
+def _counted(spark, n):
+    """Rows of a training matrix, and a number of those made so far, made again included."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for rows in batches:
+            made.add(len(rows))
+            yield rows
+
+    rows = spark.range(0, n, 1, 4).select("id", (F.col("id") * 7919 % 1000 / 100).alias("x"), (F.col("id") * 104729 % 997 / 100).alias("y"))
+    rows = rows.withColumn("outcome", (F.col("x") + F.col("y") / 4 > 6).cast("int"))
+    return rows.mapInPandas(count, rows.schema), made
+
+
+def test_fits_make_their_rows_once(spark):
+    for kind, parameters in (("svm", {}), ("bagging", {"n_bags": 3, "n_estimators": 2, "max_depth": 2})):
+        rows, made = _counted(spark, 2_000)
+        assert models.fit(kind, models.vectors(rows, ["x", "y"]), parameters)
+        assert made.value == 2_000, kind
+
+
+def test_machines_learn_probabilities_when_asked_for_scores(spark):
+    rows, made = _counted(spark, 2_000)
+    model = models.fit("svm", models.vectors(rows, ["x", "y"]))
+    assert model.calibration is None and len(models.importances(model, 2)) == 2
+    scored = model.score(models.vectors(rows, ["x", "y"]))
+    assert model.calibration is not None and made.value == 4_000
+    assert scored.filter("score < 0 or score > 1 or (score > 0.5) <> (pred = 1)").isEmpty()
