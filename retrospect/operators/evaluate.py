@@ -195,9 +195,10 @@ def _cut_metrics(run: DataFrame, scores: DataFrame, percents: Sequence[float], c
     return _rows(sums, metrics, by)
 
 
-def all_metrics(scores: DataFrame, by: Sequence[str] = ("model_id", "as_of_date")) -> DataFrame:
-    """by, metric, parameter, value: every metric of every set of scores (E1-E11), from one plan; its running counts serve curves and cut-offs."""
-    run = running_counts(scores, by)
+def all_metrics(scores: DataFrame, by: Sequence[str] = ("model_id", "as_of_date"), run: DataFrame | None = None) -> DataFrame:
+    """by, metric, parameter, value: every metric of every set of scores (E1-E11), from one plan; its running counts (run, if they are at
+    hand) serve curves and cut-offs."""
+    run = running_counts(scores, by) if run is None else run
     return global_metrics(scores, by).unionByName(_of_run(run, _auc() | _rates(), by)).unionByName(_cut_metrics(run, scores, PERCENTS, COUNTS, by))
 
 

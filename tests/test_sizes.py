@@ -55,3 +55,9 @@ def test_machines_learn_probabilities_when_asked_for_scores(spark):
     scored = model.score(models.vectors(rows, ["x", "y"]))
     assert model.calibration is not None and made.value == 4_000
     assert scored.filter("score < 0 or score > 1 or (score > 0.5) <> (pred = 1)").isEmpty()
+
+
+def test_experiments_make_their_matrices_once(spark, tmp_path):
+    (train, trained), (test, tested) = _counted(spark, 1_000), _counted(spark, 1_200)
+    assert models.run_experiments({"a": (train, test, "1999-01-01"), "b": (test, train, "2000-01-01")}, "id", [["x"], ["x", "y"]], {"gaussian_nb": {}}, f"{tmp_path}/root", {}) == 4
+    assert (trained.value, tested.value) == (1_000, 1_200)
