@@ -162,8 +162,8 @@ class Audited:
 
 def _key(columns: Sequence[Column]) -> Column:
     """A key as 128 bits of hash, nulls apart from all values."""
-    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
-    return F.struct(*[F.xxhash64(F.lit(k), nulls, *columns).alias(f"h{k}") for k in (0, 1)])
+    nulls = [c.isNull() for c in columns]
+    return F.struct(*[F.xxhash64(F.lit(k), *nulls, *columns).alias(f"h{k}") for k in (0, 1)])
 
 
 def audit_all(tables: Sequence[Audited]) -> DataFrame:
@@ -187,7 +187,7 @@ def audit_all(tables: Sequence[Audited]) -> DataFrame:
             return len(labels) - 1
 
         def refer(k: int, other: DataFrame, key: Column) -> None:
-            parts.append(other.select(F.lit(k).alias("c"), key.alias("key"), F.lit(0).alias("own"), F.lit(1).alias("known")))
+            parts.append(other.select(F.lit(k).alias("c"), key.alias("key"), F.lit(0).alias("own"), F.lit(1).alias("known")).select("c", "key.*", "own", "known"))
 
         nothing = _key([F.lit(0)])
         for kind, key in [*((("primary key", t.primary),) if t.primary else ()), *(("unique", u) for u in t.unique)]:
@@ -202,12 +202,12 @@ def audit_all(tables: Sequence[Audited]) -> DataFrame:
             k = entry(f"foreign key ({c})", _key([common(c, other, key)]), F.col(c).isNotNull(), "foreign")
             refer(k, other.filter(F.col(key).isNotNull()), _key([common(key, t.table, c)]))
         if entries:
-            parts.append(t.table.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.c", "e.key", F.lit(1).alias("own"), F.lit(0).alias("known")))
+            parts.append(t.table.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.c", "e.key.*", F.lit(1).alias("own"), F.lit(0).alias("known")))
     spark = tables[0].table.sparkSession
     named = spark.createDataFrame(labels, "c int, table_name string, constraint string, kind string")
     if not labels:
         return named.select("table_name", "constraint", F.lit(0).cast("long").alias("violations"))
-    keys = reduce(lambda a, b: a.unionByName(b), parts).groupBy("c", "key").agg(F.sum("own").alias("own"), F.max("known").alias("known"))
+    keys = reduce(lambda a, b: a.unionByName(b), parts).groupBy("c", "h0", "h1").agg(F.sum("own").alias("own"), F.max("known").alias("known"))
     counts = keys.groupBy("c").agg(F.sum("own").alias("rows"), F.sum(F.greatest(F.col("own") - 1, F.lit(0))).alias("beyond"), F.sum(F.when(F.col("known") == 0, F.col("own")).otherwise(0)).alias("unknown"))
     violations = F.when(F.col("kind") == "key", F.col("beyond")).when(F.col("kind") == "foreign", F.col("unknown")).otherwise(F.col("rows"))
     return named.join(F.broadcast(counts), "c", "left").select("table_name", "constraint", F.coalesce(violations, F.lit(0)).cast("long").alias("violations"))
