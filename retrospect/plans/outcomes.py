@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import banding, event_features, labels, matrix
 from ..operators.blocks import lookback
 from .features import PRICE, _window_sql, rounded
-from .tables import DATES_SQL, RESPONDERS_SQL, dates, placed_orders, responders, table
+from .tables import DATES_SQL, RESPONDERS_SQL, dates, lines_and_orders, placed_orders, responders, table
 
 YEAR = (12, 0)
 
@@ -16,7 +16,8 @@ YEAR = (12, 0)
 
 
 def _attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
+    lines, orders = lines_and_orders(spark, sf_dir)
+    lines = lines.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey").withColumnRenamed("o_orderkey", "l_orderkey")
     return labels.unpivot_attributes(lines, "o_custkey", "l_orderkey", {"l_returnflag": "l_shipdate", "l_linestatus": "o_orderdate"})
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from retrospect.operators import models
 from retrospect.operators.blocks import Block, Quantity, lookback
+from retrospect.plans import tables
 
 
 def _dates(spark):
@@ -80,3 +81,12 @@ def test_cells_of_neighbours_grow_in_number(spark):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert all(len(c) == 2 for c in asked["cells"]) and peak < 3_000 * 700 * 8
+
+
+def test_tasks_that_join_lines_to_orders_grow_in_number(spark, small, monkeypatch):
+    n = tables.table(spark, small, "lineitem").count()
+    want = sorted(map(tuple, tables.responders(spark, small).collect()))
+    monkeypatch.setattr(tables, "TASK_LINES", n // 40)
+    lines, orders = tables.lines_and_orders(spark, small)
+    assert lines.rdd.getNumPartitions() == orders.rdd.getNumPartitions() >= 40
+    assert sorted(map(tuple, tables.responders(spark, small).collect())) == want
