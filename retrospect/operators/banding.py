@@ -40,17 +40,19 @@ def trailing_sums(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: S
     """
     when = F.col(left_time)
     start = lambda span: seconds(when) - span * 1_000_000 if isinstance(span, int) else seconds(when - F.make_interval(F.lit(0), F.lit(span[0]), F.lit(0), F.lit(span[1])))
-    point = lambda name, at, turn: F.struct(F.lit(name).alias("span"), at.alias("at"), F.lit(turn).alias("turn"))
+    point = lambda k, at, turn: F.struct(F.lit(k).alias("span"), at.alias("at"), F.lit(turn).alias("turn"))
     names = list(dict.fromkeys([*ids, *keys]))
     values = {"_n": "1", **{f"_q{k}": f"coalesce({v}, 0)" for k, v in enumerate(quantities.values())}}
-    asked = left.select(*names, F.explode(F.array(point("", seconds(when), 2 if closed else 0), *[point(k, start(v), 0) for k, v in spans.items()])).alias("_p"))
+    asked = left.select(*names, F.explode(F.array(point(0, seconds(when), 2 if closed else 0), *[point(k, start(v), 0) for k, v in enumerate(spans.values(), 1)])).alias("_p"))
     asked = asked.select(*names, F.col("_p.span").alias("_span"), F.col("_p.at").alias("_at"), F.col("_p.turn").alias("_turn"))
-    given = right.select(*keys, seconds(F.col(right_time)).alias("_at"), F.lit(1).alias("_turn"), *[F.expr(v).alias(k) for k, v in values.items()])
-    points = asked.unionByName(given, allowMissingColumns=True).dropna(subset=[*keys, "_at"]).fillna(0, list(values))
-    run = running_sums(points, keys, list(values), bucket).filter("_span is not null")
+    given = right.select(*keys, seconds(F.col(right_time)).alias("_at"), *[F.expr(v).alias(k) for k, v in values.items()]).dropna(subset=[*keys, "_at"])
+    # right rows of one time are one
+    given = given.groupBy(*keys, "_at").agg(*[F.sum(v).alias(v) for v in values]).withColumn("_turn", F.lit(1))
+    points = asked.dropna(subset=[*keys, "_at"]).unionByName(given, allowMissingColumns=True).fillna(0, list(values))
+    run = running_sums(points, keys, list(values), bucket).filter("_span is not null").select(*ids, "_span", *values)
     upto = lambda v, k: F.coalesce(F.sum(F.when(F.col("_span") == k, F.col(v))), F.lit(0))
     labels = {"_n": "", **dict(zip(list(values)[1:], (f"{q}_" for q in quantities), strict=True))}
-    sums = run.groupBy(*ids).agg(*[(upto(v, "") - upto(v, k)).alias(f"{label}{k}") for k in spans for v, label in labels.items()])
+    sums = run.groupBy(*ids).agg(*[(upto(v, 0) - upto(v, n)).alias(f"{label}{k}") for n, k in enumerate(spans, 1) for v, label in labels.items()])
     return sums.filter(F.greatest(*[F.col(k) for k in spans], F.lit(0)) > 0)
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import io
 from .banding import trailing_sums
 
 #: Added to the count of a proportion, as the surveyed definition has it.
@@ -44,8 +45,11 @@ def responder_history(responders: DataFrame, past: DataFrame, event: str, entity
     """event and {function}_{quantity}_{window}: sums over each responder's past events, then a function over responders.
 
     Past events lie in [time - window, time). A responder counts for a window just if a past event lies in it. All
-    windows and quantities (whole numbers) come from the running sums of each responder's past.
+    windows and quantities (whole numbers) come from the running sums of each responder's past; responders without any
+    past event go before their windows are laid out.
     """
+    known_to = io.stored(past.select(entity).dropna().distinct(), "entities")
+    responders = responders.join(known_to, entity, "left_semi")
     ours = past.withColumnRenamed(past_time, "_past") if past_time == time else past
     each = trailing_sums(responders.select(event, entity, time), ours, [event, entity], [entity], time, "_past" if past_time == time else past_time, windows, quantities, closed=False)
     known = lambda q, k: F.when(F.col(k) > 0, F.col(f"{q}_{k}"))

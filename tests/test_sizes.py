@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from retrospect.operators import models
+from retrospect.operators import banding, event_features, models
 from retrospect.operators.blocks import Block, Quantity, lookback
 from retrospect.plans import tables
 
@@ -90,3 +90,14 @@ def test_tasks_that_join_lines_to_orders_grow_in_number(spark, small, monkeypatc
     lines, orders = tables.lines_and_orders(spark, small)
     assert lines.rdd.getNumPartitions() == orders.rdd.getNumPartitions() >= 40
     assert sorted(map(tuple, tables.responders(spark, small).collect())) == want
+
+
+def test_only_responders_with_a_past_lay_out_their_windows(spark, monkeypatch):
+    """Of 300 responders one has a past, of 200 events at two times: three points of each of its 10 rows, and two of the past."""
+    points, real = [], banding.running_sums
+    monkeypatch.setattr(banding, "running_sums", lambda rows, *args: points.append(rows.count()) or real(rows, *args))
+    responders = spark.range(3_000).select((F.col("id") % 10).alias("event"), F.floor(F.col("id") / 10).alias("who"), F.expr("timestamp_ntz'2020-03-01 00:00:00'").alias("t"))
+    past = spark.range(200).select(F.when(F.col("id") % 4 > 0, 7).cast("long").alias("who"), F.expr("timestamp_ntz'2020-02-01 00:00:00' + make_interval(0, 0, 0, id % 2)").alias("at"), F.lit(2).alias("x"))
+    rows = event_features.responder_history(responders, past, "event", "who", "t", "at", {"x": "x"}, {"m": (1, 0), "y": (12, 0)}, ["avg", "max"]).collect()
+    assert sorted(r["event"] for r in rows) == list(range(10)) and {(r["avg_x_m"], r["max_x_y"]) for r in rows} == {(300.0, 300)}
+    assert points == [3 * 10 + 2]
