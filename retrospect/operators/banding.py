@@ -150,48 +150,65 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
     """left_id (and keys) and the number of right rows in each band of (seconds, radius): left - seconds <= right < left, planar
     distance in the unit of the coordinates (D13, D14). Left rows without a row in the widest band have no row.
 
-    Rows meet in square tiles and time buckets twice as wide as the widest band, of which a left row looks into those that its
-    band reaches. In tiles of up to CROWDED right rows it is compared with each of them; in others a grid of running
+    Rows meet in time buckets twice as wide as the widest band, of which a left row looks into those that its band reaches. Where up to
+    CROWDED right rows share keys and a bucket, it is compared with each of them; other buckets are laid out in square tiles of twice
+    the widest radius. In tiles of up to CROWDED right rows a left row is compared with each again; in others a grid of running
     counts is asked, and only rows of cells on the circle's border are compared (_crowded_counts). So a left row's
-    work has a bound for each tile, however dense that is.
+    work has a bound for each bucket and tile, however dense that is, and it is laid out in tiles only where that is needed.
     """
     from ..sources import io
 
-    spark, ids = left.sparkSession, [left_id, *keys]
+    ids = [left_id, *keys]
     width, radius = max(w for w, _ in bands.values()), max(r for _, r in bands.values())
     every = {**bands, "_widest": (width, radius)}
     size, tile, tiles = 2 * width * 1_000_000, 2 * radius, ["_x", "_y", "_b", *keys]
     place = [F.col(point[0]).cast("double").alias("_lon"), F.col(point[1]).cast("double").alias("_lat")]
     given = right.select(*keys, F.col(right_time).alias("_when"), *place).dropna(subset=["_lon", "_lat"])  # NaN too
-    given = given.withColumn("_x", F.floor(F.col("_lon") / tile)).withColumn("_y", F.floor(F.col("_lat") / tile)).withColumn("_b", F.floor(seconds(F.col("_when")) / size))
-    path = io.scratch(spark, "crowded")
-    given.groupBy(*tiles).count().filter(F.col("count") > CROWDED).select(*tiles).write.parquet(path)
-    crowded = spark.read.parquet(path)
-    any_crowded = not crowded.isEmpty()
-
-    spread = lambda c: _range(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile))
+    given = given.withColumn("_b", F.floor(seconds(F.col("_when")) / size))
     asked = left.select(*ids, F.col(left_time).alias("_when"), *place).dropna(subset=["_lon", "_lat"]).withColumn("_lt", seconds(F.col("_when")))
-    asked = asked.withColumn("_x", spread("_lon")).withColumn("_y", spread("_lat")).withColumn("_b", _range(F.floor((F.col("_lt") - width * 1_000_000) / size), F.floor((F.col("_lt") - 1) / size)))
-    few, some = (asked.join(crowded, tiles, "left_anti"), given.join(crowded, tiles, "left_anti")) if any_crowded else (asked, given)
-    others = some.select(*tiles, seconds(F.col("_when")).alias("_rt"), F.col("_lon").alias("_rlon"), F.col("_lat").alias("_rlat"))
+    asked = asked.withColumn("_b", _range(F.floor((F.col("_lt") - width * 1_000_000) / size), F.floor((F.col("_lt") - 1) / size)))
     dx, dy = F.col("_lon") - F.col("_rlon"), F.col("_lat") - F.col("_rlat")
     age, square = F.col("_lt") - F.col("_rt"), dx * dx + dy * dy
-    near = few.join(others, tiles).filter((age > 0) & (age <= width * 1_000_000) & (square <= radius * radius))
-    out = near.groupBy(*ids).agg(*[F.count_if((age <= w * 1_000_000) & (square <= r * r)).alias(k) for k, (w, r) in every.items()])
+
+    def near(asked: DataFrame, given: DataFrame, own: Sequence[str]) -> DataFrame:
+        others = given.select(*own, seconds(F.col("_when")).alias("_rt"), F.col("_lon").alias("_rlon"), F.col("_lat").alias("_rlat"))
+        pairs = asked.drop("_when").join(others, own).filter((age > 0) & (age <= width * 1_000_000) & (square <= radius * radius))
+        return pairs.groupBy(*ids).agg(*[F.count_if((age <= w * 1_000_000) & (square <= r * r)).alias(k) for k, (w, r) in every.items()])
+
+    def split(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return rows.join(groups, groups.columns, "left_anti"), rows.join(groups, groups.columns, "left_semi")
+
+    def over(rows: DataFrame, own: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*own).count().filter(F.col("count") > CROWDED).select(*own)
+
+    # of few keys with many rows the buckets are counted, so that those of all keys needn't be
+    known = io.stored(over(given, keys), "busy") if keys else None
+    busy = io.stored(over(given.join(known, list(keys), "left_semi") if keys else given, ["_b", *keys]), "busy")
+    if busy.isEmpty():
+        return near(asked, given, ["_b", *keys]).filter("_widest > 0").select(*ids, *bands)
+    (few, asked), (some, given) = split(asked, busy), split(given, busy)
+    out = near(few, some, ["_b", *keys])
+
+    given = given.withColumn("_x", F.floor(F.col("_lon") / tile)).withColumn("_y", F.floor(F.col("_lat") / tile))
+    spread = lambda c: _range(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile))
+    asked = asked.withColumn("_x", spread("_lon")).withColumn("_y", spread("_lat"))
+    crowded = io.stored(over(given, tiles), "crowded")
+    any_crowded = not crowded.isEmpty()
+    (few, dense), (some, there) = (split(asked, crowded), split(given, crowded)) if any_crowded else ((asked, None), (given, None))
+    out = out.unionByName(near(few, some, tiles))
     if any_crowded:
-        dense, there = asked.join(crowded, tiles, "left_semi").drop("_lt"), given.join(crowded, tiles, "left_semi")
         for r in dict.fromkeys(r for _, r in every.values()):
             spans = {k: w for k, (w, own) in every.items() if own == r}
-            out = out.unionByName(_crowded_counts(dense, there, ids, keys, spans, r, tile), allowMissingColumns=True)
-        out = out.groupBy(*ids).agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in every])
+            out = out.unionByName(_crowded_counts(dense.drop("_lt"), there, ids, keys, spans, r, tile), allowMissingColumns=True)
+    out = out.groupBy(*ids).agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in every])
     return out.filter("_widest > 0").select(*ids, *bands)
 
 
 def entity_radius_counts(left: DataFrame, right: DataFrame, left_id: str, entity: str, left_time: str, right_time: str, bands: Mapping[str, tuple[int, float]], functions: Mapping[str, str], point: tuple[str, str] = ("lon", "lat")) -> DataFrame:
     """left_id and, for each band, a function (avg, max) over its entities of their own rows in the band.
 
-    left has a row for each left_id and entity. Rows meet on entity, tile and time bucket, as in radius_counts, so a busy entity
-    is many keys; entities without a row in the widest band don't count.
+    left has a row for each left_id and entity. Rows meet on entity and time bucket, a busy entity's on tiles too, as in radius_counts;
+    entities without a row in the widest band don't count.
     """
     counted = radius_counts(left, right, left_id, left_time, right_time, bands, point, (entity,))
     # a band's mean is over the entities that have a row in it

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import banding, event_features
+from ..sources import io
 
 EPSILON = "0.00001D"
 HOUR, DAY = 3600, 86400
@@ -112,7 +113,8 @@ def build(names: Sequence[str], tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _responders(hub: DataFrame, tables: Mapping[str, DataFrame], *columns: str) -> DataFrame:
-    return tables["responders"].select("event_id", "officer_id").distinct().join(hub.select("event_id", *columns), "event_id")
+    """Events and their responders, once each; dealt by event, so that one shuffle serves the distinct rows and the join."""
+    return tables["responders"].select("event_id", "officer_id").repartition("event_id").distinct().join(hub.select("event_id", *columns), "event_id")
 
 
 def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Mapping[str, DataFrame]) -> Iterator[DataFrame]:
@@ -154,7 +156,7 @@ def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Map
             for events, some in groups("events").items():
                 yield banding.radius_counts(hub, tables[events], "event_id", time, time, {n: (p["seconds"], p["radius"]) for n, p in some.items()})
         case "entity_radius_counts":
-            sites = _responders(hub, tables, time, "lon", "lat")
+            sites = io.stored(_responders(hub, tables, time, "lon", "lat"), "sites")
             bands = dict.fromkeys((p["seconds"], p["radius"]) for p in chosen.values())
             labels = {b: f"b{k}" for k, b in enumerate(bands)}
             functions = {f: f for f in dict.fromkeys(p["function"] for p in chosen.values())}

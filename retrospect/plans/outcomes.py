@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import banding, event_features, labels, matrix
 from ..operators.blocks import lookback
+from ..sources import io
 from .features import PRICE, _window_sql, rounded
 from .tables import DATES_SQL, RESPONDERS_SQL, dates, lines_and_orders, placed_orders, responders, table
 
@@ -309,7 +310,7 @@ _ENTITY_BANDS = {"near_year": (365 * _DAYS, 200.0), "near_quarter": (91 * _DAYS,
 
 def entity_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each responder's own earlier dispatches nearby; average and maximum over responders."""
-    sites = _sites(spark, sf_dir)
+    sites = io.stored(_sites(spark, sf_dir), "sites")
     return rounded(banding.entity_radius_counts(sites, sites, "o_orderkey", "s_suppkey", "t", "t", _ENTITY_BANDS, {"avg": "avg", "max": "max"}))
 
 

@@ -98,3 +98,14 @@ def test_crowded_tiles_join_only_the_border(spark, monkeypatch):
 
 def brute_one(points):
     return {i: {"near_day": sum(u < t and (x - a) ** 2 + (y - b) ** 2 <= 16 for _, _, u, a, b in points)} for i, _, t, x, y in points}
+
+
+def test_entities_of_few_rows_are_not_laid_out_in_tiles(spark, monkeypatch):
+    """A row looks into the time buckets that its band reaches, two at most here, and not into each tile of them."""
+    laid, real = [], banding._range
+    monkeypatch.setattr(banding, "_range", lambda low, high: laid.append(1) or real(low, high))
+    left, right = rows(4, 150, 12), rows(5, 400, 12)
+    frames = [spark.createDataFrame(r, SCHEMA) for r in (left, right)]
+    got = banding.radius_counts(*frames, "id", "t", "t", BANDS, keys=("e",))
+    assert {(r["id"], r["e"]): {k: r[k] for k in BANDS} for r in got.collect()} == brute(left, right, True)
+    assert len(laid) == 1
