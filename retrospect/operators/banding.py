@@ -56,17 +56,39 @@ def trailing_sums(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: S
     return sums.filter(F.greatest(*[F.col(k) for k in spans], F.lit(0)) > 0)
 
 
+def _time_sums(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, spans: Mapping[str, int], quantities: Mapping[str, str], closed: bool) -> DataFrame:
+    """left_id and the trailing sums of all right rows, by the hour; times that left rows share are asked for once."""
+    times = left.select(seconds(F.col(left_time)).alias("_t"), F.col(left_time).alias("_when")).dropna().distinct()
+    sums = trailing_sums(times, right, ["_t"], [], "_when", right_time, spans, quantities, closed, HOUR)
+    met = left.select(left_id, seconds(F.col(left_time)).alias("_t")).join(sums, "_t")
+    return met.groupBy(left_id).agg(*[F.sum(c).alias(c) for c in sums.columns if c != "_t"])
+
+
 def band_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, widths: Mapping[str, int], closed: bool = True, keep_empty: bool = False) -> DataFrame:
     """left_id and the number of right rows in each trailing band (D6, D7), from running counts by the hour.
 
     Left rows without a right row have no row, or counts of 0 with keep_empty.
     """
-    out = trailing_sums(left, right, [left_id], [], left_time, right_time, widths, {}, closed, HOUR)
+    out = _time_sums(left, right, left_id, left_time, right_time, widths, {}, closed)
     if keep_empty:
         out = left.select(left_id).distinct().join(out, left_id, "left").na.fill(0, list(widths))
     return out
 
 
+def flagged_band_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, bands: Mapping[str, tuple[str | None, int]], closed: bool = True) -> DataFrame:
+    """left_id and the number of right rows in each band of (flag, seconds), all flags in one pass.
+
+    A flag is an SQL condition of right rows, or None for all. A left row without a row of a flag in that flag's widest band
+    has null in its bands; one without any has no row.
+    """
+    flags = list(dict.fromkeys(flag for flag, _ in bands.values()))
+    spans = {f"w{s}": s for s in sorted({s for _, s in bands.values()})}
+    sums = _time_sums(left, right, left_id, left_time, right_time, spans, {f"f{k}": f"cast({flag} as int)" if flag else "1" for k, flag in enumerate(flags)}, closed)
+    count = lambda flag, s: F.col(f"f{flags.index(flag)}_w{s}")
+    widest = {flag: max(s for own, s in bands.values() if own == flag) for flag in flags}
+    return sums.select(left_id, *[F.when(count(flag, widest[flag]) > 0, count(flag, s)).alias(k) for k, (flag, s) in bands.items()])
+
+
 def band_distinct_counts(left: DataFrame, right: DataFrame, left_id: str, entity: str, left_time: str, right_time: str, widths: Mapping[str, int]) -> DataFrame:
     """left_id and the number of distinct entities with a right row in each trailing band [left - width, left] (D7 by entity).
 

@@ -133,9 +133,8 @@ def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Map
                 rows = hub.filter(only) if only else hub
                 yield rows.groupBy("event_id").agg(*[F.expr(p["value"]).alias(n) for n, p in some.items()])
         case "band_counts":
-            for (events, flag), some in {(p["events"], p["flag"]): {n: q for n, q in chosen.items() if (q["events"], q["flag"]) == (p["events"], p["flag"])} for p in chosen.values()}.items():
-                right = tables[events].filter(flag) if flag else tables[events]
-                yield banding.band_counts(hub, right.select(F.col(time).alias("past")), "event_id", time, "past", {n: p["seconds"] for n, p in some.items()})
+            for events, some in groups("events").items():
+                yield banding.flagged_band_counts(hub, tables[events].withColumn("_past", F.col(time)), "event_id", time, "_past", {n: (p["flag"], p["seconds"]) for n, p in some.items()})
         case "responder_history":
             windows = {f"{m}m": (m, d) for m, d in dict.fromkeys(p["window"] for p in chosen.values())}
             values = dict.fromkeys(p["value"] for p in chosen.values())

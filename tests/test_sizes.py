@@ -101,3 +101,16 @@ def test_only_responders_with_a_past_lay_out_their_windows(spark, monkeypatch):
     rows = event_features.responder_history(responders, past, "event", "who", "t", "at", {"x": "x"}, {"m": (1, 0), "y": (12, 0)}, ["avg", "max"]).collect()
     assert sorted(r["event"] for r in rows) == list(range(10)) and {(r["avg_x_m"], r["max_x_y"]) for r in rows} == {(300.0, 300)}
     assert points == [3 * 10 + 2]
+
+
+def test_bands_of_all_flags_ask_for_each_time_once(spark, monkeypatch):
+    """500 events at 5 times and 300 rows at 10: three points of each time, and the rows' times, for two flags."""
+    points, real = [], banding.running_sums
+    monkeypatch.setattr(banding, "running_sums", lambda rows, *args: points.append(rows.count()) or real(rows, *args))
+    at = lambda c: F.expr(f"timestamp_ntz'2020-02-01 00:00:00' + make_interval(0, 0, 0, 0, {c})")
+    left = spark.range(500).select("id", at("id % 5").alias("t"))
+    right = spark.range(300).select(at("id % 10").alias("past"), (F.col("id") % 10 == 2).alias("odd"))
+    bands = {"h": (None, 3_600), "d": (None, 86_400), "odd_h": ("odd", 3_600)}
+    got = {r["id"]: tuple(r)[1:] for r in banding.flagged_band_counts(left, right, "id", "t", "past", bands).collect()}
+    assert points == [3 * 5 + 10]
+    assert got == {i: (30 * min(i % 5 + 1, 2), 30 * (i % 5 + 1), 30 if i % 5 in (2, 3) else None) for i in range(500)}
