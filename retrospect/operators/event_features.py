@@ -21,8 +21,13 @@ def in_period(events: DataFrame, time: str, start: str, end: str) -> DataFrame:
 
 def outcome_label(events: DataFrame, outcomes: DataFrame, event: str, key: str, value: str, name: str) -> DataFrame:
     """event, name: 1 if the values of the event's outcomes sum to more than 0, else 0; no outcome counts as 0."""
-    joined = events.filter(F.col(event).isNotNull()).join(outcomes.select(key, value), key, "left")
-    return joined.groupBy(event).agg((F.sum(F.coalesce(F.col(value), F.lit(0))) > 0).cast("int").alias(name))
+    return outcome_labels(events, outcomes, event, key, {name: value})
+
+
+def outcome_labels(events: DataFrame, outcomes: DataFrame, event: str, key: str, values: Mapping[str, str]) -> DataFrame:
+    """event and a label as that of `outcome_label` for each name and value, all by one join."""
+    joined = events.filter(F.col(event).isNotNull()).join(outcomes.select(key, *dict.fromkeys(values.values())), key, "left")
+    return joined.groupBy(event).agg(*[(F.sum(F.coalesce(F.col(v), F.lit(0))) > 0).cast("int").alias(k) for k, v in values.items()])
 
 
 #: Parts of a time; Sunday is day 0 of the week.

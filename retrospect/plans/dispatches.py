@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..operators import banding, event_features
 from ..sources import io
 
+#: Events of a task that joins them to their outcomes, about.
+TASK_EVENTS = 250_000
 EPSILON = "0.00001D"
 HOUR, DAY = 3600, 86400
 # Spans, radii, columns, shares and tests of the features, and their names.
@@ -124,8 +126,9 @@ def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Map
     time = "event_datetime"
     match family:
         case "outcome_label":
-            for name, p in chosen.items():
-                yield event_features.outcome_label(hub.select("event_id"), tables["incidents"], "event_id", "event_id", p["value"], name)
+            parts = max(4, -(-hub.count() // TASK_EVENTS))
+            dealt = [t.repartition(parts, "event_id") for t in (hub.select("event_id"), tables["incidents"])]
+            yield event_features.outcome_labels(*dealt, "event_id", "event_id", {n: p["value"] for n, p in chosen.items()})
         case "calendar_parts":
             yield renamed(event_features.calendar_parts(hub, "event_id", time, [p["part"] for p in chosen.values()]), {n: p["part"] for n, p in chosen.items()})
         case "attribute":

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retrospect.operators import banding, event_features, models
 from retrospect.operators.blocks import Block, Quantity, lookback
-from retrospect.plans import tables
+from retrospect.plans import dispatches, tables
 
 
 def _dates(spark):
@@ -114,3 +114,16 @@ def test_bands_of_all_flags_ask_for_each_time_once(spark, monkeypatch):
     got = {r["id"]: tuple(r)[1:] for r in banding.flagged_band_counts(left, right, "id", "t", "past", bands).collect()}
     assert points == [3 * 5 + 10]
     assert got == {i: (30 * min(i % 5 + 1, 2), 30 * (i % 5 + 1), 30 if i % 5 in (2, 3) else None) for i in range(500)}
+
+
+def test_labels_come_from_one_join_in_tasks_that_grow_in_number(spark, monkeypatch):
+    events = spark.range(400).select((F.col("id") % 100).alias("event_id"), F.col("id").alias("x"))
+    incidents = spark.range(90).select((F.col("id") % 45).alias("event_id"), (F.col("id") % 2).alias("number_of_sustained_allegations"), F.when(F.col("id") % 3 > 0, F.col("id") % 3 - 1).alias("number_of_unjustified_allegations"))
+    chosen = {n: p for n, (family, p) in dispatches.catalogue().items() if family == "outcome_label" and n != "LabelPreventable"}
+    monkeypatch.setattr(dispatches, "TASK_EVENTS", 10)
+    (made,) = dispatches._family("outcome_label", chosen, events, {"incidents": incidents})
+    monkeypatch.setattr(dispatches, "TASK_EVENTS", 400)
+    (whole,) = dispatches._family("outcome_label", chosen, events, {"incidents": incidents})
+    assert made.rdd.getNumPartitions() == 40 and whole.rdd.getNumPartitions() == 4
+    want = {(e, int(e < 45), int(e < 45 and any(k % 3 == 2 for k in (e, e + 45)))) for e in range(100)}
+    assert {(r["event_id"], r["LabelSustained"], r["LabelUnjustified"]) for r in made.collect()} == want == {(r["event_id"], r["LabelSustained"], r["LabelUnjustified"]) for r in whole.collect()}
