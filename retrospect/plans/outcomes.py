@@ -214,14 +214,17 @@ START, END = "1997-01-01", "1998-12-31"
 _PERIOD = f"o_orderdate BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
 
 
-def _hub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_features.in_period(table(spark, sf_dir, "orders"), "o_orderdate", START, END)
+def _hub(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The orders of the period, and all lines with o_orderkey, in parts of the same orders."""
+    lines, orders = lines_and_orders(spark, sf_dir)
+    return event_features.in_period(orders, "o_orderdate", START, END), lines
 
 
 def event_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order with a returned line."""
-    returned = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_returnflag") == "R", 1).alias("returned"))
-    return event_features.outcome_label(_hub(spark, sf_dir), returned, "o_orderkey", "o_orderkey", "returned", "label")
+    hub, lines = _hub(spark, sf_dir)
+    returned = lines.select("o_orderkey", F.when(F.col("l_returnflag") == "R", 1).alias("returned"))
+    return event_features.outcome_label(hub, returned, "o_orderkey", "o_orderkey", "returned", "label")
 
 
 EVENT_LABEL = f"SELECT o_orderkey, (coalesce(sum((l_returnflag = 'R')::INT), 0) > 0)::INT AS label FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE {_PERIOD} GROUP BY 1"
@@ -237,8 +240,7 @@ CALENDAR = 'SELECT event_id, minute(ts)::INT AS "minute", hour(ts)::INT AS "hour
 
 def event_attribute_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 and D5."""
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    return event_features.attribute(_hub(spark, sf_dir), lines, "o_orderkey", "o_orderkey", {"top_quantity": "max(l_quantity)", "n_lines": "count(1)", "first_flag": "min(l_returnflag)"})
+    return event_features.attribute(*_hub(spark, sf_dir), "o_orderkey", "o_orderkey", {"top_quantity": "max(l_quantity)", "n_lines": "count(1)", "first_flag": "min(l_returnflag)"})
 
 
 ATTRIBUTE_MAX = f"SELECT o_orderkey, max(l_quantity) AS top_quantity, count(*) AS n_lines, min(l_returnflag) AS first_flag FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE {_PERIOD} GROUP BY 1"
@@ -246,8 +248,9 @@ ATTRIBUTE_MAX = f"SELECT o_orderkey, max(l_quantity) AS top_quantity, count(*) A
 
 def capped_travel_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days from order to shipment, under 60."""
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey").join(_hub(spark, sf_dir).select("o_orderkey", "o_orderdate"), "o_orderkey").withColumn("days", F.datediff("l_shipdate", "o_orderdate"))
-    return rounded(event_features.attribute(_hub(spark, sf_dir), lines, "o_orderkey", "o_orderkey", {"avg_days": "avg(days)", "min_days": "min(days)", "max_days": "max(days)"}, F.col("days") < 60))
+    hub, lines = _hub(spark, sf_dir)
+    lines = lines.join(hub.select("o_orderkey", "o_orderdate"), "o_orderkey").withColumn("days", F.datediff("l_shipdate", "o_orderdate"))
+    return rounded(event_features.attribute(hub, lines, "o_orderkey", "o_orderkey", {"avg_days": "avg(days)", "min_days": "min(days)", "max_days": "max(days)"}, F.col("days") < 60))
 
 
 TRAVEL = f"SELECT o_orderkey, round(avg(d), 7) AS avg_days, min(d)::INT AS min_days, max(d)::INT AS max_days FROM (SELECT o_orderkey, date_diff('day', o_orderdate, l_shipdate) AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE {_PERIOD}) WHERE d < 60 GROUP BY 1"
@@ -370,7 +373,7 @@ TRACT = "WITH a AS (SELECT c_nationkey, count(*) AS people, count(*) FILTER (WHE
 
 def event_wide_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D16."""
-    return rounded(event_features.event_table(_hub(spark, sf_dir), [event_label(spark, sf_dir), event_attribute_max(spark, sf_dir), capped_travel_time(spark, sf_dir), responder_proportion(spark, sf_dir)], "o_orderkey"))
+    return rounded(event_features.event_table(_hub(spark, sf_dir)[0], [event_label(spark, sf_dir), event_attribute_max(spark, sf_dir), capped_travel_time(spark, sf_dir), responder_proportion(spark, sf_dir)], "o_orderkey"))
 
 
 EVENT_WIDE = f"SELECT * FROM (SELECT o_orderkey FROM orders WHERE {_PERIOD}) LEFT JOIN ({EVENT_LABEL}) USING (o_orderkey) LEFT JOIN ({ATTRIBUTE_MAX}) USING (o_orderkey) LEFT JOIN ({TRAVEL}) USING (o_orderkey) LEFT JOIN ({PROPORTION}) USING (o_orderkey)"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retrospect.operators import banding, event_features, models
 from retrospect.operators.blocks import Block, Quantity, lookback
-from retrospect.plans import dispatches, tables
+from retrospect.plans import dispatches, outcomes, tables
 
 
 def _dates(spark):
@@ -127,3 +127,11 @@ def test_labels_come_from_one_join_in_tasks_that_grow_in_number(spark, monkeypat
     assert made.rdd.getNumPartitions() == 40 and whole.rdd.getNumPartitions() == 4
     want = {(e, int(e < 45), int(e < 45 and any(k % 3 == 2 for k in (e, e + 45)))) for e in range(100)}
     assert {(r["event_id"], r["LabelSustained"], r["LabelUnjustified"]) for r in made.collect()} == want == {(r["event_id"], r["LabelSustained"], r["LabelUnjustified"]) for r in whole.collect()}
+
+
+def test_tasks_of_event_features_grow_in_number(spark, small, monkeypatch):
+    want = {f: sorted(map(tuple, f(spark, small).collect())) for f in (outcomes.event_label, outcomes.event_attribute_max, outcomes.capped_travel_time)}
+    monkeypatch.setattr(tables, "TASK_LINES", tables.table(spark, small, "lineitem").count() // 40)
+    for f, rows in want.items():
+        made = f(spark, small)
+        assert made.rdd.getNumPartitions() >= 40 and sorted(map(tuple, made.collect())) == rows
