@@ -46,17 +46,17 @@ def attribute(events: DataFrame, details: DataFrame, event: str, key: str, colum
     return joined.groupBy(event).agg(*[F.expr(v).alias(k) for k, v in columns.items()])
 
 
-def responder_history(responders: DataFrame, past: DataFrame, event: str, entity: str, time: str, past_time: str, quantities: Mapping[str, str], windows: Mapping[str, tuple[int, int]], functions: Sequence[str] = ("avg", "min", "max")) -> DataFrame:
+def responder_history(responders: DataFrame, past: DataFrame, event: str, entity: str, time: str, past_time: str, quantities: Mapping[str, str], windows: Mapping[str, tuple[int, int]], functions: Sequence[str] = ("avg", "min", "max"), parts: int | None = None) -> DataFrame:
     """event and {function}_{quantity}_{window}: sums over each responder's past events, then a function over responders.
 
     Past events lie in [time - window, time). A responder counts for a window just if a past event lies in it. All
     windows and quantities (whole numbers) come from the running sums of each responder's past; responders without any
-    past event go before their windows are laid out.
+    past event go before their windows are laid out. parts: tasks that the windows are dealt into.
     """
     known_to = io.stored(past.select(entity).dropna().distinct(), "entities")
     responders = responders.join(known_to, entity, "left_semi")
     ours = past.withColumnRenamed(past_time, "_past") if past_time == time else past
-    each = trailing_sums(responders.select(event, entity, time), ours, [event, entity], [entity], time, "_past" if past_time == time else past_time, windows, quantities, closed=False)
+    each = trailing_sums(responders.select(event, entity, time), ours, [event, entity], [entity], time, "_past" if past_time == time else past_time, windows, quantities, closed=False, parts=parts)
     known = lambda q, k: F.when(F.col(k) > 0, F.col(f"{q}_{k}"))
     return each.groupBy(event).agg(*[getattr(F, f)(known(q, k)).alias(f"{f}_{q}_{k}") for f in functions for k in windows for q in quantities])
 

@@ -9,7 +9,7 @@ from ..operators import banding, event_features, labels, matrix
 from ..operators.blocks import lookback
 from ..sources import io
 from .features import PRICE, _window_sql, rounded
-from .tables import DATES_SQL, RESPONDERS_SQL, dates, lines_and_orders, placed_orders, responders, table
+from .tables import DATES_SQL, RESPONDERS_SQL, dates, lines_and_orders, placed_orders, responders, table, task_parts
 
 YEAR = (12, 0)
 
@@ -325,8 +325,9 @@ SELECT o_orderkey, round(avg(y), 7) AS avg_near_year, max(y) AS max_near_year, r
 
 def entity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned and urgent lines of each responder before the order."""
-    past = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_shipdate").alias("past"), (F.col("l_returnflag") == "R").cast("int").alias("returned"), F.col("l_quantity").cast("int").alias("quantity"))
-    return rounded(event_features.responder_history(responders(spark, sf_dir), past, "o_orderkey", "s_suppkey", "t", "past", {"returned": "returned", "quantity": "quantity"}, {"3y": (36, 0), "1y": (12, 0)}))
+    lines, windows = table(spark, sf_dir, "lineitem"), {"3y": (36, 0), "1y": (12, 0)}
+    past = lines.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_shipdate").alias("past"), (F.col("l_returnflag") == "R").cast("int").alias("returned"), F.col("l_quantity").cast("int").alias("quantity"))
+    return rounded(event_features.responder_history(responders(spark, sf_dir), past, "o_orderkey", "s_suppkey", "t", "past", {"returned": "returned", "quantity": "quantity"}, windows, parts=task_parts(lines, len(windows) + 2)))
 
 
 ENTITY_HISTORY = (

@@ -135,3 +135,11 @@ def test_tasks_of_event_features_grow_in_number(spark, small, monkeypatch):
     for f, rows in want.items():
         made = f(spark, small)
         assert made.rdd.getNumPartitions() >= 40 and sorted(map(tuple, made.collect())) == rows
+
+
+def test_tasks_of_windows_grow_in_number(spark):
+    responders = spark.range(300).select((F.col("id") % 50).alias("event"), (F.col("id") % 7).alias("who"), F.expr("timestamp_ntz'2020-03-01 00:00:00'").alias("t"))
+    past = spark.range(200).select((F.col("id") % 5).alias("who"), F.expr("timestamp_ntz'2020-02-01 00:00:00' + make_interval(0, 0, 0, id % 20)").alias("at"), F.lit(2).alias("x"))
+    made = {n: event_features.responder_history(responders, past, "event", "who", "t", "at", {"x": "x"}, {"m": (1, 0), "y": (12, 0)}, ["avg", "max"], n) for n in (None, 13)}
+    assert made[13].rdd.getNumPartitions() == 13
+    assert sorted(map(tuple, made[13].collect())) == sorted(map(tuple, made[None].collect())) != []
