@@ -175,8 +175,8 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
     """left_id (and keys) and the number of right rows in each band of (seconds, radius): left - seconds <= right < left, planar
     distance in the unit of the coordinates (D13, D14). Left rows without a row in the widest band have no row.
 
-    Rows meet in time buckets twice as wide as the widest band, of which a left row looks into those that its band reaches. Where up to
-    CROWDED right rows share keys and a bucket, it is compared with each of them; other buckets are laid out in square tiles of twice
+    Rows meet in time buckets twice as wide as the widest band, of which a left row looks into those that its band reaches. Where there are keys
+    and up to CROWDED right rows share them and a bucket, it is compared with each of them; other buckets are laid out in square tiles of twice
     the widest radius. In tiles of up to CROWDED right rows a left row is compared with each again; in others a grid of running
     counts is asked, and only rows of cells on the circle's border are compared (_crowded_counts). So a left row's
     work has a bound for each bucket and tile, however dense that is, and it is laid out in tiles only where that is needed.
@@ -206,13 +206,14 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
     def over(rows: DataFrame, own: Sequence[str]) -> DataFrame:
         return rows.groupBy(*own).count().filter(F.col("count") > CROWDED).select(*own)
 
-    # of few keys with many rows the buckets are counted, so that those of all keys needn't be
-    known = io.stored(over(given, keys), "busy") if keys else None
-    busy = io.stored(over(given.join(known, list(keys), "left_semi") if keys else given, ["_b", *keys]), "busy")
-    if busy.isEmpty():
-        return near(asked, given, ["_b", *keys]).filter("_widest > 0").select(*ids, *bands)
-    (few, asked), (some, given) = split(asked, busy), split(given, busy)
-    out = near(few, some, ["_b", *keys])
+    out = None
+    if keys:  # of few keys with many rows the buckets are counted, so that those of all keys needn't be
+        known = io.stored(over(given, keys), "busy")
+        busy = io.stored(over(given.join(known, list(keys), "left_semi"), ["_b", *keys]), "busy")
+        if busy.isEmpty():
+            return near(asked, given, ["_b", *keys]).filter("_widest > 0").select(*ids, *bands)
+        (few, asked), (some, given) = split(asked, busy), split(given, busy)
+        out = near(few, some, ["_b", *keys])
 
     given = given.withColumn("_x", F.floor(F.col("_lon") / tile)).withColumn("_y", F.floor(F.col("_lat") / tile))
     spread = lambda c: _range(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile))
@@ -220,7 +221,7 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
     crowded = io.stored(over(given, tiles), "crowded")
     any_crowded = not crowded.isEmpty()
     (few, dense), (some, there) = (split(asked, crowded), split(given, crowded)) if any_crowded else ((asked, None), (given, None))
-    out = out.unionByName(near(few, some, tiles))
+    out = near(few, some, tiles) if out is None else out.unionByName(near(few, some, tiles))
     if any_crowded:
         for r in dict.fromkeys(r for _, r in every.values()):
             spans = {k: w for k, (w, own) in every.items() if own == r}
