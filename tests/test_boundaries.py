@@ -255,3 +255,26 @@ def test_distinct_entities_in_a_band(spark):
     got = banding.band_distinct_counts(spark.createDataFrame(left, "id int, t timestamp_ntz"), spark.createDataFrame(right, "e int, r timestamp_ntz"), "id", "e", "t", "r", {"a": 1200, "b": 7200})
     want = {i: (len({e for e, u in right if t - dt.timedelta(seconds=1200) <= u <= t}), len({e for e, u in right if t - dt.timedelta(seconds=7200) <= u <= t})) for i, t in left}
     assert {r["id"]: (r["a"], r["b"]) for r in got.collect()} == want
+
+
+def test_guessed_initials_are_one_form(spark):
+    """26 guessed initials are one row of the forms that texts are joined with, and the last person of an own and a guessed form counts."""
+    rows = [(0, "ID1", "Ann", None, "Cole"), (1, "ID2", "Ann", "Bea", "Cole"), (2, "ID3", "Bo", "Cy", "Dee"), (3, "ID4", "Bo", None, "Dee"), (4, "ID5", None, None, "Fox"), (5, "ID6", "- -", "", "Gray")]
+    names = spark.createDataFrame(rows, "n int, id string, first string, middle string, last string")
+    assert anonymize.short_forms(names.filter("n = 0"), "n").count() == 4 and anonymize.name_forms(names.filter("n = 0"), "n").count() == 29
+    texts = ["officer ann b cole", "officer ann q cole", "officer bo c dee", "officer ab cole", "officers bc dee and k fox and q gray", "officer a ? cole", "officer cole", "sgt ann é cole"]
+    forms = {r["pattern"]: r["id"] for r in anonymize.name_forms(names, "n").collect()}
+    got = {r["k"]: r["text"] for r in anonymize.anonymize(spark.createDataFrame(list(enumerate(texts)), "k int, text string"), names, "k", "text", "n").collect()}
+    assert got == {k: _brute_anonymize(t, forms) for k, t in enumerate(texts)}
+    assert got[0] == "officer ID2" and got[1] == "officer ID1?" and got[2] == "officer ID4?"
+
+
+def test_badges_in_one_pass(spark):
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(["code", " no.", " number ", "#", "-", "(", ")", "1", "23", "4567", " ", "c", "\t", " "], 14)) for _ in range(3000)]
+    want = texts
+    for pattern in anonymize.BADGE_PATTERNS:
+        want = [re.sub(pattern, anonymize.BADGE, t) for t in want]
+    got = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", anonymize.scrub_badges(F.col("t")).alias("s"), anonymize.normalize_report(F.col("t")).alias("r")).collect()
+    assert {r["k"]: r["s"] for r in got} == dict(enumerate(want))
+    assert {r["k"]: r["r"] for r in got} == {k: re.sub(r"[ \t]+", " ", t).strip(" ") for k, t in enumerate(texts)}
