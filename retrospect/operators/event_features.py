@@ -61,23 +61,38 @@ def responder_history(responders: DataFrame, past: DataFrame, event: str, entity
     return each.groupBy(event).agg(*[getattr(F, f)(known(q, k)).alias(f"{f}_{q}_{k}") for f in functions for k in windows for q in quantities])
 
 
-def responder_age(responders: DataFrame, entities: DataFrame, event: str, entity: str, time: str, born: str) -> DataFrame:
-    """event and avg_age, max_age, min_age of its responders, in days over 365, rounded half to even."""
-    age = F.rint(F.datediff(F.col(time), F.col(born)) / 365)
-    joined = responders.select(event, entity, time).join(entities.select(entity, born), entity).withColumn("_age", age)
-    return joined.groupBy(event).agg(F.avg("_age").alias("avg_age"), F.max("_age").alias("max_age"), F.min("_age").alias("min_age"))
+def _by_event(responders: DataFrame, entities: DataFrame, event: str, entity: str, values: Mapping[str, Column], made: Mapping[str, Column], parts: int | None) -> DataFrame:
+    """event and aggregates (made) of the values of its responders, of which a responder has one row. parts: tasks that responders are dealt into, by
+    entity for the join and by event for the groups, so that a task's rows stay as tables grow."""
+    dealt = lambda rows, key: rows.repartition(parts, key) if parts else rows
+    joined = dealt(responders, entity).join(dealt(entities, entity), entity).select(event, *[v.alias(k) for k, v in values.items()])
+    return dealt(joined, event).groupBy(event).agg(*[v.alias(k) for k, v in made.items()])
 
 
-def responder_level(responders: DataFrame, entities: DataFrame, event: str, entity: str, level: str) -> DataFrame:
+def _ages(time: str, born: str) -> tuple[dict[str, Column], dict[str, Column]]:
+    return {"_age": F.rint(F.datediff(F.col(time), F.col(born)) / 365)}, {f"{f}_age": getattr(F, f)("_age") for f in ("avg", "max", "min")}
+
+
+def _levels(level: str) -> tuple[dict[str, Column], dict[str, Column]]:
+    return {level: F.col(level)}, {f"highest_{level}": F.max(level), f"lowest_{level}": F.min(level)}
+
+
+def responder_age(responders: DataFrame, entities: DataFrame, event: str, entity: str, time: str, born: str, level: str | None = None, parts: int | None = None) -> DataFrame:
+    """event and avg_age, max_age, min_age of its responders, in days over 365, rounded half to even (D9); with a level those of
+    `responder_level` too, from the same rows."""
+    (values, made), (others, more) = _ages(time, born), _levels(level) if level else ({}, {})
+    return _by_event(responders.select(event, entity, time), entities.select(entity, born, *others), event, entity, values | others, made | more, parts)
+
+
+def responder_level(responders: DataFrame, entities: DataFrame, event: str, entity: str, level: str, parts: int | None = None) -> DataFrame:
     """event and the greatest and least level of its responders."""
-    joined = responders.select(event, entity).join(entities.select(entity, level), entity)
-    return joined.groupBy(event).agg(F.max(level).alias(f"highest_{level}"), F.min(level).alias(f"lowest_{level}"))
+    return _by_event(responders.select(event, entity), entities.select(entity, level), event, entity, *_levels(level), parts)
 
 
-def responder_proportion(responders: DataFrame, entities: DataFrame, event: str, entity: str, column: str, tests: Mapping[str, str]) -> DataFrame:
+def responder_proportion(responders: DataFrame, entities: DataFrame, event: str, entity: str, column: str, tests: Mapping[str, str], parts: int | None = None) -> DataFrame:
     """event and the share of its responders that pass each test: passes / (known values + EPSILON)."""
-    joined = responders.select(event, entity).join(entities.select(entity, column), entity)
-    return joined.groupBy(event).agg(*[(F.sum(F.when(F.expr(v), 1).otherwise(0)) / (F.count(column) + EPSILON)).alias(k) for k, v in tests.items()])
+    shares = {k: F.sum(F.when(F.expr(v), 1).otherwise(0)) / (F.count(column) + EPSILON) for k, v in tests.items()}
+    return _by_event(responders.select(event, entity), entities.select(entity, column), event, entity, {column: F.col(column)}, shares, parts)
 
 
 def area_attributes(events: DataFrame, places: DataFrame, areas: DataFrame, event: str, place: str, area: str, values: Mapping[str, str]) -> DataFrame:

@@ -114,9 +114,14 @@ def build(names: Sequence[str], tables: Mapping[str, DataFrame]) -> DataFrame:
     return event_features.event_table(hub, made, "event_id").select("event_id", *names)
 
 
+def _responder_parts(tables: Mapping[str, DataFrame]) -> int:
+    return max(4, -(-tables["responders"].count() // TASK_EVENTS))
+
+
 def _responders(hub: DataFrame, tables: Mapping[str, DataFrame], *columns: str) -> DataFrame:
-    """Events and their responders, once each; dealt by event, so that one shuffle serves the distinct rows and the join."""
-    return tables["responders"].select("event_id", "officer_id").repartition("event_id").distinct().join(hub.select("event_id", *columns), "event_id")
+    """Events and their responders, once each; dealt by event into parts of some TASK_EVENTS, so that one shuffle serves the distinct rows and the join."""
+    parts = _responder_parts(tables)
+    return tables["responders"].select("event_id", "officer_id").repartition(parts, "event_id").distinct().join(hub.select("event_id", *columns).repartition(parts, "event_id"), "event_id")
 
 
 def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Mapping[str, DataFrame]) -> Iterator[DataFrame]:
@@ -145,13 +150,13 @@ def _family(family: str, chosen: Mapping[str, dict], hub: DataFrame, tables: Map
             made = event_features.responder_history(_responders(hub, tables, time), tables["past_incidents"], "event_id", "officer_id", time, "report_date", {v: v for v in values}, windows, functions)
             yield renamed(made, {n: f"{p['function']}_{p['value']}_{p['window'][0]}m" for n, p in chosen.items()})
         case "responder_age":
-            yield renamed(event_features.responder_age(_responders(hub, tables, time), tables["responding_officers"], "event_id", "officer_id", time, "date_of_birth"), {n: f"{p['function']}_age" for n, p in chosen.items()})
+            yield renamed(event_features.responder_age(_responders(hub, tables, time), tables["responding_officers"], "event_id", "officer_id", time, "date_of_birth", parts=_responder_parts(tables)), {n: f"{p['function']}_age" for n, p in chosen.items()})
         case "responder_level":
-            made = event_features.responder_level(_responders(hub, tables), tables["responding_officers"], "event_id", "officer_id", "education_level_code")
+            made = event_features.responder_level(_responders(hub, tables), tables["responding_officers"], "event_id", "officer_id", "education_level_code", _responder_parts(tables))
             yield renamed(made, {n: f"{'highest' if p['function'] == 'max' else 'lowest'}_education_level_code" for n, p in chosen.items()})
         case "responder_proportion":
             for column, some in groups("column").items():
-                yield event_features.responder_proportion(_responders(hub, tables), tables["responding_officers"], "event_id", "officer_id", column, {n: p["test"] for n, p in some.items()})
+                yield event_features.responder_proportion(_responders(hub, tables), tables["responding_officers"], "event_id", "officer_id", column, {n: p["test"] for n, p in some.items()}, _responder_parts(tables))
         case "area_attributes":
             yield event_features.area_attributes(hub, tables["addresses"], tables["tracts"], "event_id", "address_id", "tract_id", {n: p["value"] for n, p in chosen.items()})
         case "radius_counts":

@@ -345,8 +345,7 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responder_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time since each responder's first shipment, and the nation codes."""
     r, s = responders(spark, sf_dir), _suppliers(spark, sf_dir)
-    ages = event_features.responder_age(r, s, "o_orderkey", "s_suppkey", "t", "born")
-    return rounded(ages.join(event_features.responder_level(r, s, "o_orderkey", "s_suppkey", "s_nationkey"), "o_orderkey"))
+    return rounded(event_features.responder_age(r, s, "o_orderkey", "s_suppkey", "t", "born", "s_nationkey", task_parts(table(spark, sf_dir, "lineitem"))))
 
 
 RESPONDER_AGE = f"""WITH b AS (SELECT l_suppkey AS s_suppkey, min(l_shipdate) AS born FROM lineitem GROUP BY 1)
@@ -356,7 +355,7 @@ FROM (SELECT o_orderkey, s_nationkey, round_even(date_diff('day', born, t) / 365
 
 def responder_proportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D11."""
-    shares = event_features.responder_proportion(responders(spark, sf_dir), table(spark, sf_dir, "supplier"), "o_orderkey", "s_suppkey", "s_nationkey", {"low_nation": "s_nationkey < 8", "two_nations": "s_nationkey in (3, 4)"})
+    shares = event_features.responder_proportion(responders(spark, sf_dir), table(spark, sf_dir, "supplier"), "o_orderkey", "s_suppkey", "s_nationkey", {"low_nation": "s_nationkey < 8", "two_nations": "s_nationkey in (3, 4)"}, task_parts(table(spark, sf_dir, "lineitem")))
     return rounded(shares, 6)
 
 

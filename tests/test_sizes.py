@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retrospect.operators import banding, event_features, models
 from retrospect.operators.blocks import Block, Quantity, lookback
-from retrospect.plans import dispatches, outcomes, tables
+from retrospect.plans import catalogue, dispatches, outcomes, tables
 
 
 def _dates(spark):
@@ -143,3 +143,18 @@ def test_tasks_of_windows_grow_in_number(spark):
     made = {n: event_features.responder_history(responders, past, "event", "who", "t", "at", {"x": "x"}, {"m": (1, 0), "y": (12, 0)}, ["avg", "max"], n) for n in (None, 13)}
     assert made[13].rdd.getNumPartitions() == 13
     assert sorted(map(tuple, made[13].collect())) == sorted(map(tuple, made[None].collect())) != []
+
+
+def test_tasks_of_responders_grow_in_number_without_broadcasts(spark, small, monkeypatch):
+    """Where entities are too many to be broadcast, rows are dealt by entity and again by event, into as many parts as the lines ask for."""
+    queries = [outcomes.responder_age, outcomes.responder_proportion, *map(catalogue.dispatch_query, ("dispatch_responder_ages", "dispatch_responder_education"))]
+    want = [sorted(map(str, f(spark, small).collect())) for f in queries]
+    monkeypatch.setattr(tables, "TASK_LINES", tables.table(spark, small, "lineitem").count() // 40)
+    monkeypatch.setattr(dispatches, "TASK_EVENTS", tables.table(spark, small, "lineitem").count() // 40)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert all(f(spark, small).rdd.getNumPartitions() >= 40 for f in queries[:2])
+        assert [sorted(map(str, f(spark, small).collect())) for f in queries] == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
