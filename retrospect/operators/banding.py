@@ -171,6 +171,13 @@ def _crowded_counts(left: DataFrame, right: DataFrame, ids: Sequence[str], keys:
     return inner.select(*ids, *spans).unionByName(border)
 
 
+def _reaching(rows: DataFrame, width: int, reach: float, size: int, tile: float) -> DataFrame:
+    """_rt, _rlon, _rlat, how many rows have these (_n), and each tile and bucket (_x, _y, _b) with a later point within reach."""
+    sites = rows.select(seconds(F.col("_when")).alias("_rt"), F.col("_lon").alias("_rlon"), F.col("_lat").alias("_rlat")).groupBy("_rt", "_rlon", "_rlat").agg(F.count("*").alias("_n"))
+    spread = lambda c: _range(F.floor((F.col(c) - reach) / tile), F.floor((F.col(c) + reach) / tile))
+    return sites.withColumn("_x", spread("_rlon")).withColumn("_y", spread("_rlat")).withColumn("_b", _range(F.floor((F.col("_rt") + 1) / size), F.floor((F.col("_rt") + width) / size)))
+
+
 def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_time: str, bands: Mapping[str, tuple[int, float]], point: tuple[str, str] = ("lon", "lat"), keys: Sequence[str] = ()) -> DataFrame:
     """left_id (and keys) and the number of right rows in each band of (seconds, radius): left - seconds <= right < left, planar
     distance in the unit of the coordinates (D13, D14). Left rows without a row in the widest band have no row.
@@ -180,17 +187,19 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
     the widest radius. In tiles of up to CROWDED right rows a left row is compared with each again; in others a grid of running
     counts is asked, and only rows of cells on the circle's border are compared (_crowded_counts). So a left row's
     work has a bound for each bucket and tile, however dense that is, and it is laid out in tiles only where that is needed.
+    Without keys left rows stay in their own tile and bucket; right rows of one time and place are one there, and go to the tiles they reach.
     """
     from ..sources import io
 
     ids = [left_id, *keys]
     width, radius = max(w for w, _ in bands.values()), max(r for _, r in bands.values())
-    every = {**bands, "_widest": (width, radius)}
+    every, reach = {**bands, "_widest": (width, radius)}, radius * (1 + MARGIN)
     size, tile, tiles = 2 * width * 1_000_000, 2 * radius, ["_x", "_y", "_b", *keys]
     place = [F.col(point[0]).cast("double").alias("_lon"), F.col(point[1]).cast("double").alias("_lat")]
     given = right.select(*keys, F.col(right_time).alias("_when"), *place).dropna(subset=["_lon", "_lat"])  # NaN too
     given = given.withColumn("_b", F.floor(seconds(F.col("_when")) / size))
     asked = left.select(*ids, F.col(left_time).alias("_when"), *place).dropna(subset=["_lon", "_lat"]).withColumn("_lt", seconds(F.col("_when")))
+    alone = asked
     asked = asked.withColumn("_b", _range(F.floor((F.col("_lt") - width * 1_000_000) / size), F.floor((F.col("_lt") - 1) / size)))
     dx, dy = F.col("_lon") - F.col("_rlon"), F.col("_lat") - F.col("_rlat")
     age, square = F.col("_lt") - F.col("_rt"), dx * dx + dy * dy
@@ -200,6 +209,12 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
         pairs = asked.drop("_when").join(others, own).filter((age > 0) & (age <= width * 1_000_000) & (square <= radius * radius))
         return pairs.groupBy(*ids).agg(*[F.count_if((age <= w * 1_000_000) & (square <= r * r)).alias(k) for k, (w, r) in every.items()])
 
+    def reached(given: DataFrame) -> DataFrame:
+        others = _reaching(given, width * 1_000_000, reach, size, tile)
+        own = alone.select(*ids, "_lon", "_lat", "_lt", F.floor(F.col("_lon") / tile).alias("_x"), F.floor(F.col("_lat") / tile).alias("_y"), F.floor(F.col("_lt") / size).alias("_b"))
+        pairs = own.join(others, tiles).filter((age > 0) & (age <= width * 1_000_000) & (square <= radius * radius))
+        return pairs.groupBy(*ids).agg(*[F.sum(F.when((age <= w * 1_000_000) & (square <= r * r), F.col("_n")).otherwise(0)).alias(k) for k, (w, r) in every.items()])
+
     def split(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
         return rows.join(groups, groups.columns, "left_anti"), rows.join(groups, groups.columns, "left_semi")
 
@@ -216,12 +231,12 @@ def radius_counts(left: DataFrame, right: DataFrame, left_id: str, left_time: st
         out = near(few, some, ["_b", *keys])
 
     given = given.withColumn("_x", F.floor(F.col("_lon") / tile)).withColumn("_y", F.floor(F.col("_lat") / tile))
-    spread = lambda c: _range(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile))
+    spread = lambda c: _range(F.floor((F.col(c) - reach) / tile), F.floor((F.col(c) + reach) / tile))
     asked = asked.withColumn("_x", spread("_lon")).withColumn("_y", spread("_lat"))
     crowded = io.stored(over(given, tiles), "crowded")
     any_crowded = not crowded.isEmpty()
     (few, dense), (some, there) = (split(asked, crowded), split(given, crowded)) if any_crowded else ((asked, None), (given, None))
-    out = near(few, some, tiles) if out is None else out.unionByName(near(few, some, tiles))
+    out = out.unionByName(near(few, some, tiles)) if keys else reached(some)
     if any_crowded:
         for r in dict.fromkeys(r for _, r in every.values()):
             spans = {k: w for k, (w, own) in every.items() if own == r}

@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from retrospect.operators import banding
 
@@ -109,3 +110,22 @@ def test_entities_of_few_rows_are_not_laid_out_in_tiles(spark, monkeypatch):
     got = banding.radius_counts(*frames, "id", "t", "t", BANDS, keys=("e",))
     assert {(r["id"], r["e"]): {k: r[k] for k in BANDS} for r in got.collect()} == brute(left, right, True)
     assert len(laid) == 1
+
+
+@pytest.mark.parametrize("most", [2_048, 60])
+def test_rows_of_one_place_and_time_are_one(spark, monkeypatch, most):
+    """1,200 right rows of 40 places and times, some a circle's radius and a band's width apart, go to few tiles; left rows stay in theirs."""
+    monkeypatch.setattr(banding, "CROWDED", most)
+    seen, real = [], banding._reaching
+    monkeypatch.setattr(banding, "_reaching", lambda *args: seen.append(real(*args).count()) or real(*args))
+    at = lambda c: F.expr(f"timestamp_ntz'1969-12-31 12:00:00' + make_interval(0, 0, 0, 0, {c})")
+    right = spark.range(1200).select((F.col("id") % 5 * 0.009).alias("lon"), (F.col("id") % 2 * 0.009).alias("lat"), at("id % 40 div 10 * 6").alias("t"))
+    left = spark.range(120).select("id", (F.col("id") % 6 * 0.009 - 0.009).alias("lon"), (F.col("id") % 2 * 0.009).alias("lat"), at("id % 8 * 3").alias("t"))
+    bands = {"day": (86_400, 0.009), "six": (6 * 3_600, 0.009), "near": (12 * 3_600, 0.001)}
+    got = {r["id"]: tuple(r)[1:] for r in banding.radius_counts(left, right, "id", "t", "t", bands).collect()}
+    a, b = left.collect(), right.collect()
+    want = {}
+    for x in a:
+        n = tuple(sum(0 < (x["t"] - y["t"]).total_seconds() <= w and (x["lon"] - y["lon"]) * (x["lon"] - y["lon"]) + (x["lat"] - y["lat"]) * (x["lat"] - y["lat"]) <= r * r for y in b) for w, r in bands.values())
+        want |= {x["id"]: n} if n[0] else {}
+    assert got == want and want and seen[0] <= 40 * 9 * 2
