@@ -51,8 +51,11 @@ def global_metrics(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _ranged(rows: DataFrame, scores: DataFrame, by: Sequence[str]) -> DataFrame:
-    """rows with _range: how many of its set's quantiles (RANGES at most) a score reaches. Sets are small next to their rows."""
-    bounds = scores.groupBy(*by).agg(F.percentile_approx("score", [k / RANGES for k in range(1, RANGES)], 10_000).alias("_bounds"))
+    """rows with _range: how many of its set's quantiles (RANGES at most) a score reaches. Sets are small next to their rows.
+
+    Bounds are approximate and change with the order in which parts of them arrive, so they are made once for all plans that use the ranges.
+    """
+    bounds = stored(scores.groupBy(*by).agg(F.percentile_approx("score", [k / RANGES for k in range(1, RANGES)], 10_000).alias("_bounds")), "bounds")
     joined = rows.join(bounds, list(by)) if by else rows.crossJoin(F.broadcast(bounds))
     return joined.withColumn("_range", F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")), lambda b: b <= F.col("score")))).drop("_bounds")
 
@@ -112,7 +115,7 @@ def numbered_in_ranges(rows: DataFrame, keys: Sequence[str], order: str) -> Data
 
     Rows are numbered in ranges of `order` by quantiles, whose sizes are added; so a key with all rows is hundreds of tasks' work.
     """
-    bounds = rows.groupBy(*keys).agg(F.percentile_approx(order, [k / TIE_RANGES for k in range(1, TIE_RANGES)], 10_000).alias("_bounds"))
+    bounds = stored(rows.groupBy(*keys).agg(F.percentile_approx(order, [k / TIE_RANGES for k in range(1, TIE_RANGES)], 10_000).alias("_bounds")), "bounds")  # once, as in _ranged
     ranged = _same(rows, bounds, keys).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(order)))).drop("_bounds")
     parts = [*keys, "_range"]
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # TIE_RANGES rows of each key
