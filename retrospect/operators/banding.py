@@ -15,13 +15,16 @@ def seconds(column: Column) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
-def running_sums(points: DataFrame, keys: Sequence[str], values: Sequence[str], bucket: int, parts: int | None = None) -> DataFrame:
+def running_sums(points: DataFrame, keys: Sequence[str], values: Sequence[str], bucket: int | None, parts: int | None = None) -> DataFrame:
     """points with each value summed over the rows of the same keys that come no later, by _at (microseconds), then _turn.
 
     Sums run within buckets of time (seconds); those of the buckets before are added, of which a key has as many as its
     time spans. So no task holds more of a busy key than a bucket of it, and no rows are paired. parts: tasks that buckets are
-    dealt into.
+    dealt into. Without a bucket a key's points are summed in one task, and are not dealt again if they lie by key.
     """
+    if bucket is None:
+        so_far = Window.partitionBy(*keys).orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+        return points.withColumns({v: F.sum(v).over(so_far) for v in values})
     points = points.withColumn("_bucket", F.floor(F.col("_at") / (bucket * 1_000_000)))
     points = points.repartition(parts, *keys, "_bucket") if parts else points
     totals = points.groupBy(*keys, "_bucket").agg(*[F.sum(v).alias(f"_before_{v}") for v in values])
@@ -33,13 +36,17 @@ def running_sums(points: DataFrame, keys: Sequence[str], values: Sequence[str],
     return run.withColumns({v: F.col(v) + F.col(f"_before_{v}") for v in values}).drop("_bucket", *[f"_before_{v}" for v in values])
 
 
-def trailing_sums(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: Sequence[str], left_time: str, right_time: str, spans: Mapping[str, int | tuple[int, int]], quantities: Mapping[str, str], closed: bool, bucket: int = 86_400, parts: int | None = None) -> DataFrame:
+def trailing_sums(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: Sequence[str], left_time: str, right_time: str, spans: Mapping[str, int | tuple[int, int]], quantities: Mapping[str, str], closed: bool, bucket: int | None = 86_400, parts: int | None = None) -> DataFrame:
     """ids, and {quantity}_{span}: sums over the right rows of the same keys in [left - span, left), or with left if closed.
 
     A span is a number of seconds, or (months, days). Each sum is what has run up to the left time less what had run up
     to the span's start, so whole numbers are exact and rows needn't be paired. {span} itself counts the right rows; left
     rows without any in all spans have no row. Null keys meet nothing. parts: tasks that the rows are dealt into, each time.
+    Without a bucket, for keys of few rows each (and ids that hold the keys), rows of either side are dealt once, by key: spans are
+    laid out, summed and brought together again where they lie.
     """
+    if bucket is None:
+        left, right = (rows.repartition(*([parts] if parts else []), *keys) for rows in (left, right))
     when = F.col(left_time)
     start = lambda span: seconds(when) - span * 1_000_000 if isinstance(span, int) else seconds(when - F.make_interval(F.lit(0), F.lit(span[0]), F.lit(0), F.lit(span[1])))
     point = lambda k, at, turn: F.struct(F.lit(k).alias("span"), at.alias("at"), F.lit(turn).alias("turn"))
@@ -52,7 +59,7 @@ def trailing_sums(left: DataFrame, right: DataFrame, ids: Sequence[str], keys: S
     given = given.groupBy(*keys, "_at").agg(*[F.sum(v).alias(v) for v in values]).withColumn("_turn", F.lit(1))
     points = asked.dropna(subset=[*keys, "_at"]).unionByName(given, allowMissingColumns=True).fillna(0, list(values))
     run = running_sums(points, keys, list(values), bucket, parts).filter("_span is not null").select(*ids, "_span", *values)
-    run = run.repartition(parts, ids[0]) if parts else run
+    run = run.repartition(parts, ids[0]) if parts and bucket is not None else run
     upto = lambda v, k: F.coalesce(F.sum(F.when(F.col("_span") == k, F.col(v))), F.lit(0))
     labels = {"_n": "", **dict(zip(list(values)[1:], (f"{q}_" for q in quantities), strict=True))}
     sums = run.groupBy(*ids).agg(*[(upto(v, 0) - upto(v, n)).alias(f"{label}{k}") for n, k in enumerate(spans, 1) for v, label in labels.items()])

@@ -13,6 +13,8 @@ from .banding import trailing_sums
 
 #: Added to the count of a proportion, as the surveyed definition has it.
 EPSILON = 0.00001
+#: Rows or past events of a responder up to which its windows are summed in one task; seconds of a bucket of the others.
+BUSY, DAY = 100_000, 86_400
 
 
 def in_period(events: DataFrame, time: str, start: str, end: str) -> DataFrame:
@@ -51,14 +53,25 @@ def responder_history(responders: DataFrame, past: DataFrame, event: str, entity
 
     Past events lie in [time - window, time). A responder counts for a window just if a past event lies in it. All
     windows and quantities (whole numbers) come from the running sums of each responder's past; responders without any
-    past event go before their windows are laid out. parts: tasks that the windows are dealt into.
+    past event go before their windows are laid out. Those of up to BUSY rows and past events each are summed in one task
+    that lays their windows out, so that responders, past events and sums are dealt once each; others go by buckets of time. parts: tasks
+    that the windows are dealt into.
     """
-    known_to = io.stored(past.select(entity).dropna().distinct(), "entities")
-    responders = responders.join(known_to, entity, "left_semi")
     ours = past.withColumnRenamed(past_time, "_past") if past_time == time else past
-    each = trailing_sums(responders.select(event, entity, time), ours, [event, entity], [entity], time, "_past" if past_time == time else past_time, windows, quantities, closed=False, parts=parts)
-    known = lambda q, k: F.when(F.col(k) > 0, F.col(f"{q}_{k}"))
-    return each.groupBy(event).agg(*[getattr(F, f)(known(q, k)).alias(f"{f}_{q}_{k}") for f in functions for k in windows for q in quantities])
+    known_to = io.stored(ours.select(entity).dropna().groupBy(entity).agg(F.count(F.lit(1)).alias("_n")), "entities")
+    responders = io.stored(responders.select(event, entity, time).join(known_to, entity, "left_semi"), "responders")
+    over = lambda counts: counts.filter(F.col("_n") > BUSY).select(entity)
+    busy = io.stored(over(known_to).unionByName(over(responders.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")))).distinct(), "busy")
+    sums = lambda rows, events, bucket: trailing_sums(rows, events, [event, entity], [entity], time, "_past" if past_time == time else past_time, windows, quantities, False, bucket, parts)
+    if busy.isEmpty():
+        each = sums(responders, ours, None)
+    else:
+        few, many = ([rows.join(busy, entity, how) for rows in (responders, ours)] for how in ("left_anti", "left_semi"))
+        each = sums(*few, None).unionByName(sums(*many, DAY))
+    names = {f"{q}_{k}": F.when(F.col(k) > 0, F.col(f"{q}_{k}")) for k in windows for q in quantities}
+    each = each.select(event, *[v.alias(k) for k, v in names.items()])
+    each = each.repartition(parts, event) if parts else each
+    return each.groupBy(event).agg(*[getattr(F, f)(k).alias(f"{f}_{k}") for f in functions for k in names])
 
 
 def _by_event(responders: DataFrame, entities: DataFrame, event: str, entity: str, values: Mapping[str, Column], made: Mapping[str, Column], parts: int | None) -> DataFrame:
